@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.llm.common import table
+from comarca.llm import secret_ledger
+from comarca.llm.common import new_path, table
 from comarca.llm.sentencepiece_bpe import encode_documents
+from comarca.llm.token_files import read_token_digests, write_token_files
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +24,27 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token_files")
+    write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, end_id=2)
+    return read_token_digests(spark, path)
+
+
+def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_ledger.scan_documents(docs, new_path(spark, "secret_ledger"))
+    spans = F.col("spans")
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.sha2(secret_ledger.joined_spans(spans, secret_ledger.BASE), 256).alias("base_sha256")
+    return found.select("doc_id", *map(count, secret_ledger.BASE), base, secret_ledger.joined_spans(spans).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentencepiece": op1_sentencepiece}
+    return {
+        "op1_sentencepiece": op1_sentencepiece,
+        "op3_token_files": op3_token_files,
+        "op4_secret_ledger": op4_secret_ledger,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
