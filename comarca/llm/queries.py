@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.llm import secret_ledger
+from comarca.llm import kdtree_topk, secret_ledger, url_rules
 from comarca.llm.common import new_path, table
 from comarca.llm.sentencepiece_bpe import encode_documents
 from comarca.llm.token_files import read_token_digests, write_token_files
@@ -39,13 +39,55 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, secret_ledger.BASE), base, secret_ledger.joined_spans(spans).alias("spans"))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_sql() -> str:
+    low = "coalesce(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
+    sites = sorted(url_rules.SITE_RULES, key=lambda r: -len(r.name))
+    fits = lambda r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+    case = lambda of: "CASE " + " ".join(f"WHEN {fits(r)} THEN '{of(r)}'" for r in sites) + " END"
+    matched = " OR ".join(f"regexp_matches(low, '{r.pattern}')" for r in url_rules.PATTERN_RULES)
+    return rf"""
+        WITH parts AS (
+            SELECT page_id, {low} AS low,
+                   coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages)
+        SELECT page_id, host, path, {case(lambda r: r.name)} AS rule,
+               coalesce({case(lambda r: r.verdict)}, CASE WHEN {matched} THEN 'block' ELSE 'allow' END) AS verdict
+        FROM parts"""
+
+
+def op8_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = kdtree_topk.usable(table(spark, sf_dir, "embeddings"))
+    found = kdtree_topk.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+OP8_SQL = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op3_token_files": op3_token_files,
         "op4_secret_ledger": op4_secret_ledger,
+        "op6_url_rules": op6_url_rules,
+        "op8_kdtree_topk": op8_kdtree_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL}
