@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from comarca.llm import kdtree_topk, secret_ledger, url_rules
 from comarca.llm.common import new_path, table
+from comarca.llm.minhash_dedup import near_duplicates
 from comarca.llm.sentencepiece_bpe import encode_documents
 from comarca.llm.token_files import read_token_digests, write_token_files
 
@@ -79,6 +80,32 @@ OP8_SQL = """
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=2, percent=80)
+
+
+OP9_SQL = r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+        FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 2 THEN [ws[1]]
+            ELSE list_transform(generate_series(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS shingle
+        FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+        FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    l AS (
+        SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+        WHERE 100 * common >= 80 * (x.n + y.n - common)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id, doc_id AS c FROM w UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id),
+    m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, w.doc_id = m.component_id AS kept
+    FROM w JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -86,8 +113,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_secret_ledger": op4_secret_ledger,
         "op6_url_rules": op6_url_rules,
         "op8_kdtree_topk": op8_kdtree_topk,
+        "op9_minhash_dedup": op9_minhash_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL}
+    return {"op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL, "op9_minhash_dedup": OP9_SQL}
