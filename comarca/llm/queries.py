@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from comarca.llm import kdtree_topk, secret_ledger, url_rules
 from comarca.llm.common import new_path, table
+from comarca.llm.embedding_dedup import near_vectors
 from comarca.llm.minhash_dedup import near_duplicates
 from comarca.llm.sentencepiece_bpe import encode_documents
 from comarca.llm.token_files import read_token_digests, write_token_files
@@ -106,6 +107,27 @@ OP9_SQL = r"""
     FROM w JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), cosine=0.93)
+
+
+OP10_SQL = """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    u AS (SELECT vec_id, label, x, sqrt(list_inner_product(x, x)) AS size FROM v),
+    e AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+        WHERE list_inner_product(a.x, b.x) / (a.size * b.size) >= 0.93),
+    r AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.vec_id),
+    m AS (SELECT vec_id, min(c) AS component_id FROM r GROUP BY vec_id),
+    l AS (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY a)
+    SELECT m.vec_id, coalesce(l.n, 0) AS n_links, component_id, m.vec_id = component_id AS kept
+    FROM m LEFT JOIN l USING (vec_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -114,8 +136,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_url_rules": op6_url_rules,
         "op8_kdtree_topk": op8_kdtree_topk,
         "op9_minhash_dedup": op9_minhash_dedup,
+        "op10_embedding_dedup": op10_embedding_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL, "op9_minhash_dedup": OP9_SQL}
+    return {"op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL, "op9_minhash_dedup": OP9_SQL, "op10_embedding_dedup": OP10_SQL}
