@@ -119,6 +119,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     d, n = (most["d"], most["count"]) if most else (0, 0)
     vectors, queries = cut(vectors.where(F.size("v") == d)), queries.where(F.size("v") == d)
     shards = max(1, -(-n // shard_rows))
+    queries = queries.select(F.col("id").alias("id"), F.col("v").alias("v"))  # columns of their own, also where queries are some of the vectors
     queries = cut(queries.dropDuplicates(["id", "v"]).withColumn("kth", F.lit(None).cast("long")))
     blocks = max(1, -(-queries.count() // query_rows))
     own = vectors.withColumn("shard", _deal(shards, 1))
