@@ -48,3 +48,21 @@ def new_path(spark: SparkSession, name: str) -> str:
 def clean_text(column: str = "text"):
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+class Memo:
+    """A bounded memo of two generations: once the young one is full it turns old, and what is still used comes back."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most // 2, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Make room, bring back old entries; the keys that have no entry."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        absent = keys - self.young.keys()
+        if self.old:
+            back = absent & self.old.keys()
+            self.young.update((k, self.old[k]) for k in back)
+            absent -= back
+        return list(absent)

@@ -22,11 +22,11 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.common import small_batches
+from comarca.llm.common import Memo, small_batches
 
 MARK = "▁"
-#: Distinct words that a worker keeps; beyond it the memo starts anew.
-MEMO_WORDS = 400_000
+#: Distinct words that a worker keeps, at most.
+MEMO_WORDS = 600_000
 #: Words in one flat array, so that its rounds stay in the processor's cache.
 BLOCK_WORDS = 4096
 _HASH = np.uint64(0x9E3779B97F4A7C15)
@@ -103,7 +103,7 @@ class BpeEncoder:
         # No piece mixes letters or digits with other characters: words end there too.
         finer = f"{runs}{MARK}*{letters}+|{MARK}+{other}*|{other}+"
         self.words = (lambda text: [text]) if inner else re.compile(f"{runs}{MARK}+[^{MARK}]*|[^{MARK}]+" if mixed else finer).findall
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(MEMO_WORDS)
 
     def _ids(self, word: str) -> list[int]:
         return np.frombuffer(self._merge([word])[0], np.int32).tolist()
@@ -160,13 +160,10 @@ class BpeEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.words(self.sp.normalize(t)) if t else [] for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        fresh = list({w for words in cut for w in words} - self.memo.keys())
-        if fresh:
-            for k in range(0, len(fresh), BLOCK_WORDS):
-                self.memo.update(zip(fresh[k : k + BLOCK_WORDS], self._merge(fresh[k : k + BLOCK_WORDS]), strict=True))
-        return [np.frombuffer(b"".join(map(self.memo.__getitem__, words)), np.int32) for words in cut]
+        fresh = self.memo.missing({w for words in cut for w in words})
+        for k in range(0, len(fresh), BLOCK_WORDS):
+            self.memo.young.update(zip(fresh[k : k + BLOCK_WORDS], self._merge(fresh[k : k + BLOCK_WORDS]), strict=True))
+        return [np.frombuffer(b"".join(map(self.memo.young.__getitem__, words)), np.int32) for words in cut]
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids) if ids else ""

@@ -12,6 +12,8 @@ texts. An empty table writes an empty file and reads back empty. Extra columns a
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -22,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from comarca.llm.common import small_batches
+from comarca.llm.common import Memo, small_batches
 
 #: A block is closed when it holds so many ids.
 BLOCK_IDS = 1 << 16
-#: Distinct words that a worker keeps; beyond it the memo starts anew.
-MEMO_WORDS = 400_000
+#: Distinct words, and runs of letters, that a worker keeps, at most.
+MEMO_WORDS = 600_000
 BLOCK_SCHEMA = "part int, block int, start long, n_ids long, bits int, doc_ids array<long>, ends array<long>, payload binary"
 _VIEWS = {8: "<u1", 16: "<u2", 32: "<u4"}
 
@@ -50,46 +52,74 @@ def unpack(payload: bytes, bits: int, first: int, n: int) -> np.ndarray:
     return spread.astype(np.uint32) @ (np.uint32(1) << np.arange(bits, dtype=np.uint32))
 
 
+#: ASCII symbols at which a run of letters ends whatever follows; the apostrophe may open a contraction.
+_SYMBOLS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+_AROUND = re.compile(f"([{_SYMBOLS}]*)([^\\W\\d_]+)([{_SYMBOLS}]*)")
+
+
 class WordEncoder:
-    """Whole texts through the tokenizers library, each distinct word once.
+    """Whole texts through the tokenizers library, each distinct run of letters once.
 
-    White space separates words for good (this is checked against the tokenizer: it must drop white space), so a text's
-    ids are those of its words in turn. Words go through the library many at a time with a control string between them.
+    White space separates words for good, and so do ASCII symbols around a run of letters (both are checked against the
+    tokenizer on a probe). Runs of letters go through the library many at a time, a space between them, and come apart
+    where a token ends a word. Every other word goes through whole, and so does a text that holds a control string.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.bits = max(1, (max(self.tokenizer.get_vocab(with_added_tokens=True).values())).bit_length())
-        self.memo: dict[str, bytes] = {}
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
-        self.special = special
-        one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        self.by_word = bool(special) and not one(" \n\t\r") and one("ab \n cd,\te") == one("ab") + one("cd,") + one("e")
-        self.between = special[0] if special else ""
-        self.between_id = self.tokenizer.token_to_id(self.between) if special else -1
-
-    def _fresh(self, words: list[str]) -> None:
-        plain = [w for w in words if not any(s in w for s in self.special)]
-        for k in range(0, len(plain), 2000):
-            some = plain[k : k + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(some)], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.between_id)
-            raw = ids.tobytes()
-            self.memo.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True))
-        odd = [w for w in words if any(s in w for s in self.special)]
-        for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            self.memo[w] = np.array(e.ids, np.uint32).tobytes()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bits = max(1, max(vocabulary.values()).bit_length())
+        self.control = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        same = lambda *parts: ids("".join(parts)) == [i for p in parts for i in ids(p)]
+        self.by_word = not ids(" \n\t\r") and same("ab", " \n ", "cd,", "\te") and same("!?(", "Word", ".,;") and ids("Word") == ids("word") and self.ends[ids("word")].sum() == 1
+        self.words, self.runs = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _letters(self, runs: list[str]) -> None:
+        """Put runs of letters into their memo."""
+        for k in range(0, len(runs), 2000):
+            some = runs[k : k + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                self.runs.young.update((w, raw[a:b]) for w, a, b in zip(some, [0, *ends[:-1]], ends, strict=True))
+            else:  # what Python takes for a letter but the tokenizer does not
+                self.runs.young.update(zip(some, self._whole(some), strict=True))
+
+    def _learn(self, words: list[str]) -> None:
+        """Put words into their memo."""
+        # Letters that normalise into marks would join the symbols behind them.
+        stays = lambda run: run.isascii() or unicodedata.normalize("NFC", run).lower().isalpha()
+        parts = {w: m.groups() for w in words if (m := _AROUND.fullmatch(w)) and stays(m[2])}
+        lower = lambda run: run.lower() if run.isascii() else run
+        self._letters(self.runs.missing({lower(run) for _, run, _ in parts.values()}))
+        symbols = list({s for a, _, b in parts.values() for s in (a, b)} - {""})
+        of = dict(zip(symbols, self._whole(symbols), strict=True)) | {"": b""}
+        runs, young = self.runs.young, self.words.young
+        for w, (a, run, b) in parts.items():
+            young[w] = of[a] + runs[lower(run)] + of[b]
+        rest = [w for w in words if w not in parts]
+        young.update(zip(rest, self._whole(rest), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self.by_word:
-            return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return self._whole(texts)
+        whole = [k for k, t in enumerate(texts) if any(c in t for c in self.control)]
         cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        self.memo[""] = b""
-        self._fresh(list({w for words in cut for w in words} - self.memo.keys()))
-        return [b"".join(map(self.memo.__getitem__, words)) for words in cut]
+        for k in whole:
+            cut[k] = []
+        self._learn(self.words.missing({w for words in cut for w in words}))
+        out = [b"".join(map(self.words.young.__getitem__, words)) for words in cut]
+        for k, raw in zip(whole, self._whole([texts[k] for k in whole]), strict=True):
+            out[k] = raw
+        return out
 
 
 _HELD: dict[str, WordEncoder] = {}
