@@ -164,3 +164,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches:
     found = sketch.select("doc_id", "print", F.col("n").alias("n_shingles")).join(cut(of.select("print", F.coalesce("component", "node").alias("component"))), "print", "left")
     out = found.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with one document of each component: the one of least doc_id. Rows that repeat a doc_id are one document, of which one row stays."""
+    found = cut(near_duplicates(docs, size, percent, doc_id=doc_id, text=text).select(F.col("doc_id").alias("__id"), "kept"))
+    gone = found.where(~F.col("kept")).select("__id").distinct()
+    out = docs.join(gone, F.col(doc_id) == F.col("__id"), "left_anti")
+    repeated = cut(found.groupBy("__id").count().where(F.col("count") > 1).select("__id"))
+    if repeated.isEmpty():
+        return out
+    once = out.join(repeated, F.col(doc_id) == F.col("__id"), "left_semi").dropDuplicates([doc_id])
+    return out.join(repeated, F.col(doc_id) == F.col("__id"), "left_anti").unionByName(once)

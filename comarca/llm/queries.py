@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.llm import kdtree_topk, secret_ledger, url_rules
+from comarca.llm import kdtree_topk, language_id, mixing, ordinal_quality, secret_ledger, url_rules
 from comarca.llm.common import new_path, table
 from comarca.llm.embedding_dedup import near_vectors
 from comarca.llm.minhash_dedup import near_duplicates
@@ -128,12 +128,37 @@ OP10_SQL = """
     FROM m LEFT JOIN l USING (vec_id)"""
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language_id.held_out())
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    found = language_id.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(docs)
+
+
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 toxic, 1 of low quality, 2 good. Kept: where good is not unlikely."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    rated = docs.join(table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade")), "doc_id")
+    found = ordinal_quality.grade_documents(docs, ordinal_quality.fit(rated))
+    tail = F.coalesce(F.get("grade.tails", F.lit(1)), F.lit(0.0))
+    return found.select("doc_id", F.col("grade.expected").alias("expected_grade"), tail.alias("p_good"), (tail >= ordinal_quality.KEEP).alias("kept"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_language_id": op2_language_id,
         "op3_token_files": op3_token_files,
         "op4_secret_ledger": op4_secret_ledger,
+        "op5_mixing": op5_mixing,
         "op6_url_rules": op6_url_rules,
+        "op7_ordinal_quality": op7_ordinal_quality,
         "op8_kdtree_topk": op8_kdtree_topk,
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_embedding_dedup": op10_embedding_dedup,

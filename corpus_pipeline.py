@@ -1,10 +1,67 @@
-"""The corpus pipeline: STAGES over documents."""
+"""The corpus pipeline: stages that each call one operator and hand documents on.
+
+Every stage gets all that its predecessor kept, as a DataFrame read from Parquet, and all but the last return the columns
+of documents. Documents whose language is rejected go; one document of each near-duplicate group stays; secrets are
+replaced in the texts; sources are interleaved in proportion to the square roots of their sizes (all documents stay, in
+the order of the mix); the last stage gives the SentencePiece ids of each text, and whether they decode to it.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from comarca.llm import language_id, minhash_dedup, mixing, secret_ledger
+from comarca.llm.common import new_path
+from comarca.llm.sentencepiece_bpe import encode_documents
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language_id.fit(docs)
+    return language_id.identify(docs, model, into="__language").where(~F.col("__language.rejected")).drop("__language")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash_dedup.deduplicated(docs, size=5, percent=80)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = secret_ledger.scan_documents(docs, new_path(spark, "secret_ledger"), into="__spans")
+    clean = found.withColumn("text", secret_ledger.redacted(F.col("text"), F.col("__spans")))
+    if "n_chars" in docs.columns:
+        n = F.length("text").cast(docs.schema["n_chars"].dataType)
+        clean = clean.withColumn("n_chars", F.when(F.size("__spans") > 0, n).otherwise(F.col("n_chars")))
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.in_mix_order(docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = encode_documents(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    same = F.col("pieces.decoded") == F.coalesce("text", F.lit(""))
+    return found.select("doc_id", "lang", "source", F.size("pieces.ids").cast("long").alias("n_tokens"), F.col("pieces.ids").alias("ids"), same.alias("decodes"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", languages),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secrets),
+    ("mixing", mixture),
+    ("sentencepiece", pieces),
+]
+#: Language models, MinHash links and token ids have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = new_path(spark, f"stage_{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
