@@ -31,7 +31,7 @@ BITS = 13
 SAMPLE_PER_LANGUAGE = 1_000
 CENTROIDS = 4
 #: How much farther than any training text of its length a text must be to be rejected.
-MARGIN = 0.05
+MARGIN = 0.1
 _HELD: dict[str, np.ndarray] = {}
 
 
