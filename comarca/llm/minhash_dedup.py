@@ -8,11 +8,13 @@ many of them is skipped altogether. Collisions of the pairs found are then count
 are retained are confirmed on the full sets. The default least number of matches loses a pair at the threshold with a
 probability of about 1e-9 (six standard deviations).
 
-A list of postings is compared in two rounds. First every member with the list's least member: that settles groups of
-copies, however large, in as many pairs as they have members. Then, where members of a list are still in different
-components, members outside the list's largest component are compared with those in it and with each other. Members of one
-component need no further link, so no group is ever expanded into all its pairs, and no pair of different components
-goes unseen. Nothing is capped.
+A list of postings is compared in rounds. First every member with the list's head, the member with most shared values: that
+settles groups of copies, however large, in as many pairs as they have members. What stays outside the list's largest
+component is compared with a head of its own. Then, where members are still in different components, those outside the
+largest are compared with those in it and with each other: in short lists pair by pair, in long ones (more than
+`SHORT_LIST` members) block by block, where a task holds the sets of two blocks and gives the least member that each of
+theirs is connected to, never the pairs. Members of one component need no further link, so no group is ever expanded
+into all its pairs, and no pair of different components goes unseen. Nothing is capped.
 
 Cases: documents without words (or null) have an empty set and link with nothing. Documents with fewer words than a
 shingle have their whole sequence as one. Rows that share a doc_id count as one document. Rows without a doc_id have no
@@ -38,6 +40,10 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 _LINE = np.random.default_rng(20240501)
 _A = _LINE.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _LINE.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+#: Lists up to this length are compared pair by pair, which gives so many pairs for each of their members at most.
+SHORT_LIST = 16
+#: Shingles that a block of sets holds on average.
+BLOCK_SHINGLES = 150_000
 #: Hashes that go through the signature's arithmetic at a time.
 _STRIDE = 1 << 16
 
@@ -113,10 +119,10 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     value = lambda i, x: i.cast("long") * F.lit(1 << 32) + x.cast("long")
     posts = classes.select("node", "n", F.explode(F.transform("signature", lambda x, i: value(i, x))).alias("value"))
     shared = cut(posts.groupBy("value").agg(F.count("*").alias("seen")).where(F.col("seen") > 1))
-    ranked = posts.join(shared, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "value"))).alias("values"))
+    ranked = posts.join(shared, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "value"))).alias("values"), F.count("*").alias("held"))
     # Of the rarest COORDINATES - matches + 1 values, those that nobody shares come first.
     left = F.size("values") - F.lit(matches - 1)
-    return ranked.where(left > 0).select("node", "n", F.explode(F.slice("values", F.lit(1), left)).alias("x")).select("x.value", "node", "n")
+    return ranked.where(left > 0).select("node", "n", "held", F.explode(F.slice("values", F.lit(1), left)).alias("x")).select("x.value", "node", "n", "held")
 
 
 def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
@@ -126,7 +132,72 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _heads(posts: DataFrame) -> DataFrame:
+    """Of each list the member with most shared values."""
+    head = F.max(F.struct("held", -F.col("node"), "n", "part")).alias("x")
+    return cut(posts.groupBy("value").agg(head).select("value", (-F.col("x.col2")).alias("node"), "x.n", "x.part"))
+
+
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of a with each of b."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    if not (a and b):
+        return out
+    of = [np.concatenate(x) for x in (a, b)]
+    shared = np.intersect1d(np.unique(of[0]), np.unique(of[1]), assume_unique=True)
+    where = []
+    for x, flat in zip((a, b), of, strict=True):
+        row, at = np.repeat(np.arange(len(x)), [len(s) for s in x]), np.searchsorted(shared, flat)
+        at[at == len(shared)] = 0
+        hit = shared[at] == flat if len(shared) else np.zeros(len(flat), bool)
+        row, at = row[hit], at[hit]
+        order = np.argsort(at, kind="stable")
+        where.append((row[order], at[order]))
+    for low in range(0, len(shared), 4096):
+        wide = min(4096, len(shared) - low)
+        sides = []
+        for (row, at), n in zip(where, (len(a), len(b)), strict=True):
+            i, j = np.searchsorted(at, [low, low + wide])
+            m = np.zeros((n, wide), np.float32)
+            m[row[i:j], at[i:j] - low] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _blocks(percent: int):
+    out = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        node, inside, block = (table.column(c).to_numpy() for c in ("node", "inside", "block"))
+        column = table.column("set").combine_chunks()
+        flat, ends = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
+        sets = [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+        n = np.diff(ends).astype(np.float32)
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        pick = lambda k, within: np.flatnonzero((block == k) & (inside == within))
+        head = node.copy()
+        pairs = [(pick(i, False), pick(j, False)), (pick(i, False), pick(j, True))] + ([(pick(j, False), pick(i, True))] if i != j else [])
+        links = []
+        for a, b in pairs:
+            common = _common([sets[k] for k in a], [sets[k] for k in b])
+            near = common * 100 >= (n[a][:, None] + n[b][None, :] - common) * percent
+            x, y = np.nonzero(near & (node[a][:, None] != node[b][None, :]))
+            links.append((a[x], b[y]))
+        x, y = (np.concatenate(c) for c in zip(*links, strict=True))
+        while True:
+            before = head.copy()
+            np.minimum.at(head, x, head[y])
+            np.minimum.at(head, y, head[x])
+            if (head == before).all():
+                break
+        moved = head != node
+        return pa.Table.from_arrays([pa.array(node[moved]), pa.array(head[moved])], schema=out)
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches: int | None = None, short_list: int = SHORT_LIST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept. Documents link at 100 * intersection >= percent * union."""
     small_batches(docs.sparkSession)
     matches = matches or least_matches(percent / 100)
@@ -135,30 +206,47 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches:
     classes = cut(sketch.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.count("*").alias("copies")))
     posts = cut(_prefixes(classes, matches).withColumn("part", F.col("node")))
 
+    def sets(nodes: DataFrame) -> DataFrame:
+        return rows.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _set(size)("text").alias("set"))
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         side = lambda x: classes.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}"))
         same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
         near = cut(pairs.join(side("a"), "a").join(side("b"), "b").where(same >= matches).select("a", "b"))
-        needed = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
-        sets = cut(rows.join(needed, "doc_id", "left_semi").select("doc_id", _set(size)("text").alias("set")))
-        full = lambda x: sets.select(F.col("doc_id").alias(x), F.col("set").alias(f"t{x}"))
+        held = cut(sets(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))))
+        full = lambda x: held.select(F.col("node").alias(x), F.col("set").alias(f"t{x}"))
         both = near.join(full("a"), "a").join(full("b"), "b")
         common = F.size(F.array_intersect("ta", "tb"))
         return cut(both.withColumn("common", common).where(F.col("common") * 100 >= (F.size("ta") + F.size("tb") - F.col("common")) * percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    # First round: every member of a list with its least member.
-    heads = cut(posts.groupBy("value").agg(F.min(F.struct("node", "n", "part")).alias("x")).select("value", "x.*"))
-    edges = confirmed(_pairs(posts, heads, percent))
-
-    # Second round: what a list still holds of other components than its largest.
+    def parted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members in the largest component of lists that hold several, and those outside it."""
+        parts = components(edges)
+        now = cut(posts.drop("part").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")))
+        counted = now.groupBy("value", "part").agg(F.count("*").alias("members"))
+        mixed = cut(counted.groupBy("value").agg(F.count("*").alias("parts"), F.sum("members").alias("length"), F.max(F.struct("members", "part"))["part"].alias("first")).where(F.col("parts") > 1).select("value", "length", "first"))
+        open_ = cut(now.join(mixed, "value"))
+        return open_.where(F.col("part") == F.col("first")), open_.where(F.col("part") != F.col("first"))
+
+    edges = confirmed(_pairs(posts, _heads(posts), percent))
+    _, outside = parted(edges)
+    edges = cut(edges.unionByName(confirmed(_pairs(outside, _heads(outside), percent))))
+
+    inside, outside = parted(edges)
+    short = F.col("length") <= short_list
+    pairs = _pairs(outside.where(short), inside.where(short), percent).unionByName(_pairs(outside.where(short), outside.where(short), percent)).distinct()
+    edges = edges.unionByName(confirmed(pairs))
+
+    member = lambda rows, within: rows.where(~short).select(F.col("first").alias("group"), "node", "n", F.lit(within).alias("inside"))
+    members = cut(member(inside, True).unionByName(member(outside, False)).distinct())
+    blocks = cut(members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")))
+    dealt = members.drop("n").join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = dealt.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "inside")
+    full = cut(sets(members)).select(F.col("node").alias("__node"), "set")
+    tasks = tasks.join(full, F.col("node") == F.col("__node")).drop("__node")
+    edges = cut(edges.unionByName(tasks.groupBy("group", "i", "j").applyInArrow(_blocks(percent), "u long, v long")))
     parts = components(edges)
-    posts = cut(posts.drop("part").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")))
-    sizes = posts.groupBy("value", "part").agg(F.count("*").alias("members"))
-    mixed = cut(sizes.groupBy("value").agg(F.count("*").alias("parts"), F.max(F.struct("members", "part"))["part"].alias("first")).where(F.col("parts") > 1).select("value", "first"))
-    open_ = posts.join(mixed, "value")
-    inside, outside = cut(open_.where(F.col("part") == F.col("first")).drop("first")), cut(open_.where(F.col("part") != F.col("first")).drop("first"))
-    more = _pairs(outside, inside, percent).unionByName(_pairs(outside, outside, percent)).distinct()
-    parts = components(edges.unionByName(confirmed(more)))
 
     of = classes.join(parts.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").where((F.col("copies") > 1) | F.col("component").isNotNull())
     found = sketch.select("doc_id", "print", F.col("n").alias("n_shingles")).join(cut(of.select("print", F.coalesce("component", "node").alias("component"))), "print", "left")
