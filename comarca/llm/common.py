@@ -56,13 +56,19 @@ class Memo:
     def __init__(self, most: int):
         self.most, self.young, self.old = most // 2, {}, {}
 
-    def missing(self, keys: set) -> list:
-        """Make room, bring back old entries; the keys that have no entry."""
+    def get(self, keys: set, learn) -> dict:
+        """The entries of keys, in a dictionary of their own; learn gives those of a list of keys that have none yet."""
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
-        absent = keys - self.young.keys()
-        if self.old:
-            back = absent & self.old.keys()
-            self.young.update((k, self.old[k]) for k in back)
-            absent -= back
-        return list(absent)
+        out = dict(zip(keys, map(self.young.get, keys), strict=True))
+        absent = [k for k, held in out.items() if held is None]
+        if self.old and absent:
+            back = dict(zip(absent, map(self.old.get, absent), strict=True))
+            absent = [k for k, held in back.items() if held is None]
+            out.update(back)
+            self.young.update((k, held) for k, held in back.items() if held is not None)
+        if absent:
+            new = dict(zip(absent, learn(absent), strict=True))
+            out.update(new)
+            self.young.update(new)
+        return out

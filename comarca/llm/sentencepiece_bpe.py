@@ -160,10 +160,9 @@ class BpeEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.words(self.sp.normalize(t)) if t else [] for t in texts]
-        fresh = self.memo.missing({w for words in cut for w in words})
-        for k in range(0, len(fresh), BLOCK_WORDS):
-            self.memo.young.update(zip(fresh[k : k + BLOCK_WORDS], self._merge(fresh[k : k + BLOCK_WORDS]), strict=True))
-        return [np.frombuffer(b"".join(map(self.memo.young.__getitem__, words)), np.int32) for words in cut]
+        learn = lambda fresh: [ids for k in range(0, len(fresh), BLOCK_WORDS) for ids in self._merge(fresh[k : k + BLOCK_WORDS])]
+        get = self.memo.get(set().union(*cut), learn).__getitem__
+        return [np.frombuffer(b"".join(map(get, words)), np.int32) for words in cut]
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids) if ids else ""

@@ -12,7 +12,6 @@ texts. An empty table writes an empty file and reads back empty. Extra columns a
 
 from __future__ import annotations
 
-import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ from comarca.llm.common import Memo, small_batches
 #: A block is closed when it holds so many ids.
 BLOCK_IDS = 1 << 16
 #: Distinct words, and runs of letters, that a worker keeps, at most.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_000_000
 BLOCK_SCHEMA = "part int, block int, start long, n_ids long, bits int, doc_ids array<long>, ends array<long>, payload binary"
 _VIEWS = {8: "<u1", 16: "<u2", 32: "<u4"}
 
@@ -53,8 +52,7 @@ def unpack(payload: bytes, bits: int, first: int, n: int) -> np.ndarray:
 
 
 #: ASCII symbols at which a run of letters ends whatever follows; the apostrophe may open a contraction.
-_SYMBOLS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-_AROUND = re.compile(f"([{_SYMBOLS}]*)([^\\W\\d_]+)([{_SYMBOLS}]*)")
+_SYMBOLS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordEncoder:
@@ -75,37 +73,44 @@ class WordEncoder:
         ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         same = lambda *parts: ids("".join(parts)) == [i for p in parts for i in ids(p)]
         self.by_word = not ids(" \n\t\r") and same("ab", " \n ", "cd,", "\te") and same("!?(", "Word", ".,;") and ids("Word") == ids("word") and self.ends[ids("word")].sum() == 1
-        self.words, self.runs = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
+        self.words, self.runs = Memo(MEMO_WORDS), Memo(MEMO_WORDS // 2)
 
     def _whole(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _letters(self, runs: list[str]) -> None:
-        """Put runs of letters into their memo."""
+    def _letters(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs of letters."""
+        out: list[bytes] = []
         for k in range(0, len(runs), 2000):
             some = runs[k : k + 2000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some):
                 raw, ends = ids.tobytes(), (4 * ends).tolist()
-                self.runs.young.update((w, raw[a:b]) for w, a, b in zip(some, [0, *ends[:-1]], ends, strict=True))
+                out += [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
             else:  # what Python takes for a letter but the tokenizer does not
-                self.runs.young.update(zip(some, self._whole(some), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        """Put words into their memo."""
-        # Letters that normalise into marks would join the symbols behind them.
-        stays = lambda run: run.isascii() or unicodedata.normalize("NFC", run).lower().isalpha()
-        parts = {w: m.groups() for w in words if (m := _AROUND.fullmatch(w)) and stays(m[2])}
-        lower = lambda run: run.lower() if run.isascii() else run
-        self._letters(self.runs.missing({lower(run) for _, run, _ in parts.values()}))
-        symbols = list({s for a, _, b in parts.values() for s in (a, b)} - {""})
+                out += self._whole(some)
+        return out
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of words: letters with symbols around them in parts, others whole."""
+        parts = {w: w if w.isalpha() else w.strip(_SYMBOLS) for w in words}
+        keys = {w: self._key(run) if run.isalpha() else "" for w, run in parts.items()}
+        runs = self.runs.get({*keys.values()} - {""}, self._letters)
+        dressed = {w: (at := w.index(run), at + len(run)) for w, run in parts.items() if keys[w] and len(run) < len(w)}
+        symbols = list({s for w, (a, b) in dressed.items() for s in (w[:a], w[b:])} - {""})
         of = dict(zip(symbols, self._whole(symbols), strict=True)) | {"": b""}
-        runs, young = self.runs.young, self.words.young
-        for w, (a, run, b) in parts.items():
-            young[w] = of[a] + runs[lower(run)] + of[b]
-        rest = [w for w in words if w not in parts]
-        young.update(zip(rest, self._whole(rest), strict=True))
+        rest = [w for w in words if not keys[w]]
+        other = dict(zip(rest, self._whole(rest), strict=True))
+        other.update((w, of[w[:a]] + runs[keys[w]] + of[w[b:]]) for w, (a, b) in dressed.items())
+        return [other[w] if w in other else runs[keys[w]] for w in words]
+
+    @staticmethod
+    def _key(run: str) -> str:
+        """What a run of letters is known by; none for letters that normalise into marks, which would join the symbols behind them."""
+        if run.isascii() or max(run) < "\u0100":
+            return run.lower()
+        return run if unicodedata.normalize("NFC", run).lower().isalpha() else ""
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -115,10 +120,10 @@ class WordEncoder:
         cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         for k in whole:
             cut[k] = []
-        self._learn(self.words.missing({w for words in cut for w in words}))
-        out = [b"".join(map(self.words.young.__getitem__, words)) for words in cut]
-        for k, raw in zip(whole, self._whole([texts[k] for k in whole]), strict=True):
-            out[k] = raw
+        get = self.words.get(set().union(*cut), self._learn).__getitem__
+        out = [b"".join(map(get, words)) for words in cut]
+        for k in whole:
+            out[k] = self._whole([texts[k]])[0]
         return out
 
 
