@@ -108,7 +108,7 @@ def keyword_hits(title: Column, keywords: Iterable[str]) -> Column:
 
 def nearby_date(text: Column) -> Column:
     """The first day/month/year in a text as year-month-day, not checked against the calendar."""
-    pattern = r"(\d{1,2})[/.-](\d{1,2})[/.-](20\d{2})"
+    pattern = r"\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b"
     part = lambda k: F.regexp_extract(text, pattern, k)
     return F.when(part(0) != "", F.concat_ws("-", part(3), F.lpad(part(2), 2, "0"), F.lpad(part(1), 2, "0")))
 
