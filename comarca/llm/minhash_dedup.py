@@ -9,9 +9,8 @@ are retained are confirmed on the full sets. The default least number of matches
 probability of about 1e-9 (six standard deviations).
 
 A list of postings is compared in rounds. First every member with the list's head, the member with most shared values: that
-settles groups of copies, however large, in as many pairs as they have members. What stays outside the list's largest
-component is compared with a head of its own. Then, where members are still in different components, those outside the
-largest are compared with those in it and with each other: in short lists pair by pair, in long ones (more than
+settles groups of copies, however large, in as many pairs as they have members. Then, where members are still in
+different components, those outside the largest are compared with those in it and with each other: in short lists pair by pair, in long ones (more than
 `SHORT_LIST` members) block by block, where a task holds the sets of two blocks and gives the least member that each of
 theirs is connected to, never the pairs. Members of one component need no further link, so no group is ever expanded
 into all its pairs, and no pair of different components goes unseen. Nothing is capped.
@@ -206,16 +205,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches:
     classes = cut(sketch.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.count("*").alias("copies")))
     posts = cut(_prefixes(classes, matches).withColumn("part", F.col("node")))
 
-    def sets(nodes: DataFrame) -> DataFrame:
-        return rows.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _set(size)("text").alias("set"))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def near(pairs: DataFrame) -> DataFrame:
+        """Pairs that collide in enough coordinates."""
         side = lambda x: classes.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}"))
         same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        near = cut(pairs.join(side("a"), "a").join(side("b"), "b").where(same >= matches).select("a", "b"))
-        held = cut(sets(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))))
+        return cut(pairs.join(side("a"), "a").join(side("b"), "b").where(same >= matches).select("a", "b"))
+
+    def sets(nodes: DataFrame) -> DataFrame:
+        """The full sets of nodes; this moves the texts once."""
+        return cut(rows.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _set(size)("text").alias("set")))
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+
+    def confirmed(pairs: DataFrame, held: DataFrame) -> DataFrame:
         full = lambda x: held.select(F.col("node").alias(x), F.col("set").alias(f"t{x}"))
-        both = near.join(full("a"), "a").join(full("b"), "b")
+        both = pairs.join(full("a"), "a").join(full("b"), "b")
         common = F.size(F.array_intersect("ta", "tb"))
         return cut(both.withColumn("common", common).where(F.col("common") * 100 >= (F.size("ta") + F.size("tb") - F.col("common")) * percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
@@ -228,23 +233,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches:
         open_ = cut(now.join(mixed, "value"))
         return open_.where(F.col("part") == F.col("first")), open_.where(F.col("part") != F.col("first"))
 
-    edges = confirmed(_pairs(posts, _heads(posts), percent))
-    _, outside = parted(edges)
-    edges = cut(edges.unionByName(confirmed(_pairs(outside, _heads(outside), percent))))
+    pairs = near(_pairs(posts, _heads(posts), percent))
+    edges = confirmed(pairs, sets(ends(pairs)))
 
     inside, outside = parted(edges)
     short = F.col("length") <= short_list
-    pairs = _pairs(outside.where(short), inside.where(short), percent).unionByName(_pairs(outside.where(short), outside.where(short), percent)).distinct()
-    edges = edges.unionByName(confirmed(pairs))
-
+    pairs = near(_pairs(outside.where(short), inside.where(short), percent).unionByName(_pairs(outside.where(short), outside.where(short), percent)).distinct())
     member = lambda rows, within: rows.where(~short).select(F.col("first").alias("group"), "node", "n", F.lit(within).alias("inside"))
     members = cut(member(inside, True).unionByName(member(outside, False)).distinct())
+    held = sets(ends(pairs).unionByName(members.select("node")))
+    edges = edges.unionByName(confirmed(pairs, held))
+
     blocks = cut(members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")))
     dealt = members.drop("n").join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = dealt.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "inside")
-    full = cut(sets(members)).select(F.col("node").alias("__node"), "set")
-    tasks = tasks.join(full, F.col("node") == F.col("__node")).drop("__node")
+    tasks = tasks.join(held.select(F.col("node").alias("__node"), "set"), F.col("node") == F.col("__node")).drop("__node")
     edges = cut(edges.unionByName(tasks.groupBy("group", "i", "j").applyInArrow(_blocks(percent), "u long, v long")))
     parts = components(edges)
 
