@@ -14,10 +14,10 @@ from comarca.sources.html import links
 LEAST_TITLE, MOST_TITLE = 18, 500
 
 
-def events(pages: DataFrame, keywords: Iterable[str]) -> DataFrame:
+def events(pages: DataFrame, keywords: Iterable[str], least_title: int = LEAST_TITLE) -> DataFrame:
     """pages (source_id, url, ordinal, html): links whose title names a keyword; of one url the last counts."""
     found = links(pages).withColumns({"hits": keyword_hits(F.col("title"), keywords), "target": resolved(F.col("url"), F.col("href"))})
-    kept = found.where((F.length("title") >= LEAST_TITLE) & (F.size("hits") > 0) & F.col("target").isNotNull())
+    kept = found.where((F.length("title") >= least_title) & (F.size("hits") > 0) & F.col("target").isNotNull())
     shaped = kept.select(
         F.concat(F.lit("url:"), F.sha1("target")).alias("event_id"), "source_id", F.substring("title", 1, MOST_TITLE).alias("title"), F.col("target").alias("url"), nearby_date(F.col("around")).alias("published_date"),
         F.col("hits").alias("matched_keywords"), F.lit("official_publication_signal").alias("event_type"), F.lit("observed_publication").alias("data_status"), "ordinal", "link_at",

@@ -130,7 +130,7 @@ def workbooks(spark: SparkSession, path: str) -> DataFrame:
 
 def regional_sheet(rows: DataFrame, sheet: str, needle: str, year: int, known: bool) -> DataFrame:
     """The regional table of a workbook as long rows: the sheet of that name, or the first that says the needle in its first rows; region columns unpivoted, up to the national total."""
-    said = rows.where(F.col("row_at") < 15).select("file", "sheet", F.upper(F.concat_ws(" ", "cells")).alias("text"))
+    said = rows.where(F.col("row_at") < 15).select("file", "sheet", F.regexp_replace(F.upper(F.concat_ws(" ", "cells")), r"\s+", " ").alias("text"))
     fits = said.groupBy("file", "sheet").agg(F.max(F.contains("text", F.lit(needle))).alias("a"), F.max(F.contains("text", F.lit("CATEGORÍA DE DELITOS"))).alias("b"))
     chosen = fits.groupBy("file").agg(F.coalesce(F.max(F.when(F.col("sheet") == sheet, F.col("sheet"))), F.min(F.when(F.col("a") & F.col("b"), F.col("sheet")))).alias("sheet"))
     own = rows.join(chosen, ["file", "sheet"]).withColumn("upper", F.transform("cells", lambda c: F.trim(F.regexp_replace(F.upper(c), r"\s+", " "))))
