@@ -12,6 +12,8 @@ texts. An empty table writes an empty file and reads back empty. Extra columns a
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -27,7 +29,7 @@ from comarca.llm.common import Memo, small_batches
 
 #: A block is closed when it holds so many ids.
 BLOCK_IDS = 1 << 16
-#: Distinct words, and runs of letters, that a worker keeps, at most.
+#: Distinct words that a worker keeps, at most.
 MEMO_WORDS = 1_000_000
 BLOCK_SCHEMA = "part int, block int, start long, n_ids long, bits int, doc_ids array<long>, ends array<long>, payload binary"
 _VIEWS = {8: "<u1", 16: "<u2", 32: "<u4"}
@@ -51,16 +53,29 @@ def unpack(payload: bytes, bits: int, first: int, n: int) -> np.ndarray:
     return spread.astype(np.uint32) @ (np.uint32(1) << np.arange(bits, dtype=np.uint32))
 
 
-#: ASCII symbols at which a run of letters ends whatever follows; the apostrophe may open a contraction.
-_SYMBOLS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Steps of the normaliser and the splitter after which a text's words can be told apart here as the library does.
+_STEPS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
+def _stable(c: str) -> bool:
+    """Normalisation and lower case leave or give one character of the same kind."""
+    low = c.lower()
+    return len(low) == 1 and unicodedata.normalize("NFC", c) == c and unicodedata.normalize("NFC", low) == low and unicodedata.category(c)[0] == unicodedata.category(low)[0]
+
+
+_LETTERS = "".join(re.escape(chr(p)) for p in range(0x41, 0x250) if unicodedata.category(chr(p))[0] == "L" and _stable(chr(p)))
+_SYMBOLS = "".join(re.escape(chr(p)) for p in range(0x21, 0x2C00) if unicodedata.category(chr(p))[0] in "PS" and _stable(chr(p)))
+#: What a plain text does not hold. Plain texts have Latin letters, ASCII digits and white space, and symbols.
+_ODD = re.compile(f"[^ \\n\\r\\t0-9{_LETTERS}{_SYMBOLS}]")
 
 
 class WordEncoder:
-    """Whole texts through the tokenizers library, each distinct run of letters once.
+    """Whole texts through the tokenizers library, each distinct word once.
 
-    White space separates words for good, and so do ASCII symbols around a run of letters (both are checked against the
-    tokenizer on a probe). Runs of letters go through the library many at a time, a space between them, and come apart
-    where a token ends a word. Every other word goes through whole, and so does a text that holds a control string.
+    The tokenizer's own splitting pattern, read from its file, is run on plain texts; it yields the words that the library
+    would merge one by one. New words go through the library, many at a time; the worker keeps what they gave. A text that
+    is not plain, or holds a control string, goes through the library whole, and so does every text if the tokenizer
+    normalises or splits in another way.
     """
 
     def __init__(self, path: str):
@@ -70,61 +85,49 @@ class WordEncoder:
         self.control = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        same = lambda *parts: ids("".join(parts)) == [i for p in parts for i in ids(p)]
-        self.by_word = not ids(" \n\t\r") and same("ab", " \n ", "cd,", "\te") and same("!?(", "Word", ".,;") and ids("Word") == ids("word") and self.ends[ids("word")].sum() == 1
-        self.words, self.runs = Memo(MEMO_WORDS), Memo(MEMO_WORDS // 2)
-
-    def _whole(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _letters(self, runs: list[str]) -> list[bytes]:
-        """Ids of runs of letters."""
-        out: list[bytes] = []
-        for k in range(0, len(runs), 2000):
-            some = runs[k : k + 2000]
+        self.memo = Memo(MEMO_WORDS)
+        self.split = self._splitter()
+        probe = ["It's 42% of THE l'Été — naïve_x!! don't we'LL\tß ÀB\n(12)'d", "x"]
+        if self.split and self.encode(probe) != self._whole(probe):
+            self.split = None
+
+    def _splitter(self):
+        """findall of the splitting pattern, on plain lower-cased texts; none if the tokenizer works otherwise."""
+        told = json.loads(self.tokenizer.to_str())
+        normal, before = told.get("normalizer") or {}, (told.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        cuts = before[0]
+        if normal.get("normalizers") != _STEPS or cuts.get("type") != "Split" or cuts.get("behavior") != "Removed" or not cuts.get("invert") or any(x.get("use_regex", True) for x in before[1:]):
+            return None
+        return re.compile(cuts["pattern"]["Regex"].replace("\\p{L}", _LETTERS).replace("\\p{N}", "0-9")).findall
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of words. Words of letters are joined by spaces, and come apart where a token ends a word."""
+        letters = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
+        of = dict(zip(rest, self._whole(rest), strict=True))
+        for k in range(0, len(letters), 2000):
+            some = letters[k : k + 2000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some):
                 raw, ends = ids.tobytes(), (4 * ends).tolist()
-                out += [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-            else:  # what Python takes for a letter but the tokenizer does not
-                out += self._whole(some)
-        return out
-
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """Ids of words: letters with symbols around them in parts, others whole."""
-        parts = {w: w if w.isalpha() else w.strip(_SYMBOLS) for w in words}
-        keys = {w: self._key(run) if run.isalpha() else "" for w, run in parts.items()}
-        runs = self.runs.get({*keys.values()} - {""}, self._letters)
-        dressed = {w: (at := w.index(run), at + len(run)) for w, run in parts.items() if keys[w] and len(run) < len(w)}
-        symbols = list({s for w, (a, b) in dressed.items() for s in (w[:a], w[b:])} - {""})
-        of = dict(zip(symbols, self._whole(symbols), strict=True)) | {"": b""}
-        rest = [w for w in words if not keys[w]]
-        other = dict(zip(rest, self._whole(rest), strict=True))
-        other.update((w, of[w[:a]] + runs[keys[w]] + of[w[b:]]) for w, (a, b) in dressed.items())
-        return [other[w] if w in other else runs[keys[w]] for w in words]
-
-    @staticmethod
-    def _key(run: str) -> str:
-        """What a run of letters is known by; none for letters that normalise into marks, which would join the symbols behind them."""
-        if run.isascii() or max(run) < "\u0100":
-            return run.lower()
-        return run if unicodedata.normalize("NFC", run).lower().isalpha() else ""
+                of.update(zip(some, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+            else:
+                of.update(zip(some, self._whole(some), strict=True))
+        return [of[w] for w in words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.by_word:
+        if not self.split:
             return self._whole(texts)
-        whole = [k for k, t in enumerate(texts) if any(c in t for c in self.control)]
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        for k in whole:
-            cut[k] = []
-        get = self.words.get(set().union(*cut), self._learn).__getitem__
-        out = [b"".join(map(get, words)) for words in cut]
-        for k in whole:
-            out[k] = self._whole([texts[k]])[0]
-        return out
+        plain = [not (_ODD.search(t) or any(c in t for c in self.control)) for t in texts]
+        cut = [self.split(t.lower()) if p else [] for t, p in zip(texts, plain, strict=True)]
+        get = self.memo.get(set().union(*cut), self._learn).__getitem__
+        others = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [b"".join(map(get, words)) if p else next(others) for words, p in zip(cut, plain, strict=True)]
 
 
 _HELD: dict[str, WordEncoder] = {}
