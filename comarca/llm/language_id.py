@@ -97,16 +97,17 @@ class LanguageModel:
 
 
 def _tallies():
-    kind = pa.struct([("bucket", pa.list_(pa.int32())), ("tally", pa.list_(pa.int32())), ("letters", pa.int64())])
+    """Buckets and counts as int32 bytes: the driver gets a few kB for each sampled text."""
+    kind = pa.struct([("bucket", pa.binary()), ("tally", pa.binary()), ("letters", pa.int64())])
 
-    @F.arrow_udf("struct<bucket: array<int>, tally: array<int>, letters: long>")
+    @F.arrow_udf("struct<bucket: binary, tally: binary, letters: long>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             out = []
             for t in batch.to_pylist():
                 tally, n = counts(t)
                 some = np.flatnonzero(tally)
-                out.append({"bucket": some.tolist(), "tally": tally[some].tolist(), "letters": n})
+                out.append({"bucket": some.astype(np.int32).tobytes(), "tally": tally[some].astype(np.int32).tobytes(), "letters": n})
             yield pa.array(out, kind)
 
     return run
@@ -130,9 +131,12 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     rows_ = [r for name in sorted(taken) for r in taken[name]]
     tallies = np.zeros((len(rows_), size), np.float32)
     for k, r in enumerate(rows_):
-        tallies[k, r["bucket"]] = r["tally"]
+        tallies[k, np.frombuffer(r["bucket"], np.int32)] = np.frombuffer(r["tally"], np.int32)
     weights = (np.log((1 + len(rows_)) / (1 + np.count_nonzero(tallies, axis=0))) + 1).astype(np.float32)
-    units = _unit(np.sqrt(tallies) * weights)
+    units = tallies  # in place: the sample's matrix is the largest thing here
+    np.sqrt(units, out=units)
+    units *= weights
+    units /= np.maximum(np.linalg.norm(units, axis=1, keepdims=True), 1e-12)
     names = tuple(sorted(n for n in taken if taken[n]))
     of = np.repeat(np.arange(len(names)), [len(taken[n]) for n in names])
     centres = [clustered(units[of == k], centroids) for k in range(len(names))]

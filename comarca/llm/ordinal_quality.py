@@ -120,12 +120,12 @@ def fitted(samples: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, roun
 
 
 def _features_udf():
-    kind = pa.struct([("bucket", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
+    kind = pa.struct([("bucket", pa.binary()), ("value", pa.binary())])
 
-    @F.arrow_udf("struct<bucket: array<int>, value: array<float>>")
+    @F.arrow_udf("struct<bucket: binary, value: binary>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([{"bucket": b.tolist(), "value": v.tolist()} for b, v in map(features, batch.to_pylist())], kind)
+            yield pa.array([{"bucket": b.astype(np.int32).tobytes(), "value": v.astype(np.float32).tobytes()} for b, v in map(features, batch.to_pylist())], kind)
 
     return run
 
@@ -137,7 +137,7 @@ def fit(rated: DataFrame, doc_id: str = "doc_id", text: str = "text", grade: str
     n, whole = rows.count(), 1 << 30
     some = rows.where(F.pmod("h", F.lit(whole)) < min(whole, int(whole * 1.1 * sample_rows / max(1, n))))
     got = sorted(some.select("h", "grade", _features_udf()("text").alias("f")).collect(), key=lambda r: (r["h"], r["grade"]))[:sample_rows]
-    samples = [(np.array(r["f"]["bucket"], np.int64), np.array(r["f"]["value"], np.float64)) for r in got]
+    samples = [(np.frombuffer(r["f"]["bucket"], np.int32).astype(np.int64), np.frombuffer(r["f"]["value"], np.float32).astype(np.float64)) for r in got]
     return fitted(samples, np.array([r["grade"] for r in got], np.int64))
 
 
