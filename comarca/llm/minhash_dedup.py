@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches:
 
     of = classes.join(parts.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").where((F.col("copies") > 1) | F.col("component").isNotNull())
     found = sketch.select("doc_id", "print", F.col("n").alias("n_shingles")).join(cut(of.select("print", F.coalesce("component", "node").alias("component"))), "print", "left")
-    out = found.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    out = found.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
