@@ -25,7 +25,8 @@ def regional_pressure(rows: DataFrame) -> DataFrame:
     part = F.log1p("value") * clamp(quotient, 0.25, 3.0) * F.col("weight")
     aml, org = F.col("aml_class").isin(*AML_CLASSES), F.col("aml_class").isin(*ORG_CLASSES)
     raw = joined.groupBy("year", "region_code").agg(
-        F.sum(F.when(aml, part).otherwise(0.0)).alias("raw_aml"), F.sum(F.when(org, part).otherwise(0.0)).alias("raw_org"), F.sum((aml & (F.col("value") > 0)).cast("double")).alias("diversity")
+        # sums come in any order: nine digits decide who ties
+        F.round(F.sum(F.when(aml, part).otherwise(0.0)), 9).alias("raw_aml"), F.round(F.sum(F.when(org, part).otherwise(0.0)), 9).alias("raw_org"), F.sum((aml & (F.col("value") > 0)).cast("double")).alias("diversity")
     )
     # The year before is the table's, not the region's: a region that skipped it starts anew.
     years = rows.select("year").distinct().withColumn("at", F.dense_rank().over(Window.orderBy("year")))  # a row for each year

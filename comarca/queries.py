@@ -178,7 +178,7 @@ PRESSURE_CTES = f"""
         SELECT *, greatest(1, sum(value) OVER (PARTITION BY year, region_code)) AS rt, greatest(1, sum(value) OVER (PARTITION BY year, crime_category)) AS ct, greatest(1, sum(value) OVER (PARTITION BY year)) AS yt FROM facts),
     parts AS (SELECT *, ln(1 + value) * least(3.0, greatest(0.25, (CAST(value AS DOUBLE) / rt) / (CAST(ct AS DOUBLE) / yt))) * weight AS part FROM totals),
     raw AS (
-        SELECT year, region_code, sum(CASE WHEN aml_class IN ('base_19913', 'proxy_19913') THEN part ELSE 0.0 END) AS raw_aml, sum(CASE WHEN aml_class = 'crimen_organizado_proxy' THEN part ELSE 0.0 END) AS raw_org,
+        SELECT year, region_code, round(sum(CASE WHEN aml_class IN ('base_19913', 'proxy_19913') THEN part ELSE 0.0 END), 9) AS raw_aml, round(sum(CASE WHEN aml_class = 'crimen_organizado_proxy' THEN part ELSE 0.0 END), 9) AS raw_org,
                CAST(count(*) FILTER (WHERE aml_class IN ('base_19913', 'proxy_19913') AND value > 0) AS DOUBLE) AS diversity
         FROM parts GROUP BY year, region_code),
     years AS (SELECT year, row_number() OVER (ORDER BY year) AS nth FROM (SELECT DISTINCT year FROM facts)),
