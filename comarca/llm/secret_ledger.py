@@ -87,7 +87,7 @@ def update_ledger(blobs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES,
     """blobs: columns blob and text. Scan those that the ledger lacks at this rule version, once each, and append them."""
     small_batches(blobs.sparkSession)
     seen = read_ledger(blobs.sparkSession, path).where(F.col("rules") == version).select("blob")
-    unseen = blobs.join(seen, "blob", "left_anti").dropDuplicates(["blob"])
+    unseen = blobs.dropDuplicates(["blob"]).join(seen, "blob", "left_anti")  # copies go before the shuffle, in every task
     unseen.select("blob", F.lit(version).alias("rules"), _scan(rules)(F.col("text")).alias("spans")).write.mode("append").parquet(path)
 
 
