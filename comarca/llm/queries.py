@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -41,6 +42,26 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, secret_ledger.BASE), base, secret_ledger.joined_spans(spans).alias("spans"))
 
 
+def op4_sql() -> str:
+    """Starts are the lengths of what a pattern splits off before a match and of the matches before it."""
+    quoted = lambda r: ("(?i)" if r.flags & re.IGNORECASE else "") + r.pattern.replace("'", "''")
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, string_split_regex(t, '{quoted(r)}') AS parts, regexp_extract_all(t, '{quoted(r)}', 0) AS whole, regexp_extract_all(t, '{quoted(r)}', {r.group}) AS secret FROM d"
+        for k, r in enumerate(secret_ledger.RULES)
+    )
+    base = ", ".join(f"'{k}'" for k in secret_ledger.BASE)
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in secret_ledger.BASE)
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS ({found}),
+    each AS (SELECT *, unnest(generate_series(1, len(whole))) AS i FROM found WHERE len(whole) > 0),
+    spans AS (
+        SELECT doc_id, k, kind, length(whole[i]) AS n, list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS start
+        FROM each WHERE length(secret[i]) >= least),
+    told AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + n AS BIGINT) AS span FROM spans)
+    SELECT d.doc_id, {counts}, sha256(coalesce(string_agg(span, ',' ORDER BY start, k) FILTER (WHERE kind IN ({base})), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY start, k), '') AS spans
+    FROM d LEFT JOIN told ON told.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -166,4 +187,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL, "op9_minhash_dedup": OP9_SQL, "op10_embedding_dedup": OP10_SQL}
+    return {"op4_secret_ledger": op4_sql(), "op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL, "op9_minhash_dedup": OP9_SQL, "op10_embedding_dedup": OP10_SQL}
