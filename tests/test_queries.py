@@ -3,7 +3,7 @@ import os
 import duckdb
 import pytest
 
-from comarca import queries
+from comarca import queries, source_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
