@@ -2,8 +2,8 @@
 
 A text is a normalised TF-IDF vector of hashed letter 1- to 3-grams (lower case; what is not a letter is a space). Every
 language has several centroids, from spherical k-means over its training vectors. The nearest centroid by cosine gives
-the language and the score. A text is rejected where it is farther from every centroid than any training text of like
-length (less a margin), or has no letter.
+the language and the score. A text is rejected where its best cosine is less than half the least one of training texts of
+like length, or where it has no letter.
 
 The model is fitted on a bounded sample of labelled rows (`SAMPLE_PER_LANGUAGE` of each language, by hash of the id);
 prediction reads every whole text and nothing but the text.
@@ -30,8 +30,8 @@ BITS = 13
 #: Labelled rows of each language, at most, that a model is fitted on.
 SAMPLE_PER_LANGUAGE = 1_000
 CENTROIDS = 4
-#: How much farther than any training text of its length a text must be to be rejected.
-MARGIN = 0.1
+#: A text is rejected if its cosine is below this share of the least one of training texts of its length.
+REJECTED_BELOW = 0.5
 _HELD: dict[str, np.ndarray] = {}
 
 
@@ -143,8 +143,8 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     flat = np.concatenate(centres) if centres else np.zeros((0, size), np.float32)
     bits = np.array([int(r["letters"]).bit_length() for r in rows_], np.int64)
     best = (units @ flat.T).max(axis=1) if len(flat) else np.zeros(0)
-    # Least cosine of training texts of a length and longer ones; a length with few texts rejects nothing.
-    least = np.array([best[bits == b].min() - MARGIN if np.count_nonzero(bits == b) >= 30 else 0.0 for b in range(40)])
+    # By length; a length with few texts rejects nothing.
+    least = np.array([best[bits == b].min() * REJECTED_BELOW if np.count_nonzero(bits == b) >= 30 else 0.0 for b in range(40)])
     return LanguageModel(names, np.repeat(np.arange(len(names)), [len(c) for c in centres]), flat.astype(np.float32), weights, least)
 
 
