@@ -30,7 +30,7 @@ from comarca.llm.common import Memo, small_batches
 #: A block is closed when it holds so many ids.
 BLOCK_IDS = 1 << 16
 #: Distinct words that a worker keeps, at most.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 1_400_000
 BLOCK_SCHEMA = "part int, block int, start long, n_ids long, bits int, doc_ids array<long>, ends array<long>, payload binary"
 _VIEWS = {8: "<u1", 16: "<u2", 32: "<u4"}
 
@@ -69,6 +69,10 @@ _SYMBOLS = "".join(re.escape(chr(p)) for p in range(0x21, 0x2C00) if unicodedata
 _ODD = re.compile(f"[^ \\n\\r\\t0-9{_LETTERS}{_SYMBOLS}]")
 
 
+def _plain(text: str) -> bool:
+    return text.isascii() and text.replace("\n", " ").isprintable() or not _ODD.search(text)
+
+
 class WordEncoder:
     """Whole texts through the tokenizers library, each distinct word once.
 
@@ -123,7 +127,7 @@ class WordEncoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self.split:
             return self._whole(texts)
-        plain = [not (_ODD.search(t) or any(c in t for c in self.control)) for t in texts]
+        plain = [_plain(t) and not any(c in t for c in self.control) for t in texts]
         cut = [self.split(t.lower()) if p else [] for t, p in zip(texts, plain, strict=True)]
         get = self.memo.get(set().union(*cut), self._learn).__getitem__
         others = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if not p]))
