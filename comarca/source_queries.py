@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comarca import dims
@@ -13,12 +13,12 @@ from comarca.queries import query
 from comarca.sources import html, tables
 
 
-def _written(c) -> F.Column:
+def _written(c) -> Column:
     """A number as the pages write it: . for thousands, , for decimals."""
     return F.translate(F.format_number(c, 2), ",.", ".,")
 
 
-def _cells(*cells) -> F.Column:
+def _cells(*cells) -> Column:
     return F.concat(F.lit("<tr>"), *[x for c in cells for x in (F.lit("<td>"), c, F.lit("</td>"))], F.lit("</tr>"))
 
 
@@ -26,19 +26,20 @@ def _nations(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
 
 
-def _page(rows: DataFrame, keys: list[str], heading: str, row: F.Column, header: str = "") -> DataFrame:
+def _page(rows: DataFrame, keys: list[str], heading: str, row: Column, header: str = "") -> DataFrame:
     """One table for each key below a heading; a key has a few rows here."""
     body = F.concat_ws("", F.array_sort(F.collect_list(row)))
     return rows.groupBy(*keys).agg(F.concat(F.lit(f"<h5>{heading}</h5><table>{header}"), body, F.lit("</table>")).alias("html"))
 
 
-_DISTRICT = (F.col("n_regionkey") + 1).alias("district"), F.lpad(F.col("n_regionkey").cast("string"), 2, "0").alias("region_code"), F.lit("r").alias("region_name")
+def _district() -> tuple[Column, ...]:
+    return (F.col("n_regionkey") + 1).alias("district"), F.lpad(F.col("n_regionkey").cast("string"), 2, "0").alias("region_code"), F.lit("r").alias("region_name")
 
 
 def _annual_pages(spark, sf_dir) -> DataFrame:
     k = F.col("n_nationkey")
     row = _cells(F.col("n_name"), _written(k * 1234.5), _written(k + 0.25), F.when(k % 2 == 0, "--").otherwise(_written(k * 2.0)), F.lit("1"))
-    rows = _nations(spark, sf_dir).select(*_DISTRICT, row.alias("row"))
+    rows = _nations(spark, sf_dir).select(*_district(), row.alias("row"))
     return _page(rows, ["district", "region_code", "region_name"], "Tasas anuales denuncias según familia de delitos", F.col("row"), "<tr><th>Comuna</th><th>a</th><th>b</th><th>c</th><th>d</th></tr><tr><td>Distrito 1</td><td>1</td><td>1</td><td>1</td><td>1</td></tr>")
 
 
@@ -62,7 +63,7 @@ def html_annual_rates(spark, sf_dir):
     FROM rates JOIN people USING (commune_name)""")
 def population_join(spark, sf_dir):
     k = F.col("n_nationkey")
-    people = _nations(spark, sf_dir).select(_DISTRICT[1], text.norm(F.col("n_name")).alias("commune_name_norm"), F.when(k % 3 != 0, k * 1000).otherwise(0).cast("long").alias("population"))
+    people = _nations(spark, sf_dir).select(_district()[1], text.norm(F.col("n_name")).alias("commune_name_norm"), F.when(k % 3 != 0, k * 1000).otherwise(0).cast("long").alias("population"))
     return html.with_population(html.annual_rates(_annual_pages(spark, sf_dir)), people).select("district", "commune_name", "cead_family_key", F.col("population").cast("int").alias("population"), "estimated_frequency", "frequency_status")
 
 
@@ -74,7 +75,7 @@ def html_latest_rates(spark, sf_dir):
     k = F.col("n_nationkey")
     row = lambda extra: _cells(F.col("n_name"), F.lit("1"), _written(k * 1100 + 3), F.lit("257.163"), F.lit("260.000"), _written(k / 8 + extra), _written(k / 4))
     odd = F.col("n_regionkey") % 2
-    rows = _nations(spark, sf_dir).select(*_DISTRICT, row(F.lit(0)).alias("drugs"), row(odd * 1.0).alias("life"), row(F.lit(5)).alias("family"))
+    rows = _nations(spark, sf_dir).select(*_district(), row(F.lit(0)).alias("drugs"), row(odd * 1.0).alias("life"), row(F.lit(5)).alias("family"))
     keys = ["district", "region_code", "region_name"]
     page = None
     for name, heading in (("drugs", "Delitos asociados a drogas"), ("life", "Delitos contra la vida"), ("family", "Violencia intrafamiliar")):
