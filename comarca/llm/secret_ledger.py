@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.llm.common import small_batches
+from comarca.llm.common import cut, small_batches
 
 SPAN = "struct<kind:string,start:int,end:int,from:int>"
 LEDGER = f"blob string, rules string, spans array<{SPAN}>"
@@ -96,7 +96,8 @@ def scan_documents(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES,
     whole = F.coalesce(F.col(text), F.lit(""))
     blob = F.sha2(whole, 256)
     update_ledger(docs.select(blob.alias("blob"), whole.alias("text")), path, rules, version)
-    found = read_ledger(docs.sparkSession, path).where((F.col("rules") == version) & (F.size("spans") > 0)).dropDuplicates(["blob"]).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    # Cut off, so that the join stands on two exchanges of its own and can split a text that many documents share.
+    found = cut(read_ledger(docs.sparkSession, path).where((F.col("rules") == version) & (F.size("spans") > 0)).dropDuplicates(["blob"]).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
     joined = docs.withColumn("__key", blob).join(found, F.col("__key") == F.col("__blob"), "left")
     none = F.array().cast(f"array<{SPAN}>")
     return joined.select(*[joined[f"`{c}`"] for c in docs.columns if c != into], F.coalesce("__spans", none).alias(into))
