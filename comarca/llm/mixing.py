@@ -33,6 +33,8 @@ from comarca.llm.common import cut
 PERIOD = 1_000
 BLOCK_ROWS = 16
 SEED = 17
+#: Buckets whose counts are summed up in one step.
+SPAN = 64
 
 
 def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -116,9 +118,13 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_row
     per = max(1, total // buckets)
     of = spark.createDataFrame([(k, max(1, n // per)) for k, n in sizes.items()], "__source string, __n int")
     bucketed = rows.join(F.broadcast(of), "__source").withColumn("__bucket", F.pmod("__hash", F.col("__n")).cast("int")).drop("__n")
-    counted = bucketed.groupBy("__source", "__bucket").agg(F.count("*").alias("__rows"))
-    before = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut(counted.withColumn("__before", F.coalesce(F.sum("__rows").over(before), F.lit(0))).drop("__rows"))
+    counted = bucketed.groupBy("__source", "__bucket").agg(F.count("*").alias("__rows")).withColumn("__span", F.floor(F.col("__bucket") / SPAN))
+    # Sums over the buckets before, in two steps: spans of buckets within their source, and buckets within their span.
+    earlier = lambda key, order: Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    spans = counted.groupBy("__source", "__span").agg(F.sum("__rows").alias("__all")).withColumn("__above", F.coalesce(F.sum("__all").over(earlier(["__source"], "__span")), F.lit(0))).drop("__all")
+    below = F.coalesce(F.sum("__rows").over(earlier(["__source", "__span"], "__bucket")), F.lit(0))
+    offsets = counted.withColumn("__below", below).join(F.broadcast(spans), ["__source", "__span"])
+    offsets = cut(offsets.select("__source", "__bucket", (F.col("__below") + F.col("__above")).alias("__before")))
     within = Window.partitionBy("__source", "__bucket").orderBy("__hash", F.col(doc_id), "__tie")
     numbered = bucketed.withColumn("__at", F.row_number().over(within) - 1).join(F.broadcast(offsets), ["__source", "__bucket"])
     number = F.col("__at") + F.col("__before")
