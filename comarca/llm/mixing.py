@@ -5,14 +5,16 @@ its source, block i (from 0) is released at slot floor(i / w) and due by slot ce
 block with the earliest deadline runs. On one stream of total weight 1 that meets every deadline, so after any number of
 slots every source is less than one block away from its share.
 
-Weights are rounded to whole shares of `PERIOD` slots, so the schedule repeats after a period, and only one period is ever
-simulated: block i of a source with share s stands in period i div s, at that source's (i mod s)-th slot. Once a source
-has no more documents, the weights of the rest are scaled up and a new phase begins, so nothing is dropped or repeated.
-There are as many phases as sources at most; positions come from arithmetic, in parallel, with no global sort.
+Weights are exact: whole numbers in the proportions of the given ones, never rounded to a period. Once a source's share is
+used up, the weights of the rest are scaled up, so nothing is dropped or repeated. With W the weights, N the sources' blocks
+and v a clock that all sources share, source k is to have min(W_k * v, N_k) blocks, which add up to the slots so far; block
+i of k therefore begins at the slot where v = i / W_k, in whole numbers, also across the ends of sources, and the bound of
+one block holds from the first slot to the last. Slots are dealt out one after the other by a single task, which holds a
+few numbers for each source and passes on one row for each block; documents are placed in parallel, with no global sort.
 
 A document's number within its source is found without gathering the source: hash buckets are counted, counts are summed
 up over the buckets, and rows are numbered within their bucket. A source that holds a third of all rows has as many
-buckets as its rows ask for.
+buckets as its rows ask for. The slots of a bucket's blocks come to its rows as one array, by the key that numbered them.
 
 Cases: a null source is a source of its own. Rows of one doc_id are ordered by their other columns' hash, and equal rows are
 interchangeable. Sources without a target weight get the least positive one; with no weights at all, weights are the
@@ -22,86 +24,98 @@ square roots of the sources' sizes. An empty table gives an empty table. Columns
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
-from math import ceil, sqrt
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from itertools import batched
+from math import ceil, lcm, sqrt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from comarca.llm.common import cut
 
-PERIOD = 1_000
 BLOCK_ROWS = 16
 SEED = 17
 #: Buckets whose counts are summed up in one step.
 SPAN = 64
-
-
-def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Whole slots of a period for each source, in proportion, one at least (largest remainders first)."""
-    period = max(period, len(weights))
-    total = sum(weights.values())
-    exact = {k: w / total * period for k, w in weights.items()}
-    out = {k: max(1, int(x)) for k, x in exact.items()}
-    order = sorted(exact, key=lambda k: (int(exact[k]) - exact[k], k))
-    while (left := period - sum(out.values())) > 0:
-        for k in order[:left]:
-            out[k] += 1
-    while sum(out.values()) > period:
-        out[max(out, key=lambda k: (out[k], k))] -= 1
-    return out
-
-
-def schedule(share: Mapping[str, int]) -> list[str]:
-    """The source of each slot of one period: earliest deadline first among released blocks; ties by name."""
-    period = sum(share.values())
-    waiting = [(0, -(-period // s), k, 0) for k, s in share.items()]  # (release, deadline, source, block)
+#: Rows of a bucket, about, at most.
+BUCKET_ROWS = 4_096
+
+
+def whole_weights(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportions of the weights."""
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    unit = lcm(*[w.denominator for w in exact.values()])
+    return {k: int(w * unit) for k, w in exact.items()}
+
+
+def slots(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterator[tuple[str, int]]:
+    """(source, block) of each slot: earliest deadline first among released blocks; ties by name."""
+    blocks = {k: n for k, n in blocks.items() if n > 0}
+    w = whole_weights({k: weights[k] for k in blocks})
+    # Sources by the end of their share on the common clock; before end p, `active` is the weight of those that go on and `over` the blocks of those that don't.
+    ends = sorted(blocks, key=lambda k: (Fraction(blocks[k], w[k]), k))
+    active, over = [sum(w.values())], [0]
+    for k in ends:
+        active.append(active[-1] - w[k])
+        over.append(over[-1] + blocks[k])
+    phase = dict.fromkeys(blocks, 0)
+
+    def at(k: str, i: int) -> tuple[int, int]:
+        """The slot, rounded down and up, by which source k is to have i blocks."""
+        p = phase[k]
+        later = lambda j: blocks[j] * w[k] >= i * w[j]
+        if not later(ends[p]):
+            p = phase[k] = bisect_left(ends, True, p, key=later)
+        x = i * active[p] + over[p] * w[k]
+        return x // w[k], -(-x // w[k])
+
+    waiting = [(0, at(k, 1)[1], k, 0) for k in blocks]  # (release, deadline, source, block)
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    out = []
-    for slot in range(period):
+    for slot in range(sum(blocks.values())):
         while waiting and waiting[0][0] <= slot:
             _, due, k, i = heapq.heappop(waiting)
             heapq.heappush(ready, (due, k, i))
         due, k, i = heapq.heappop(ready)
         assert slot < due, "a deadline was missed"
-        out.append(k)
-        if i + 1 < share[k]:
-            heapq.heappush(waiting, ((i + 1) * period // share[k], -(-(i + 2) * period // share[k]), k, i + 1))
-    return out
-
-
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[dict]:
-    """Per phase: first slot, per source its first block, share and slots within a period. Ends of phases are whole blocks."""
-    left, start, out = {k: n for k, n in blocks.items() if n > 0}, 0, []
-    begun = dict.fromkeys(left, 0)
-    while left:
-        share = shares({k: weights[k] for k in left}, period)
-        slots: dict[str, list[int]] = {k: [] for k in left}
-        for at, k in enumerate(schedule(share)):
-            slots[k].append(at)
-        length = sum(share.values())
-        # The phase lasts until the first source has run its last block.
-        last = min(((left[k] - 1) // share[k]) * length + slots[k][(left[k] - 1) % share[k]] for k in left) + 1
-        done = {k: last // length * share[k] + sum(x < last % length for x in slots[k]) for k in left}
-        out.append({"start": start, "length": length, "sources": {k: (begun[k], begun[k] + done[k], share[k], slots[k]) for k in left}})
-        start += last
-        begun = {k: begun[k] + done[k] for k in left}
-        left = {k: n - done[k] for k, n in left.items() if n > done[k]}
-    return out
+        yield k, i
+        if i + 1 < blocks[k]:
+            release = at(k, i + 1)[0]
+            heapq.heappush(waiting, (release, at(k, i + 2)[1], k, i + 1))
+
+
+def schedule(share: Mapping[str, int]) -> list[str]:
+    """The source of each slot of a period in which every source runs its share."""
+    return [k for k, _ in slots(share, share)]
 
 
 def default_weights(sizes: Mapping[str, int]) -> dict[str, float]:
     return {k: sqrt(n) for k, n in sizes.items()}
 
 
+def _slot_table(spark, blocks: Mapping[str, int], weights: Mapping[str, float]) -> DataFrame:
+    """A row for each block with its slot, dealt out by one task."""
+    kind = pa.schema([("__source", pa.string()), ("mix_block", pa.int64()), ("mix_slot", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                for some in batched(enumerate(slots(blocks, weights)), 10_000):
+                    yield pa.record_batch([[k for _, (k, _) in some], [i for _, (_, i) in some], [s for s, _ in some]], schema=kind)
+
+    return spark.range(0, 1, 1, 1).mapInArrow(run, "__source string, mix_block long, mix_slot long")
+
+
 def in_mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, **options) -> DataFrame:
     """docs, its own columns, in the order of the mix: partitions are ranges of positions, sorted."""
     rows = mixed(docs, weights, **options)
     return rows.repartitionByRange("mix_position").sortWithinPartitions("mix_position").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD, buckets: int | None = None, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, buckets: int | None = None, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """All columns of docs with mix_block (number in its source), mix_slot and mix_position (unique, in order of the mix; blocks leave gaps where they are short)."""
     spark = docs.sparkSession
     # The other columns only break ties of repeated ids; of texts the length and the first hash do.
@@ -111,10 +125,9 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_row
     sizes = {r["__source"]: r["count"] for r in rows.groupBy("__source").count().collect()}  # one row for each source
     given = {("null" if k is None else f"={k}"): w for k, w in (weights or {}).items() if w > 0}
     target = {k: given.get(k, min(given.values())) for k in sizes} if given else default_weights(sizes)
-    plan = phases({k: ceil(n / block_rows) for k, n in sizes.items()}, target, period)
 
     total = sum(sizes.values())
-    buckets = buckets or 32 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or max(32 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_ROWS)
     per = max(1, total // buckets)
     of = spark.createDataFrame([(k, max(1, n // per)) for k, n in sizes.items()], "__source string, __n int")
     bucketed = rows.join(F.broadcast(of), "__source").withColumn("__bucket", F.pmod("__hash", F.col("__n")).cast("int")).drop("__n")
@@ -124,16 +137,17 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_row
     spans = counted.groupBy("__source", "__span").agg(F.sum("__rows").alias("__all")).withColumn("__above", F.coalesce(F.sum("__all").over(earlier(["__source"], "__span")), F.lit(0))).drop("__all")
     below = F.coalesce(F.sum("__rows").over(earlier(["__source", "__span"], "__bucket")), F.lit(0))
     offsets = counted.withColumn("__below", below).join(F.broadcast(spans), ["__source", "__span"])
-    offsets = cut(offsets.select("__source", "__bucket", (F.col("__below") + F.col("__above")).alias("__before")))
+    before = F.col("__below") + F.col("__above")
+    first = lambda n: F.floor(n / block_rows)
+    offsets = cut(offsets.select("__source", "__bucket", before.alias("__before"), F.explode(F.sequence(first(before), first(before + F.col("__rows") - 1))).alias("mix_block")))
+    table = _slot_table(spark, {k: ceil(n / block_rows) for k, n in sizes.items()}, target)
+    run = F.array_sort(F.collect_list(F.struct("mix_block", "mix_slot")))
+    # Spark takes the table, made from one row, for small; it grows with the documents, so it must not be broadcast.
+    dealt = offsets.join(table.hint("merge"), ["__source", "mix_block"]).groupBy("__source", "__bucket", "__before").agg(F.transform(run, lambda x: x["mix_slot"]).alias("__slots"))
+
     within = Window.partitionBy("__source", "__bucket").orderBy("__hash", F.col(doc_id), "__tie")
-    numbered = bucketed.withColumn("__at", F.row_number().over(within) - 1).join(F.broadcast(offsets), ["__source", "__bucket"])
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("mix_block", "mix_slot", "mix_position")]
+    numbered = bucketed.withColumn("__at", F.row_number().over(within) - 1).select(*kept, "__source", "__bucket", "__at").join(dealt, ["__source", "__bucket"])
     number = F.col("__at") + F.col("__before")
-    numbered = numbered.withColumns({"mix_block": F.floor(number / block_rows), "__in": number % block_rows})
-
-    spans = [(k, a, b, s, p["start"], p["length"], slots) for p in plan for k, (a, b, s, slots) in p["sources"].items() if b > a]
-    table = spark.createDataFrame(spans, "__source string, __a long, __b long, __share long, __start long, __length long, __slots array<long>")
-    at = F.col("mix_block") - F.col("__a")
-    placed = numbered.join(F.broadcast(table), (numbered["__source"] == table["__source"]) & (F.col("mix_block") >= F.col("__a")) & (F.col("mix_block") < F.col("__b")))
-    slot = F.col("__start") + F.floor(at / F.col("__share")) * F.col("__length") + F.element_at("__slots", (at % F.col("__share") + 1).cast("int"))
-    placed = placed.withColumn("mix_slot", slot).withColumn("mix_position", F.col("mix_slot") * block_rows + F.col("__in"))
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("mix_block", "mix_slot", "mix_position")], "mix_block", "mix_slot", "mix_position")
+    slot = F.element_at("__slots", (first(number) - first(F.col("__before")) + 1).cast("int"))
+    return numbered.select(*kept, first(number).alias("mix_block"), slot.alias("mix_slot"), (slot * block_rows + number % block_rows).alias("mix_position"))

@@ -180,3 +180,46 @@ def test_mixture(spark):
     assert mixing.mixed(docs).count() == k and mixing.mixed(docs.unionByName(docs)).count() == 2 * k
     assert mixing.mixed(docs.limit(0)).collect() == []
     assert mixing.mixed(docs.withColumn("source", F.lit("one"))).count() == k
+
+
+@pytest.mark.parametrize(
+    ("blocks", "weights"),
+    [
+        ({"hot": 2000, **{f"s{k}": 220 for k in range(19)}}, {"hot": 10.0**0.5, **dict.fromkeys((f"s{k}" for k in range(19)), 1.0)}),
+        ({"big": 9000, "rare": 3, "mid": 1500}, {"big": 0.8999, "rare": 0.0001, "mid": 0.1}),
+        ({f"s{k}": 1 + k % 7 for k in range(1200)}, {f"s{k}": 1.0 + k % 5 * 0.3 for k in range(1200)}),
+        ({"a": 500, "b": 3, "c": 77}, {"a": Fraction(1, 3), "b": Fraction(1, 7), "c": Fraction(11, 21)}),
+    ],
+)
+def test_exact_weights_are_kept_to_a_block(blocks, weights):
+    """Also where sources end: targets are those of water that runs into vessels of the sources' sizes at the rates of their weights."""
+    w, clock, target, done, most, checked = {k: Fraction(x) for k, x in weights.items()}, Fraction(0), {}, Counter(), 0, 0
+    out = list(mixing.slots(blocks, weights))
+    assert sorted(out) == sorted((k, i) for k, n in blocks.items() for i in range(n))
+    step = 1 if len(blocks) < 50 else 97
+    for slot, (k, i) in enumerate(out, 1):
+        assert done[k] == i
+        done[k] += 1
+        left = Fraction(1)
+        while left > 0:  # the common clock goes on until a slot's worth has run in
+            live = [s for s in blocks if w[s] * clock < blocks[s]] if not target or target["clock"] <= clock else target["live"]
+            target = {"live": live, "clock": min(Fraction(blocks[s]) / w[s] for s in live), "rate": sum(w[s] for s in live)} if live is not target.get("live") else target
+            by = min(left / target["rate"], target["clock"] - clock)
+            clock, left = clock + by, left - by * target["rate"]
+        if slot % step == 0:
+            checked += 1
+            worst = max(abs(done[s] - min(w[s] * clock, blocks[s])) for s in blocks)
+            most = max(most, worst)
+            assert worst < 1, slot
+    assert checked > 20 and most > 0
+
+
+def test_documents_stand_where_the_slots_say(spark):
+    sizes = {"hot": 3000, "b": 301, "c": 302, "rare": 2}
+    docs = spark.createDataFrame([(k * 10 + j, s) for j, (s, n) in enumerate(sizes.items()) for k in range(n)], "doc_id long, source string")
+    weights = {"hot": 0.7, "b": 0.1499, "c": 0.15, "rare": 0.0001}
+    want = {slot: ki for slot, ki in enumerate(mixing.slots({s: -(-n // 4) for s, n in sizes.items()}, weights))}
+    for buckets in (None, 3, 2000):
+        rows = mixing.mixed(docs, weights, block_rows=4, buckets=buckets).collect()
+        assert len(rows) == sum(sizes.values()) == len({r["mix_position"] for r in rows})
+        assert {r["mix_slot"]: (r["source"], r["mix_block"]) for r in rows} == want and all(r["mix_position"] // 4 == r["mix_slot"] for r in rows)
