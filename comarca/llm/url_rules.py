@@ -1,8 +1,10 @@
 """URL filtering by pattern rules, in DataFrame expressions only.
 
-Every pattern rule names the literal tokens that a url must hold for its regular expression to match. A rule is indexed
-under the rarest of them, by the frequencies given (or by how many rules share the token). A url's tokens (runs of
-letters and digits of the lower-cased url) look up candidate rules in the index, and only those run their expression.
+Every pattern rule names the literal tokens that a url must hold for its regular expression to match. A token that the
+expression bounds on both sides is written plainly; of one that is open to the left (`*free`) or to the right (`php*`) a url
+holds a token that ends or begins with it. A rule is indexed under the rarest of them, by the frequencies given (or by how
+many rules share the token). A url's tokens (runs of letters and digits of the lower-cased url), and their ends and
+beginnings of the lengths that open tokens have, look up candidate rules in the index, and only those run their expression.
 The index is a constant of the plan: buckets by CRC-32 of the token, so that a look-up reads a few entries however many
 rules there are, and no url is shuffled or joined.
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class PatternRule:
-    """pattern: a regular expression that both Java and RE2 read, run on the lower-cased url; tokens: literals which it implies."""
+    """pattern: a regular expression that both Java and RE2 read, run on the lower-cased url; tokens: literals which it implies, with * on the side that it leaves open."""
 
     name: str
     pattern: str
@@ -56,9 +58,9 @@ PATTERN_RULES = (
     PatternRule("spam_farm", r"(^|[/.])spam-farm\.", ("spam", "farm")),
     PatternRule("cheap_pills", r"(^|[/.])cheap-pills\.", ("cheap", "pills")),
     PatternRule("casino", r"(^|[/.-])casino([/.-]|$)", ("casino",)),
-    PatternRule("free_money", r"free-(money|cash)", ("free",)),
+    PatternRule("free_money", r"free-(money|cash)", ("*free",)),
     PatternRule("adult", r"(^|[/.-])(porn|xxx)([/.-]|$)", ()),
-    PatternRule("login_page", r"/wp-login\.php", ("wp", "login", "php")),
+    PatternRule("login_page", r"/wp-login\.php", ("wp", "login", "php*")),
     PatternRule("tracker", r"[?&]utm_source=(ads|spam)(&|#|$)", ("utm", "source")),
     PatternRule("binary_file", r"\.(exe|apk|msi)([?#]|$)", ()),
 )
@@ -69,11 +71,15 @@ EITHER = {"adult": ("porn", "xxx"), "binary_file": ("exe", "apk", "msi")}
 def rarest(rules: Sequence[PatternRule], frequency: Mapping[str, int] | None = None, either: Mapping[str, Sequence[str]] = EITHER) -> dict[str, list[int]]:
     """Token -> numbers of the rules indexed under it."""
     shared = Counter(t for r in rules for t in {*r.tokens, *either.get(r.name, ())})
-    cost = lambda t: ((frequency or {}).get(t, 0), shared[t], -len(t), t)
+    fits = lambda t, own: own.endswith(t[1:]) if t[0] == "*" else own.startswith(t[:-1])
+    common = lambda t: sum(n for own, n in (frequency or {}).items() if fits(t, own)) if "*" in t else (frequency or {}).get(t, 0)
+    cost = lambda t: (common(t), shared[t], -len(t), t)
     index: dict[str, list[int]] = {}
     for k, r in enumerate(rules):
         if not (r.tokens or either.get(r.name)):
             raise ValueError(f"rule {r.name} names no token")
+        if odd := [t for t in (*r.tokens, *either.get(r.name, ())) if "*" in t[1:-1] or t[:1] == t[-1:] == "*" or not t]:
+            raise ValueError(f"rule {r.name}: a token is open on one side at most: {odd}")
         for t in [min(r.tokens, key=cost)] if r.tokens else either[r.name]:
             index.setdefault(t, []).append(k)
     return index
@@ -108,7 +114,13 @@ def candidates(url: Column, rules: Sequence[PatternRule], frequency: Mapping[str
     entry = lambda t, ks: F.struct(F.lit(t).alias("token"), F.array(*map(F.lit, ks)).alias("rules"))
     none = F.array().cast("array<struct<token:string,rules:array<int>>>")
     constant = F.array(*[F.array(*[entry(t, ks) for t, ks in b.items()]) if b else none for b in buckets])
-    tokens = F.array_distinct(F.regexp_extract_all(url, F.lit("([a-z0-9]+)"), F.lit(1)))
+    whole = F.regexp_extract_all(url, F.lit("([a-z0-9]+)"), F.lit(1))
+    # Shorter tokens than an open one come back whole, behind its mark: they are other keys, or none.
+    end = lambda n: F.transform(whole, lambda t: F.concat(F.lit("*"), F.right(t, F.lit(n))))
+    begin = lambda n: F.transform(whole, lambda t: F.concat(F.left(t, F.lit(n)), F.lit("*")))
+    ends = [end(n) for n in sorted({len(t) - 1 for t in index if t[0] == "*"})]
+    begins = [begin(n) for n in sorted({len(t) - 1 for t in index if t[-1] == "*"})]
+    tokens = F.array_distinct(F.concat(whole, *ends, *begins))
     bucket = lambda t: F.element_at(constant, (F.crc32(t.cast("binary")) % n + 1).cast("int"))
     fetched = F.transform(tokens, lambda t: F.flatten(F.transform(F.filter(bucket(t), lambda e: e["token"] == t), lambda e: e["rules"])))
     return F.array_distinct(F.flatten(fetched))

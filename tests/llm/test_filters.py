@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -75,6 +76,24 @@ def test_rules_are_indexed_by_their_rarest_token():
     assert url_rules.rarest(rules, {"www": 1000, "rare": 2}, {}) == {"rare": [0], "www": [1]}
 
 
+OPEN = ["http://sugarfree-money.net/", "http://x.org/carefree-cash", "http://x.org/FREE-moneybags", "http://x.org/freemoney", "http://x.org/ree-money", "http://x.org/free_money", "http://x.org/wp-login.php7", "http://x.org/wp-login.PHP", "http://x.org/xwp-login.php", "http://x.org/wp-login.ph"]
+
+
+def test_tokens_that_an_expression_leaves_open(spark):
+    r = random.Random(4)
+    parts = ["free", "sugar", "money", "cash", "wp", "login", "php", "7", "-", ".", "/", "_", "casino", "xxx", "exe", "spam", "farm", "?utm_source=", "ads", "pills", "cheap"]
+    urls = OPEN + ["http://x.org/" + "".join(r.choice(parts) for _ in range(r.randint(1, 7))) for _ in range(3000)]
+    urls += [f"http://x.org/{a}{lit}{b}" for lit in ("free-money", "free-cash", "spam-farm.", "cheap-pills.", "casino", "porn", "/wp-login.php", "?utm_source=ads", ".exe") for a in ("", "a", ".", "-", "9", "/") for b in ("", "a", ".", "-", "9", "#")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for frequency in (None, {"wp": 9, "login": 9}, {"wp": 1, "php": 5, "php7": 5}):
+        rows = url_rules.judged(pages, frequency=frequency).collect()
+        for r_ in rows:
+            low = r_["url"].lower()
+            assert sorted(r_["matched"]) == sorted(p.name for p in url_rules.PATTERN_RULES if re.search(p.pattern, low)), r_["url"]
+            assert r_["verdict"] == plain_verdict(r_["url"])[3]
+    assert url_rules.rarest(url_rules.PATTERN_RULES, {"wp": 9, "login": 9})["php*"] == [5]
+
+
 def languages(spark):
     words = {"en": "the of and to in is that it was for", "es": "el de la que los por con una para año", "de": "der die und das nicht ein für über mit sich"}
     rows = [(k * 10 + j, " ".join((w.split() * 3)[j % 7 : j % 7 + 12 + j]), lang) for j, (k, (lang, w)) in enumerate((k, x) for k in range(40) for x in words.items())]
