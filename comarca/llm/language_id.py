@@ -2,8 +2,10 @@
 
 A text is a normalised TF-IDF vector of hashed letter 1- to 3-grams (lower case; what is not a letter is a space). Every
 language has several centroids, from spherical k-means over its training vectors. The nearest centroid by cosine gives
-the language and the score. A text is rejected where its best cosine is less than half the least one of training texts of
-like length, or where it has no letter.
+the language and the score. A text is rejected where its best cosine is less than a share of what texts of that language and
+of like length have (a low quantile, so that a few rows with a wrong label don't set it), or where it has no letter. Every
+training text also counts by a piece of each lesser class of lengths, so that short classes are known however long the texts
+are; a class with too few texts, as those beyond the longest training texts, has the limit of the nearest that has enough.
 
 The model is fitted on a bounded sample of labelled rows (`SAMPLE_PER_LANGUAGE` of each language, by hash of the id);
 prediction reads every whole text and nothing but the text.
@@ -15,8 +17,11 @@ Extra columns stay; one named like the new column is replaced.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +35,12 @@ BITS = 13
 #: Labelled rows of each language, at most, that a model is fitted on.
 SAMPLE_PER_LANGUAGE = 1_000
 CENTROIDS = 4
-#: A text is rejected if its cosine is below this share of the least one of training texts of its length.
+#: A text is rejected if its cosine is below this share of the low quantile of texts of its language and length.
 REJECTED_BELOW = 0.5
+LOW_QUANTILE = 0.05
+#: Texts that a class of lengths needs for a limit of its own, and training texts of a language whose pieces are scored.
+ENOUGH, PIECED = 30, 100
+CLASSES = 40
 _HELD: dict[str, np.ndarray] = {}
 
 
@@ -93,36 +102,68 @@ class LanguageModel:
         near = self.centres @ self.vector(tally)
         best = int(np.argmax(near))
         score = float(min(1.0, max(0.0, near[best])))
-        return self.languages[self.of[best]], score, score < self.least[min(len(self.least) - 1, n.bit_length())]
+        return self.languages[self.of[best]], score, score < self.least[self.of[best], min(CLASSES - 1, n.bit_length())]
 
 
-def _tallies():
-    """Buckets and counts as int32 bytes: the driver gets a few kB for each sampled text."""
-    kind = pa.struct([("bucket", pa.binary()), ("tally", pa.binary()), ("letters", pa.int64())])
+def pieces(text: str, n: int) -> list[str]:
+    """For each class of lengths below that of a text of n letters, a piece of that many letters that begins with a word."""
+    letter = np.array([c.isalpha() for c in text])
+    starts = np.flatnonzero(letter & ~np.r_[False, letter[:-1]])
+    upto = np.cumsum(letter)
+    out, seed = [], zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    for b in range(n.bit_length() - 1):
+        size = (1 << b) + seed % (1 << b)
+        fits = starts[upto[starts] - 1 + size <= n]
+        at = int(fits[seed % len(fits)])
+        out.append(text[at : int(np.searchsorted(upto, upto[at] - 1 + size)) + 1])
+    return out
 
-    @F.arrow_udf("struct<bucket: binary, tally: binary, letters: long>")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+
+def _tallies():
+    """Buckets and counts as int32 bytes, of a text and of its pieces: the driver gets a few kB for each sampled text."""
+    one = [("bucket", pa.binary()), ("tally", pa.binary()), ("letters", pa.int64())]
+    kind = pa.struct([*one, ("pieces", pa.list_(pa.struct(one)))])
+
+    def packed(t: str | None) -> dict:
+        tally, n = counts(t)
+        some = np.flatnonzero(tally)
+        return {"bucket": some.astype(np.int32).tobytes(), "tally": tally[some].astype(np.int32).tobytes(), "letters": n}
+
+    @F.arrow_udf("struct<bucket: binary, tally: binary, letters: long, pieces: array<struct<bucket: binary, tally: binary, letters: long>>>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, pieced in batches:
             out = []
-            for t in batch.to_pylist():
-                tally, n = counts(t)
-                some = np.flatnonzero(tally)
-                out.append({"bucket": some.astype(np.int32).tobytes(), "tally": tally[some].astype(np.int32).tobytes(), "letters": n})
+            for t, more in zip(texts.to_pylist(), pieced.to_pylist(), strict=True):
+                own = packed(t)
+                out.append(own | {"pieces": [packed(x) for x in pieces((t or "").lower(), own["letters"])] if more and own["letters"] else []})
             yield pa.array(out, kind)
 
     return run
 
 
+def limits(seen: list[list[list[float]]]) -> np.ndarray:
+    """The limit of each language and class of lengths, from the cosines seen in them."""
+    low = lambda x: REJECTED_BELOW * float(np.quantile(x, LOW_QUANTILE, method="lower"))
+    everyone = [[x for own in seen for x in own[b]] for b in range(CLASSES)]
+    out = np.zeros((len(seen), CLASSES))
+    for k, own in enumerate(seen):
+        # A language with few texts takes the classes of all languages together; with few of these too, what there is.
+        of = next((y for least in (ENOUGH, 1) for y in (own, everyone) if any(len(x) >= least for x in y)), [])
+        known = [b for b, x in enumerate(of) if len(x) >= min(ENOUGH, max(map(len, of)))]
+        for b in range(CLASSES if known else 0):
+            out[k, b] = low(of[min(known, key=lambda c: (abs(c - b), c))])
+    return out
+
+
 def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, centroids: int = CENTROIDS) -> LanguageModel:
     """Fit on rows whose text and language are not null, at most per_language of each language, chosen by the hash of their id."""
     small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.xxhash64(F.col(doc_id), F.lit(11)).alias("h"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     whole = 1 << 30
-    share = F.lit(False)
-    for name, n in sizes.items():
-        share = share | ((F.col("lang") == name) & (F.pmod("h", F.lit(whole)) < min(whole, int(whole * 1.2 * per_language / n))))
-    sample = sorted(rows.where(share).select("lang", "h", _tallies()("text").alias("t")).select("lang", "h", "t.*").collect(), key=lambda r: (r["lang"], r["h"])) if sizes else []
+    drawn = lambda most: reduce(or_, ((F.col("lang") == name) & (F.pmod("h", F.lit(whole)) < min(whole, int(whole * 1.2 * most / n))) for name, n in sizes.items()), F.lit(False))
+    share, pieced = drawn(per_language), drawn(PIECED)
+    sample = sorted(rows.where(share).select("lang", "h", _tallies()("text", pieced).alias("t")).select("lang", "h", "t.*").collect(), key=lambda r: (r["lang"], r["h"])) if sizes else []
     taken: dict[str, list] = {}
     for r in sample:
         if r["letters"] and len(held := taken.setdefault(r["lang"], [])) < per_language:
@@ -143,8 +184,15 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     flat = np.concatenate(centres) if centres else np.zeros((0, size), np.float32)
     bits = np.array([int(r["letters"]).bit_length() for r in rows_], np.int64)
     best = (units @ flat.T).max(axis=1) if len(flat) else np.zeros(0)
-    # By length; a length with few texts rejects nothing.
-    least = np.array([best[bits == b].min() * REJECTED_BELOW if np.count_nonzero(bits == b) >= 30 else 0.0 for b in range(40)])
+    seen = [[[] for _ in range(CLASSES)] for _ in names]
+    for k, b, x in zip(of, bits, best, strict=True):
+        seen[k][b].append(x)
+    for k, name in enumerate(names):
+        for x in (x for r in taken[name] for x in r["pieces"]):
+            bucket = np.frombuffer(x["bucket"], np.int32)
+            v = np.sqrt(np.frombuffer(x["tally"], np.int32)) * weights[bucket]
+            seen[k][int(x["letters"]).bit_length()].append(float((flat[:, bucket] @ v).max() / np.linalg.norm(v)))
+    least = limits(seen)
     return LanguageModel(names, np.repeat(np.arange(len(names)), [len(c) for c in centres]), flat.astype(np.float32), weights, least)
 
 

@@ -129,3 +129,33 @@ def test_quality(spark):
     for none in (docs.limit(0), docs.withColumn("grade", F.lit(0)), docs.withColumn("grade", F.lit(None).cast("int"))):
         assert ordinal_quality.fit(none).tails("x").tolist() == []
     assert ordinal_quality.grade_documents(docs.limit(0), model).collect() == []
+
+
+def test_unlearned_texts_are_rejected_at_every_length(spark):
+    docs = languages(spark)
+    model = language_id.fit(docs)
+    r = random.Random(2)
+    scripts = [[chr(c) for c in range(a, b)] for a, b in ((0x4E00, 0x5600), (0x430, 0x450), (0x627, 0x64A))] + [list("qxzkwjvy")]
+    for own in scripts:
+        for words in (2, 4, 12, 200, 40_000):
+            strange = " ".join("".join(r.choice(own) for _ in range(r.randint(4, 8))) for _ in range(words))
+            assert model.predict(strange)[2], (own[0], words)
+    for row in docs.where("doc_id < 60").collect():
+        for n in (1, 2, 3, 6, 12, 30_000):
+            clean = " ".join((row["text"].split() * (1 + n // 12))[:n])
+            assert not model.predict(clean)[2] and (n < 6 or model.predict(clean)[0] == row["lang"]), clean[:80]
+
+
+def test_a_junk_row_sets_no_limit_and_a_sparse_class_has_one():
+    seen = [[[] for _ in range(language_id.CLASSES)] for _ in range(2)]
+    seen[0][6], seen[0][7] = [0.8] * 39 + [0.01], [0.01] * 3
+    found = language_id.limits(seen)
+    assert (abs(found[0] - 0.4) < 1e-9).all() and (abs(found[1] - found[0]) < 1e-9).all()
+    assert not language_id.limits([[[] for _ in range(language_id.CLASSES)]]).any()
+
+
+def test_pieces_have_the_length_of_their_class():
+    text = "Der Fluß, 12 alte Brücken -- und 漢字! " * 9
+    n = language_id.counts(text)[1]
+    found = [language_id.counts(x)[1] for x in language_id.pieces(text, n)]
+    assert [x.bit_length() for x in found] == list(range(1, n.bit_length())) and language_id.pieces("a", 1) == []
