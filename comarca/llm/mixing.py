@@ -23,18 +23,20 @@ square roots of the sources' sizes. An empty table gives an empty table. Columns
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from fractions import Fraction
 from itertools import batched
 from math import ceil, lcm, sqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from comarca.llm.common import cut
+from comarca.llm.common import cut, shared_dir
 
 BLOCK_ROWS = 16
 SEED = 17
@@ -109,6 +111,45 @@ def _slot_table(spark, blocks: Mapping[str, int], weights: Mapping[str, float])
     return spark.range(0, 1, 1, 1).mapInArrow(run, "__source string, mix_block long, mix_slot long")
 
 
+def row_keys(docs: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of a row's columns; rows that share both are taken for equal, and so for interchangeable."""
+    own = [F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]
+    return F.xxhash64(*own), F.hash(*own)
+
+
+def _positions_path(docs: DataFrame) -> str:
+    """A place in the shared folder that the rows of docs name, in any order and partitions."""
+    a, b = row_keys(docs)
+    r = docs.agg(F.count("*"), F.coalesce(F.bit_xor(a), F.lit(0)), F.coalesce(F.sum(b.cast("long")), F.lit(0)), F.coalesce(F.bit_xor(F.xxhash64(b, a)), F.lit(0))).first()
+    named = hashlib.sha256(repr((docs.columns, *r)).encode()).hexdigest()[:32]
+    return f"{shared_dir(docs.sparkSession).rstrip('/')}/tables/mix_positions-{named}"
+
+
+def write_positions(docs: DataFrame, weights: Mapping[str, float] | None = None, **options) -> None:
+    """Write each row's mix_slot and mix_position beside docs, under its keys, for `with_positions` of the same rows."""
+    a, b = row_keys(docs)
+    keyed = docs.withColumns({"__a": a, "__b": b})
+    rows = mixed(keyed, weights, **options).select("__a", "__b", "mix_slot", "mix_position")
+    rows.write.mode("overwrite").parquet(_positions_path(docs))
+
+
+def with_positions(docs: DataFrame, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """make(docs), a row for each row, with the mix_slot and mix_position written for docs; they are null if none were."""
+    a, b = row_keys(docs)
+    made = make(docs.withColumns({"__a": a, "__b": b}))
+    columns = [c for c in made.columns if c not in ("__a", "__b", "mix_slot", "mix_position")]
+    spark, path = docs.sparkSession, _positions_path(docs)
+    try:
+        held = spark.read.parquet(path)
+    except AnalysisException:  # the rows were never mixed
+        held = spark.createDataFrame([], "__a long, __b int, mix_slot long, mix_position long")
+    # Equal rows are told apart by a number, so that each gets one position.
+    number = lambda order: F.row_number().over(Window.partitionBy("__a", "__b").orderBy(order))
+    held = held.withColumn("__number", number("mix_position"))
+    numbered = made.select(*[F.col(f"`{c}`") for c in columns], "__a", "__b").withColumn("__number", number("__a"))
+    return numbered.join(held, ["__a", "__b", "__number"], "left").select(*[F.col(f"`{c}`") for c in columns], "mix_slot", "mix_position")
+
+
 def in_mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, **options) -> DataFrame:
     """docs, its own columns, in the order of the mix: partitions are ranges of positions, sorted."""
     rows = mixed(docs, weights, **options)
@@ -119,7 +160,7 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_row
     """All columns of docs with mix_block (number in its source), mix_slot and mix_position (unique, in order of the mix; blocks leave gaps where they are short)."""
     spark = docs.sparkSession
     # The other columns only break ties of repeated ids; of texts the length and the first hash do.
-    rest = [F.hash(F.col(f"`{c}`")) for c, t in docs.dtypes if not t.startswith("map") and c != doc_id]
+    rest = [F.hash(F.col(f"`{c}`")) for c, t in docs.dtypes if not t.startswith("map") and c not in (doc_id, "__a", "__b")]
     key = F.when(F.col(source).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
     rows = docs.withColumns({"__source": key, "__hash": F.xxhash64(F.col(doc_id), F.lit(SEED)), "__tie": F.xxhash64(*rest)})
     sizes = {r["__source"]: r["count"] for r in rows.groupBy("__source").count().collect()}  # one row for each source

@@ -3,7 +3,9 @@
 Every stage gets all that its predecessor kept, as a DataFrame read from Parquet, and all but the last return the columns
 of documents. Documents whose language is rejected go; one document of each near-duplicate group stays; secrets are
 replaced in the texts; sources are interleaved in proportion to the square roots of their sizes (all documents stay, in
-the order of the mix); the last stage gives the SentencePiece ids of each text, and whether they decode to it.
+the order of the mix), and each row's slot and position in the mix are written beside the documents, whose columns and
+readers need not keep them; the last stage gives the SentencePiece ids of each text, whether they decode to it, and that
+slot and position, found again by the row itself.
 """
 
 from __future__ import annotations
@@ -38,13 +40,17 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    mixing.write_positions(docs)
     return mixing.in_mix_order(docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = encode_documents(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
-    same = F.col("pieces.decoded") == F.coalesce("text", F.lit(""))
-    return found.select("doc_id", "lang", "source", F.size("pieces.ids").cast("long").alias("n_tokens"), F.col("pieces.ids").alias("ids"), same.alias("decodes"))
+    def encoded(rows: DataFrame) -> DataFrame:
+        found = encode_documents(rows.select("doc_id", "lang", "source", "text", "__a", "__b"), public_tokenizers.path("piece_bpe_32k.model"))
+        same = F.col("pieces.decoded") == F.coalesce("text", F.lit(""))
+        return found.select("doc_id", "lang", "source", F.size("pieces.ids").cast("long").alias("n_tokens"), F.col("pieces.ids").alias("ids"), same.alias("decodes"), "__a", "__b")
+
+    return mixing.with_positions(docs, encoded)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -1,8 +1,11 @@
+from collections import Counter
+from math import sqrt
+
 import sentencepiece
 
 import corpus_pipeline
 import public_tokenizers
-from comarca.llm import queries
+from comarca.llm import mixing, queries
 
 TEXTS = {
     1: "the calm river runs past the quiet fields and over the old stone bridge in the evening light of june",
@@ -23,6 +26,25 @@ def test_stages(spark, tmp_path):
     assert got[1]["ids"] == library.encode(TEXTS[1]) and got[4]["ids"] == library.encode(TEXTS[4].replace("abcdefghijklmnop", "[secret]"))
 
 
+def test_the_mix_reaches_the_last_stage(spark, tmp_path):
+    """Unequal sources: the rows of the last stage say where the mixing stage put them, whatever files they come from."""
+    sizes = {"hot": 600, "mid": 150, "small": 40, None: 7}
+    rows = [(k * 10 + j, f"text {k} of {s}", "en", s, 9) for j, (s, n) in enumerate(sizes.items()) for k in range(n)]
+    rows += [(5, "twice", "en", "mid", 5)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = {(r["doc_id"], r["mix_slot"], r["mix_position"]) for r in mixing.mixed(docs).collect()}
+    assert all(r["mix_slot"] is None for r in corpus_pipeline.pieces(spark, docs.where("doc_id > 100"), "").collect())  # never mixed
+    corpus_pipeline.mixture(spark, docs, "").repartition(5, "doc_id").write.parquet(str(tmp_path / "mixed"))
+    got = corpus_pipeline.pieces(spark, spark.read.parquet(str(tmp_path / "mixed")), "").collect()
+    assert len(got) == len(rows) and {(r["doc_id"], r["mix_slot"], r["mix_position"]) for r in got} == want
+    sizes["mid"] += 2
+    share, done = {s: sqrt(n) / sum(map(sqrt, sizes.values())) for s, n in sizes.items()}, Counter()
+    at = {r["mix_slot"]: r["source"] for r in got}
+    for slot in range(17):  # none has ended yet
+        done[at[slot]] += 1
+        assert all(abs(done[s] - (slot + 1) * w) < 1 for s, w in share.items())
+
+
 def test_stages_keep_the_columns_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some words that are here", "en", "a", 24), (1, "some words that are here", "en", "a", 24)], "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in corpus_pipeline.STAGES[:-1]:
