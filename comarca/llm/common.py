@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,26 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch: texts vary from a word to hundreds of thousands of characters."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bound the rows of an Arrow batch: texts vary from a word to hundreds of thousands of characters.
+
+    Plans are lazy and run later, so the bound is only ever lowered: no operator takes back what another one needs.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; one under /tmp is set only where none is (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share, from spark.checkpoint.dir. Only in local mode (tests) one is set where none is."""
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
-        held = spark.sparkContext.getCheckpointDir()
-        if held:
-            return held
-        path = "/tmp/checkpoints"
-        spark.sparkContext.setCheckpointDir(path)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir names no folder: executors need one that they share")
+        path = tempfile.mkdtemp(prefix="checkpoints-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(path)
     return path
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder; its files go when the frame is collected."""
+    """Cut the lineage with a reliable checkpoint in the shared folder, for frames that the caller's result reads.
+
+    Its files stay until the session's cleaner takes them, which spark.cleaner.referenceTracking.cleanCheckpoints turns on.
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -45,9 +56,74 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def clean_text(column: str = "text"):
-    """A text column with null as the empty text."""
-    return F.coalesce(F.col(column), F.lit(""))
+class Scratch:
+    """Tables in the shared folder that an operator writes, reads again and deletes: at the end, or as soon as it may.
+
+    While it is open, Spark frees the shuffle files of a finished job at once, as nothing reads them again. Frames made
+    from its tables must be written or checkpointed before it closes.
+    """
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.places = spark, new_path(spark, name), {}
+
+    def __enter__(self) -> Scratch:
+        self.before = self.spark.conf.get(self.CLEANUP)
+        self.spark.conf.set(self.CLEANUP, "true")
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.conf.set(self.CLEANUP, self.before)
+        delete(self.spark, self.folder)
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """df, written and read back."""
+        place = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(place)
+        out = self.spark.read.schema(df.schema).parquet(place)
+        self.places[id(out)] = place
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete tables that nothing reads any more."""
+        for frame in frames:
+            delete(self.spark, self.places.pop(id(frame)))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark knows by its path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+#: Bits of an id filter: 8 MB, however many ids go in.
+FILTER_BITS = 1 << 26
+
+
+def id_filter(ids: DataFrame, column: str):
+    """A test for columns of longs that holds for all values of ids' column and for few others.
+
+    A Bloom filter of one hash and a fixed size. It spares the shuffle the rows that an exact join would drop anyhow; beyond
+    some tens of millions of ids it lets more and more of them pass, which costs time and never changes a result.
+    """
+    spark = ids.sparkSession
+    at = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    word = F.shiftright(at, 6)
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int")))
+    held = ids.where(F.col(column).isNotNull()).groupBy(word.alias("word")).agg(bits.alias("bits")).toArrow()
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    words[held.column("word").to_numpy()] = held.column("bits").to_numpy()
+    shared = spark.sparkContext.broadcast(words.tobytes())
+
+    @F.arrow_udf("boolean")
+    def test(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = np.frombuffer(shared.value, np.int64)
+        for batch in batches:
+            where = batch.to_numpy(zero_copy_only=False)
+            yield pa.array((own[where >> 6] >> (where & 63)) & 1 == 1)
+
+    return lambda x: test(F.pmod(F.xxhash64(x), F.lit(FILTER_BITS)))
 
 
 class Memo:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.common import cut
+from comarca.llm.common import Scratch, cut
 from comarca.llm.components import components
 
 #: Classes, at most, that the centroids are fitted on.

@@ -12,12 +12,17 @@ A list of postings is compared in rounds. First every member with the list's hea
 settles groups of copies, however large, in as many pairs as they have members. Then, where members are still in
 different components, those outside the largest are compared with those in it and with each other: in short lists pair by pair, in long ones (more than
 `SHORT_LIST` members) block by block, where a task holds the sets of two blocks and gives the least member that each of
-theirs is connected to, never the pairs. Members of one component need no further link, so no group is ever expanded
-into all its pairs, and no pair of different components goes unseen. Nothing is capped.
+theirs is connected to, never the pairs. Blocks of the component meet those outside it, never each other. Members of one
+component need no further link, so no group is ever expanded into all its pairs, and no pair of different components goes
+unseen. Nothing is capped.
+
+Texts are read where they lie, once for the signatures and once for the full sets that each of two rounds confirms on. A
+filter of the wanted ids, of a fixed size, keeps the other texts out of the shuffle that brings the sets together.
 
 Cases: documents without words (or null) have an empty set and link with nothing. Documents with fewer words than a
 shingle have their whole sequence as one. Rows that share a doc_id count as one document. Rows without a doc_id have no
-component and are kept. An empty table gives an empty table.
+component and are kept. Repeated rows each get their row. Very long texts are taken whole: a task holds the hashes of one
+batch of texts. An empty table gives an empty table. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.common import cut, small_batches
+from comarca.llm.common import Scratch, cut, id_filter, small_batches
 from comarca.llm.components import components
 
 COORDINATES = 48
@@ -113,11 +118,11 @@ def _set(size: int):
     return run
 
 
-def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
+def _prefixes(classes: DataFrame, matches: int, scratch: Scratch) -> DataFrame:
     """Postings (value, node, n) of each class's rarest values."""
     value = lambda i, x: i.cast("long") * F.lit(1 << 32) + x.cast("long")
     posts = classes.select("node", "n", F.explode(F.transform("signature", lambda x, i: value(i, x))).alias("value"))
-    shared = cut(posts.groupBy("value").agg(F.count("*").alias("seen")).where(F.col("seen") > 1))
+    shared = scratch.cut(posts.groupBy("value").agg(F.count("*").alias("seen")).where(F.col("seen") > 1))
     ranked = posts.join(shared, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "value"))).alias("values"), F.count("*").alias("held"))
     # Of the rarest COORDINATES - matches + 1 values, those that nobody shares come first.
     left = F.size("values") - F.lit(matches - 1)
@@ -131,10 +136,10 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _heads(posts: DataFrame) -> DataFrame:
+def _heads(posts: DataFrame, scratch: Scratch) -> DataFrame:
     """Of each list the member with most shared values."""
     head = F.max(F.struct("held", -F.col("node"), "n", "part")).alias("x")
-    return cut(posts.groupBy("value").agg(head).select("value", (-F.col("x.col2")).alias("node"), "x.n", "x.part"))
+    return scratch.cut(posts.groupBy("value").agg(head).select("value", (-F.col("x.col2")).alias("node"), "x.n", "x.part"))
 
 
 def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -173,10 +178,11 @@ def _blocks(percent: int):
         flat, ends = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
         sets = [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
         n = np.diff(ends).astype(np.float32)
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        pick = lambda k, within: np.flatnonzero((block == k) & (inside == within))
+        # Block i lies outside; block j outside too, or inside.
+        i, j, within = (table.column(c)[0].as_py() for c in ("i", "j", "within"))
+        pick = lambda k, side: np.flatnonzero((block == k) & (inside == side))
+        pairs = [(pick(i, False), pick(j, within))]
         head = node.copy()
-        pairs = [(pick(i, False), pick(j, False)), (pick(i, False), pick(j, True))] + ([(pick(j, False), pick(i, True))] if i != j else [])
         links = []
         for a, b in pairs:
             common = _common([sets[k] for k in a], [sets[k] for k in b])
@@ -198,22 +204,28 @@ def _blocks(percent: int):
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches: int | None = None, short_list: int = SHORT_LIST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept. Documents link at 100 * intersection >= percent * union."""
+    with Scratch(docs.sparkSession, "near_duplicates") as scratch:
+        return _near_duplicates(docs, size, percent, matches or least_matches(percent / 100), short_list, doc_id, text, scratch)
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int, matches: int, short_list: int, doc_id: str, text: str, scratch: Scratch) -> DataFrame:
     small_batches(docs.sparkSession)
-    matches = matches or least_matches(percent / 100)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketch = cut(rows.select("doc_id", _sketch(size)("text").alias("s")).select("doc_id", "s.*"))
-    classes = cut(sketch.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.count("*").alias("copies")))
-    posts = cut(_prefixes(classes, matches).withColumn("part", F.col("node")))
+    sketch = scratch.cut(rows.select("doc_id", _sketch(size)("text").alias("s")).select("doc_id", "s.*"))
+    classes = scratch.cut(sketch.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.count("*").alias("copies")))
+    posts = scratch.cut(_prefixes(classes, matches, scratch).withColumn("part", F.col("node")))
 
     def near(pairs: DataFrame) -> DataFrame:
         """Pairs that collide in enough coordinates."""
         side = lambda x: classes.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}"))
         same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        return cut(pairs.join(side("a"), "a").join(side("b"), "b").where(same >= matches).select("a", "b"))
+        return scratch.cut(pairs.join(side("a"), "a").join(side("b"), "b").where(same >= matches).select("a", "b"))
 
     def sets(nodes: DataFrame) -> DataFrame:
-        """The full sets of nodes; this moves the texts once."""
-        return cut(rows.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _set(size)("text").alias("set")))
+        """The full sets of nodes; of the texts, only those of nodes move."""
+        wanted = scratch.cut(nodes.select(F.col("node").alias("doc_id")).distinct())
+        some = rows.where(id_filter(wanted, "doc_id")(F.col("doc_id")))
+        return scratch.cut(some.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _set(size)("text").alias("set")))
 
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
@@ -222,49 +234,70 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches:
         full = lambda x: held.select(F.col("node").alias(x), F.col("set").alias(f"t{x}"))
         both = pairs.join(full("a"), "a").join(full("b"), "b")
         common = F.size(F.array_intersect("ta", "tb"))
-        return cut(both.withColumn("common", common).where(F.col("common") * 100 >= (F.size("ta") + F.size("tb") - F.col("common")) * percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        return scratch.cut(both.withColumn("common", common).where(F.col("common") * 100 >= (F.size("ta") + F.size("tb") - F.col("common")) * percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     def parted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members in the largest component of lists that hold several, and those outside it."""
-        parts = components(edges)
-        now = cut(posts.drop("part").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")))
+        parts = components(edges, scratch)
+        now = scratch.cut(posts.drop("part").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")))
         counted = now.groupBy("value", "part").agg(F.count("*").alias("members"))
-        mixed = cut(counted.groupBy("value").agg(F.count("*").alias("parts"), F.sum("members").alias("length"), F.max(F.struct("members", "part"))["part"].alias("first")).where(F.col("parts") > 1).select("value", "length", "first"))
-        open_ = cut(now.join(mixed, "value"))
+        mixed = scratch.cut(counted.groupBy("value").agg(F.count("*").alias("parts"), F.sum("members").alias("length"), F.max(F.struct("members", "part"))["part"].alias("first")).where(F.col("parts") > 1).select("value", "length", "first"))
+        open_ = scratch.cut(now.join(mixed, "value"))
+        scratch.drop(now, mixed)
         return open_.where(F.col("part") == F.col("first")), open_.where(F.col("part") != F.col("first"))
 
-    pairs = near(_pairs(posts, _heads(posts), percent))
-    edges = confirmed(pairs, sets(ends(pairs)))
+    heads = _heads(posts, scratch)
+    pairs = near(_pairs(posts, heads, percent))
+    first = sets(ends(pairs))
+    edges = confirmed(pairs, first)
 
     inside, outside = parted(edges)
+    scratch.drop(posts, heads, pairs)
     short = F.col("length") <= short_list
     pairs = near(_pairs(outside.where(short), inside.where(short), percent).unionByName(_pairs(outside.where(short), outside.where(short), percent)).distinct())
     member = lambda rows, within: rows.where(~short).select(F.col("first").alias("group"), "node", "n", F.lit(within).alias("inside"))
-    members = cut(member(inside, True).unionByName(member(outside, False)).distinct())
-    held = sets(ends(pairs).unionByName(members.select("node")))
+    members = scratch.cut(member(inside, True).unionByName(member(outside, False)).distinct())
+    # Only sets that the first round did not bring along move now.
+    nodes = ends(pairs).unionByName(members.select("node")).distinct()
+    held = first.unionByName(sets(nodes.join(first.select("node"), "node", "left_anti")))
     edges = edges.unionByName(confirmed(pairs, held))
 
-    blocks = cut(members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")))
-    dealt = members.drop("n").join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = dealt.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "inside")
+    n = F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
+    blocks = scratch.cut(members.groupBy("group", "inside").agg(n))
+    dealt = members.drop("n").join(blocks, ["group", "inside"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # A block outside meets the blocks outside from its own on, and all inside.
+    out_blocks = blocks.where(~F.col("inside")).select("group", F.col("blocks").alias("out"))
+    in_blocks = blocks.where(F.col("inside")).select("group", F.col("blocks").alias("in"))
+    dealt = dealt.drop("blocks").join(out_blocks, "group").join(in_blocks, "group")
+    task = lambda i, j, within: F.struct(i.alias("i"), j.alias("j"), F.lit(within).alias("within"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.col("block")
+    beside = F.concat(F.transform(upto("out"), lambda k: task(F.least(own, k), F.greatest(own, k), False)), F.transform(upto("in"), lambda k: task(own, k, True)))
+    meets = F.when(F.col("inside"), F.transform(upto("out"), lambda k: task(k, own, True))).otherwise(beside)
+    tasks = dealt.withColumn("task", F.explode(meets)).select("group", "task.*", "block", "node", "inside")
     tasks = tasks.join(held.select(F.col("node").alias("__node"), "set"), F.col("node") == F.col("__node")).drop("__node")
-    edges = cut(edges.unionByName(tasks.groupBy("group", "i", "j").applyInArrow(_blocks(percent), "u long, v long")))
-    parts = components(edges)
+    edges = scratch.cut(edges.unionByName(tasks.groupBy("group", "i", "j", "within").applyInArrow(_blocks(percent), "u long, v long")))
+    parts = components(edges, scratch)
 
     of = classes.join(parts.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").where((F.col("copies") > 1) | F.col("component").isNotNull())
-    found = sketch.select("doc_id", "print", F.col("n").alias("n_shingles")).join(cut(of.select("print", F.coalesce("component", "node").alias("component"))), "print", "left")
+    of = scratch.cut(of.select("print", F.coalesce("component", "node").alias("component")))
+    found = sketch.select("doc_id", "print", F.col("n").alias("n_shingles")).join(of, "print", "left")
     out = found.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return cut(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one document of each component: the one of least doc_id. Rows that repeat a doc_id are one document, of which one row stays."""
-    found = cut(near_duplicates(docs, size, percent, doc_id=doc_id, text=text).select(F.col("doc_id").alias("__id"), "kept"))
-    gone = found.where(~F.col("kept")).select("__id").distinct()
-    out = docs.join(gone, F.col(doc_id) == F.col("__id"), "left_anti")
-    repeated = cut(found.groupBy("__id").count().where(F.col("count") > 1).select("__id"))
-    if repeated.isEmpty():
-        return out
-    once = out.join(repeated, F.col(doc_id) == F.col("__id"), "left_semi").dropDuplicates([doc_id])
-    return out.join(repeated, F.col(doc_id) == F.col("__id"), "left_anti").unionByName(once)
+    found = near_duplicates(docs, size, percent, doc_id=doc_id, text=text).select(F.col("doc_id").alias("__id"), "kept")
+    repeated = found.where(F.col("__id").isNotNull()).groupBy("__id").count().where(F.col("count") > 1).select("__id", F.lit(True).alias("again"))
+    gone = found.where(~F.col("kept")).select("__id", F.lit(False).alias("again")).distinct()
+    # Most rows are sure to stay and need no shuffle; those that the filter lets through meet the exact list.
+    touched = cut(gone.unionByName(repeated))
+    maybe = id_filter(touched, "__id")(F.col(doc_id).cast("long"))
+    rows = docs.withColumn("__maybe", maybe)
+    sure, some = rows.where(~F.col("__maybe")).drop("__maybe"), rows.where("__maybe").drop("__maybe")
+    ids = lambda again: touched.where(F.col("again") == again).select("__id")
+    out = some.join(ids(False), F.col(doc_id) == F.col("__id"), "left_anti")
+    once = out.join(ids(True), F.col(doc_id) == F.col("__id"), "left_semi").dropDuplicates([doc_id])
+    rest = out.join(ids(True), F.col(doc_id) == F.col("__id"), "left_anti")
+    return sure.unionByName(rest).unionByName(once) if not touched.where("again").isEmpty() else sure.unionByName(out)
