@@ -75,26 +75,34 @@ def spherical_kmeans(units: np.ndarray, cells: int, rounds: int = 12, seed: int
     return centres
 
 
+#: Vectors that meet the centroids in one product.
+_STRIDE = 512
+
+
+def visited(units: np.ndarray, centres: np.ndarray, gram: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """The home of each unit vector, and which lower-numbered cells it visits besides."""
+    near = units @ centres.T
+    home = np.argmax(near, axis=1)
+    gap = near[np.arange(len(near)), home][:, None] - near
+    apart = np.sqrt(np.maximum(2 - 2 * gram[home], 0))
+    return home, (gap <= reach * apart) & (np.arange(len(centres)) < home[:, None])
+
+
 def _cells(centres: np.ndarray, reach: float):
-    between = np.linalg.norm(centres[:, None, :] - centres[None, :, :], axis=2) if len(centres) <= 64 else None
     gram = centres @ centres.T
 
     @F.arrow_udf("struct<home: int, cells: array<int>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            homes, cells = [], []
-            for v in batch.to_pylist():
-                if len(v) != centres.shape[1]:
-                    homes.append(0)
-                    cells.append([0])
-                    continue
-                near = centres @ np.array(v)
-                home = int(np.argmax(near))
-                apart = between[home] if between is not None else np.sqrt(np.maximum(2 - 2 * gram[home], 0))
-                beside = np.flatnonzero((near[home] - near <= reach * apart) & (np.arange(len(centres)) < home))
-                homes.append(home)
-                cells.append([home, *beside.tolist()])
-            yield pa.StructArray.from_arrays([pa.array(homes, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], ["home", "cells"])
+            homes, cells = np.zeros(len(batch), np.int32), [[0]] * len(batch)
+            fits = np.flatnonzero(batch.value_lengths().to_numpy() == centres.shape[1])  # others share cell 0, apart by their length
+            for at in range(0, len(fits), _STRIDE):
+                rows = fits[at : at + _STRIDE]
+                home, beside = visited(batch.take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), -1), centres, gram, reach)
+                homes[rows] = home
+                for row, h, b in zip(rows, home, beside, strict=True):
+                    cells[row] = [h, *np.flatnonzero(b)]
+            yield pa.StructArray.from_arrays([pa.array(homes), pa.array(cells, pa.list_(pa.int32()))], ["home", "cells"])
 
     return run
 
@@ -131,11 +139,16 @@ def _links(cosine: float):
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.93, reach: float | None = None, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept. Rows of one label link at a cosine of at least `cosine`."""
-    rows = cut(vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"), _unit()(F.col(vector)).alias("x")).select("vec_id", "label", "x.*"))
+    with Scratch(vectors.sparkSession, "near_vectors") as scratch:
+        return cut(_near_vectors(vectors, cosine, reach, vec_id, vector, label, scratch))
+
+
+def _near_vectors(vectors: DataFrame, cosine: float, reach: float | None, vec_id: str, vector: str, label: str, scratch: Scratch) -> DataFrame:
+    rows = scratch.cut(vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"), _unit()(F.col(vector)).alias("x")).select("vec_id", "label", "x.*"))
     fit = rows.where(F.col("label").isNotNull() & F.col("print").isNotNull())
     # A class is numbered by its least vec_id; without any, by a hash below all ids.
     least = F.coalesce(F.min("vec_id"), F.shiftrightunsigned(F.xxhash64(F.first("print")), 2) - F.lit(1 << 62))
-    classes = cut(fit.groupBy("label", "print").agg(least.alias("node"), F.count("*").alias("copies"), F.first("unit").alias("unit")))
+    classes = scratch.cut(fit.groupBy("label", "print").agg(least.alias("node"), F.count("*").alias("copies"), F.first("unit").alias("unit")))
     most = classes.groupBy(F.size("unit").alias("d")).count().orderBy(F.desc("count"), "d").first()
     d, n = (most["d"], most["count"]) if most else (1, 0)
     whole = 1 << 20
@@ -143,23 +156,23 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, reach: float | None =
     if n > SAMPLE_ROWS:
         some = some.where(F.pmod(F.xxhash64("node"), F.lit(whole)) < int(whole * SAMPLE_ROWS / n))
     sample = np.array([r["unit"] for r in some.select("unit").limit(SAMPLE_ROWS).collect()]).reshape(-1, d)
-    cells = min(MOST_CELLS, max(1, n // CELL_ROWS))
+    cells = min(MOST_CELLS, max(1, n // CELL_ROWS), max(1, len(sample) // 4))
     centres = spherical_kmeans(sample, cells) if len(sample) else np.zeros((1, d))
     margin = np.sqrt(2 - 2 * cosine) * (min(1.0, 4 / np.sqrt(d)) if reach is None else reach) + 1e-9
     homed = classes.withColumn("c", _cells(centres, margin)("unit"))
-    members = cut(homed.select("label", F.size("unit").alias("d"), F.explode("c.cells").alias("cell"), "c.home", "node", "copies", "unit").withColumn("at_home", F.col("cell") == F.col("home")).drop("home"))
+    members = scratch.cut(homed.select("label", F.size("unit").alias("d"), F.explode("c.cells").alias("cell"), "c.home", "node", "copies", "unit").withColumn("at_home", F.col("cell") == F.col("home")).drop("home"))
 
     key = ["label", "d", "cell"]
-    blocks = cut(members.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
+    blocks = scratch.cut(members.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
     dealt = members.join(blocks, key).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = dealt.select(*key, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "copies", "at_home", "unit")
-    found = cut(tasks.groupBy(*key, "i", "j").applyInArrow(_links(cosine), "node long, links long, head long"))
+    found = scratch.cut(tasks.groupBy(*key, "i", "j").applyInArrow(_links(cosine), "node long, links long, head long"))
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    parts = components(found.where(F.col("node") != F.col("head")).select(F.col("node").alias("u"), F.col("head").alias("v")))
+    parts = components(found.where(F.col("node") != F.col("head")).select(F.col("node").alias("u"), F.col("head").alias("v")), scratch)
     of = classes.select("label", "print", "node", "copies").join(links, "node", "left").join(parts, "node", "left")
-    of = cut(of.where((F.col("copies") > 1) | F.col("links").isNotNull()).select("label", "print", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component")))
+    of = scratch.cut(of.where((F.col("copies") > 1) | F.col("links").isNotNull()).select("label", "print", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component")))
     out = rows.join(of, ["label", "print"], "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
