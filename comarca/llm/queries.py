@@ -64,7 +64,7 @@ def op4_sql() -> str:
 
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict")
+    return url_rules.judged(pages, frequency=url_rules.frequencies(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op6_sql() -> str:
