@@ -1,6 +1,7 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-The documents of a source, in the order of a seeded hash, are cut into blocks of `block_rows`. With the target weight w of
+The documents of a source, in the order of a seeded hash, are cut into blocks of `block_rows`: 16, or as many more as keep
+the number of slots within `MOST_SLOTS`. With the target weight w of
 its source, block i (from 0) is released at slot floor(i / w) and due by slot ceil((i + 1) / w); in each slot the released
 block with the earliest deadline runs. On one stream of total weight 1 that meets every deadline, so after any number of
 slots every source is less than one block away from its share.
@@ -39,6 +40,8 @@ from pyspark.sql import functions as F
 from comarca.llm.common import cut, shared_dir
 
 BLOCK_ROWS = 16
+#: Slots, about, at most: beyond, blocks grow, for slots are dealt out one after the other.
+MOST_SLOTS = 4_000_000
 SEED = 17
 #: Buckets whose counts are summed up in one step.
 SPAN = 64
@@ -47,8 +50,8 @@ BUCKET_ROWS = 4_096
 
 
 def whole_weights(weights: Mapping[str, float]) -> dict[str, int]:
-    """Whole numbers in exactly the proportions of the weights."""
-    exact = {k: Fraction(w) for k, w in weights.items()}
+    """Whole numbers in exactly the proportions of the weights, whose floats are taken as they are written: 0.3 is three tenths."""
+    exact = {k: Fraction(str(w)) if isinstance(w, float) else Fraction(w) for k, w in weights.items()}
     unit = lcm(*[w.denominator for w in exact.values()])
     return {k: int(w * unit) for k, w in exact.items()}
 
@@ -156,7 +159,7 @@ def in_mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, **
     return rows.repartitionByRange("mix_position").sortWithinPartitions("mix_position").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, buckets: int | None = None, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int | None = None, buckets: int | None = None, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """All columns of docs with mix_block (number in its source), mix_slot and mix_position (unique, in order of the mix; blocks leave gaps where they are short)."""
     spark = docs.sparkSession
     # The other columns only break ties of repeated ids; of texts the length and the first hash do.
@@ -168,6 +171,7 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_row
     target = {k: given.get(k, min(given.values())) for k in sizes} if given else default_weights(sizes)
 
     total = sum(sizes.values())
+    block_rows = block_rows or max(BLOCK_ROWS, ceil(total / MOST_SLOTS))
     buckets = buckets or max(32 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_ROWS)
     per = max(1, total // buckets)
     of = spark.createDataFrame([(k, max(1, n // per)) for k, n in sizes.items()], "__source string, __n int")

@@ -85,7 +85,9 @@ def test_tokens_that_an_expression_leaves_open(spark):
     urls = OPEN + ["http://x.org/" + "".join(r.choice(parts) for _ in range(r.randint(1, 7))) for _ in range(3000)]
     urls += [f"http://x.org/{a}{lit}{b}" for lit in ("free-money", "free-cash", "spam-farm.", "cheap-pills.", "casino", "porn", "/wp-login.php", "?utm_source=ads", ".exe") for a in ("", "a", ".", "-", "9", "/") for b in ("", "a", ".", "-", "9", "#")]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    for frequency in (None, {"wp": 9, "login": 9}, {"wp": 1, "php": 5, "php7": 5}):
+    counted = url_rules.frequencies(pages)
+    assert counted["casino"] == sum("casino" in re.findall("[a-z0-9]+", u.lower()) for u in urls) and counted["*free"] == sum(any(t.endswith("free") for t in re.findall("[a-z0-9]+", u.lower())) for u in urls)
+    for frequency in (None, {"wp": 9, "login": 9}, {"wp": 1, "php*": 5}, counted):
         rows = url_rules.judged(pages, frequency=frequency).collect()
         for r_ in rows:
             low = r_["url"].lower()
@@ -94,6 +96,28 @@ def test_tokens_that_an_expression_leaves_open(spark):
     assert url_rules.rarest(url_rules.PATTERN_RULES, {"wp": 9, "login": 9})["php*"] == [5]
 
 
+def test_several_hundred_rules(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdef") for _ in range(r.randint(2, 4)))
+    rules = []
+    for k in range(400):
+        a, b = word(), word()
+        rules.append(url_rules.PatternRule(f"r{k}", rf"(^|[^a-z0-9]){a}-{b}([^a-z0-9]|$)", (a, b)) if k % 2 else url_rules.PatternRule(f"r{k}", rf"{a}/{b}([^a-z0-9]|$)", (f"*{a}", b)))
+    sites = [url_rules.SiteRule(".".join(word() for _ in range(r.randint(1, 3))), "/" + r.choice(["", "a", "ab", "ab/"]), r.choice(["allow", "block"])) for _ in range(300)]
+    sites = list({s.name: s for s in sites}.values())
+    urls = [f"http://{r.choice([s.host for s in sites] + ['x.y'])}/{r.choice(['', 'a', 'ab/'])}{word()}{r.choice('-/.')}{word()}" for _ in range(1500)] + [f"https://q.{s.host}{s.path}z" for s in sites] + [f"http://x/{rule.tokens[0].strip('*')}{'/' if '*' in rule.tokens[0] else '-'}{rule.tokens[1]}" for rule in rules]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = url_rules.judged(pages, sites=sites, patterns=rules, frequency=url_rules.frequencies(pages, rules=rules)).collect()
+    hits = 0
+    for row in rows:
+        host, path = re.match("[a-z]*://([^/]*)(.*)", row["url"]).groups()
+        fits = max(((len(s.name), len(s.host), s.name, s.verdict) for s in sites if (host == s.host or host.endswith("." + s.host)) and path.startswith(s.path)), default=None)
+        matched = sorted(x.name for x in rules if re.search(x.pattern, row["url"]))
+        hits += len(matched)
+        assert sorted(row["matched"]) == matched and row["rule"] == (fits and fits[2]) and row["verdict"] == (fits[3] if fits else "block" if matched else "allow"), row["url"]
+    assert hits > 400
+
+
 def languages(spark):
     words = {"en": "the of and to in is that it was for", "es": "el de la que los por con una para año", "de": "der die und das nicht ein für über mit sich"}
     rows = [(k * 10 + j, " ".join((w.split() * 3)[j % 7 : j % 7 + 12 + j]), lang) for j, (k, (lang, w)) in enumerate((k, x) for k in range(40) for x in words.items())]

@@ -152,6 +152,27 @@ def test_near_vectors(spark, monkeypatch, cell_rows, block_rows):
     assert embedding_dedup.near_vectors(frame.limit(0)).collect() == []
 
 
+def test_pairs_across_borders_are_found_whatever_their_direction():
+    """Recall over 200 cells in 64 dimensions of partners that differ in one, two or all components."""
+    r = np.random.default_rng(9)
+    d = 64
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    base = unit(r.normal(size=(6000, d)))
+    centres = embedding_dedup.spherical_kmeans(base, 200)
+    margin = np.sqrt(2 - 2 * 0.93) * min(1.0, 4 / np.sqrt(d)) + 1e-9
+    for few in (1, 2, 8, d):
+        step = np.zeros_like(base)
+        for k in range(len(base)):
+            step[k, r.permutation(d)[:few]] = r.normal(size=few)
+        other = unit(base + 0.36 * unit(step))
+        near = (base * other).sum(axis=1) >= 0.93
+        sides = [embedding_dedup.visited(x, centres, centres @ centres.T, margin) for x in (base, other)]
+        (h1, v1), (h2, v2) = sides
+        at = np.arange(len(base))
+        met = (h1 == h2) | np.where(h1 < h2, v2[at, h1], v1[at, h2])
+        assert near.sum() > 2000 and met[near].mean() > 0.99, few
+
+
 @pytest.mark.parametrize("shard_rows", [4096, 40])
 def test_top_k(spark, shard_rows):
     own = vectors(8, 200, 8)
@@ -167,6 +188,29 @@ def test_top_k(spark, shard_rows):
     assert kdtree_topk.top_k(usable.limit(0), usable.limit(0)).collect() == []
 
 
+def test_top_k_enters_few_shards_of_clustered_data(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    heart = r.normal(size=(16, 6)) * 4
+    own = np.concatenate([heart[np.arange(1600) % 16] + r.normal(size=(1600, 6)) * 0.1, np.ones((800, 6))]).astype(np.float32)  # a third are equal
+    frame = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(own)], "vec_id long, embedding array<float>")
+    usable = kdtree_topk.usable(frame)
+    entered = []
+    fits = kdtree_topk.Shards.others_udf
+    monkeypatch.setattr(kdtree_topk.Shards, "others_udf", lambda self, d: entered.append(int(self.first[-1])) or fits(self, d))
+    got = kdtree_topk.top_k(usable, usable.where("id % 40 = 0"), k=5, shard_rows=64).collect()
+    v = np.floor(own.astype(np.float64) * 256).astype(np.int64)
+    for q in range(0, 2400, 40):
+        want = sorted(((-int(v[q] @ v[i]), i) for i in range(2400) if i != q))[:5]
+        assert [(r_["rank"], -r_["score"], r_["vec_id"]) for r_ in got if r_["query_id"] == q] == [(n, s, i) for n, (s, i) in enumerate(want, 1)]
+    cells = kdtree_topk.Cells(v, 32)
+    where = cells.of(v)
+    assert cells.leaves == len(set(where)) and 16 < cells.leaves <= 32 and entered == [entered[0]] and entered[0] >= 38
+    shards = kdtree_topk.Shards({int(c): (int((where == c).sum()), v[where == c].min(axis=0), v[where == c].max(axis=0)) for c in set(where)}, 64)
+    kth = np.array([sorted((int(x) for x in v @ v[q]), reverse=True)[5] for q in range(0, 1600, 40)])
+    assert (shards.bounds(v[:1600:40]) >= kth[:, None]).mean() < 0.5  # cells that a query enters, of all
+    assert shards.parts.max() >= 12  # equal vectors are spread over shards
+
+
 def test_kdtree_boxes_bound_and_prune():
     points = np.random.default_rng(2).integers(-500, 500, (700, 4))
     tree = kdtree_topk.KdTree(np.arange(700), points)
@@ -207,7 +251,7 @@ def test_mixture(spark):
         done[s] += 1
         if any(done[x] == end[x] for x in sizes):
             break
-        assert all(abs(done[x] - slot * w) < 1 for x, w in weights.items())
+        assert all(abs(done[x] - slot * Fraction(str(w))) < 1 for x, w in weights.items())
     whole = mixing.in_mix_order(docs, weights, block_rows=5)
     assert whole.columns == docs.columns and [r["doc_id"] for r in whole.collect()] == [r["doc_id"] for r in sorted(got, key=lambda r: r["mix_position"])]
     assert mixing.mixed(docs).count() == k and mixing.mixed(docs.unionByName(docs)).count() == 2 * k
@@ -226,7 +270,7 @@ def test_mixture(spark):
 )
 def test_exact_weights_are_kept_to_a_block(blocks, weights):
     """Also where sources end: targets are those of water that runs into vessels of the sources' sizes at the rates of their weights."""
-    w, clock, target, done, most, checked = {k: Fraction(x) for k, x in weights.items()}, Fraction(0), {}, Counter(), 0, 0
+    w, clock, target, done, most, checked = {k: Fraction(str(x)) for k, x in weights.items()}, Fraction(0), {}, Counter(), 0, 0
     out = list(mixing.slots(blocks, weights))
     assert sorted(out) == sorted((k, i) for k, n in blocks.items() for i in range(n))
     step = 1 if len(blocks) < 50 else 97
@@ -247,6 +291,18 @@ def test_exact_weights_are_kept_to_a_block(blocks, weights):
     assert checked > 20 and most > 0
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.5005, "b": 0.3333, "c": 0.1662}, {"a": 0.9996, "b": 0.0004}])
+def test_no_source_is_a_block_off_over_twenty_thousand_slots(weights):
+    blocks = {k: int(21_000 * w) + 1 for k, w in weights.items()}
+    done, worst, exact = Counter(), 0, {k: Fraction(str(w)) for k, w in weights.items()}
+    for slot, (k, _) in enumerate(mixing.slots(blocks, weights), 1):
+        done[k] += 1
+        worst = max(worst, *(abs(done[s] - slot * w) for s, w in exact.items()))
+        if slot == 20_000:
+            break
+    assert slot == 20_000 and worst < 1
+
+
 def test_documents_stand_where_the_slots_say(spark):
     sizes = {"hot": 3000, "b": 301, "c": 302, "rare": 2}
     docs = spark.createDataFrame([(k * 10 + j, s) for j, (s, n) in enumerate(sizes.items()) for k in range(n)], "doc_id long, source string")
