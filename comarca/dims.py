@@ -91,6 +91,7 @@ LEGAL_CODES = {
 }
 LEGAL_RANGES = ((2004, 2011, "predicate_direct", "high"), (7001, 7099, "predicate_direct", "medium"))
 LEGAL_REPEALED = (7030, 7035, 7036, 7098)
+LEGAL_VERSION = "0.2.0"
 LEGAL_REPEALED_CLASS, LEGAL_DEFAULT = ("historical_nonvigent", "high"), ("unmapped", "none")
 
 # Layer -> (label, weight, fallback labels in order, component -> (weight, labels)).
@@ -116,6 +117,18 @@ LAYERS = {
         "public_disorder": (0.15, ("desordenes publicos",)),
     }),
 }
+# Labels of the layers and components, in their order.
+LAYER_LABELS = {"predicate_direct": "Delito base directo", "criminal_economy": "Economía criminal y facilitadores", "criminogenic_context": "Contexto criminógeno"}
+COMPONENT_LABELS = {
+    "drug_traffic": "Tráfico de sustancias", "drug_microtraffic": "Microtráfico de sustancias", "drug_production": "Elaboración o producción de sustancias",
+    "reception": "Receptación", "illegal_trade": "Comercio ilegal", "vehicle_theft": "Robo de vehículo motorizado", "violent_vehicle_theft": "Robo violento de vehículo motorizado",
+    "weapons_possession": "Porte / posesión de armas o explosivos", "cattle_theft": "Abigeato",
+    "homicide": "Homicidios y femicidios", "violent_robbery": "Robos con violencia o intimidación", "serious_injury": "Lesiones graves o gravísimas", "threats": "Amenazas", "public_disorder": "Desórdenes públicos",
+}
+INTERPRETATION = (
+    "El indicador caracteriza presión criminógena territorial relevante para análisis AML. No representa probabilidad de lavado de activos, no acredita delito base respecto de una persona "
+    "y no atribuye conductas a residentes, empresas o sectores del territorio."
+)
 FACTOR_WEIGHTS = {"intensity": 0.40, "persistence": 0.25, "trend": 0.20, "anomaly": 0.15}
 USABLE_STATUSES = ("usable", "validated", "ok")
 SOURCE_TIERS = {"primary_direct": 10, "mirror_of_primary": 20, "official_secondary": 30, "quarantined": 90}
@@ -124,16 +137,29 @@ EXPECTED_COMMUNES, LEAST_COMMUNES = 346, 340
 FIRST_YEAR, LAST_YEAR = 2020, 2025
 MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")
 HOMICIDE_CONTROL = {"2024": 1207, "2025-H1": 511}
-# Region code -> short name, north to south.
+# Region code -> official name, north to south.
 REGIONS = {
-    "15": "Arica y Parinacota", "01": "Tarapacá", "02": "Antofagasta", "03": "Atacama", "04": "Coquimbo", "05": "Valparaíso", "13": "Metropolitana", "06": "O'Higgins",
-    "07": "Maule", "16": "Ñuble", "08": "Biobío", "09": "La Araucanía", "14": "Los Ríos", "10": "Los Lagos", "11": "Aysén", "12": "Magallanes",
+    "15": "Arica y Parinacota", "01": "Tarapacá", "02": "Antofagasta", "03": "Atacama", "04": "Coquimbo", "05": "Valparaíso", "13": "Metropolitana de Santiago", "06": "Libertador General Bernardo O'Higgins",
+    "07": "Maule", "16": "Ñuble", "08": "Biobío", "09": "La Araucanía", "14": "Los Ríos", "10": "Los Lagos", "11": "Aysén del General Carlos Ibáñez del Campo", "12": "Magallanes y de la Antártica Chilena",
 }
-# Prosecutors' region numerals; the capital's four prosecutors are one region.
+# Short names that tables also use for a region (normalised, apostrophes kept) -> region code.
+SHORT_REGIONS = {"metropolitana": "13", "o'higgins": "06", "aysen": "11", "magallanes": "12"}
+# Prosecutors' region labels -> region code; the capital's four prosecutors are one region.
 PROSECUTOR_REGIONS = {
-    "XV": "15", "I": "01", "II": "02", "III": "03", "IV": "04", "V": "05", "VI": "06", "VII": "07", "VIII": "08", "IX": "09", "X": "10", "XI": "11", "XII": "12", "XIV": "14",
-    "XVI": "16", "RM CENTRO NORTE": "13", "RM ORIENTE": "13", "RM SUR": "13", "RM OCCIDENTE": "13",
+    "I": "01", "II": "02", "III": "03", "IV": "04", "V": "05", "VI": "06", "VII": "07", "VIII": "08", "IX": "09", "X": "10", "XI": "11", "XII": "12",
+    "RM CN": "13", "RM OR": "13", "RM OCC": "13", "RM SUR": "13", "XIV": "14", "XV": "15", "XVI": "16",
 }
+# Region codes of the electoral districts 1 to 28.
+DISTRICTS = ("15", "01", "02", "03", "04", "05", "05", "05", "13", "13", "13", "13", "13", "13", "06", "06", "07", "07", "16", "08", "08", "09", "09", "14", "10", "10", "11", "12")
+# The four rate columns of the annual district table, in their order: family key -> label.
+ANNUAL_FAMILIES = {
+    "delitos_contra_vida_integridad": "Delitos contra la vida o integridad de las personas",
+    "delitos_asociados_drogas": "Delitos asociados a drogas",
+    "delitos_propiedad_no_violentos": "Delitos contra la propiedad no violentos",
+    "violencia_intrafamiliar": "Violencia intrafamiliar",
+}
+# Words of which a publication's title or address holds one.
+PUBLICATION_TERMS = ("homicid", "casos policiales", "enusc", "trata", "tráfico", "trafico", "seguridad ciudadana", "sitia", "delict")
 # ---- End of fixed values ----------------------------------------------------------------------------------------
 
 
@@ -155,7 +181,7 @@ def families(spark: SparkSession) -> DataFrame:
 
 def legal_codes(spark: SparkSession) -> DataFrame:
     rows = [(code, *key, "exact", 1) for key, codes in LEGAL_CODES.items() for code in codes]
-    return spark.createDataFrame(rows + [(code, *LEGAL_REPEALED_CLASS, "nonvigent", 2) for code in LEGAL_REPEALED], "code long, class string, confidence string, rule_type string, rank int")
+    return spark.createDataFrame(rows + [(code, *LEGAL_REPEALED_CLASS, "exclusion", 2) for code in LEGAL_REPEALED], "code long, class string, confidence string, rule_type string, rank int")
 
 
 def legal_ranges(spark: SparkSession) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from comarca.files import held
+
 
 def half_even(c: Column, digits: int) -> Column:
     """Half to even. Nine digits count: sums come in any order, and a tie must not depend on it."""
@@ -24,6 +26,23 @@ def tie_rank_percentile(value: Column, key: Column, by: Sequence[Column | str] =
     return F.when(n == 1, F.lit(50.0)).otherwise(100.0 * (F.row_number().over(w.orderBy(value, key)) - 1) / (n - 1))
 
 
+def with_percentiles(rows: DataFrame, of: Mapping[str, str], key: str) -> DataFrame:
+    """rows with columns name: 100 * place / (n - 1), places 0.. by the column of[name], ties by key; 50 if alone.
+
+    The same as tie_rank_percentile over all rows, for any number of them: rows are dealt out in ranges of (value, key), their
+    numbers within a range come from a window, and those of the ranges before from the ranges' counts, a row for each range.
+    """
+    for name, column in of.items():
+        rows = held(rows.repartitionByRange(column, key).withColumn("__range", F.spark_partition_id()))
+        counts = rows.groupBy("__range").agg(F.count("*").alias("__rows"))
+        order = Window.orderBy("__range")
+        before = counts.select("__range", (F.sum("__rows").over(order) - F.col("__rows")).alias("__before"), F.sum("__rows").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__n"))
+        place = F.row_number().over(Window.partitionBy("__range").orderBy(column, key)) - 1 + F.col("__before")
+        percentile = F.when(F.col("__n") == 1, F.lit(50.0)).otherwise(100.0 * place / (F.col("__n") - 1))
+        rows = rows.join(F.broadcast(before), "__range").withColumn(name, percentile).drop("__range", "__before", "__n")
+    return rows
+
+
 def midrank_percentile(value: Column, by: Sequence[Column | str] = ()) -> Column:
     """100 * (how many are less + half of the equal) / n; 50 if alone."""
     w = Window.partitionBy(*by)

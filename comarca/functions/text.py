@@ -67,8 +67,9 @@ def collapsed(c: Column) -> Column:
 
 
 def parse_number(c: Column) -> Column:
-    """A number written with . for thousands and , for decimals; null for dashes, blanks and what is no number."""
-    plain = F.replace(F.replace(F.trim(c.cast("string")), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    """A number written with . for thousands and , for decimals, with or without no-break spaces; null for dashes, blanks and what is no number."""
+    bare = F.regexp_replace(c.cast("string"), r"^[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+|[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+$|\x{00A0}", "")
+    plain = F.replace(F.replace(bare, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     return F.when(~F.lower(plain).isin("", "-", "--", "nan") & plain.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), plain.try_cast("double"))
 
 
@@ -113,8 +114,8 @@ def nearby_date(text: Column) -> Column:
     return F.when(part(0) != "", F.concat_ws("-", part(3), F.lpad(part(2), 2, "0"), F.lpad(part(1), 2, "0")))
 
 
-def resolved(base: Column, href: Column) -> Column:
-    """href against base; null unless the result is http or https."""
+def resolved(base: Column, href: Column, web_only: bool = True) -> Column:
+    """href against base; with web_only null unless the result is http or https."""
 
     @F.arrow_udf("string")
     def joined(bases: pa.Array, hrefs: pa.Array) -> pa.Array:
@@ -127,6 +128,8 @@ def resolved(base: Column, href: Column) -> Column:
         return pa.array([one(b, h) for b, h in zip(bases.to_pylist(), hrefs.to_pylist(), strict=True)], pa.string())
 
     url = joined(base, href)
+    if not web_only:
+        return url
     return F.when(url.startswith("http://") | url.startswith("https://"), url)
 
 

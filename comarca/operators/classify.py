@@ -44,7 +44,7 @@ def family_mapped(rows: DataFrame) -> DataFrame:
 
 
 def legal_classified(rows: DataFrame, code: str = "code") -> DataFrame:
-    """legal_class, legal_confidence, rule_type: an exact code before one out of force, before the first range that holds it, before the default.
+    """legal_class, legal_confidence, rule_type, rules_version: an exact code before one out of force, before the first range that holds it, before the default.
 
     Codes that are numbers match however they are written (zeros in front, text or number).
     """
@@ -61,7 +61,7 @@ def legal_classified(rows: DataFrame, code: str = "code") -> DataFrame:
     joined = rows.withColumn("__number", number).join(exact, F.col("__number") == F.col("__code"), "left")
     return joined.withColumns({
         "legal_class": F.coalesce("__class", within[0]), "legal_confidence": F.coalesce("__confidence", within[1]),
-        "rule_type": F.coalesce("__type", F.when(held, "range").otherwise("default")),
+        "rule_type": F.coalesce("__type", F.when(held, "range").otherwise("default")), "rules_version": F.lit(dims.LEGAL_VERSION),
     }).drop("__number", "__code", "__class", "__confidence", "__type")
 
 

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from comarca import dims
+from comarca.files import read_text, write_text
 from comarca.functions.text import commune_code, commune_id, html_escaped, signed_percent, thousands
 from comarca.operators.merge import distinct_sources
 
@@ -18,68 +18,111 @@ def digest(parts: list[Column], prefix: str, length: int) -> Column:
     return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256), 1, length))
 
 
+RADAR, TIERS, CAPTURE = "RADAR_DELICTUAL", "GOVERNED_PUBLIC", "RADAR_DELICTUAL_GOVERNED_TERRITORIAL_PIPELINE"
+
+
 def adapted(master: DataFrame, version: str = "1.0") -> DataFrame:
     """master with the canonical commune id, or none where the code does not resolve (the code stays as it is)."""
     code = commune_code(F.col("commune_code"))
     return master.withColumns({
         "territory_id": commune_id(code), "commune_code": F.coalesce(code, F.col("commune_code").cast("string")), "territory_mapping_method": F.when(code.isNotNull(), "CODE_EXACT").otherwise("UNRESOLVED"),
-        "territory_mapping_confidence": F.when(code.isNotNull(), 1.0).otherwise(0.0), "interop_version": F.lit(version),
+        "territory_mapping_confidence": F.when(code.isNotNull(), 1.0).otherwise(0.0), "interop_version": F.lit(version), "radar_id": F.lit(RADAR),
     })
 
 
-def fusion_evidence(rows: DataFrame) -> DataFrame:
-    """rows: source_id, sha256, retrieved_at, freshness."""
-    return rows.select(
-        digest([F.col("source_id"), F.col("sha256"), F.col("retrieved_at")], "EVD-DELICTUAL-", 20).alias("evidence_id"), "source_id", "sha256", "retrieved_at",
-        F.when(F.lower("freshness") == "stale", "STALE").otherwise("CURRENT").alias("status"),
-    )
-
+def fusion_evidence(lineage: DataFrame) -> DataFrame:
+    """lineage: any of source_id, ultimate_source_id, source_url, source_tier, content_sha256, retrieved_at, generated_at, freshness. The evidence that events point to.
 
-EVENT_KEYS = ("territory_id", "year", "crime_category", "source_id")
+    A row with neither retrieved_at nor generated_at fails the job: nothing is exported without lineage.
+    """
+    has = lambda c: F.nullif(F.col(c).cast("string"), F.lit("")) if c in lineage.columns else F.lit(None).cast("string")
+    source = F.coalesce(has("source_id"), F.lit("cead_governed_snapshot"))
+    at = F.coalesce(has("retrieved_at"), has("generated_at"), F.raise_error(F.lit("lineage timestamp missing: nothing is exported without lineage")).cast("string"))
+    return lineage.select(
+        digest([source, has("content_sha256"), at], "EVD-DELICTUAL-", 20).alias("evidence_id"), F.lit(RADAR).alias("producer_id"), source.alias("source_id"), F.coalesce(has("ultimate_source_id"), F.lit("cead_estadisticas_delictuales")).alias("ultimate_source_id"),
+        has("source_url").alias("source_url"), F.coalesce(has("source_tier"), F.lit(TIERS)).alias("source_tier"), F.lit(CAPTURE).alias("capture_method"), has("generated_at").alias("source_run_id"), has("content_sha256").alias("content_sha256"),
+        F.when(has("freshness") == "stale", "STALE").otherwise("VALID").alias("quality_status"), F.lit(None).cast("string").alias("source_published_at"), at.alias("retrieved_at"), F.coalesce(has("generated_at"), at).alias("ingested_at"), F.lit("1.0").alias("schema_version"),
+    )
 
 
-def fusion_events(rows: DataFrame, evidence_id: str | None = None) -> DataFrame:
-    """An event for each row with a territory, year and category: the whole year as interval, every other column as attributes."""
-    kept = rows.where(F.col("territory_id").isNotNull() & F.col("year").isNotNull() & F.col("crime_category").isNotNull())
-    day = lambda year: F.format_string("%04d-01-01T00:00:00Z", year)
-    other = [F.col(f"`{c}`") for c in rows.columns if c not in ("territory_id", "year")]
+def fusion_events(rows: DataFrame, evidence: Row | None = None) -> DataFrame:
+    """An event for each row with a territory, a year and a category: the whole year as interval, what else the row holds as attributes.
+
+    rows are adapted(); year and category may go by their other names. evidence is the row of fusion_evidence() that all point to.
+    """
+    given = lambda *names: [F.nullif(F.col(n).cast("string"), F.lit("")) for n in names if n in rows.columns] or [F.lit(None).cast("string")]
+    year, category = F.coalesce(*given("year", "commercial_year")).try_cast("int"), F.coalesce(*given("crime_category", "category", "offense"))
+    kept = rows.withColumns({"__year": year, "__category": category}).where(F.col("territory_id").isNotNull() & F.col("__year").isNotNull() & F.col("__category").isNotNull())
+    day = lambda y: F.format_string("%04d-01-01T00:00:00+00:00", y)
+    told = evidence.asDict() if evidence else {}
+    known = lambda name: F.lit(told.get(name)).cast("string")
+    temporal = F.struct(
+        day(F.col("__year")).alias("valid_from"), day(F.col("__year") + 1).alias("valid_to"), known("source_published_at").alias("source_published_at"), known("retrieved_at").alias("observed_at"), known("retrieved_at").alias("retrieved_at"),
+        known("ingested_at").alias("ingested_at"), known("retrieved_at").alias("last_seen_at"), F.lit("STALE" if told.get("quality_status") == "STALE" else "CURRENT").alias("freshness_state"),
+    )
+    none = F.array().cast("array<string>")
+    attributes = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in ("interop_version", "radar_id", "territory_id")])
+    source = F.col("source_id") if "source_id" in rows.columns else F.lit(None).cast("string")
     return kept.select(
-        digest([F.col(c) for c in EVENT_KEYS], "EVT-DELICTUAL-", 24).alias("event_id"), F.lit("territorial_statistic").alias("event_type"), F.array("territory_id").alias("territory_ids"),
-        F.array(*([F.lit(evidence_id)] if evidence_id else [])).cast("array<string>").alias("evidence_ids"),
-        F.struct(day(F.col("year")).alias("valid_from"), day(F.col("year") + 1).alias("valid_to")).alias("temporal"), F.to_json(F.struct(*other), {"ignoreNullFields": "false"}).alias("attributes"),
+        digest([F.col("territory_id"), F.col("__year"), F.col("__category"), source], "EVT-DELICTUAL-", 24).alias("event_id"), F.lit("TERRITORIAL_CRIME_STATISTIC").alias("event_type"), F.lit(RADAR).alias("producer_id"),
+        none.alias("entity_ids"), F.array("territory_id").alias("territory_ids"), none.alias("sector_ids"), (F.array(known("evidence_id")) if evidence else none).alias("evidence_ids"), temporal.alias("temporal"), attributes.alias("attributes"),
     )
 
 
 def interop_status(adapted_rows: DataFrame) -> DataFrame:
-    return adapted_rows.agg(F.count("*").alias("rows"), F.count_if(F.col("territory_id").isNotNull()).alias("resolved"), F.count_if(F.col("territory_id").isNull()).alias("unresolved"), F.countDistinct("territory_id").alias("territories"))
+    resolved = F.count_if(F.col("territory_id").isNotNull())
+    return adapted_rows.agg(
+        F.lit("1.0").alias("interop_version"), F.lit(RADAR).alias("radar_id"), F.count("*").alias("rows"), resolved.alias("resolved"), (F.count("*") - resolved).alias("unresolved"), F.lit("CL-COM-{CUT}").alias("territory_id_format")
+    )
+
+
+def fusion_status(adapted_rows: DataFrame, events: DataFrame, evidence: DataFrame) -> DataFrame:
+    """One row: what the fusion export holds, and how it is to be read."""
+    told = evidence.agg(F.count("*").alias("evidence"), F.when(F.bool_or(F.col("quality_status") == "STALE"), "STALE").otherwise("CURRENT").alias("freshness_state"))
+    rows = interop_status(adapted_rows).select("interop_version", "radar_id", F.lit("FUSION_EXPORT_READY_TERRITORY_CONTEXT").alias("status"), F.col("rows").alias("territory_rows"), F.col("resolved").alias("resolved_territories"), F.col("unresolved").alias("unresolved_territories"))
+    one = lambda frame: frame.withColumn("__one", F.lit(1))  # noqa: E731  a row each
+    out = one(rows).join(one(events.agg(F.count("*").alias("events"))), "__one").join(one(told), "__one").drop("__one")
+    return out.withColumns({"source_failure_is_zero": F.lit(False), "policy": F.lit("TERRITORIAL_STATISTICS_ARE_CONTEXT_NOT_ENTITY_ATTRIBUTION")})
 
 
 def predicate_features(master: DataFrame) -> DataFrame:
-    """Eligible rows of positive weight, in the shape of features."""
+    """Eligible rows of positive weight, in the shape of features; other columns stay."""
     kept = master.where(F.col("score_eligible") & (F.col("aml_weight") > 0))
-    return kept.withColumns({"geography_level": F.lit("commune"), "signal_family": F.lit("cead_predicate_offense"), "value": F.coalesce("value", F.lit(0)), "excludes_homicide_weight": F.lit(True)})
+    return kept.withColumns({
+        "geography_level": F.lit("commune"), "period": F.col("year").cast("string"), "signal_family": F.lit("cead_predicate_offense"), "metric": F.lit("casos_policiales"), "value": F.coalesce("value", F.lit(0)),
+        "ultimate_source_id": F.lit("cead_estadisticas_delictuales"), "excludes_homicide_weight": F.lit(True),
+    })
+
 
+#: What a signal carries over from the row it is made of, where that has it: name -> type.
+CARRIED = {"crime_category": "string", "article27_mapping_key": "string", "article27_relation": "string", "aml_weight": "double", "mapping_confidence": "string", "source_tier": "string", "quality_status": "string"}
 
-def _signal(rows: DataFrame, level: str, period: Column, family: Column, score: Column, value: Column, metric: Column, version: str, relevance: Column, sources: Column) -> DataFrame:
-    has = lambda c: F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string")
-    keys = F.struct(has("region_code").alias("region_code"), has("commune_code").alias("commune_code"), has("commune_name_norm").alias("commune_name_norm"))
+
+def _signal(rows: DataFrame, level: str, period: Column, family: Column, score: Column, value: Column, metric: Column, version: str, relevance: Column, sources: Column, carried: tuple[str, ...] = (), keys: tuple[str, ...] = ("region_code", "commune_code")) -> DataFrame:
+    has = lambda c, kind="string": F.col(c).cast(kind) if c in rows.columns else F.lit(None).cast(kind)
+    joins = F.struct(*[(has(k) if k in keys else F.lit(None).cast("string")).alias(k) for k in ("region_code", "commune_code", "commune_name_norm")])
     return rows.select(
         has("territory_id").alias("territory_id"), F.lit(level).alias("geography_level"), period.cast("string").alias("period"), family.alias("signal_family"), score.cast("double").alias("score"), value.cast("long").alias("value"), metric.alias("metric"),
-        F.lit(version).alias("score_version"), relevance.alias("aml_relevance"), keys.alias("join_keys"), sources.alias("source_families"),
+        F.lit(version).alias("score_version"), relevance.alias("aml_relevance"), *[(has(c, kind) if c in carried else F.lit(None).cast(kind)).alias(c) for c, kind in CARRIED.items()], joins.alias("join_keys"), sources.alias("source_families"),
+        F.lit(True).alias("excludes_homicide_weight"),
     )
 
 
 def integration_contract(regions: DataFrame, features: DataFrame, compat: DataFrame | None = None) -> DataFrame:
-    """Regional scores, predicate features and, for older snapshots, communal scores, as signals of one shape."""
+    """Regional scores, predicate features and, for older snapshots, communal scores, as signals of one shape; what a shape lacks is null."""
     none = F.lit(None)
     region = regions.withColumn("territory_id", F.concat(F.lit("CL-"), "region_code"))
-    out = _signal(region, "region", F.col("year"), F.lit("ministerio_publico_aml_proxy"), F.col("pressure_score"), none, F.lit("score_proxy"), "0.4", F.lit("analytical_proxy"), F.array(F.lit("ministerio_publico_saf")))
+    out = _signal(region, "region", F.col("year"), F.lit("ministerio_publico_aml_proxy"), F.col("pressure_score"), none, F.lit("score_proxy"), "0.4", F.lit("analytical_proxy"), F.array(F.lit("ministerio_publico_saf")), keys=("region_code",))
     sources = lambda rows: distinct_sources([F.col(c) for c in ("source_id", "ultimate_source_id") if c in rows.columns] or [none.cast("string")], "cead_estadisticas_delictuales")
     own = features.where(F.col("signal_family") == "cead_predicate_offense")
     metric = F.col("metric") if "metric" in features.columns else F.lit("casos_policiales")
-    out = out.unionByName(_signal(own, "commune", F.col("period"), F.col("signal_family"), none, F.col("value"), metric, "0.4", F.coalesce("aml_class", F.lit("predicate_direct")), sources(own)))
+    kind = F.coalesce("aml_class", F.lit("predicate_direct")) if "aml_class" in features.columns else F.lit("predicate_direct")
+    carried = ("crime_category", "article27_mapping_key", "aml_weight", "mapping_confidence", "source_tier", "quality_status")
+    out = out.unionByName(_signal(own, "commune", F.col("period"), F.col("signal_family"), none, F.col("value"), metric, "0.4", kind, sources(own), carried))
     if compat is not None:
-        out = out.unionByName(_signal(compat, "commune", F.col("period"), F.lit("cead_art27_drug_family"), F.col("cead_aml_priority_score"), none, F.lit("score_proxy"), "0.3-compat", F.lit("direct_predicate_family"), sources(compat)))
+        relation = ("article27_relation",)
+        keys = ("region_code", "commune_code", "commune_name_norm")
+        out = out.unionByName(_signal(compat, "commune", F.col("period"), F.lit("cead_art27_drug_family"), F.col("cead_aml_priority_score"), none, F.lit("score_proxy"), "0.3-compat", F.lit("direct_predicate_family"), sources(compat), relation, keys))
     return out
 
 
@@ -88,20 +131,27 @@ def write_jsonl(frame: DataFrame, path: str) -> None:
     frame.write.option("ignoreNullFields", "false").json(path)
 
 
-def write_document(value, path: str) -> None:
-    place = Path(path)
-    place.parent.mkdir(parents=True, exist_ok=True)
-    place.write_text(json.dumps(value, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+def write_document(spark: SparkSession, value, path: str) -> None:
+    write_text(spark, path, json.dumps(value, ensure_ascii=False, indent=2) + "\n")
+
 
+def interop_export(master: DataFrame, lineage: DataFrame, folder: str) -> None:
+    """Interop rows, events, their evidence and both status documents below a folder.
 
-def interop_export(master: DataFrame, folder: str) -> None:
-    """Interop rows, events and status below a folder. An empty master is an error, not an empty export."""
+    lineage: one row, as fusion_evidence() reads it. An empty master or a lineage without a time is an error, never an empty export.
+    """
     if master.isEmpty():
-        raise ValueError("the master is empty")
-    rows = adapted(master)
+        raise ValueError("the master is empty: what is missing is not zero")
+    spark, rows, evidence = master.sparkSession, adapted(master), fusion_evidence(lineage)
+    first = evidence.first()
+    if first is None:
+        raise ValueError("lineage timestamp missing: nothing is exported without lineage")
+    events = fusion_events(rows, first)
     write_jsonl(rows, f"{folder}/territory_interop")
-    write_jsonl(fusion_events(rows), f"{folder}/fusion_events")
-    write_document(interop_status(rows).first().asDict(), f"{folder}/interop_status.json")
+    write_jsonl(evidence, f"{folder}/evidence_fusion")
+    write_jsonl(events, f"{folder}/territory_events_fusion")
+    write_document(spark, interop_status(rows).first().asDict(), f"{folder}/territory_interop_status.json")
+    write_document(spark, fusion_status(rows, events, evidence).first().asDict(), f"{folder}/fusion_interop_status.json")
 
 
 def top_activity(activity: DataFrame, k: int = 35) -> DataFrame:
@@ -113,11 +163,22 @@ def top_activity(activity: DataFrame, k: int = 35) -> DataFrame:
 MARKER = "<!-- geographic-score -->"
 
 
+def _cells(*cells: Column) -> Column:
+    """A table row; every cell is escaped, a missing one is a dash."""
+    shown = [html_escaped(F.coalesce(c.cast("string"), F.lit("—"))) for c in cells]
+    return F.concat(F.lit("<tr>"), *[x for c in shown for x in (F.lit("<td>"), c, F.lit("</td>"))], F.lit("</tr>"))
+
+
+def _lines(rows: DataFrame, *cells: Column) -> str:
+    """The lines of a report's few rows, in their order."""
+    return "".join(r["line"] for r in rows.select(_cells(*cells).alias("line")).collect())
+
+
 def score_block(scores: DataFrame, k: int = 25) -> str:
     """The best k scores as an HTML block between markers."""
-    rows = scores.where(F.col("score").isNotNull()).orderBy(F.col("score").desc(), F.col("commune_code").desc()).limit(k)
-    lines = [r["line"] for r in rows.select(F.format_string("<tr><td>%s</td><td>%s</td><td>%s</td></tr>", html_escaped(F.col("commune_code")), F.col("score").cast("string"), html_escaped(F.col("level"))).alias("line")).collect()]
-    return f"{MARKER}<table>{''.join(lines)}</table>{MARKER}"
+    rows = scores.orderBy(F.col("score").desc_nulls_last(), F.col("commune_code").desc()).limit(k)
+    has = lambda c: F.col(c) if c in scores.columns else F.lit(None).cast("string")
+    return f"{MARKER}<table>{_lines(rows, has('commune_name'), has('region_name'), F.col('commune_code'), F.col('score'), F.col('level'), has('confidence'))}</table>{MARKER}"
 
 
 def injected(page: str, block: str) -> str:
@@ -127,10 +188,25 @@ def injected(page: str, block: str) -> str:
     return bare.replace("</body>", f"{block}</body>", 1) if "</body>" in bare else bare + block
 
 
-def dashboard(activity: DataFrame, status: DataFrame, folder: str, k: int = 35, statuses: int = 22) -> None:
-    """data.json and index.html of the top k communes and the last status rows."""
-    top = [r.asDict() for r in top_activity(activity, k).collect()]
-    last = [r.asDict() for r in status.orderBy(F.col("ordinal").desc()).limit(statuses).drop("ordinal").collect()][::-1]
-    write_document({"activity": top, "status": last, "expected_communes": dims.EXPECTED_COMMUNES}, f"{folder}/data.json")
-    body = "".join(f"<tr><td>{r['commune_code']}</td><td>{r['shown']}</td><td>{r['change']}</td></tr>" for r in top)
-    (Path(folder) / "index.html").write_text(f"<!doctype html><html><body><table>{body}</table></body></html>", encoding="utf-8")
+def dashboard(activity: DataFrame, status: DataFrame, folder: str, k: int = 35, statuses: int = 22, **documents) -> None:
+    """data.json and index.html of the top k communes and the last status rows (ordinal, source_id, ok, ...); documents go to data.json as they are."""
+    spark, best = activity.sparkSession, top_activity(activity, k)
+    last = status.orderBy(F.col("ordinal").desc()).limit(statuses)
+    shown = [r.asDict(recursive=True) for r in last.drop("ordinal").collect()][::-1]
+    write_document(spark, {"activity": [r.asDict() for r in best.collect()], "status": shown, "expected_communes": dims.EXPECTED_COMMUNES, **documents}, f"{folder}/data.json")
+    table = _lines(best, F.col("commune_code"), F.col("shown"), F.col("change"))
+    health = _lines(last.orderBy("ordinal"), F.col("source_id"), F.when(F.col("ok"), "ok").otherwise("—"))
+    write_text(spark, f"{folder}/index.html", f'<!doctype html><html><head><meta charset="utf-8"></head><body><table>{table}</table><table>{health}</table></body></html>')
+
+
+def with_score(folder: str, scores: DataFrame, contract: DataFrame, method: dict, k: int = 25) -> None:
+    """Put the best scores into the dashboard below folder: its data.json gains them with their method, its page their block. Doing it again changes nothing."""
+    spark = scores.sparkSession
+    text, page = read_text(spark, f"{folder}/data.json"), read_text(spark, f"{folder}/index.html")
+    few = lambda rows: [json.loads(x) for x in rows.toJSON().collect()]
+    if text is not None:
+        best = scores.orderBy(F.col("score").desc_nulls_last(), F.col("commune_code").desc()).limit(dims.EXPECTED_COMMUNES)  # the page shows every commune of the country
+        counts = {r["signal_family"]: r["count"] for r in contract.groupBy("signal_family").count().collect()}
+        write_document(spark, {**json.loads(text), "geographic_score": few(best), "geographic_score_methodology": method, "integration_signals": counts}, f"{folder}/data.json")
+    if page is not None:
+        write_text(spark, f"{folder}/index.html", injected(page, score_block(scores, k)))

@@ -12,7 +12,7 @@ from comarca.functions.text import norm
 
 
 def one_per(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = False) -> DataFrame:
-    """The first (or last) row of each key, by min_by / max_by: partial aggregation before the shuffle, no sort."""
+    """The first (or last) row of each key, by min_by / max_by: rows are sorted by key within a task, cut to one for each key before the shuffle, and again after it."""
     pick = F.max_by if last else F.min_by
     whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     return rows.groupBy(*keys).agg(pick(whole, F.struct(*order)).alias("__row")).select("__row.*")
@@ -25,23 +25,46 @@ def tier_rank(tier: Column, missing: int) -> Column:
     return F.when(tier.isNull(), missing).otherwise(out)
 
 
-def precedence_merged(bridge: DataFrame, direct: DataFrame, ordinal: str = "ordinal", metric: str = "casos_policiales") -> DataFrame:
-    """One row for each (year, code, normalised label): the lowest tier, then bridge before direct, then the first by `ordinal`.
+def keyed_code(code: Column) -> Column:
+    """The code as text with zeros in front, five digits at least; a missing one is all zeros."""
+    raw = F.coalesce(code.cast("string"), F.lit(""))
+    return F.when(F.length(raw) < 5, F.lpad(raw, 5, "0")).otherwise(raw)
+
+
+def precedence_picked(rows: DataFrame, side: Column, ordinal: str = "ordinal", metric: str = "casos_policiales") -> DataFrame:
+    """One row for each (year, code, normalised label): the lowest tier, then the lowest side, then the first by `ordinal`.
 
     Rows without a code or of another metric go. A missing tier contends at 90, and is written as rank 99.
     """
-    both = bridge.withColumn("__source", F.lit(0)).unionByName(direct.withColumn("__source", F.lit(1)), allowMissingColumns=True)
-    kept = both.where(F.col("commune_code").isNotNull() & (F.col("metric") == metric))
-    raw = F.col("commune_code").cast("string")
-    keyed = kept.withColumns({"__code": F.when(F.length(raw) < 5, F.lpad(raw, 5, "0")).otherwise(raw), "crime_category_norm": norm(F.col("crime_category"))})
-    best = one_per(keyed, ["year", "__code", "crime_category_norm"], [tier_rank(F.col("source_tier"), dims.MISSING_TIER), F.col("__source"), F.col(ordinal)])
-    return best.withColumn("source_rank", tier_rank(F.col("source_tier"), dims.UNKNOWN_TIER)).drop("__source", "__code")
+    kept = rows.withColumn("__side", side).where(F.col("commune_code").isNotNull() & (F.col("metric") == metric))
+    keyed = kept.withColumns({"__code": keyed_code(F.col("commune_code")), "crime_category_norm": norm(F.col("crime_category"))})
+    best = one_per(keyed, ["year", "__code", "crime_category_norm"], [tier_rank(F.col("source_tier"), dims.MISSING_TIER), F.col("__side"), F.col(ordinal)])
+    return best.withColumn("source_rank", tier_rank(F.col("source_tier"), dims.UNKNOWN_TIER)).drop("__side", "__code")
+
+
+def precedence_merged(bridge: DataFrame, direct: DataFrame, ordinal: str = "ordinal", metric: str = "casos_policiales") -> DataFrame:
+    """precedence_picked() of two sources, bridge before direct."""
+    both = bridge.withColumn("__from", F.lit(0)).unionByName(direct.withColumn("__from", F.lit(1)), allowMissingColumns=True)
+    return precedence_picked(both, F.col("__from"), ordinal, metric).drop("__from")
+
+
+def _cache_keys() -> list[Column]:
+    """Year, padded code and normalised label, however rows write them."""
+    return [F.col("year").cast("int"), keyed_code(F.col("commune_code")), norm(F.col("crime_category"))]
+
+
+def latest_picked(rows: DataFrame, side: Column, keys: Sequence[str | Column] | None = None, ordinal: str = "ordinal") -> DataFrame:
+    """One row for each key: of the highest side the last by `ordinal`. Keys are the annual cache's unless given."""
+    own = [F.col(k) if isinstance(k, str) else k for k in keys] if keys is not None else _cache_keys()
+    named = {f"__key{k}": c for k, c in enumerate(own)}
+    keyed = rows.withColumns({**named, "__side": side})
+    return one_per(keyed, list(named), [F.col("__side"), F.col(ordinal)], last=True).drop(*named, "__side")
 
 
-def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str], ordinal: str = "ordinal") -> DataFrame:
+def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str | Column] | None = None, ordinal: str = "ordinal") -> DataFrame:
     """old with the rows of new over those of the same keys; within either, the last by `ordinal`."""
     both = old.withColumn("__batch", F.lit(0)).unionByName(new.withColumn("__batch", F.lit(1)), allowMissingColumns=True)
-    return one_per(both, keys, [F.col("__batch"), F.col(ordinal)], last=True).drop("__batch")
+    return latest_picked(both, F.col("__batch"), keys, ordinal).drop("__batch")
 
 
 def family_replaced(contract: DataFrame, new: DataFrame, family: str) -> DataFrame:

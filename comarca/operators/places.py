@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comarca import dims
-from comarca.functions.text import norm_name
+from comarca.functions.text import legacy_commune_id, norm_name
 from comarca.operators.merge import one_per
+from comarca.plans.rollups import control_totals
 
 
 def codes_attached(rows: DataFrame, places: DataFrame) -> DataFrame:
@@ -34,13 +35,73 @@ def codes_by_name(rows: DataFrame, places: DataFrame) -> DataFrame:
     return joined.withColumns({"cut_status": status, "commune_code": F.when(same, F.col("__code")).otherwise(F.lit(None))}).drop("__name", "__code")
 
 
+def region_code_of(name: Column) -> Column:
+    """The code of a region by its official or short name, however it is accented and written."""
+    long = [x for code, label in dims.REGIONS.items() for x in (norm_name(F.lit(label)), F.lit(code))]
+    short = [F.lit(x) for kv in dims.SHORT_REGIONS.items() for x in kv]
+    return F.coalesce(*[F.create_map(*pairs)[norm_name(name)] for pairs in (long, short)])
+
+
+VICTIMS = {"crime_category": "HOMICIDIO CONSUMADO - VÍCTIMAS", "metric": "victimas_homicidio_consumado", "observation_unit": "victima_homicidio_consumado", "aml_class": "crimen_organizado_proxy"}
+ANNUAL_SOURCE, RECENT_SOURCE = "homicidios_interinstitucional_2024", "homicidios_interinstitucional_h1_2025"
+
+
 def homicide_communes(annual: DataFrame, recent: DataFrame) -> DataFrame:
-    """Communes of the annual table with the recent victims, a derived zero where the recent one does not list them, and the communes that only it lists."""
-    keys = ["region_name", "commune_name"]
+    """Communes of the annual table with the recent victims, a derived zero where the recent one does not list them, and the communes that only it lists.
+
+    Both: region_name, commune_name, victims. Places meet by normalised names.
+    """
+    keys = [norm_name(F.col("region_name")).alias("__region"), norm_name(F.col("commune_name")).alias("__commune")]
+    on = ["__region", "__commune"]
     new = recent.select(*keys, F.col("victims").alias("__victims"))
-    old = annual.join(new, keys, "left").withColumns({
+    old = annual.select("*", *keys).join(new, on, "left").withColumns({
         "recent_h1_2025_victims": F.coalesce("__victims", F.lit(0)),
-        "recent_h1_2025_status": F.when(F.col("__victims").isNull(), "derived_zero_not_listed").otherwise("observed"), "period": F.lit("2024"),
+        "recent_h1_2025_status": F.when(F.col("__victims").isNull(), "derived_zero_not_listed_in_complete_positive_table").otherwise("observed_positive"), "period": F.lit("2024"),
     }).drop("__victims")
-    only = recent.join(annual.select(*keys), keys, "left_anti").select(*keys, "victims", F.col("victims").alias("recent_h1_2025_victims"), F.lit("observed").alias("recent_h1_2025_status"), F.lit("2025-H1").alias("period"))
-    return old.unionByName(only, allowMissingColumns=True)
+    only = recent.select("*", *keys).join(annual.select(*keys), on, "left_anti").select("region_name", "commune_name", "victims", F.col("victims").alias("recent_h1_2025_victims"), F.lit(None).cast("string").alias("recent_h1_2025_status"), F.lit("2025-H1").alias("period"))
+    return old.drop(*on).unionByName(only, allowMissingColumns=True)
+
+
+def homicide_checked(regions: DataFrame, annual: DataFrame, recent: DataFrame) -> None:
+    """Raise where the three tables miss the control totals or the communes of a region miss its own total."""
+    in_year = F.when((F.col("period_type") == "annual") & (F.col("year") == 2024), "2024").when(F.col("period") == "2025-H1", "2025-H1")
+    told = regions.select(F.lit("regions").alias("table"), in_year.alias("period"), F.col("region_code"), F.col("victims").alias("value")).where(F.col("period").isNotNull())
+    of = lambda rows, period: rows.select(F.lit("communes").alias("table"), F.lit(period).alias("period"), region_code_of(F.col("region_name")).alias("region_code"), F.col("victims").alias("value"))
+    rows = told.unionByName(of(annual, "2024")).unionByName(of(recent, "2025-H1"))
+    spark = regions.sparkSession
+    expected = spark.createDataFrame([(t, p, n) for t in ("regions", "communes") for p, n in dims.HOMICIDE_CONTROL.items()], "table string, period string, value long")
+    by_region = lambda t: rows.where((F.col("table") == t) & (F.col("period") == "2024"))
+    listed = by_region("communes").select("region_code").distinct()
+    own = by_region("regions").join(listed, "region_code", "left_semi").groupBy("region_code").agg(F.sum("value").alias("value"))
+    wrong = [r.asDict() for frame in (control_totals(rows, expected, ["table", "period"]), control_totals(by_region("communes"), own, ["region_code"])) for r in frame.limit(5).collect()]
+    if wrong:
+        raise ValueError(f"victims miss their control totals: {wrong}")
+
+
+def homicide_rows(regions: DataFrame, annual: DataFrame, recent: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """Region and commune rows of the three audited tables, checked against the control totals.
+
+    regions: year, period, period_type, region_code, region_name, victims, rate_100k; annual: region_name, commune_name, victims,
+    rate_100k, population; recent: region_name, commune_name, victims; codes: name_norm, commune_code, as a codes sheet gives them.
+    """
+    regions = regions.withColumn("region_code", F.lpad(F.col("region_code").cast("string"), 2, "0"))
+    homicide_checked(regions, annual, recent)
+    fixed = [*[F.lit(v).alias(k) for k, v in VICTIMS.items()], F.lit(0.65).alias("weight")]
+    first = F.when(F.col("period_type") == "annual", ANNUAL_SOURCE).otherwise(RECENT_SOURCE)
+    whole = regions.select(
+        "year", "period", "period_type", F.lit("region").alias("territory_level"), "region_code", "region_name", F.concat(F.lit("CL-"), "region_code").alias("territory_id"), F.col("victims").cast("long").alias("value"), F.col("rate_100k").cast("double").alias("rate_100k"),
+        first.alias("source_id"), F.lit("observed_official_table").alias("data_status"), *fixed,
+    )
+    rows = homicide_communes(annual, recent).withColumns({"region_code": region_code_of(F.col("region_name")), "__name": norm_name(F.col("commune_name"))})
+    if codes is None:
+        rows = rows.withColumn("commune_code", F.lit(None).cast("string"))
+    else:
+        rows = rows.join(F.broadcast(codes.select(F.col("name_norm").alias("__known"), "commune_code")), F.col("__name") == F.col("__known"), "left")
+    old = F.col("period") == "2024"
+    names = F.create_map(*[F.lit(x) for kv in dims.REGIONS.items() for x in kv])
+    communes = rows.select(
+        F.when(old, 2024).otherwise(2025).alias("year"), "period", F.when(old, "annual").otherwise("h1").alias("period_type"), F.lit("commune").alias("territory_level"), "region_code", names[F.col("region_code")].alias("region_name"),
+        "commune_code", "commune_name", legacy_commune_id(F.col("commune_code"), F.col("region_code"), F.col("commune_name")).alias("territory_id"), F.col("victims").cast("long").alias("value"), F.col("rate_100k").cast("double").alias("rate_100k"), F.col("population").cast("long").alias("population"),
+        F.col("recent_h1_2025_victims").cast("long").alias("recent_h1_2025_victims"), "recent_h1_2025_status", F.when(old, ANNUAL_SOURCE).otherwise(RECENT_SOURCE).alias("source_id"), F.when(old, "observed_official_table").otherwise("observed_official_table_partial").alias("data_status"), *fixed,
+    )
+    return whole.unionByName(communes, allowMissingColumns=True)

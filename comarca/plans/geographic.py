@@ -1,21 +1,26 @@
-"""The layered geographic score: one lazy plan from commune x year x category rows to a score for each commune.
+"""The layered geographic score: from commune x year x category rows to a score for each commune.
 
-What a value is compared with (a component's distribution in a year) is aggregated, never gathered: thresholds and medians
-are exact percentile aggregates of a few rows for each component, mid-ranks come from the counts of distinct values. Only
-windows over a commune's own years remain, so no task grows with the number of communes.
+The master is read once: it is aggregated to cells (commune, year, category), which are held in the shared folder, and all
+that follows reads those. What a value is compared with (a component's distribution in a year) is aggregated, never
+gathered: thresholds and medians are exact percentile aggregates, one row for each component and year, whose buffers hold a
+count for each distinct value. Mid-ranks come from the counts of distinct values, summed up range by range. Windows run over
+a commune's own years.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from comarca import dims
+from comarca.files import held
 from comarca.functions.stats import anomaly_score, half_even, score_level, trend_score
 from comarca.functions.text import norm
 from comarca.operators.classify import usable
 
 FAMILY, VERSION = "cead_criminogenic_geographic_score", "1.0.0"
+#: Who a commune is, from the first of its rows.
+IDENTITY = ("territory_id", "region_code", "region_name", "commune_name")
 
 
 def _code5():
@@ -23,28 +28,56 @@ def _code5():
     return F.when(F.length(raw) < 5, F.lpad(raw, 5, "0")).otherwise(raw)
 
 
-def with_code(master: DataFrame) -> DataFrame:
-    """Rows whose code is five digits with zeros in front; a missing code is 00000."""
-    rows = master.withColumn("code", _code5())
-    return rows if "quality_status" in master.columns else rows.withColumn("quality_status", F.lit(None).cast("string"))
+def cells(master: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+    """(code, year, norm, v, rows, who): sums and counts of usable rows by commune, year and category, and the first row's identity.
+
+    Codes are five digits with zeros in front; a missing code is 00000, any other is null and no commune, but its year counts. Rows count as first by
+    `ordinal` where master has it. The result is held: it has at most a row for each row of the master.
+    """
+    has = lambda c, kind="string": F.col(c).cast(kind) if c in master.columns else F.lit(None).cast(kind)
+    at = has(ordinal, "long") if ordinal in master.columns else F.lit(0).cast("long")
+    fits = usable(has("quality_status"))
+    rows = master.select(
+        _code5().alias("code"), F.col("year").cast("int").alias("year"), norm(F.col("crime_category")).alias("norm"), F.when(fits, F.coalesce("value", F.lit(0)).cast("double")).alias("value"), fits.cast("int").alias("fits"),
+        F.struct(at.alias("at"), *[has(c).alias(c) for c in IDENTITY]).alias("who"),
+    )
+    first = F.min("who") if ordinal in master.columns else F.max("who")  # without an order, what is known comes first
+    known = rows.withColumn("code", F.when(F.col("code").rlike(r"^\d{5}$"), F.col("code")))
+    return held(known.groupBy("code", "year", "norm").agg(F.sum("value").alias("v"), F.sum("fits").alias("rows"), first.alias("who")))
 
 
-def series(master: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
-    """(layer..., component, code, year, v): values of usable rows by component. Fallback labels count only where a layer has no component's row at all."""
-    kinds = F.broadcast(dims.components(master.sparkSession, layers).withColumnRenamed("label", "__label"))
-    rows = with_code(master).where(usable(F.col("quality_status")) & F.col("code").rlike(r"^\d{5}$") & F.col("year").isNotNull())
-    keyed = rows.select("code", F.col("year").cast("int").alias("year"), norm(F.col("crime_category")).alias("__norm"), F.coalesce("value", F.lit(0)).cast("double").alias("value"))
+def series(own: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
+    """(layer..., component, code, year, v): values of cells by component. Fallback labels count only where a layer has no component's row at all."""
+    kinds = F.broadcast(dims.components(own.sparkSession, layers))
     of = ["layer_at", "layer", "layer_weight", "component_at", "component", "component_weight", "priority"]
-    summed = keyed.join(kinds, F.col("__norm") == F.col("__label")).groupBy(*of, "code", "year").agg(F.sum("value").alias("v"))
+    rows = own.where((F.col("rows") > 0) & F.col("code").isNotNull() & F.col("year").isNotNull())
+    summed = rows.join(kinds, F.col("norm") == F.col("label")).groupBy(*of, "code", "year").agg(F.sum("v").alias("v"))
     first = summed.groupBy("layer").agg(F.min("priority").alias("priority"))  # a row for each layer
     return summed.join(F.broadcast(first), ["layer", "priority"])
 
 
+def mid_ranks(values: DataFrame) -> DataFrame:
+    """(component, v, less, equal) of (component, v): how many of a component's values are less and how many equal.
+
+    Counts of distinct values are dealt out in ranges; a range's first value is above all ranges before it, whose counts
+    are a row for each component and range.
+    """
+    tally = held(values.groupBy("component", "v").agg(F.count("*").alias("equal")).repartitionByRange("component", "v").withColumn("__range", F.spark_partition_id()))
+    upto = lambda *keys: Window.partitionBy("component", *keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = tally.groupBy("component", "__range").agg(F.sum("equal").alias("__all"))
+    above = spans.select("component", "__range", (F.sum("__all").over(upto().orderBy("__range")) - F.col("__all")).alias("__above"))
+    inside = F.sum("equal").over(upto("__range").orderBy("v")) - F.col("equal")
+    return tally.join(F.broadcast(above), ["component", "__range"]).select("component", "v", (inside + F.col("__above")).alias("less"), "equal")
+
+
 def component_metrics(master: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
     """Intensity, persistence, trend, anomaly and score of each (component, commune) observed in the latest year."""
-    own = series(master, layers)
-    latest = F.broadcast(master.agg(F.max("year").cast("int").alias("latest")))  # one row
-    rows = own.join(latest, F.col("year") <= F.col("latest"))
+    return cell_metrics(cells(master), layers)
+
+
+def cell_metrics(own: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
+    latest = F.broadcast(own.agg(F.max("year").alias("latest")))  # one row
+    rows = held(series(own, layers).join(latest, F.col("year") <= F.col("latest")))
     high = F.broadcast(rows.groupBy("component", "year").agg(F.percentile("v", F.lit(0.75)).alias("q75")))  # a row for each component and year
     own_years = Window.partitionBy("component", "code")
     before = own_years.orderBy("year").rowsBetween(-3, -1)
@@ -57,9 +90,7 @@ def component_metrics(master: DataFrame, layers: dict = dims.LAYERS) -> DataFram
     at_latest = rows.where(F.col("year") == F.col("latest"))
     medians = at_latest.groupBy("component").agg(F.median("v").alias("median"), F.count("*").alias("n"))
     mads = at_latest.join(F.broadcast(medians), "component").groupBy("component", "median", "n").agg(F.median(F.abs(F.col("v") - F.col("median"))).alias("mad"))
-    tally = at_latest.groupBy("component", "v").agg(F.count("*").alias("equal"))
-    less = tally.withColumn("less", F.sum("equal").over(Window.partitionBy("component").orderBy("v")) - F.col("equal"))
-    joined = now.join(F.broadcast(mads), "component").join(less, ["component", "v"])
+    joined = now.join(F.broadcast(mads), "component").join(mid_ranks(at_latest), ["component", "v"])
     scored = joined.select(
         "layer_at", "layer", "layer_weight", "component_at", "component", "component_weight", "code", "year", F.col("v").alias("value"),
         half_even(F.when(F.col("n") <= 1, 50.0).otherwise(100.0 * (F.col("less") + 0.5 * F.col("equal")) / F.col("n")), 2).alias("intensity"), "persistence",
@@ -73,23 +104,38 @@ def layer_scores(metrics: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
     """Per (commune, layer): the observed components' weighted mean and their share of the layer's weight."""
     whole = {name: sum(w for w, _ in parts.values()) or 1.0 for name, (_, _, parts) in layers.items()}
     total = F.create_map(*[x for k, v in whole.items() for x in (F.lit(k), F.lit(v))])
-    parts = F.array_sort(F.collect_list(F.struct("component_at", "component", "component_weight", "score", "value", "intensity", "persistence", "trend", "anomaly", "years_observed")))
+    # A commune's components of a layer, a handful, in their order.
+    labels = F.create_map(*[F.lit(x) for kv in dims.COMPONENT_LABELS.items() for x in kv])
+    label = F.coalesce(labels[F.col("component")], F.col("component")).alias("label")
+    parts = F.array_sort(F.collect_list(F.struct("component_at", F.col("component").alias("id"), label, F.col("component_weight").alias("configured_weight"), "score", "value", "intensity", "persistence", "trend", "anomaly", "years_observed")))
     grouped = metrics.groupBy("code", "layer", "layer_weight").agg(F.sum(F.col("component_weight") * F.col("score")).alias("weighted"), F.sum("component_weight").alias("available"), parts.alias("components"))
     return grouped.select("code", "layer", "layer_weight", half_even(F.try_divide("weighted", "available"), 2).alias("layer_score"), half_even(F.least(F.lit(1.0), F.col("available") / total[F.col("layer")]), 4).alias("coverage"), "components")
 
 
 def geographic_scores(master: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
-    """One row for each commune of master: score, level, confidence and per layer its score and coverage; null where nothing was observed."""
-    scored = layer_scores(component_metrics(master, layers), layers)
+    """One row for each commune of master: who it is, score, level, confidence, and per layer its score and coverage; null where nothing was observed.
+
+    `layers` holds a struct for each layer with its label, weight, score, coverage and the observed components' details.
+    """
+    own = cells(master)
+    scored = layer_scores(cell_metrics(own, layers), layers)
     per = [F.max(F.when(F.col("layer") == name, F.col(c))).alias(f"{name}_{c}") for name in layers for c in ("layer_score", "coverage")]
+    details = [F.first(F.when(F.col("layer") == name, F.col("components")), ignorenulls=True).alias(f"{name}_components") for name in layers]
     weights = sum(w for w, _, _ in layers.values())
-    total = scored.groupBy("code").agg(F.sum(F.col("layer_weight") * F.col("layer_score")).alias("__num"), F.sum("layer_weight").alias("__den"), F.sum(F.col("layer_weight") * F.col("coverage")).alias("__cov"), *per)
-    communes = with_code(master).where(F.col("code").rlike(r"^\d{5}$")).select("code").distinct()
-    latest = F.broadcast(master.agg(F.max("year").cast("int").alias("year")))
+    total = scored.groupBy("code").agg(F.sum(F.col("layer_weight") * F.col("layer_score")).alias("__num"), F.sum("layer_weight").alias("__den"), F.sum(F.col("layer_weight") * F.col("coverage")).alias("__cov"), *per, *details)
+    communes = own.where(F.col("code").isNotNull()).groupBy("code").agg(F.min_by("who", "who.at").alias("who"))
+    latest = F.broadcast(own.agg(F.max("year").alias("year")))
     joined = communes.join(latest, F.col("year").isNotNull()).join(total, "code", "left")
     score = half_even(F.try_divide("__num", "__den"), 2)
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
-    out = joined.select(F.col("code").alias("commune_code"), "year", score.alias("score"), half_even(100.0 * F.coalesce("__cov", F.lit(0.0)) / weights, 1).alias("confidence"), *[c for name in layers for c in (F.col(f"{name}_layer_score"), zero(f"{name}_coverage"))])
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    none: Column = F.array().cast(scored.schema["components"].dataType)
+    layer = lambda name: F.struct(F.lit(dims.LAYER_LABELS.get(name, name)).alias("label"), F.lit(layers[name][0]).alias("configured_weight"), F.col(f"{name}_layer_score").alias("score"), zero(f"{name}_coverage").alias("coverage"), F.coalesce(F.col(f"{name}_components"), none).alias("components"))
+    out = joined.select(
+        F.coalesce(F.nullif(F.col("who.territory_id"), F.lit("")), F.concat(F.lit("CL-"), "code")).alias("territory_id"), "who.region_code", "who.region_name", F.col("code").alias("commune_code"), "who.commune_name",
+        F.col("year").cast("string").alias("period"), "year", F.lit(FAMILY).alias("signal_family"), score.alias("score"), half_even(100.0 * F.coalesce("__cov", F.lit(0.0)) / weights, 1).alias("confidence"),
+        *[c for name in layers for c in (F.col(f"{name}_layer_score"), zero(f"{name}_coverage").alias(f"{name}_coverage"))],
+        F.lit(VERSION).alias("score_version"), F.struct(*[F.lit(w).alias(name) for name, (w, _, _) in layers.items()]).alias("layer_weights"), F.struct(*[layer(name).alias(name) for name in layers]).alias("layers"), F.lit(dims.INTERPRETATION).alias("interpretation"),
+    )
     return out.withColumn("level", score_level(F.col("score")))
 
 
@@ -99,12 +145,9 @@ def ranked(scores: DataFrame) -> DataFrame:
 
 
 def integration_rows(scores: DataFrame) -> DataFrame:
-    """Scores in the shape of the integration contract. Columns that scores lack are null."""
-    has = lambda c, kind="string": F.col(c) if c in scores.columns else F.lit(None).cast(kind)
+    """Scores in the shape of the integration contract."""
     return scores.select(
-        F.coalesce(has("territory_id"), F.concat(F.lit("CL-"), F.col("commune_code"))).alias("territory_id"), F.lit("commune").alias("geography_level"), F.col("year").cast("string").alias("period"),
-        F.lit(FAMILY).alias("signal_family"), "score", F.lit(None).cast("long").alias("value"), F.lit("score_0_100").alias("metric"), F.lit(VERSION).alias("score_version"),
-        F.lit("territorial_criminogenic_context").alias("aml_relevance"), "confidence",
-        F.struct(has("region_code").alias("region_code"), F.col("commune_code"), norm(has("commune_name")).alias("commune_name_norm")).alias("join_keys"),
-        F.array(F.lit("cead_estadisticas_delictuales")).alias("source_families"), F.lit(True).alias("excludes_homicide_as_predicate"),
+        "territory_id", F.lit("commune").alias("geography_level"), "period", "signal_family", "score", F.lit(None).cast("long").alias("value"), F.lit("score_0_100").alias("metric"), "score_version",
+        F.lit("territorial_criminogenic_context").alias("aml_relevance"), "confidence", "layer_weights", "layers", F.struct("region_code", "commune_code", norm(F.col("commune_name")).alias("commune_name_norm")).alias("join_keys"),
+        F.array(F.lit("cead_estadisticas_delictuales")).alias("source_families"), F.lit(True).alias("excludes_homicide_as_predicate"), "interpretation",
     )

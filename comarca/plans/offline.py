@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comarca import dims
+from comarca.files import held
+from comarca.functions.text import norm
 from comarca.operators import classify, export, merge
 from comarca.plans import geographic, priorities, rollups
 from comarca.sources.tables import jsonl, or_last_good
@@ -15,32 +17,59 @@ METRICS = "year int, region_code string, region_name string, crime_category stri
 COMMUNAL = "year int, period string, territory_id string, region_code string, region_name string, commune_name string, commune_name_norm string, commune_code string, cead_family_key string, quality_status string, score_eligible boolean, rate_100k double, population long, estimated_frequency long, source_id string, ultimate_source_id string"
 
 
+EVENTS = "event_id string, source_id string, title string, url string, published_date string, matched_keywords array<string>, event_type string, data_status string, retrieved_at string"
+PUBLICATIONS = "source_id string, title string, url string, retrieved_at string, publication_type string, data_status string"
+EVIDENCE = "evidence_id string, source_id string, url string, retrieved_at string, sha256 string, bytes long, observation_unit string"
+STATUS = "ordinal long, source_id string, ok boolean, records long, error string"
+COMMUNES = "commune_code string, commune_name string, region_code string, region_name string"
+LINEAGE = "source_id string, ultimate_source_id string, source_url string, source_tier string, content_sha256 string, retrieved_at string, generated_at string, freshness string"
+#: What the scoring of money laundering leaves out, said in so many words.
+HOMICIDE_CONTEXT = {"enabled": False, "aml_weight": 0.0, "score_eligible": False, "records_in_v04_core": 0}
+
+
 def datasets(spark: SparkSession, inputs: str) -> dict[str, DataFrame]:
-    """inputs: folder with bridge, direct, last_master, metrics and communal as JSON lines; what is absent is empty."""
+    """inputs: folder with bridge, direct, last_master, metrics, communal, events, publications, evidence, status and communes as JSON lines; what is absent is empty."""
     read = lambda name, schema: jsonl(spark, f"{inputs}/{name}.jsonl", schema)
-    bridge, direct = read("bridge", MASTER), read("direct", MASTER)
+    bridge, direct, communal = read("bridge", MASTER), merge.latest_picked(read("direct", MASTER), F.lit(0)), read("communal", COMMUNAL)
     merged = classify.quality_normalised(merge.precedence_merged(bridge, direct).drop("source_rank", "crime_category_norm"))
-    master = classify.catalog_mapped(or_last_good(merged, read("last_master", MASTER)))
+    # Every output is made of the master, so it is merged once and held.
+    master = held(classify.catalog_mapped(or_last_good(merged, read("last_master", MASTER))))
     metrics = classify.taxonomy_annotated(rollups.with_national(read("metrics", METRICS)))
     regional = metrics.where((F.col("territory_level") == "region") & (F.col("metric") == "delitos_ingresados"))
-    pressure = priorities.regional_pressure(regional)
+    pressure = held(priorities.regional_pressure(regional))
+    priority = priorities.latest_region_priority(pressure)
     features = export.predicate_features(master)
-    scores = geographic.geographic_scores(master)
-    contract = export.integration_contract(priorities.latest_region_priority(pressure), features)
-    scored = geographic.integration_rows(scores).select(*contract.columns)
+    scores = held(geographic.geographic_scores(master))
+    contract = export.integration_contract(priority, features)
+    ordered = ("year", "commune_code", "crime_category_norm")
     return {
-        "cead_master": master.orderBy("year", "commune_code", "crime_category_norm"), "mp_metrics": metrics, "region_pressure": pressure, "predicate_features": features,
-        "current_activity": priorities.current_activity(master), "commune_priority": priorities.commune_priority(read("communal", COMMUNAL)), "geographic_score": geographic.ranked(scores),
-        "integration_ready": merge.family_replaced(contract, scored, geographic.FAMILY), "coverage": rollups.coverage(master), "manifest": rollups.manifest(master),
+        "territorial_metrics": metrics.unionByName(communal, allowMissingColumns=True), "source_evidence": read("evidence", EVIDENCE), "cead_master": master.orderBy(*ordered),
+        "direct_cache": direct.withColumn("crime_category_norm", norm(F.col("crime_category"))).orderBy(*ordered), "predicate_features": features, "secondary_control": communal, "osint_events": read("events", EVENTS), "publications": read("publications", PUBLICATIONS),
+        "current_activity": priorities.current_activity(master).orderBy(F.col("cases_policiales").desc(), "commune_code"), "commune_priority": priorities.commune_priority(communal).orderBy(F.col("cead_aml_priority_score").desc(), "territory_id"),
+        "region_priority": priority.orderBy(F.col("pressure_score").desc(), "region_code"), "region_pressure": pressure.orderBy("year", F.col("pressure_score").desc(), "region_code"), "catalog": dims.catalog(spark), "legal_summary": classify.legal_summary(spark),
+        "integration_ready": merge.family_replaced(contract, geographic.integration_rows(scores), geographic.FAMILY), "geographic_score": geographic.ranked(scores), "mp_metrics": metrics,
+        "coverage": rollups.coverage(master), "manifest": rollups.manifest(master), "unavailable_communes": rollups.unavailable(master, read("communes", COMMUNES)), "source_status": read("status", STATUS).orderBy("ordinal"),
     }
 
 
 def run(spark: SparkSession, inputs: str, outputs: str, version: str) -> dict[str, str]:
-    """Write all datasets, the interop export and the status document below outputs/version; the inputs are never written to."""
+    """Write all datasets, the interop export, the status document and the dashboard below outputs/version; the inputs are never written to.
+
+    inputs/lineage.jsonl says where the master came from; without it nothing is exported to others.
+    """
     made, folder = datasets(spark, inputs), f"{outputs}/version={version}"
+    paths = {name: f"{folder}/{name}" for name in made}
+    export.interop_export(made["cead_master"], jsonl(spark, f"{inputs}/lineage.jsonl", LINEAGE), f"{folder}/interop")
     for name, frame in made.items():
-        export.write_jsonl(frame, f"{folder}/{name}")
-    export.interop_export(made["cead_master"], f"{folder}/interop")
-    communes = made["cead_master"].agg(F.countDistinct("commune_code").alias("n")).first()["n"]
-    export.write_document({"version": version, "communes": communes, "expected_communes": dims.EXPECTED_COMMUNES, "accepted": communes >= dims.LEAST_COMMUNES}, f"{folder}/status.json")
-    return {name: f"{folder}/{name}" for name in made}
+        export.write_jsonl(frame, paths[name])
+    told = rollups.manifest(made["cead_master"]).first().asDict()
+    missing = [r["commune_code"] for r in made["unavailable_communes"].select("commune_code").limit(dims.EXPECTED_COMMUNES).collect()]  # of a fixed list of communes
+    coverage = {"expected_communes": dims.EXPECTED_COMMUNES, "observed_communes": told["communes"], "unavailable_communes": missing, "rule": "absence is never turned into zero"}
+    method = {"version": geographic.VERSION, "layer_weights": {name: w for name, (w, _, _) in dims.LAYERS.items()}, "feature_weights": dims.FACTOR_WEIGHTS, "interpretation": dims.INTERPRETATION}
+    export.write_document(spark, coverage, f"{folder}/coverage.json")
+    export.write_document(spark, HOMICIDE_CONTEXT, f"{folder}/homicide_context.json")
+    export.write_document(spark, method, f"{folder}/geographic_score_methodology.json")
+    export.write_document(spark, {"version": version, "communes": told["communes"], "expected_communes": dims.EXPECTED_COMMUNES, "accepted": told["communes"] >= dims.LEAST_COMMUNES, "coverage": coverage, "manifest": told}, f"{folder}/status.json")
+    export.dashboard(made["current_activity"], made["source_status"], f"{folder}/public", coverage=coverage, homicide_context=HOMICIDE_CONTEXT)
+    export.with_score(f"{folder}/public", made["geographic_score"], made["integration_ready"], method)
+    return paths

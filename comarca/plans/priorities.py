@@ -1,4 +1,8 @@
-"""Regional pressure and the priorities of regions and communes. Percentiles are over regions or communes of a year, a bounded set."""
+"""Regional pressure and the priorities of regions and communes.
+
+Regions of a year are a fixed few, so their percentiles are windows; places are ranked in ranges, however many there are.
+Every fact is read once: aggregates that several branches need are held in the shared folder.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from comarca import dims
-from comarca.functions.stats import clamp, half_even, priority_level, tie_rank_percentile, upper_median
+from comarca.files import held
+from comarca.functions.stats import clamp, half_even, priority_level, tie_rank_percentile, upper_median, with_percentiles
 from comarca.functions.text import norm
 from comarca.operators.merge import one_per
 
@@ -16,20 +21,18 @@ AML_CLASSES, ORG_CLASSES = ("base_19913", "proxy_19913"), ("crimen_organizado_pr
 def regional_pressure(rows: DataFrame) -> DataFrame:
     """rows: year, region_code, crime_category, value, aml_class, weight of region rows. One row for each (year, region)."""
     rows = rows.withColumn("weight", F.coalesce("weight", F.lit(0.1)))
-    by_region = rows.groupBy("year", "region_code").agg(F.sum("value").alias("region_total"))
-    by_category = rows.groupBy("year", "crime_category").agg(F.sum("value").alias("category_total"))
-    by_year = rows.groupBy("year").agg(F.sum("value").alias("year_total"))
-    joined = rows.join(by_region, ["year", "region_code"]).join(by_category, ["year", "crime_category"]).join(by_year, "year")
+    over = lambda *keys: F.sum("value").over(Window.partitionBy(*keys))  # noqa: E731  a year has a row for each region and category
+    joined = rows.withColumns({"region_total": over("year", "region_code"), "category_total": over("year", "crime_category"), "year_total": over("year")})
     floor = lambda c: F.greatest(F.col(c), F.lit(1)).cast("double")
     quotient = (F.col("value") / floor("region_total")) / (floor("category_total") / floor("year_total"))
     part = F.log1p("value") * clamp(quotient, 0.25, 3.0) * F.col("weight")
     aml, org = F.col("aml_class").isin(*AML_CLASSES), F.col("aml_class").isin(*ORG_CLASSES)
-    raw = joined.groupBy("year", "region_code").agg(
+    raw = held(joined.groupBy("year", "region_code").agg(
         # sums come in any order: nine digits decide who ties
         F.round(F.sum(F.when(aml, part).otherwise(0.0)), 9).alias("raw_aml"), F.round(F.sum(F.when(org, part).otherwise(0.0)), 9).alias("raw_org"), F.sum((aml & (F.col("value") > 0)).cast("double")).alias("diversity")
-    )
+    ))
     # The year before is the table's, not the region's: a region that skipped it starts anew.
-    years = rows.select("year").distinct().withColumn("at", F.dense_rank().over(Window.orderBy("year")))  # a row for each year
+    years = raw.select("year").distinct().withColumn("at", F.dense_rank().over(Window.orderBy("year")))  # a row for each year
     timed = raw.join(F.broadcast(years), "year")
     earlier = timed.select("region_code", (F.col("at") + 1).alias("at"), F.col("raw_aml").alias("before"))
     timed = timed.join(earlier, ["region_code", "at"], "left")
@@ -43,20 +46,19 @@ def regional_pressure(rows: DataFrame) -> DataFrame:
 
 
 def latest_region_priority(pressure: DataFrame, method: str = "ministerio_publico_aml_proxy_v0.3") -> DataFrame:
-    latest = F.broadcast(pressure.agg(F.max("year").alias("__latest")))
-    return pressure.join(latest, F.col("year") == F.col("__latest")).drop("__latest").withColumn("method", F.lit(method))
+    """Pressure of the latest year. A year is compared with a window over a row for each year and region."""
+    latest = pressure.withColumn("__latest", F.max("year").over(Window.partitionBy(F.lit(0))))
+    return latest.where(F.col("year") == F.col("__latest")).drop("__latest").withColumn("method", F.lit(method))
 
 
 def region_priority(pressure: DataFrame, homicide: DataFrame) -> DataFrame:
     """pressure: year, region_code, pressure_score; homicide: territory_level, period, region_code, rate_100k. Regions with all four figures."""
     latest = latest_region_priority(pressure).select("year", "region_code", "pressure_score")
-    regions = homicide.where(F.col("territory_level") == "region")
-
-    def rate(period: str, name: str, percentile: str | None = None) -> DataFrame:
-        rows = regions.where(F.col("period") == period).select("region_code", F.col("rate_100k").alias(name))
-        return rows.withColumn(percentile, tie_rank_percentile(F.col(name), F.col("region_code"))) if percentile else rows
-
-    joined = latest.join(rate("2024", "r24", "p24"), "region_code").join(rate("2024-H1", "h24"), "region_code").join(rate("2025-H1", "h25", "p25"), "region_code")
+    periods = {"r24": "2024", "h24": "2024-H1", "h25": "2025-H1"}
+    rates = homicide.where((F.col("territory_level") == "region") & F.col("period").isin(*periods.values())).groupBy("region_code").agg(*[F.max(F.when(F.col("period") == p, F.col("rate_100k"))).alias(c) for c, p in periods.items()])
+    # Places are among the regions that have the figure, whether or not they have the others.
+    rates = rates.withColumns({p: tie_rank_percentile(F.col(c), F.col("region_code"), [F.col(c).isNull()]) for p, c in (("p24", "r24"), ("p25", "h25"))})
+    joined = latest.join(rates.dropna(subset=list(periods)), "region_code")
     delta = (F.col("h25") - F.col("h24")) / F.greatest(F.col("h24"), F.lit(0.1))
     trend = clamp(50 + 50 * clamp(delta, -1.0, 1.0), 0.0, 100.0)
     score = half_even(0.60 * F.col("pressure_score") + 0.20 * F.col("p24") + 0.15 * F.col("p25") + 0.05 * trend, 1)
@@ -77,14 +79,14 @@ def homicide_pressure(rows: DataFrame) -> DataFrame:
     """rows: territory_id, rate_100k, population, value, recent_h1_2025_victims of communes in 2024."""
     population = F.greatest(F.lit(1), F.col("population")).cast("double")
     figures = rows.withColumns({"__rate": shrunk(F.col("rate_100k"), population, F.lit(6.0), 50_000.0), "__volume": F.log1p("value"), "__recent": F.coalesce(F.col("recent_h1_2025_victims"), F.lit(0)).cast("double")})
-    ranked = figures.withColumns({f"p{c}": tie_rank_percentile(F.col(c), F.col("territory_id")) for c in ("__rate", "__volume", "__recent")})
+    ranked = with_percentiles(figures, {f"p{c}": c for c in ("__rate", "__volume", "__recent")}, "territory_id")
     score = half_even(0.55 * F.col("p__rate") + 0.25 * F.col("p__volume") + 0.20 * F.col("p__recent"), 1)
     return ranked.select("territory_id", score.alias("homicide_pressure_score"), priority_level(score).alias("pressure_level"), F.col("value").alias("victims_2024"), half_even(F.col("__rate"), 2).alias("shrunk_rate_2024"), F.col("__recent").cast("long").alias("victims_h1_2025"))
 
 
 def commune_priority(rows: DataFrame) -> DataFrame:
     """rows of E3: communes' drug family in 2024, usable and eligible. Rates shrink to their upper median; volume counts where it is known."""
-    kept = rows.where((F.col("year") == 2024) & (F.col("cead_family_key") == "delitos_asociados_drogas") & (F.col("quality_status") == "usable") & F.col("score_eligible"))
+    kept = held(rows.where((F.col("year") == 2024) & (F.col("cead_family_key") == "delitos_asociados_drogas") & (F.col("quality_status") == "usable") & F.col("score_eligible")))
     prior = F.broadcast(kept.agg(F.coalesce(upper_median("rate_100k"), F.lit(0.0)).alias("__prior")))  # one row
     population = F.coalesce("population", F.lit(0)).cast("double")
     reliability = F.when(population > 0, population / (population + 25_000.0)).otherwise(0.45)
@@ -94,7 +96,7 @@ def commune_priority(rows: DataFrame) -> DataFrame:
     })
     # Percentiles are by territory: of rows that repeat one, the last counts, and all get its place.
     per = one_per(figures, ["territory_id"], [F.col("__rate"), F.col("__volume")], last=True)
-    places = per.select("territory_id", *[tie_rank_percentile(F.col(c), F.col("territory_id")).alias(p) for c, p in (("__rate", "p_rate"), ("__volume", "p_volume"))])
+    places = with_percentiles(per.select("territory_id", "__rate", "__volume"), {"p_rate": "__rate", "p_volume": "__volume"}, "territory_id").select("territory_id", "p_rate", "p_volume")
     ranked = figures.join(places, "territory_id")
     known = F.col("estimated_frequency").isNotNull()
     score = half_even(F.when(known, 0.70 * F.col("p_rate") + 0.30 * F.col("p_volume")).otherwise(F.col("p_rate")), 1)
@@ -116,6 +118,7 @@ def current_activity(master: DataFrame, ordinal: str = "ordinal") -> DataFrame:
 
 def year_on_year(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Rows of the latest year with the value of the year before (not of the last one observed) and the change in percent."""
+    rows = held(rows)
     latest = F.broadcast(rows.agg(F.max("year").alias("__latest")))
     before = rows.select(*[F.col(k).alias(f"__{k}") for k in keys], (F.col("year") + 1).alias("__year"), F.col(value).alias(f"previous_{value}"))
     same = F.col("year") == F.col("__year")

@@ -46,6 +46,11 @@ def manifest(master: DataFrame) -> DataFrame:
     )
 
 
+def unavailable(master: DataFrame, communes: DataFrame) -> DataFrame:
+    """The expected communes of which master has no row, by code."""
+    return communes.join(F.broadcast(master.select("commune_code").distinct()), "commune_code", "left_anti").orderBy("commune_code")  # a fixed list of places
+
+
 def section_fingerprints(rows: DataFrame, section: Sequence[str], figures: Sequence[Column]) -> DataFrame:
     """A digest of each section's rows whatever their order: equal digests are equal bags of rows.
 
@@ -57,8 +62,7 @@ def section_fingerprints(rows: DataFrame, section: Sequence[str], figures: Seque
 
 def quarantined_duplicates(rows: DataFrame, source: str, section: str, checked: str, against: Sequence[str], figures: Sequence[Column]) -> DataFrame:
     """Per source: whether the checked section repeats one of the others row for row."""
-    prints = section_fingerprints(rows, [source, section], figures)
-    own = prints.where(F.col(section) == checked).select(source, F.struct("rows", "one", "two").alias("own"))
-    rest = prints.where(F.col(section).isin(*against)).select(F.col(source).alias("__source"), F.struct("rows", "one", "two").alias("other"))
-    same = own.join(rest, (F.col(source) == F.col("__source")) & (F.col("own") == F.col("other")), "left_semi").select(source).withColumn("duplicated", F.lit(True))
-    return own.select(source).join(same, source, "left").withColumn("duplicated", F.coalesce("duplicated", F.lit(False)))
+    prints = section_fingerprints(rows, [source, section], figures).withColumn("print", F.struct("rows", "one", "two"))
+    own = F.max(F.when(F.col(section) == checked, F.col("print"))).alias("own")
+    others = F.collect_set(F.when(F.col(section).isin(*against), F.col("print"))).alias("others")  # one for each section
+    return prints.groupBy(source).agg(own, others).where(F.col("own").isNotNull()).select(source, F.array_contains("others", F.col("own")).alias("duplicated"))

@@ -99,11 +99,12 @@ def geo_component_metrics(spark, sf_dir):
     return _metrics(spark, sf_dir).select(*METRIC_COLUMNS)
 
 
-def scores_sql(layers: dict, facts: str) -> str:
+def scores_sql(layers: dict, facts: str, who: tuple[str, str] = ("NULL::VARCHAR", "NULL::VARCHAR")) -> str:
     whole = {name: sum(w for w, _ in parts.values()) for name, (_, _, parts) in layers.items()}
     total = "CASE layer " + " ".join(f"WHEN '{k}' THEN {v!r}::DOUBLE" for k, v in whole.items()) + " END"
     per = ", ".join(f"max(CASE WHEN layer = '{k}' THEN layer_score END) AS {k}_layer_score, max(CASE WHEN layer = '{k}' THEN coverage END) AS {k}_coverage" for k in layers)
     out = ", ".join(f"{k}_layer_score, coalesce({k}_coverage, 0.0) AS {k}_coverage" for k in layers)
+    region, name = who
     weights = sum(w for w, _, _ in layers.values())
     return f"""
     WITH {geo_ctes(layers, facts)},
@@ -111,29 +112,38 @@ def scores_sql(layers: dict, facts: str) -> str:
         SELECT code, layer, layer_weight, round_even(sum(component_weight * score) / sum(component_weight), 2) AS layer_score, round_even(least(1.0, sum(component_weight) / ({total})), 4) AS coverage
         FROM metrics GROUP BY code, layer, layer_weight),
     totals AS (SELECT code, sum(layer_weight * layer_score) AS num, sum(layer_weight) AS den, sum(layer_weight * coverage) AS cov, {per} FROM layered GROUP BY code),
+    parts AS (SELECT code, count(*) AS observed FROM metrics GROUP BY code),
     final AS (
-        SELECT c.code AS commune_code, CAST(latest AS INTEGER) AS year, round_even(num / den, 2) AS score, round_even(100.0 * coalesce(cov, 0.0) / {weights!r}::DOUBLE, 1) AS confidence, {out}
-        FROM (SELECT DISTINCT lpad(commune_code, 5, '0') AS code FROM facts) c CROSS JOIN latest LEFT JOIN totals ON totals.code = c.code)
+        SELECT 'CL-' || c.code AS territory_id, c.region_code, c.code AS commune_code, c.commune_name, CAST(latest AS VARCHAR) AS period, 'cead_criminogenic_geographic_score' AS signal_family, CAST(coalesce(observed, 0) AS INTEGER) AS observed, 0.35::DOUBLE AS economy_weight, CAST(latest AS INTEGER) AS year, round_even(num / den, 2) AS score, round_even(100.0 * coalesce(cov, 0.0) / {weights!r}::DOUBLE, 1) AS confidence, {out}
+        FROM (SELECT lpad(commune_code, 5, '0') AS code, max({region}) AS region_code, max({name}) AS commune_name FROM facts GROUP BY 1) c CROSS JOIN latest LEFT JOIN totals ON totals.code = c.code LEFT JOIN parts ON parts.code = c.code)
     SELECT *, CASE WHEN score >= 80 THEN 'Muy alto' WHEN score >= 65 THEN 'Alto' WHEN score >= 45 THEN 'Medio' WHEN score >= 25 THEN 'Bajo' WHEN score IS NOT NULL THEN 'Muy bajo' END AS level FROM final"""
 
 
+def _scores(master: DataFrame, layers: dict) -> DataFrame:
+    """Who, score, level, confidence and layers; the layers' components are counted."""
+    found = geographic.geographic_scores(master, layers)
+    per = [c for name in layers for c in (f"{name}_layer_score", f"{name}_coverage")]
+    observed = sum((F.size(f"layers.{name}.components") for name in layers), F.lit(0)).alias("observed")
+    return found.select("territory_id", "region_code", "commune_code", "commune_name", "period", "year", "signal_family", "score", "level", "confidence", *per, observed, F.col("layer_weights.criminal_economy").alias("economy_weight"))
+
+
 @query(scores_sql(LAYERS, SPARSE_SQL))
 def geo_score_flat(spark, sf_dir):
-    return geographic.geographic_scores(sparse(spark, sf_dir), LAYERS)
+    return _scores(sparse(spark, sf_dir), LAYERS)
 
 
 @query(scores_sql(FALLBACK_LAYERS, SPARSE_SQL))
 def geo_score_fallback(spark, sf_dir):
-    return geographic.geographic_scores(sparse(spark, sf_dir), FALLBACK_LAYERS)
+    return _scores(sparse(spark, sf_dir), FALLBACK_LAYERS)
 
 
 TYPES = ("economy", "large", "medium", "promo", "small", "standard")
 DENSE_LAYERS = {"predicate_direct": (0.55, (), {f"a{k}": (w, (t,)) for k, (w, t) in enumerate(zip((0.537, 0.463), TYPES[:2]))}), "criminal_economy": (0.35, (), {f"b{k}": (w, (t,)) for k, (w, t) in enumerate(zip((0.611, 0.389), TYPES[2:4]))}), "criminogenic_context": (0.1, (), {f"c{k}": (w, (t,)) for k, (w, t) in enumerate(zip((0.703, 0.297), TYPES[4:]))})}
 
 
-@query(scores_sql(DENSE_LAYERS, DENSE_SQL))
+@query(scores_sql(DENSE_LAYERS, DENSE_SQL, ("region_code", "commune_name")))
 def geo_score_dense(spark, sf_dir):
-    return geographic.geographic_scores(dense(spark, sf_dir), DENSE_LAYERS)
+    return _scores(dense(spark, sf_dir), DENSE_LAYERS)
 
 
 for _name, _columns in (("midrank_intensity", "value, intensity"), ("persistence_q75", "persistence, years_observed"), ("trend_last3", "value, trend"), ("robust_anomaly", "value, anomaly")):
@@ -148,10 +158,15 @@ for _name, _columns in (("midrank_intensity", "value, intensity"), ("persistence
 @query(f"""
     WITH {geo_ctes(LAYERS, SPARSE_SQL)},
     layered AS (SELECT code, layer, layer_weight, round_even(sum(component_weight * score) / sum(component_weight), 2) AS layer_score FROM metrics GROUP BY code, layer, layer_weight)
-    SELECT 'CL-' || code AS territory_id, '2001' AS period, 'cead_criminogenic_geographic_score' AS signal_family, round_even(sum(layer_weight * layer_score) / sum(layer_weight), 2) AS score
+    SELECT 'CL-' || code AS territory_id, 'commune' AS geography_level, CAST((SELECT latest FROM latest) AS VARCHAR) AS period, 'cead_criminogenic_geographic_score' AS signal_family, round_even(sum(layer_weight * layer_score) / sum(layer_weight), 2) AS score,
+           'score_0_100' AS metric, '1.0.0' AS score_version, 'territorial_criminogenic_context' AS aml_relevance, 0.55::DOUBLE AS direct_weight, code AS join_code, '' AS join_name, true AS excludes_homicide_as_predicate, true AS interpreted
     FROM layered GROUP BY code""")
 def geo_integration_rows(spark, sf_dir):
-    return geographic.integration_rows(geographic.geographic_scores(sparse(spark, sf_dir), LAYERS)).where(F.col("score").isNotNull()).select("territory_id", "period", "signal_family", "score")
+    rows = geographic.integration_rows(geographic.geographic_scores(sparse(spark, sf_dir), LAYERS)).where(F.col("score").isNotNull())
+    return rows.select(
+        "territory_id", "geography_level", "period", "signal_family", "score", "metric", "score_version", "aml_relevance", F.col("layer_weights.predicate_direct").alias("direct_weight"), F.col("join_keys.commune_code").alias("join_code"),
+        F.col("join_keys.commune_name_norm").alias("join_name"), "excludes_homicide_as_predicate", F.contains("interpretation", F.lit("No representa probabilidad de lavado")).alias("interpreted"),
+    )
 
 
 # ---- Ranks, sums, merges ----------------------------------------------------------------------------------------
@@ -164,7 +179,7 @@ def geo_integration_rows(spark, sf_dir):
     FROM totals""")
 def tie_rank_percentile(spark, sf_dir):
     totals = sparse(spark, sf_dir).groupBy("commune_code").agg(F.sum("value").alias("total"))
-    return totals.withColumn("percentile", F.bround(stats.tie_rank_percentile(F.col("total"), F.col("commune_code")), 6))
+    return stats.with_percentiles(totals, {"percentile": "total"}, "commune_code").withColumn("percentile", F.bround("percentile", 6))
 
 
 @query(f"WITH facts AS ({DENSE_SQL}) SELECT region_code, list_sort(list(value))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS upper_median, round_even(quantile_cont(value, 0.75), 6) AS q75, round_even(median(value), 6) AS median FROM facts GROUP BY 1")
@@ -306,19 +321,18 @@ _RANK = "CASE source_tier WHEN 'primary_direct' THEN 10 WHEN 'mirror_of_primary'
     best AS (SELECT *, row_number() OVER (PARTITION BY year, code, crime_category_norm ORDER BY CASE WHEN source_tier IS NULL THEN 90 ELSE {_RANK.format(99)} END, side, ordinal) AS k FROM kept)
     SELECT year, commune_code, crime_category_norm, value, source_tier, {_RANK.format(99)} AS source_rank FROM best WHERE k = 1""")
 def precedence_merge(spark, sf_dir):
-    rows = tiered(spark, sf_dir)
-    direct = F.col("source_tier").eqNullSafe("primary_direct")
-    return merge.precedence_merged(rows.where(~direct), rows.where(direct)).select("year", "commune_code", "crime_category_norm", "value", "source_tier", "source_rank")
+    side = F.col("source_tier").eqNullSafe("primary_direct").cast("int")
+    return merge.precedence_picked(tiered(spark, sf_dir), side).select("year", "commune_code", "crime_category_norm", "value", "source_tier", "source_rank")
 
 
 @query(f"""
-    WITH facts AS (SELECT *, CASE WHEN source_tier = 'primary_direct' THEN 1 ELSE 0 END AS side FROM ({TIERED_SQL}) WHERE commune_code IS NOT NULL),
-    best AS (SELECT *, row_number() OVER (PARTITION BY year, commune_code, crime_category ORDER BY side DESC, ordinal DESC) AS k FROM facts)
-    SELECT year, commune_code, crime_category, value, source_tier FROM best WHERE k = 1""")
+    WITH facts AS (SELECT *, CASE WHEN source_tier = 'primary_direct' THEN 1 ELSE 0 END AS side, lpad(coalesce(commune_code, ''), 5, '0') AS code, {norm_sql('crime_category')} AS label FROM ({TIERED_SQL}) WHERE commune_code IS NOT NULL),
+    best AS (SELECT *, row_number() OVER (PARTITION BY year, code, label ORDER BY side DESC, ordinal DESC) AS k FROM facts)
+    SELECT year, code, label, value, source_tier FROM best WHERE k = 1""")
 def cache_upsert(spark, sf_dir):
     rows = tiered(spark, sf_dir).where(F.col("commune_code").isNotNull())
-    direct = F.col("source_tier").eqNullSafe("primary_direct")
-    return merge.upserted(rows.where(~direct), rows.where(direct), ["year", "commune_code", "crime_category"]).select("year", "commune_code", "crime_category", "value", "source_tier")
+    found = merge.latest_picked(rows, F.col("source_tier").eqNullSafe("primary_direct").cast("int"))
+    return found.select("year", merge.keyed_code(F.col("commune_code")).alias("code"), text.norm(F.col("crime_category")).alias("label"), "value", "source_tier")
 
 
 @query(f"""
@@ -331,19 +345,18 @@ def yoy_activity(spark, sf_dir):
 
 
 DRUG_SQL = """
-    SELECT lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS commune_code, CAST(year(l_shipdate) AS INTEGER) AS year, CASE WHEN l_returnflag = 'R' THEN 'Delitos asociados a drogas' ELSE 'Crímenes y simples delitos Ley de Drogas' END AS crime_category,
-           count(*) AS value FROM lineitem WHERE l_returnflag = 'A' OR (l_returnflag = 'R' AND l_suppkey % 3 = 0) GROUP BY ALL"""
+    SELECT lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS commune_code, CAST(year(l_shipdate) AS INTEGER) AS year, CASE l_returnflag WHEN 'R' THEN 'Delitos asociados a drogas' WHEN 'A' THEN 'Crímenes y simples delitos Ley de Drogas' ELSE 'Homicidios' END AS crime_category,
+           count(*) AS value FROM lineitem GROUP BY ALL"""
 
 
 @query(f"""
-    WITH facts AS ({DRUG_SQL}), ranked AS (SELECT *, row_number() OVER (PARTITION BY year, commune_code ORDER BY CASE WHEN crime_category LIKE 'Delitos%' THEN 0 ELSE 1 END) AS k FROM facts),
+    WITH facts AS ({DRUG_SQL}), ranked AS (SELECT *, row_number() OVER (PARTITION BY year, commune_code ORDER BY CASE WHEN crime_category LIKE 'Delitos%' THEN 0 ELSE 1 END) AS k FROM facts WHERE crime_category <> 'Homicidios'),
     best AS (SELECT * FROM ranked WHERE k = 1)
     SELECT a.year, a.commune_code, a.crime_category, a.value AS cases_policiales, b.value AS previous_cases_policiales, round_even((a.value - b.value) * 100.0::DOUBLE / nullif(b.value, 0), 1) AS yoy_pct
     FROM best a LEFT JOIN best b ON b.commune_code = a.commune_code AND b.year = a.year - 1 WHERE a.year = (SELECT max(year) FROM best)""")
 def current_activity(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem").where((F.col("l_returnflag") == "A") | ((F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 3 == 0)))
-    label = F.when(F.col("l_returnflag") == "R", "Delitos asociados a drogas").otherwise("Crímenes y simples delitos Ley de Drogas")
-    rows = line.groupBy(F.lpad(F.col("l_suppkey").cast("string"), 5, "0").alias("commune_code"), F.year("l_shipdate").alias("year"), label.alias("crime_category")).agg(F.count("*").alias("value"))
+    label = F.when(F.col("l_returnflag") == "R", "Delitos asociados a drogas").when(F.col("l_returnflag") == "A", "Crímenes y simples delitos Ley de Drogas").otherwise("Homicidios")
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.lpad(F.col("l_suppkey").cast("string"), 5, "0").alias("commune_code"), F.year("l_shipdate").alias("year"), label.alias("crime_category")).agg(F.count("*").alias("value"))
     found = priorities.current_activity(rows.withColumns({"score_eligible": F.lit(True), "ordinal": F.lit(0)}))
     return found.select("year", "commune_code", "crime_category", "cases_policiales", "previous_cases_policiales", "yoy_pct")
 
@@ -413,7 +426,7 @@ _CODES = sorted({c for codes in dims.LEGAL_CODES.values() for c in codes})
     classified AS (
         SELECT p_partkey, codes.code, CASE WHEN class IS NOT NULL THEN class WHEN CAST(codes.code AS BIGINT) IN (7030, 7035, 7036, 7098) THEN 'historical_nonvigent' WHEN CAST(codes.code AS BIGINT) BETWEEN 2004 AND 2011 THEN 'predicate_direct'
                WHEN CAST(codes.code AS BIGINT) BETWEEN 7001 AND 7099 THEN 'predicate_direct' ELSE 'unmapped' END AS legal_class,
-               CASE WHEN class IS NOT NULL THEN 'exact' WHEN CAST(codes.code AS BIGINT) IN (7030, 7035, 7036, 7098) THEN 'nonvigent' WHEN CAST(codes.code AS BIGINT) BETWEEN 2004 AND 2011 OR CAST(codes.code AS BIGINT) BETWEEN 7001 AND 7099 THEN 'range' ELSE 'default' END AS rule_type
+               CASE WHEN class IS NOT NULL THEN 'exact' WHEN CAST(codes.code AS BIGINT) IN (7030, 7035, 7036, 7098) THEN 'exclusion' WHEN CAST(codes.code AS BIGINT) BETWEEN 2004 AND 2011 OR CAST(codes.code AS BIGINT) BETWEEN 7001 AND 7099 THEN 'range' ELSE 'default' END AS rule_type
         FROM codes LEFT JOIN exact ON exact.code = CAST(codes.code AS BIGINT))
     SELECT p_partkey, code, legal_class, rule_type FROM classified""")
 def legal_range_classify(spark, sf_dir):
@@ -516,17 +529,26 @@ def territory_key(spark, sf_dir):
 
 @query(f"""
     WITH facts AS ({DENSE_SQL})
-    SELECT 'EVT-DELICTUAL-' || left(sha256('CL-COM-' || commune_code || '|' || year || '|' || crime_category || '|' || 'lineitem'), 24) AS event_id, 'CL-COM-' || commune_code AS territory_id,
-           format('{{:04d}}-01-01T00:00:00Z', year) AS valid_from, format('{{:04d}}-01-01T00:00:00Z', year + 1) AS valid_to FROM facts""")
+    SELECT 'EVT-DELICTUAL-' || left(sha256('CL-COM-' || commune_code || '|' || year || '|' || crime_category || '|' || 'lineitem'), 24) AS event_id, 'TERRITORIAL_CRIME_STATISTIC' AS event_type, 'RADAR_DELICTUAL' AS producer_id, 'CL-COM-' || commune_code AS territory_id,
+           'EVD-DELICTUAL-' || left(sha256('cead_governed_snapshot||2025-01-02T03:04:05+00:00'), 20) AS evidence_id, format('{{:04d}}-01-01T00:00:00+00:00', year) AS valid_from, format('{{:04d}}-01-01T00:00:00+00:00', year + 1) AS valid_to,
+           '2025-01-02T03:04:05+00:00' AS observed_at, 'STALE' AS freshness_state, value AS attribute_value, commune_code AS attribute_code FROM facts""")
 def event_identity(spark, sf_dir):
+    lineage = spark.createDataFrame([("2025-01-02T03:04:05+00:00", "stale")], "generated_at string, freshness string")
     rows = export.adapted(dense(spark, sf_dir)).withColumn("source_id", F.lit("lineitem"))
-    return export.fusion_events(rows).select("event_id", F.col("territory_ids")[0].alias("territory_id"), "temporal.valid_from", "temporal.valid_to")
+    events = export.fusion_events(rows, export.fusion_evidence(lineage).first())
+    return events.select(
+        "event_id", "event_type", "producer_id", F.col("territory_ids")[0].alias("territory_id"), F.col("evidence_ids")[0].alias("evidence_id"), "temporal.valid_from", "temporal.valid_to", "temporal.observed_at", "temporal.freshness_state",
+        F.col("attributes.value").alias("attribute_value"), F.col("attributes.commune_code").alias("attribute_code"),
+    )
 
 
-@query("SELECT 'EVD-DELICTUAL-' || left(sha256('pages|' || sha256(coalesce(html, '')) || '|'), 20) AS evidence_id, sha256(coalesce(html, '')) AS sha256, CASE WHEN page_id % 3 = 0 THEN 'STALE' ELSE 'CURRENT' END AS status FROM pages")
+@query("""
+    SELECT 'EVD-DELICTUAL-' || left(sha256('pages|' || sha256(coalesce(html, '')) || '|2025-01-0' || (page_id % 9 + 1)), 20) AS evidence_id, 'RADAR_DELICTUAL' AS producer_id, 'pages' AS source_id, 'cead_estadisticas_delictuales' AS ultimate_source_id,
+           url AS source_url, 'GOVERNED_PUBLIC' AS source_tier, sha256(coalesce(html, '')) AS content_sha256, CASE WHEN page_id % 3 = 0 THEN 'STALE' ELSE 'VALID' END AS quality_status, '2025-01-0' || (page_id % 9 + 1) AS retrieved_at, '2025-01-0' || (page_id % 9 + 1) AS ingested_at FROM pages""")
 def evidence_identity(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source_id"), F.sha2(F.coalesce("html", F.lit("")), 256).alias("sha256"), F.lit(None).cast("string").alias("retrieved_at"), F.when(F.col("page_id") % 3 == 0, "stale").alias("freshness"))
-    return export.fusion_evidence(rows).select("evidence_id", "sha256", "status")
+    at = F.concat(F.lit("2025-01-0"), (F.col("page_id") % 9 + 1).cast("string"))
+    rows = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source_id"), F.col("url").alias("source_url"), F.sha2(F.coalesce("html", F.lit("")), 256).alias("content_sha256"), at.alias("retrieved_at"), F.when(F.col("page_id") % 3 == 0, "stale").alias("freshness"))
+    return export.fusion_evidence(rows).select("evidence_id", "producer_id", "source_id", "ultimate_source_id", "source_url", "source_tier", "content_sha256", "quality_status", "retrieved_at", "ingested_at")
 
 
 @query("SELECT page_id, 'url:' || sha1(url) AS event_id FROM pages")
@@ -543,22 +565,27 @@ def keyword_hits(spark, sf_dir):
 
 
 @query(r"""SELECT doc_id, CASE WHEN d <> '' THEN regexp_extract(t, '\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b', 3) || '-' || lpad(regexp_extract(t, '\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b', 2), 2, '0') || '-' || lpad(regexp_extract(t, '\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b', 1), 2, '0') END AS published_date
-    FROM (SELECT doc_id, t, regexp_extract(t, '\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b', 0) AS d FROM (SELECT doc_id, left(text, 20) || ' ' || (doc_id % 31) || CASE WHEN doc_id % 2 = 0 THEN '/' ELSE '.' END || '0' || (doc_id % 9 + 1) || '-2024 x' AS t FROM documents))""")
+    FROM (SELECT doc_id, t, regexp_extract(t, '\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b', 0) AS d FROM (SELECT doc_id, text || ' ' || (doc_id % 31) || CASE WHEN doc_id % 2 = 0 THEN '/' ELSE '.' END || '0' || (doc_id % 9 + 1) || '-2024 x' AS t FROM documents))""")
 def nearby_date(spark, sf_dir):
-    made = F.concat(F.substring("text", 1, 20), F.lit(" "), (F.col("doc_id") % 31).cast("string"), F.when(F.col("doc_id") % 2 == 0, "/").otherwise("."), F.lit("0"), (F.col("doc_id") % 9 + 1).cast("string"), F.lit("-2024 x"))
+    made = F.concat("text", F.lit(" "), (F.col("doc_id") % 31).cast("string"), F.when(F.col("doc_id") % 2 == 0, "/").otherwise("."), F.lit("0"), (F.col("doc_id") % 9 + 1).cast("string"), F.lit("-2024 x"))
     return table(spark, sf_dir, "documents").select("doc_id", text.nearby_date(made).alias("published_date"))
 
 
 @query(f"""
     WITH {PRESSURE_CTES}, facts2 AS ({SPARSE_SQL})
-    SELECT 'CL-' || region_code AS territory_id, 'region' AS geography_level, CAST(year AS VARCHAR) AS period, 'ministerio_publico_aml_proxy' AS signal_family, pressure_score AS score, CAST(NULL AS BIGINT) AS value, '0.4' AS score_version FROM pressure
-    UNION ALL SELECT 'CL-' || commune_code, 'commune', CAST(year AS VARCHAR), 'cead_predicate_offense', NULL, value, '0.4' FROM facts2 WHERE crime_category = 'Brand#3'""")
+    SELECT 'CL-' || region_code AS territory_id, 'region' AS geography_level, CAST(year AS VARCHAR) AS period, 'ministerio_publico_aml_proxy' AS signal_family, pressure_score AS score, CAST(NULL AS BIGINT) AS value, 'score_proxy' AS metric, '0.4' AS score_version, 'analytical_proxy' AS aml_relevance,
+           CAST(NULL AS VARCHAR) AS crime_category, CAST(NULL AS VARCHAR) AS article27_mapping_key, CAST(NULL AS VARCHAR) AS article27_relation, CAST(NULL AS DOUBLE) AS aml_weight, CAST(NULL AS VARCHAR) AS source_tier, region_code AS join_region, CAST(NULL AS VARCHAR) AS join_commune, CAST(NULL AS VARCHAR) AS join_name, ['ministerio_publico_saf'] AS source_families, true AS excludes_homicide_weight FROM pressure
+    UNION ALL SELECT 'CL-' || commune_code, 'commune', CAST(year AS VARCHAR), 'cead_predicate_offense', NULL, value, 'casos_policiales', '0.4', 'predicate_direct', crime_category, 'group:401', NULL, 1.0, 'mirror_of_primary', NULL, commune_code, NULL, ['lineitem', 'cead_estadisticas_delictuales'], true FROM facts2 WHERE crime_category = 'Brand#3'
+    UNION ALL SELECT 'CL-' || commune_code, 'commune', CAST(year AS VARCHAR), 'cead_art27_drug_family', CAST(value AS DOUBLE), NULL, 'score_proxy', '0.3-compat', 'direct_predicate_family', NULL, NULL, 'direct_family_ley_20000', NULL, NULL, NULL, commune_code, 'c ' || commune_code, ['cead_estadisticas_delictuales'], true FROM facts2 WHERE crime_category = 'Brand#5'""")
 def contract_union(spark, sf_dir):
-    master = sparse(spark, sf_dir).where(F.col("crime_category") == "Brand#3").withColumns({
-        "territory_id": F.concat(F.lit("CL-"), "commune_code"), "period": F.col("year").cast("string"), "score_eligible": F.lit(True), "aml_weight": F.lit(1.0), "aml_class": F.lit("predicate_direct"), "source_id": F.lit("lineitem"),
-    })
-    contract = export.integration_contract(priorities.regional_pressure(regional(spark, sf_dir)), export.predicate_features(master))
-    return contract.select("territory_id", "geography_level", "period", "signal_family", "score", "value", "score_version")
+    rows = sparse(spark, sf_dir).where(F.col("crime_category").isin("Brand#3", "Brand#5")).withColumns({"territory_id": F.concat(F.lit("CL-"), "commune_code"), "period": F.col("year").cast("string")})
+    master = rows.where(F.col("crime_category") == "Brand#3").withColumns({"score_eligible": F.lit(True), "aml_weight": F.lit(1.0), "aml_class": F.lit("predicate_direct"), "source_id": F.lit("lineitem"), "source_tier": F.lit("mirror_of_primary"), "article27_mapping_key": F.lit("group:401")})
+    older = rows.where(F.col("crime_category") == "Brand#5").select("territory_id", "period", "commune_code", F.concat(F.lit("c "), "commune_code").alias("commune_name_norm"), F.col("value").cast("double").alias("cead_aml_priority_score"), F.lit("direct_family_ley_20000").alias("article27_relation"))
+    contract = export.integration_contract(priorities.regional_pressure(regional(spark, sf_dir)), export.predicate_features(master), older)
+    return contract.select(
+        "territory_id", "geography_level", "period", "signal_family", "score", "value", "metric", "score_version", "aml_relevance", "crime_category", "article27_mapping_key", "article27_relation", "aml_weight", "source_tier",
+        F.col("join_keys.region_code").alias("join_region"), F.col("join_keys.commune_code").alias("join_commune"), F.col("join_keys.commune_name_norm").alias("join_name"), "source_families", "excludes_homicide_weight",
+    )
 
 
 @query("""
@@ -573,16 +600,30 @@ def attach_codes(spark, sf_dir):
     return places.codes_by_name(rows, known).select("c_custkey", "cut_status", "commune_code")
 
 
-@query()
+# Links of the test pages: <a href="/...">text</a>, addresses from the root of the page's host. The last of an address counts as event, the first as publication.
+LINKS_CTES = r"""
+    pieces AS (
+        SELECT page_id, regexp_extract(url, '^(https?://[^/?#]*)', 1) AS root, unnest(regexp_extract_all(html, '<a href="(/[^"]*)">[^<]*</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a href="/[^"]*">([^<]*)</a>', 1)) AS inside,
+               unnest(generate_series(1, len(regexp_extract_all(html, '<a href="/[^"]*">[^<]*</a>')))) AS link_at FROM pages),
+    said AS (SELECT page_id, link_at, root || replace(href, '&amp;', '&') AS url, trim(regexp_replace(replace(replace(replace(replace(inside, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pieces)"""
+
+
+@query(f"""
+    WITH {LINKS_CTES}, hits AS (SELECT *, list_filter(['ción', 'que', 'the', 'und'], lambda k: contains(lower(title), k)) AS matched_keywords FROM said WHERE length(title) >= 3),
+    best AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC, link_at DESC) AS k FROM hits WHERE len(matched_keywords) > 0)
+    SELECT 'url:' || sha1(url) AS event_id, 'pages' AS source_id, title, url, NULL::VARCHAR AS published_date, matched_keywords, 'official_publication_signal' AS event_type, 'observed_publication' AS data_status FROM best WHERE k = 1""")
 def osint_events(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source_id"), "url", F.col("page_id").alias("ordinal"), "html")
     return osint.events(pages, ("the", "que", "und", "ción"), least_title=3)
 
 
-@query()
+@query(f"""
+    WITH {LINKS_CTES}, hits AS (SELECT * FROM said WHERE contains(lower(title || ' ' || url), 'the') OR contains(lower(title || ' ' || url), 'der') OR contains(lower(title || ' ' || url), 'ción')),
+    best AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id, link_at) AS k FROM hits)
+    SELECT 'pages' AS source_id, CASE WHEN title = '' THEN split_part(url, '/', -1) ELSE title END AS title, url, NULL::VARCHAR AS retrieved_at, 'official_discovery' AS publication_type, 'observed_link' AS data_status FROM best WHERE k = 1""")
 def osint_publications(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source_id"), "url", F.col("page_id").alias("ordinal"), "html")
-    return osint.publications(pages, ("the", "der"))
+    return osint.publications(pages, ("the", "der", "ción"))
 
 
 def queries() -> dict[str, Query]:

@@ -45,15 +45,20 @@ def _annual_pages(spark, sf_dir) -> DataFrame:
 
 ANNUAL_CTE = """
     rates AS (
-        SELECT n_regionkey + 1 AS district, n_name AS commune_name, 'delitos_asociados_drogas' AS cead_family_key, n_nationkey * 1234.5::DOUBLE AS rate_100k FROM nation
-        UNION ALL SELECT n_regionkey + 1, n_name, 'delitos_asociados_armas', n_nationkey + 0.25::DOUBLE FROM nation
-        UNION ALL SELECT n_regionkey + 1, n_name, 'delitos_contra_vida_integridad', n_nationkey * 2.0::DOUBLE FROM nation WHERE n_nationkey % 2 = 1
-        UNION ALL SELECT n_regionkey + 1, n_name, 'robos_violentos', 1.0::DOUBLE FROM nation)"""
+        SELECT n_regionkey + 1 AS district, n_name AS commune_name, 'delitos_contra_vida_integridad' AS cead_family_key, 'Delitos contra la vida o integridad de las personas' AS crime_category, n_nationkey * 1234.5::DOUBLE AS rate_100k FROM nation
+        UNION ALL SELECT n_regionkey + 1, n_name, 'delitos_asociados_drogas', 'Delitos asociados a drogas', n_nationkey + 0.25::DOUBLE FROM nation
+        UNION ALL SELECT n_regionkey + 1, n_name, 'delitos_propiedad_no_violentos', 'Delitos contra la propiedad no violentos', n_nationkey * 2.0::DOUBLE FROM nation WHERE n_nationkey % 2 = 1
+        UNION ALL SELECT n_regionkey + 1, n_name, 'violencia_intrafamiliar', 'Violencia intrafamiliar', 1.0::DOUBLE FROM nation)"""
 
 
-@query(f"WITH {ANNUAL_CTE} SELECT *, cead_family_key = 'delitos_asociados_drogas' AS score_eligible FROM rates")
+@query(f"""
+    WITH {ANNUAL_CTE}
+    SELECT *, cead_family_key = 'delitos_asociados_drogas' AS score_eligible, CASE cead_family_key WHEN 'delitos_asociados_drogas' THEN 'direct_family_ley_20000' WHEN 'delitos_contra_vida_integridad' THEN 'mixed_context' WHEN 'delitos_propiedad_no_violentos' THEN 'context_or_market_signal' ELSE 'context_only' END AS article27_relation,
+           'annual' AS period_type, 'tasa_denuncias_100k' AS metric, 'observed_rate' AS data_status, 'denuncia_formal' AS observation_unit, 'CL-' || lpad(CAST(district - 1 AS VARCHAR), 2, '0') || '-' || replace(replace(lower(commune_name), ' ', '-'), '_', '-') AS territory_id FROM rates""")
 def html_annual_rates(spark, sf_dir):
-    return html.annual_rates(_annual_pages(spark, sf_dir)).select("district", "commune_name", "cead_family_key", "rate_100k", "score_eligible")
+    return html.annual_rates(_annual_pages(spark, sf_dir)).select(
+        "district", "commune_name", "cead_family_key", "crime_category", "rate_100k", "score_eligible", "article27_relation", "period_type", "metric", "data_status", "observation_unit", "territory_id",
+    )
 
 
 @query(f"""
@@ -87,10 +92,10 @@ def html_latest_rates(spark, sf_dir):
 
 @query("""
     SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, lpad(CAST(1100 + c_nationkey AS VARCHAR), 5, '0') AS commune_code, o_orderpriority AS offense, count(*) AS cases_policiales
-    FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey < 4 GROUP BY ALL""")
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""")
 def html_monthly_cases(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderpriority")
-    joined = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").where("c_nationkey < 4"), F.col("o_custkey") == F.col("c_custkey"))
+    joined = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     counts = joined.groupBy("year", (F.col("c_nationkey") + 1100).alias("commune_code"), "o_orderpriority").agg(*[F.count_if(F.col("month") == m).alias(f"m{m}") for m in range(1, 13)])
     shown = [F.when(F.col(f"m{m}") > 0, F.format_number(F.col(f"m{m}"), 0)).otherwise("-") for m in range(1, 13)]
     head = "<tr><td>nota</td></tr><tr><th>Delito</th>" + "".join(f"<th>{m.capitalize()}</th>" for m in dims.MONTHS) + "</tr>"
@@ -99,33 +104,42 @@ def html_monthly_cases(spark, sf_dir):
 
 
 @query("""
-    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, lpad(CAST(1000 + n_nationkey * 37 AS VARCHAR), 5, '0') AS commune_code, n_name AS commune_name, o_orderpriority AS crime_category, CAST(count(*) AS BIGINT) AS value
-    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE year(o_orderdate) >= 1997 AND o_orderkey % 10 <> 0 GROUP BY ALL""")
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, lpad(CAST(1000 + n_nationkey * 37 AS VARCHAR), 5, '0') AS commune_code, n_name AS commune_name, o_orderpriority AS crime_category, CAST(count(*) AS BIGINT) AS value,
+           'CL-' || lpad(CAST(1000 + n_nationkey * 37 AS VARCHAR), 5, '0') AS territory_id, 'mirror_of_primary' AS source_tier, 'usable_bridge' AS quality_status, 'cead_community_bridge' AS source_id
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE year(o_orderdate) >= 1997 AND o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0 GROUP BY ALL""")
 def bridge_annualised(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     joined = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(_nations(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
     monthly = joined.select(
-        F.col("n_name").alias("comuna"), (F.col("n_nationkey") * 37 + 1000).alias("cut_comuna"), F.lit("r").alias("region"), F.col("n_regionkey").alias("cut_region"), F.when(F.col("o_orderkey") % 10 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("?").alias("fecha"),
+        F.col("n_name").alias("comuna"), F.when(F.col("o_orderkey") % 7 != 0, (F.col("n_nationkey") * 37 + 1000).cast("string")).otherwise("s/c").alias("cut_comuna"), F.lit("r").alias("region"), F.col("n_regionkey").alias("cut_region"), F.when(F.col("o_orderkey") % 10 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("?").alias("fecha"),
         F.col("o_orderpriority").alias("delito"), F.lit(1).alias("delito_n"),
     )
-    return tables.annual_bridge(tables.monthly_bridge(monthly, 1997)).select("year", "commune_code", "commune_name", "crime_category", "value")
+    return tables.annual_bridge(tables.monthly_bridge(monthly, 1997)).select("year", "commune_code", "commune_name", "crime_category", "value", "territory_id", "source_tier", "quality_status", "source_id")
 
 
-@query("""
-    WITH counts AS (SELECT upper(o_orderpriority) AS crime_category, CASE c_nationkey WHEN 0 THEN '01' WHEN 1 THEN '02' ELSE '13' END AS region_code, count(*) AS value FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey < 4 GROUP BY ALL)
-    SELECT region_code, crime_category, CAST(sum(value) AS BIGINT) AS value FROM counts GROUP BY ALL""")
+#: The prosecutors' labels as a workbook's header writes them, and the region of each; the capital has four.
+_OFFICES = ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII", "RM CN", "RM OR", "RM OCC", "RM SUR", "XIV", "XV", "XVI")
+_OFFICE_REGIONS = ("01", "02", "03", "04", "05", "06", "07", "08", "09", "10", "11", "12", "13", "13", "13", "13", "14", "15", "16")
+
+
+@query(f"""
+    WITH offices(k, region_code) AS (VALUES {", ".join(f"({k}, '{r}')" for k, r in enumerate(_OFFICE_REGIONS))})
+    SELECT region_code, CASE region_code WHEN '13' THEN 'Metropolitana de Santiago' WHEN '16' THEN 'Ñuble' END AS named, upper(o_orderpriority) AS crime_category, CAST(count(*) AS BIGINT) AS value, CAST(2024 AS INTEGER) AS source_year, 'delito_ingresado_en_SAF' AS observation_unit, 'observed' AS data_status
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN offices ON c_nationkey % 19 = k GROUP BY ALL""")
 def workbook_unpivot(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus")
-    joined = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").where("c_nationkey < 4"), F.col("o_custkey") == F.col("c_custkey"))
+    joined = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     sheet = F.when(F.col("o_orderstatus") == "O", "TB3.1").otherwise("other")
-    counts = joined.groupBy(sheet.alias("sheet"), "o_orderpriority").agg(*[F.count_if(F.col("c_nationkey") == k).alias(f"n{k}") for k in range(4)])
+    counts = joined.groupBy(sheet.alias("sheet"), "o_orderpriority").agg(*[F.count_if(F.col("c_nationkey") % len(_OFFICES) == k).alias(f"n{k}") for k in range(len(_OFFICES))])
     row_at = (F.substring("o_orderpriority", 1, 1).cast("int") + 5).alias("row_at")
-    body = counts.select("sheet", row_at, F.array(F.lit(None), F.concat(F.lit("  "), F.lower("o_orderpriority")), *[F.col(f"n{k}").cast("string") for k in range(4)]).alias("cells"))
-    fixed = [(None, "Categoría de  delitos", "I", "II", "RM SUR", "RM ORIENTE")], [(None, "Total nacional", "1", "1", "1", "1"), (None, "nota", "1", "1", "1", "1")]
+    body = counts.select("sheet", row_at, F.array(F.lit(None), F.concat(F.lit("  "), F.lower("o_orderpriority")), *[F.col(f"n{k}").cast("string") for k in range(len(_OFFICES))]).alias("cells"))
+    ones = ["1"] * len(_OFFICES)
+    fixed = [(None, "Categoría de  delitos", *_OFFICES)], [(None, "Total nacional", *ones), (None, "nota", *ones)]
     rows = [(s, at, list(c)) for s in ("TB3.1", "other") for base, part in ((1, fixed[0]), (20, fixed[1])) for at, c in enumerate(part, base)]
     rows += [("TB3.1", 0, ["IMPUTADOS CONOCIDOS"]), ("other", 0, ["IMPUTADOS DESCONOCIDOS"])]
-    sheets = body.unionByName(spark.createDataFrame(rows, "sheet string, row_at int, cells array<string>")).withColumn("file", F.lit("f"))
-    return tables.prosecution_workbook(sheets, 2024).select("region_code", "crime_category", "value")
+    sheets = body.unionByName(spark.createDataFrame(rows, "sheet string, row_at int, cells array<string>")).withColumns({"file": F.lit("f"), "error": F.lit(None).cast("string")})
+    named = F.when(F.col("region_code").isin("13", "16"), F.col("region_name")).alias("named")
+    return tables.prosecution_workbook(sheets, 2024).where(F.col("value") > 0).select("region_code", named, "crime_category", "value", "source_year", "observation_unit", "data_status")
 
 
 @query(f"""
@@ -162,8 +176,8 @@ def distinct_sources(spark, sf_dir):
 @query("""
     WITH annual AS (SELECT n_name, count(*) AS victims FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 4 <> 0 GROUP BY 1),
     recent AS (SELECT n_name, count(*) AS victims FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 3 <> 0 AND c_acctbal > 0 GROUP BY 1)
-    SELECT n_name AS commune_name, '2024' AS period, a.victims, coalesce(r.victims, 0) AS recent_h1_2025_victims, CASE WHEN r.victims IS NULL THEN 'derived_zero_not_listed' ELSE 'observed' END AS recent_h1_2025_status FROM annual a LEFT JOIN recent r USING (n_name)
-    UNION ALL SELECT n_name, '2025-H1', victims, victims, 'observed' FROM recent r WHERE NOT EXISTS (SELECT 1 FROM annual a WHERE a.n_name = r.n_name)""")
+    SELECT n_name AS commune_name, '2024' AS period, a.victims, coalesce(r.victims, 0) AS recent_h1_2025_victims, CASE WHEN r.victims IS NULL THEN 'derived_zero_not_listed_in_complete_positive_table' ELSE 'observed_positive' END AS recent_h1_2025_status FROM annual a LEFT JOIN recent r USING (n_name)
+    UNION ALL SELECT n_name, '2025-H1', victims, victims, NULL FROM recent r WHERE NOT EXISTS (SELECT 1 FROM annual a WHERE a.n_name = r.n_name)""")
 def homicide_anti_union(spark, sf_dir):
     joined = table(spark, sf_dir, "customer").join(F.broadcast(_nations(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
     counted = lambda where: joined.where(where).groupBy(F.lit("r").alias("region_name"), F.col("n_name").alias("commune_name")).agg(F.count("*").alias("victims"))

@@ -1,13 +1,14 @@
-"""HTML tables and links as rows, by table functions on the standard library's parser, and the sections built of them."""
+"""HTML tables and links as rows, by the standard library's parser over Arrow batches of pages, and the sections built of them."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
+from pyspark.sql.types import StructType
 
 from comarca import dims
 from comarca.functions.text import commune_code, is_commune, legacy_commune_id, norm, norm_or_none, parse_number
@@ -83,92 +84,100 @@ def _joined(parts: list[str]) -> str:
     return " ".join(" ".join(parts).split())
 
 
-def html_tables():
-    """Table function: html -> (table_at, headings, row_at, cells)."""
+def _table_rows(html: str) -> Iterator[tuple]:
+    parser = _Tables()
+    parser.feed(html)
+    for k, (headings, rows) in enumerate(parser.tables):
+        for r, cells in enumerate(x for x in rows if x):
+            yield k, headings, r, [_joined(c) for c in cells]
 
-    @udtf(returnType="table_at int, headings array<string>, row_at int, cells array<string>")
-    class Tables:
-        def eval(self, html: str) -> Iterator[tuple]:
-            parser = _Tables()
-            parser.feed(html or "")
-            for k, (headings, rows) in enumerate(parser.tables):
-                for r, cells in enumerate(x for x in rows if x):
-                    yield k, headings, r, [_joined(c) for c in cells]
 
-    return Tables
+def _link_rows(html: str) -> Iterator[tuple]:
+    parser = _Links()
+    parser.feed(html)
+    while len(parser.stack) > 1:
+        parser.handle_endtag("html")
+    for k, x in enumerate(parser.links):
+        yield k, x["href"], _joined(x["own"]), _joined(x["around"])
 
 
-def html_links():
-    """Table function: html -> (link_at, href, title, around)."""
+def _parsed(pages: DataFrame, rows_of: Callable[[str], Iterator[tuple]], kinds: dict[str, tuple[str, pa.DataType]], html: str) -> DataFrame:
+    """pages without html, and the rows of each page with their columns (name -> Spark and Arrow type). A task holds one page's rows at a time."""
+    keep = [c for c in pages.columns if c not in (html, *kinds)]
+    schema = StructType([*pages.select(*[F.col(f"`{c}`") for c in keep]).schema.fields, *StructType.fromDDL(", ".join(f"{n} {kind}" for n, (kind, _) in kinds.items())).fields])
 
-    @udtf(returnType="link_at int, href string, title string, around string")
-    class Links:
-        def eval(self, html: str) -> Iterator[tuple]:
-            parser = _Links()
-            parser.feed(html or "")
-            while len(parser.stack) > 1:
-                parser.handle_endtag("html")
-            for k, x in enumerate(parser.links):
-                yield k, x["href"], _joined(x["own"]), _joined(x["around"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, text in enumerate(batch.column(html)):
+                rows = list(rows_of(text.as_py() or ""))
+                if rows:
+                    own = [batch.column(c).take(pa.array([at] * len(rows))) for c in keep]
+                    made = [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(own + made, [*keep, *kinds])
 
-    return Links
-
-
-def _applied(pages: DataFrame, function, name: str, html: str) -> DataFrame:
-    spark = pages.sparkSession
-    spark.udtf.register(name, function)
-    pages.createOrReplaceTempView(f"{name}_pages")
-    return spark.sql(f"SELECT p.*, t.* FROM {name}_pages p, LATERAL {name}(p.`{html}`) t").drop(html)
+    return pages.select(*[F.col(f"`{c}`") for c in keep], html).mapInArrow(run, schema)
 
 
 def table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages without html, and each row of each table."""
-    return _applied(pages, html_tables(), "comarca_html_tables", html)
+    """pages without html, and each row of each table: table_at, the headings before it, row_at, cells."""
+    return _parsed(pages, _table_rows, {"table_at": ("int", pa.int32()), "headings": ("array<string>", pa.list_(pa.string())), "row_at": ("int", pa.int32()), "cells": ("array<string>", pa.list_(pa.string()))}, html)
 
 
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
-    return _applied(pages, html_links(), "comarca_html_links", html)
+    """pages without html, and each link: link_at, href, title and the text of the element around it."""
+    return _parsed(pages, _link_rows, {"link_at": ("int", pa.int32()), "href": ("string", pa.string()), "title": ("string", pa.string()), "around": ("string", pa.string())}, html)
 
 
-def tables_under(rows: DataFrame, needles: Sequence[str]) -> DataFrame:
-    """Of each page (its columns other than the table's) the first table below a heading that holds all needles, normalised."""
-    keys = [c for c in rows.columns if c not in ("table_at", "headings", "row_at", "cells")]
-    fits = F.exists("headings", lambda h: F.forall(F.array(*[F.lit(n) for n in needles]), lambda n: F.contains(norm(h), n)))
-    found = rows.where(fits)
-    first = found.groupBy(*keys).agg(F.min("table_at").alias("__first"))
-    return found.join(first, keys).where(F.col("table_at") == F.col("__first")).drop("__first")
+def _says(needles: Sequence[str]) -> Column:
+    return F.exists("headings", lambda h: F.forall(F.array(*[F.lit(n) for n in needles]), lambda n: F.contains(norm(h), n)))
 
 
-ANNUAL_FAMILIES = ("delitos_asociados_drogas", "delitos_asociados_armas", "delitos_contra_vida_integridad", "robos_violentos")
+def tables_under(rows: DataFrame, needles: Sequence[str], *more: str) -> DataFrame:
+    """Of each page (its columns other than the table's) the first table below a heading that holds all needles, normalised.
 
+    A page's rows meet in one window; they came from one page, which a task held whole.
+    """
+    keys = [c for c in rows.columns if c not in ("table_at", "headings", "row_at", "cells", *more)]
+    found = rows.where(_says(needles)).withColumn("__first", F.min("table_at").over(Window.partitionBy(*keys)))
+    return found.where(F.col("table_at") == F.col("__first")).drop("__first")
 
-def annual_rates(pages: DataFrame, families: Sequence[str] = ANNUAL_FAMILIES) -> DataFrame:
+
+def annual_rates(pages: DataFrame, families: Mapping[str, str] = dims.ANNUAL_FAMILIES) -> DataFrame:
     """pages (district, region_code, region_name, html) -> a row for each commune and family with a rate; columns by position."""
     rows = tables_under(table_rows(pages), ("tasas anuales denuncias", "familia de delitos"))
     name = F.element_at("cells", 1)
-    kept = rows.where((F.size("cells") >= 5) & is_commune(name)).select("district", "region_code", "region_name", name.alias("commune_name"), F.posexplode(F.slice("cells", 2, 4)).alias("at", "cell"))
-    keys = F.array(*[F.lit(f) for f in families])
-    long = kept.select("*", keys[F.col("at")].alias("cead_family_key"), parse_number(F.col("cell")).alias("rate_100k")).where(F.col("rate_100k").isNotNull()).drop("at", "cell")
-    return family_mapped(long.withColumns({
-        "year": F.lit(2024), "period": F.lit("2024"), "commune_name_norm": norm_or_none(F.col("commune_name")), "territory_id": legacy_commune_id(F.lit(None), F.col("region_code"), F.col("commune_name")),
-        "quality_status": F.lit("usable"), "data_status": F.lit("observed_rate"), "population": F.lit(None).cast("long"), "estimated_frequency": F.lit(None).cast("long"),
-    }))
+    kept = rows.where((F.size("cells") >= 5) & is_commune(name)).select(*DISTRICT, name.alias("commune_name"), F.posexplode(F.slice("cells", 2, 4)).alias("at", "cell"))
+    key, label = (F.array(*[F.lit(f) for f in x])[F.col("at")] for x in (list(families), list(families.values())))
+    long = kept.select("*", key.alias("cead_family_key"), label.alias("crime_category"), parse_number(F.col("cell")).alias("rate_100k")).where(F.col("rate_100k").isNotNull()).drop("at", "cell")
+    return _communal(long, 2024, "2024", "annual").withColumns({
+        "metric": F.lit("tasa_denuncias_100k"), "value": F.lit(None).cast("long"), "data_status": F.lit("observed_rate"), "quality_status": F.lit("usable"), "population": F.lit(None).cast("long"),
+    })
 
 
+def _communal(rows: DataFrame, year: int, period: str, period_type: str) -> DataFrame:
+    """What annual and latest rows share: the family's weight, the commune's key and where they come from."""
+    return family_mapped(rows).withColumns({
+        "year": F.lit(year), "period": F.lit(period), "period_type": F.lit(period_type), "territory_level": F.lit("commune"), "commune_code": F.lit(None).cast("string"),
+        "commune_name_norm": norm_or_none(F.col("commune_name")), "territory_id": legacy_commune_id(F.lit(None), F.col("region_code"), F.col("commune_name")), "estimated_frequency": F.lit(None).cast("long"),
+        "source_id": F.lit("bcn_siit_cead_communal"), "ultimate_source_id": F.lit("cead_estadisticas_delictuales"), "observation_unit": F.lit("denuncia_formal"),
+    })
+
+
+#: The columns of a district's page.
+DISTRICT = ("district", "region_code", "region_name")
 SECTIONS = {"drugs": "delitos asociados a drogas", "life": "delitos contra la vida", "family": "violencia intrafamiliar"}
 FIGURES = ("freq_2024", "freq_2025", "pop_2024", "pop_2025", "rate_2024", "rate_2025")
 
 
 def latest_sections(pages: DataFrame) -> DataFrame:
-    """Rows of the three sections with all six figures."""
-    rows = table_rows(pages)
-    out = None
-    for section, heading in SECTIONS.items():
-        found = tables_under(rows, (heading, "frecuencia", "tasa")).where((F.size("cells") >= 7) & is_commune(F.element_at("cells", 1)))
-        figures = [parse_number(F.element_at("cells", k)).alias(f) for k, f in enumerate(FIGURES, 2)]
-        part = found.select("district", "region_code", "region_name", F.lit(section).alias("section"), F.element_at("cells", 1).alias("commune_name"), *figures).dropna(subset=list(FIGURES))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Rows of the three sections with all six figures, from one reading of the pages."""
+    own = F.array(*[F.when(_says((heading, "frecuencia", "tasa")), F.lit(section)) for section, heading in SECTIONS.items()])
+    rows = table_rows(pages).withColumn("section", F.explode(F.array_compact(own)))
+    page = Window.partitionBy(*DISTRICT, "section")
+    found = rows.withColumn("__first", F.min("table_at").over(page)).where(F.col("table_at") == F.col("__first"))
+    kept = found.where((F.size("cells") >= 7) & is_commune(F.element_at("cells", 1)))
+    figures = [parse_number(F.element_at("cells", k)).alias(f) for k, f in enumerate(FIGURES, 2)]
+    return kept.select(*DISTRICT, "section", F.element_at("cells", 1).alias("commune_name"), *figures).dropna(subset=list(FIGURES))
 
 
 def latest_rates(pages: DataFrame) -> DataFrame:
@@ -176,11 +185,10 @@ def latest_rates(pages: DataFrame) -> DataFrame:
     rows = latest_sections(pages)
     figures = [F.col("commune_name"), *[F.col(f) for f in FIGURES]]
     doubtful = quarantined_duplicates(rows, "district", "section", "drugs", ("life", "family"), figures)
-    drugs = rows.where(F.col("section") == "drugs").drop("section").join(doubtful, "district").withColumn("cead_family_key", F.lit("delitos_asociados_drogas"))
-    mapped = family_mapped(drugs)
-    return mapped.withColumns({
-        "year": F.lit(2025), "period": F.lit("2025-Q3"), "commune_name_norm": norm_or_none(F.col("commune_name")), "territory_id": legacy_commune_id(F.lit(None), F.col("region_code"), F.col("commune_name")),
-        "value": F.col("freq_2025").cast("long"), "rate_100k": F.col("rate_2025"), "population": F.col("pop_2025").cast("long"),
+    key = "delitos_asociados_drogas"
+    drugs = rows.where(F.col("section") == "drugs").drop("section").join(doubtful, "district").withColumns({"cead_family_key": F.lit(key), "crime_category": F.lit(dims.ANNUAL_FAMILIES[key])})
+    return _communal(drugs, 2025, "2025-Q3", "q3_ytd").withColumns({
+        "metric": F.lit("denuncias"), "value": F.col("freq_2025").cast("long"), "rate_100k": F.col("rate_2025"), "population": F.col("pop_2025").cast("long"), "data_status": F.lit("observed_secondary_official"),
         "quality_status": F.when(F.col("duplicated"), "quarantined_duplicate_section").otherwise("usable"),
         "score_eligible": F.col("score_eligible") & ~F.col("duplicated"), "aml_weight": F.when(F.col("duplicated"), 0.0).otherwise(F.col("aml_weight")),
     })

@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comarca.functions.text import keyword_hits, nearby_date, norm, resolved
+from comarca import dims
+from comarca.functions.text import keyword_hits, nearby_date, resolved
 from comarca.operators.merge import one_per
 from comarca.sources.html import links
 
@@ -25,10 +26,16 @@ def events(pages: DataFrame, keywords: Iterable[str], least_title: int = LEAST_T
     return one_per(shaped, ["url"], [F.col("ordinal"), F.col("link_at")], last=True).drop("ordinal", "link_at")
 
 
-def publications(pages: DataFrame, terms: Iterable[str]) -> DataFrame:
-    """Links whose title or address names a term; of one address the first counts."""
-    found = links(pages).withColumn("target", resolved(F.col("url"), F.col("href")))
-    said = norm(F.concat_ws(" ", "title", "href"))
+def publications(pages: DataFrame, terms: Iterable[str] = dims.PUBLICATION_TERMS) -> DataFrame:
+    """Links whose lower-cased title or whole address holds a term, as it is written; of one address the first counts.
+
+    A link without a title has the last part of its address. Links to what is no web page count too.
+    """
+    found = links(pages).withColumn("target", resolved(F.col("url"), F.col("href"), web_only=False)).where(F.col("target").isNotNull())
+    said = F.lower(F.concat_ws(" ", "title", "target"))
     own = F.array(*[F.lit(t) for t in terms])
-    kept = found.where(F.col("target").isNotNull() & F.exists(own, lambda t: F.contains(said, t)))
-    return one_per(kept.select("source_id", "title", F.col("target").alias("url"), "ordinal", "link_at"), ["url"], [F.col("ordinal"), F.col("link_at")]).drop("ordinal", "link_at")
+    kept = found.where(F.exists(own, lambda t: F.contains(said, t)))
+    title = F.when(F.col("title") == "", F.substring_index("target", "/", -1)).otherwise(F.col("title"))
+    stamp = F.col("retrieved_at") if "retrieved_at" in pages.columns else F.lit(None).cast("string")
+    shaped = kept.select("source_id", title.alias("title"), F.col("target").alias("url"), stamp.alias("retrieved_at"), F.lit("official_discovery").alias("publication_type"), F.lit("observed_link").alias("data_status"), "ordinal", "link_at")
+    return one_per(shaped, ["url"], [F.col("ordinal"), F.col("link_at")]).drop("ordinal", "link_at")

@@ -6,8 +6,7 @@ import io
 import json
 import re
 import zipfile
-from collections.abc import Callable, Iterator, Sequence
-from pathlib import Path
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -17,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from comarca import dims
-from comarca.functions.text import commune_id, norm, padded_code
+from comarca.files import read_text, shared_folder
+from comarca.functions.text import commune_id, norm, norm_name, padded_code
+from comarca.operators.merge import anti_united, one_per
 
 
 def jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -30,11 +31,12 @@ def jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame
         return spark.createDataFrame([], schema)
 
 
-def document(path: str, default=None):
+def document(spark: SparkSession, path: str, default=None):
     """A JSON document, or the default where it is absent or broken."""
+    text = read_text(spark, path)
     try:
-        return json.loads(Path(path).read_text(encoding="utf-8"))
-    except (OSError, ValueError):
+        return default if text is None else json.loads(text)
+    except ValueError:
         return default
 
 
@@ -49,24 +51,46 @@ def require(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return frame
 
 
+EXTERNAL_COLUMNS = ("year", "commune_code", "commune_name", "region_code", "region_name", "crime_category", "metric", "value")
+
+
 def backbone(frame: DataFrame, start_year: int) -> DataFrame:
     """Annual rows of the external table: years from start_year on, numeric values, rounded half to even. NaN is no value."""
-    require(frame, ("year", "commune_code", "crime_category", "value"))
+    require(frame, EXTERNAL_COLUMNS)
     year, value = F.col("year").cast("string").try_cast("int"), F.nanvl(F.col("value").cast("string").try_cast("double"), F.lit(None).cast("double"))
     rows = frame.withColumns({"year": year, "value": F.bround(value, 0).cast("long")}).where((F.col("year") >= start_year) & F.col("value").isNotNull())
-    return rows.withColumn("commune_code", padded_code(F.col("commune_code"), 5))
+    given = lambda c: F.nullif(F.col(c).cast("string"), F.lit("")) if c in frame.columns else F.lit(None).cast("string")
+    return rows.withColumns({
+        "commune_code": padded_code(F.col("commune_code"), 5), "period": F.coalesce(given("period"), F.col("year").cast("string")), "territory_level": F.lit("commune"),
+        "observation_unit": F.lit("caso_policial"), "acquisition_method": F.lit("external_cead_data_pipeline"), "ultimate_source_id": F.coalesce(given("ultimate_source_id"), F.lit("cead_estadisticas_delictuales")),
+    })
+
+
+def commune_list(rows: DataFrame) -> DataFrame:
+    """The distinct communes of a backbone, by region and code."""
+    return rows.select("commune_code", "commune_name", "region_code", "region_name").distinct().orderBy("region_code", "commune_code")
+
+
+def backbone_status(rows: DataFrame, least: int = dims.LEAST_COMMUNES) -> DataFrame:
+    """One row: what a backbone covers, and whether it suffices."""
+    communes = F.countDistinct("commune_code")
+    return rows.agg(
+        F.lit("cead_data_pipeline_external").alias("source_id"), F.count("*").alias("records"), communes.alias("communes"), F.lit(dims.EXPECTED_COMMUNES).alias("expected_communes"),
+        F.countDistinct("crime_category").alias("offenses"), F.array_sort(F.collect_set("year")).alias("years"), ((F.count("*") > 0) & (communes >= least)).alias("ok"),
+    )
 
 
 MONTHLY_COLUMNS = ("comuna", "cut_comuna", "region", "cut_region", "fecha", "delito", "delito_n")
 
 
 def monthly_bridge(frame: DataFrame, start_year: int) -> DataFrame:
-    """Monthly long rows with padded codes; rows without a date or a number, or from before start_year, go."""
+    """Monthly long rows with padded codes; rows without a date, a number or a readable commune code, or from before start_year, go."""
     require(frame, MONTHLY_COLUMNS)
     date = F.try_to_date(F.col("fecha").cast("string").substr(1, 10), "yyyy-MM-dd")
     rows = frame.withColumns({"fecha": date, "delito_n": F.nanvl(F.col("delito_n").cast("string").try_cast("double"), F.lit(None).cast("double")), "year": F.year(date)})
     kept = rows.where(F.col("fecha").isNotNull() & F.col("delito_n").isNotNull() & (F.col("year") >= start_year))
-    return kept.withColumns({"commune_code": padded_code(F.col("cut_comuna"), 5), "region_code": padded_code(F.col("cut_region"), 2), "delito_norm": norm(F.col("delito"))})
+    coded = kept.withColumns({"commune_code": padded_code(F.col("cut_comuna"), 5), "region_code": padded_code(F.col("cut_region"), 2), "delito_norm": norm(F.col("delito"))})
+    return coded.where(F.col("commune_code").isNotNull())
 
 
 def annual_bridge(monthly: DataFrame) -> DataFrame:
@@ -75,7 +99,7 @@ def annual_bridge(monthly: DataFrame) -> DataFrame:
     summed = monthly.groupBy(*keys).agg(F.bround(F.sum("delito_n"), 0).cast("long").alias("value"))
     return summed.select(
         "year", F.col("year").cast("string").alias("period"), F.lit("commune").alias("territory_level"), F.concat(F.lit("CL-"), "commune_code").alias("territory_id"), "commune_code", F.col("comuna").alias("commune_name"),
-        "region_code", F.col("region").alias("region_name"), F.col("delito").alias("crime_category"), F.lit("casos_policiales").alias("metric"), "value", F.lit("mirror_of_primary").alias("source_tier"), F.lit("usable_bridge").alias("quality_status"),
+        "region_code", F.col("region").alias("region_name"), F.col("delito").alias("crime_category"), F.col("delito_norm").alias("crime_category_norm"), F.lit("casos_policiales").alias("metric"), "value", F.lit("cead_community_bridge").alias("source_id"), F.lit("cead_estadisticas_delictuales").alias("ultimate_source_id"), F.lit("mirror_of_primary").alias("source_tier"), F.lit("usable_bridge").alias("quality_status"),
     )
 
 
@@ -86,7 +110,7 @@ def bridge_stats(monthly: DataFrame) -> DataFrame:
 # Workbooks: a sheet is rows of cells; the frames keep (file, sheet, row_at, cells) and every rule is a column expression.
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships"}
-SHEET_SCHEMA = "file string, sheet string, row_at int, cells array<string>"
+SHEET_SCHEMA = "file string, sheet string, row_at int, cells array<string>, error string"
 
 
 def _sheets(raw: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
@@ -115,70 +139,125 @@ def _sheets(raw: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
 
 
 def workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """(file, sheet, row_at, cells) of the .xlsx files at a path; a file is one task's, and sheets leave it row by row."""
+    """(file, sheet, row_at, cells, error) of the files at a path: a file is one task's, and its sheets leave it row by row.
+
+    A file that cannot be read is one row with its error, so one broken workbook costs its own rows and no others.
+    """
+    kinds = (pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = [(file, *x) for x in _sheets(raw)]
-                if rows:
-                    kinds = (pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["file", "sheet", "row_at", "cells"])
+                try:
+                    rows = [(file, *x, None) for x in _sheets(raw)] or [(file, None, None, None, "no rows")]
+                except Exception as e:  # noqa: BLE001  whatever is wrong with the file, it becomes the file's status
+                    rows = [(file, None, None, None, f"{type(e).__name__}: {e}"[:500])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["file", "sheet", "row_at", "cells", "error"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, SHEET_SCHEMA)
 
 
-def regional_sheet(rows: DataFrame, sheet: str, needle: str, year: int, known: bool) -> DataFrame:
-    """The regional table of a workbook as long rows: the sheet of that name, or the first that says the needle in its first rows; region columns unpivoted, up to the national total."""
+CATEGORY_HEAD = "CATEGORÍA DE DELITOS"
+
+
+def regional_sheet(rows: DataFrame, sheet: str, needle: str, known: bool) -> DataFrame:
+    """The regional table of each workbook as long rows: the sheet of that name, or the first that says the needle in its first rows; region columns unpivoted, up to the national total."""
     said = rows.where(F.col("row_at") < 15).select("file", "sheet", F.regexp_replace(F.upper(F.concat_ws(" ", "cells")), r"\s+", " ").alias("text"))
-    fits = said.groupBy("file", "sheet").agg(F.max(F.contains("text", F.lit(needle))).alias("a"), F.max(F.contains("text", F.lit("CATEGORÍA DE DELITOS"))).alias("b"))
+    fits = said.groupBy("file", "sheet").agg(F.max(F.contains("text", F.lit(needle))).alias("a"), F.max(F.contains("text", F.lit(CATEGORY_HEAD))).alias("b"))
     chosen = fits.groupBy("file").agg(F.coalesce(F.max(F.when(F.col("sheet") == sheet, F.col("sheet"))), F.min(F.when(F.col("a") & F.col("b"), F.col("sheet")))).alias("sheet"))
     own = rows.join(chosen, ["file", "sheet"]).withColumn("upper", F.transform("cells", lambda c: F.trim(F.regexp_replace(F.upper(c), r"\s+", " "))))
-    heads = own.where((F.col("row_at") < 50) & F.array_contains("upper", "CATEGORÍA DE DELITOS"))
-    head = heads.groupBy("file").agg(F.min_by(F.struct(F.col("row_at").alias("head_at"), F.transform("cells", lambda c: F.trim(c)).alias("names"), (F.array_position("upper", "CATEGORÍA DE DELITOS") - 1).cast("int").alias("category_at")), "row_at").alias("h")).select("file", "h.*")
+    heads = own.where((F.col("row_at") < 50) & F.array_contains("upper", CATEGORY_HEAD))
+    head = heads.groupBy("file").agg(F.min_by(F.struct(F.col("row_at").alias("head_at"), F.transform("cells", lambda c: F.trim(c)).alias("names"), (F.array_position("upper", CATEGORY_HEAD) - 1).cast("int").alias("category_at")), "row_at").alias("h")).select("file", "h.*")
     body = own.join(head, "file").where(F.col("row_at") > F.col("head_at")).withColumn("crime_category", F.get("upper", F.col("category_at")))
     stop = body.where(F.col("crime_category") == "TOTAL NACIONAL").groupBy("file").agg(F.min("row_at").alias("stop"))
     kept = body.join(stop, "file", "left").where(F.col("stop").isNull() | (F.col("row_at") < F.col("stop")))
-    kept = kept.where(F.col("crime_category").isNotNull() & ~F.col("crime_category").isin("CATEGORÍA DE DELITOS", "NAN", "") & F.get("cells", F.col("category_at")).try_cast("double").isNull())
+    kept = kept.where(F.col("crime_category").isNotNull() & ~F.col("crime_category").isin(CATEGORY_HEAD, "NAN", "") & F.get("cells", F.col("category_at")).try_cast("double").isNull())
     regions = F.create_map(*[F.lit(x) for kv in dims.PROSECUTOR_REGIONS.items() for x in kv])
-    cells = kept.select("crime_category", "names", F.posexplode("cells").alias("at", "cell")).withColumn("prosecutor_region", F.get("names", F.col("at")))
-    long = cells.select(F.lit(year).alias("year"), regions[F.col("prosecutor_region")].alias("region_code"), "prosecutor_region", "crime_category", F.lit("known" if known else "unknown").alias("known_status"), F.col("cell").try_cast("double").cast("long").alias("value"))
+    cells = kept.select("file", "crime_category", "names", F.posexplode("cells").alias("at", "cell")).withColumn("prosecutor_region", F.get("names", F.col("at")))
+    long = cells.select("file", regions[F.col("prosecutor_region")].alias("region_code"), "prosecutor_region", "crime_category", F.lit("known" if known else "unknown").alias("known_status"), F.col("cell").try_cast("double").cast("long").alias("value"))
     return long.where(F.col("region_code").isNotNull() & F.col("value").isNotNull())
 
 
-def prosecution_workbook(rows: DataFrame, year: int) -> DataFrame:
-    """Known and unknown suspects together, by region and category."""
-    both = regional_sheet(rows, "TB3.1", "IMPUTADOS CONOCIDOS", year, True).unionByName(regional_sheet(rows, "TB3.2", "IMPUTADOS DESCONOCIDOS", year, False))
+def prosecution_history(rows: DataFrame, years: Mapping[str, int]) -> tuple[DataFrame, DataFrame]:
+    """Records (known and unknown suspects together, by year, region and category) of workbooks, and a status row for each year.
+
+    years: the end of a file's path -> its year. A workbook that cannot be read, or lacks either table, has a status and no records.
+    """
+    year = F.coalesce(*[F.when(F.col("file").endswith(end), F.lit(y)) for end, y in years.items()])
+    both = regional_sheet(rows, "TB3.1", "IMPUTADOS CONOCIDOS", True).unionByName(regional_sheet(rows, "TB3.2", "IMPUTADOS DESCONOCIDOS", False))
+    tables = both.groupBy("file").agg(F.countDistinct("known_status").alias("tables"))
+    files = rows.groupBy("file").agg(F.max("error").alias("error")).join(tables, "file", "left").withColumn("year", year)
+    whole = files.where(F.col("tables") == 2).select("file", "year")
     names = F.create_map(*[F.lit(x) for kv in dims.REGIONS.items() for x in kv])
-    summed = both.groupBy("year", "region_code", "crime_category").agg(F.sum("value").alias("value"))
-    return summed.select("year", "region_code", names[F.col("region_code")].alias("region_name"), "crime_category", "value", F.lit("region").alias("territory_level"), F.lit("delitos_ingresados").alias("metric"))
+    summed = both.join(whole, "file").groupBy("year", "region_code", "crime_category").agg(F.sum("value").alias("value"))
+    source = F.lit("ministerio_publico_estadisticas").alias("source_id")
+    records = summed.select(
+        "year", "region_code", names[F.col("region_code")].alias("region_name"), "crime_category", "value", F.lit("region").alias("territory_level"), F.lit("delitos_ingresados").alias("metric"),
+        F.lit(None).cast("double").alias("rate_100k"), source, F.col("year").alias("source_year"), F.lit("delito_ingresado_en_SAF").alias("observation_unit"), F.lit("observed").alias("data_status"),
+    )
+    ok = F.coalesce(F.col("tables") == 2, F.lit(False))
+    counts = records.groupBy("year").agg(F.count("*").alias("records"))
+    error = F.when(~ok, F.coalesce("error", F.lit("no regional table of known and unknown suspects")))
+    status = files.select("year", ok.alias("ok"), error.alias("error")).join(counts, "year", "left").select(source, "year", "ok", F.coalesce("records", F.lit(0)).alias("records"), "error")
+    return records, status
+
+
+def prosecution_workbook(rows: DataFrame, year: int) -> DataFrame:
+    """The records of one year's workbooks."""
+    return prosecution_history(rows, {"": year})[0]
 
 
 def commune_codes(rows: DataFrame, least: int = 300) -> DataFrame:
-    """(name_norm, commune_code) of a sheet's rows: the column most of whose cells are four or five digits, and the last other column of text.
+    """(name_norm, commune_code, commune_name, region_name, territory_id) of a workbook's rows (sheet, row_at, cells).
 
-    Raises where fewer than `least` communes are found.
+    A sheet's header names the columns: of its first 20 rows the first with a cell for the code and one for the name of the
+    commune. Where no header gives enough communes, every column most of whose cells are four or five digits is paired with
+    every column that names one of a few towns. Of repeated names a header's last row counts, or a guess's first. Raises where
+    fewer than `least` communes are found. The codes are a fixed list of some 346 places.
     """
-    cells = rows.select("row_at", F.posexplode("cells").alias("at", "cell")).where(F.trim("cell") != "")
-    share = cells.groupBy("at").agg(F.avg(F.col("cell").rlike(r"^\d{4,5}(\.0)?$").cast("int")).alias("codes"), F.avg(F.col("cell").rlike("[^0-9.]").cast("int")).alias("words"))
-    code = share.where(F.col("codes") > 0.5).agg(F.max("at").alias("code_at"))
-    word = share.where(F.col("words") > 0.5).agg(F.max("at").alias("name_at"))
-    where = code.join(word, F.lit(True)).first()  # one row of two numbers
-    if where is None or where["code_at"] is None or where["name_at"] is None:
-        raise ValueError("no column of codes")
-    found = rows.select(norm(F.get("cells", F.lit(where["name_at"]))).alias("name_norm"), padded_code(F.get("cells", F.lit(where["code_at"])), 5).alias("commune_code")).dropna().where(F.col("name_norm") != "").dropDuplicates(["commune_code"])
-    if (n := found.count()) < least:
+    sheets = rows if "sheet" in rows.columns else rows.withColumn("sheet", F.lit(""))
+    heads = sheets.where(F.col("row_at") < 20).withColumn("names", F.transform("cells", lambda c: norm_name(c)))
+    at = lambda fits: F.array_position(F.transform("names", fits), F.lit(True)).cast("int") - 1
+    code_at = at(lambda h: F.contains(h, F.lit("comuna")) & (F.contains(h, F.lit("codigo")) | F.contains(h, F.lit("cut"))))
+    name_at = at(lambda h: F.contains(h, F.lit("comuna")) & (F.contains(h, F.lit("nombre")) | (h == "comuna")))
+    region_at = at(lambda h: F.contains(h, F.lit("region")) & F.contains(h, F.lit("nombre")))
+    named = heads.select("sheet", "row_at", code_at.alias("code_at"), name_at.alias("name_at"), region_at.alias("region_at")).where((F.col("code_at") >= 0) & (F.col("name_at") >= 0))
+    head = named.groupBy("sheet").agg(F.min_by(F.struct("row_at", "code_at", "name_at", "region_at"), "row_at").alias("h"))
+    cell = lambda k: F.get("cells", k)
+    digits = lambda c: F.regexp_replace(F.substring_index(c, ".", 1), r"\D", "")
+    body = sheets.join(F.broadcast(head), "sheet").where(F.col("row_at") > F.col("h.row_at"))
+    region = F.when(F.col("h.region_at") >= 0, F.trim(cell(F.col("h.region_at"))))
+    found = body.select("sheet", "row_at", digits(cell(F.col("h.code_at"))).alias("code"), F.trim(cell(F.col("h.name_at"))).alias("commune_name"), region.alias("region_name")).where(F.length("code").between(4, 5) & F.col("commune_name").isNotNull())
+    out = one_per(found.withColumn("name_norm", norm_name(F.col("commune_name"))), ["name_norm"], [F.col("sheet"), F.col("row_at")], last=True)
+    if (n := out.count()) < least:
+        cells = sheets.select("sheet", "row_at", "cells", F.posexplode("cells").alias("at", "cell"))
+        towns = F.col("cell").rlike("(?i)Santiago|Arica|Iquique|Valpara")
+        columns = cells.groupBy("sheet", "at").agg(F.avg(F.col("cell").rlike(r"^\d{4,5}(\.0)?$").cast("int")).alias("codes"), F.max(towns).alias("towns"))
+        code, name = columns.where(F.col("codes") > 0.5).select("sheet", F.col("at").alias("code_at")), columns.where("towns").select("sheet", F.col("at").alias("name_at"))
+        pairs = F.broadcast(code.join(name, "sheet"))  # a few columns of a few sheets
+        guess = sheets.join(pairs, "sheet").select("sheet", "row_at", "code_at", "name_at", digits(cell(F.col("code_at"))).alias("code"), F.trim(cell(F.col("name_at"))).alias("commune_name"), F.lit(None).cast("string").alias("region_name"))
+        guess = guess.where(F.length("code").between(4, 5) & (F.length("commune_name") >= 2)).withColumn("name_norm", norm_name(F.col("commune_name")))
+        first = one_per(guess, ["name_norm"], [F.col("sheet"), F.col("code_at"), F.col("name_at"), F.col("row_at")]).select(*out.columns)
+        out = anti_united(out, first, ["name_norm"])
+        n = out.count()
+    if n < least:
         raise ValueError(f"{n} communes found, {least} at least are needed")
-    return found.withColumn("territory_id", commune_id(F.col("commune_code")))
+    code = F.lpad("code", 5, "0")
+    return out.select("name_norm", code.alias("commune_code"), "commune_name", "region_name", commune_id(code).alias("territory_id"))
 
 
 def collected(spark: SparkSession, parts: dict[str, Callable[[], DataFrame]], schema: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of all parts that could be read, and a status row for each; a part that fails is a status, never rows of zeros."""
+    """Rows of all parts that could be read, and a status row for each; a part that fails is a status, never rows of zeros.
+
+    Frames are lazy, so a part counts as read only once Spark has run it: each is checkpointed in the shared folder by
+    itself, and what fails then, in a task or in the plan, is its status.
+    """
+    shared_folder(spark)
     rows, status = spark.createDataFrame([], schema), []
     for name, read in parts.items():
         try:
-            part = read()
-            rows = rows.unionByName(part.select(*rows.columns))
+            part = read().select(*rows.columns).checkpoint(eager=True)
+            rows = rows.unionByName(part)
             status.append((name, True, None))
         except Exception as e:  # noqa: BLE001  whatever it is, it becomes the part's status
             status.append((name, False, f"{type(e).__name__}: {e}"[:500]))

@@ -15,16 +15,19 @@ def version_path(folder: str, version: int) -> str:
 
 
 def read_version(spark: SparkSession, folder: str, version: int, schema) -> DataFrame:
+    """The rows of a version. Before version 0 there are none; any other version that is gone is an error, never an empty cache."""
+    if version < 0:
+        return spark.createDataFrame([], schema)
     try:
         return spark.read.schema(schema).parquet(version_path(folder, version))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        raise FileNotFoundError(f"version {version} of {folder} is missing: the cache cannot be continued without it") from e
 
 
-def upsert_stream(rows: DataFrame, folder: str, checkpoint: str, keys: Sequence[str], ordinal: str = "ordinal"):
-    """A started query. Batch n writes version n from version n - 1, so a batch that runs again writes the same version again."""
+def upsert_stream(rows: DataFrame, folder: str, checkpoint: str, keys: Sequence[str] | None = None, ordinal: str = "ordinal"):
+    """A started query; keys are the annual cache's unless given. Batch n writes version n from version n - 1, so a batch that runs again writes the same version again."""
 
     def write(batch: DataFrame, n: int) -> None:
         old = read_version(batch.sparkSession, folder, n - 1, rows.schema)

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -52,33 +53,61 @@ def test_labels(spark):
     assert found == {"DELITOS LEY DE DROGAS": ("base_19913", 1.0), "HOMICIDIOS": ("contexto_general", 0.0), "?": ("contexto_general", 0.0), None: ("contexto_general", 0.0)}
     mapped = {r["crime_category"]: r for r in classify.catalog_mapped(spark.createDataFrame([("Tráfico de sustancias",), ("Homicidios",), ("nada",)], "crime_category string")).collect()}
     assert mapped["Tráfico de sustancias"]["score_eligible"] and not mapped["Homicidios"]["score_eligible"] and mapped["nada"]["article27_mapping_key"] == "default"
-    assert export.predicate_features(classify.catalog_mapped(rows.select("crime_category", F.lit(1).alias("value")))).count() == 0
+    assert export.predicate_features(classify.catalog_mapped(rows.select("crime_category", F.lit(1).alias("value"), F.lit(2024).alias("year")))).count() == 0
     assert classify.drug_family(spark.createDataFrame([("Delitos asociados a drogas",), ("x",)], "crime_category string")).count() == 1
 
 
+LINEAGE = "source_id string, content_sha256 string, retrieved_at string, generated_at string, freshness string"
+
+
 def test_interop(spark):
     rows = spark.createDataFrame([("13101", 2024, "a"), (None, 2024, "a"), ("123456", None, "a")], "commune_code string, year int, crime_category string")
     adapted = export.adapted(rows.withColumn("source_id", F.lit(None).cast("string")))
     assert sorted((r["territory_id"] or "", r["territory_mapping_method"]) for r in adapted.collect()) == [("", "UNRESOLVED"), ("", "UNRESOLVED"), ("CL-COM-13101", "CODE_EXACT")]
-    (event,) = export.fusion_events(adapted).collect()
-    assert event["temporal"]["valid_to"] == "2025-01-01T00:00:00Z" and json.loads(event["attributes"])["source_id"] is None
-    assert export.interop_status(adapted).first().asDict() == {"rows": 3, "resolved": 1, "unresolved": 2, "territories": 1}
+    lineage = spark.createDataFrame([("cead", "abc", "2025-01-01T00:00:00+00:00", "g", "stale")], LINEAGE)
+    evidence = export.fusion_evidence(lineage)
+    own = evidence.first()
+    assert own["evidence_id"] == "EVD-DELICTUAL-" + hashlib.sha256(b"cead|abc|2025-01-01T00:00:00+00:00").hexdigest()[:20]
+    assert (own["quality_status"], own["source_run_id"], own["ingested_at"], own["producer_id"], own["source_tier"]) == ("STALE", "g", "g", "RADAR_DELICTUAL", "GOVERNED_PUBLIC")
+    events = export.fusion_events(adapted, own)
+    (event,) = events.collect()
+    assert event["event_id"] == "EVT-DELICTUAL-" + hashlib.sha256(b"CL-COM-13101|2024|a|").hexdigest()[:24] and event["event_type"] == "TERRITORIAL_CRIME_STATISTIC"
+    assert event["temporal"]["valid_to"] == "2025-01-01T00:00:00+00:00" and event["temporal"]["freshness_state"] == "STALE" and event["temporal"]["observed_at"] == own["retrieved_at"] and event["temporal"]["source_published_at"] is None
+    attributes = event["attributes"].asDict()
+    assert attributes["source_id"] is None and attributes["year"] == 2024 and not {"territory_id", "radar_id", "interop_version"} & set(attributes) and event["entity_ids"] == [] and event["evidence_ids"] == [own["evidence_id"]]
+    assert export.interop_status(adapted).first().asDict() == {"interop_version": "1.0", "radar_id": "RADAR_DELICTUAL", "rows": 3, "resolved": 1, "unresolved": 2, "territory_id_format": "CL-COM-{CUT}"}
+    told = export.fusion_status(adapted, events, evidence).first().asDict()
+    assert (told["events"], told["evidence"], told["territory_rows"], told["freshness_state"], told["source_failure_is_zero"]) == (1, 1, 3, "STALE", False)
+    with pytest.raises(Exception, match="lineage"):
+        export.fusion_evidence(lineage.drop("retrieved_at", "generated_at")).first()
 
 
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("13101", 2024, "á", None)], "commune_code string, year int, crime_category string, source_id string")
-    export.interop_export(rows, str(tmp_path / "out"))
-    line = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "out/territory_interop").glob("part-*"))  # a part may be empty
-    assert json.loads(line)["source_id"] is None and "á" in line
+    lineage = spark.createDataFrame([("cead", None, None, "2025", None)], LINEAGE)
+    export.interop_export(rows, lineage, str(tmp_path / "out"))
+    read = lambda name: "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "out" / name).glob("part-*"))  # noqa: E731  a part may be empty
+    assert json.loads(read("territory_interop"))["source_id"] is None and "á" in read("territory_interop")
+    event, evidence = json.loads(read("territory_events_fusion")), json.loads(read("evidence_fusion"))
+    assert event["evidence_ids"] == [evidence["evidence_id"]] and event["attributes"]["crime_category"] == "á" and evidence["quality_status"] == "VALID"
+    assert json.loads((tmp_path / "out/fusion_interop_status.json").read_text())["events"] == 1
     with pytest.raises(ValueError, match="empty"):
-        export.interop_export(rows.limit(0), str(tmp_path / "none"))
-    scores = spark.createDataFrame([("13101", 50.5, "Medio"), ("2", None, None)], "commune_code string, score double, level string")
+        export.interop_export(rows.limit(0), lineage, str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="lineage"):
+        export.interop_export(rows, lineage.limit(0), str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()
+    scores = spark.createDataFrame([("13101", 50.5, "Medio", "<b>A&B</b>"), ("2", None, None, None)], "commune_code string, score double, level string, commune_name string")
     block = export.score_block(scores)
     page = export.injected("<body></body>", block)
-    assert page.count("13101") == 1 and export.injected(page, block) == page
-    activity = spark.createDataFrame([("1", 1500, 2.5), ("2", 7, None)], "commune_code string, cases_policiales long, yoy_pct double")
+    assert page.count("13101") == 1 and export.injected(page, block) == page and "&lt;b&gt;A&amp;B&lt;/b&gt;" in block and "<b>" not in block
+    activity = spark.createDataFrame([("<1>", 1500, 2.5), ("2", 7, None)], "commune_code string, cases_policiales long, yoy_pct double")
     export.dashboard(activity, spark.createDataFrame([(0, "x", True)], "ordinal int, source_id string, ok boolean"), str(tmp_path))
-    assert json.loads((tmp_path / "data.json").read_text())["activity"][0]["shown"] == "1.500"
+    assert json.loads((tmp_path / "data.json").read_text())["activity"][0]["shown"] == "1.500" and "&lt;1&gt;" in (tmp_path / "index.html").read_text()
+    contract = spark.createDataFrame([("a",), ("a",), ("b",)], "signal_family string")
+    for _ in range(2):
+        export.with_score(str(tmp_path), scores, contract, {"version": "1"})
+    data, page = json.loads((tmp_path / "data.json").read_text()), (tmp_path / "index.html").read_text()
+    assert data["geographic_score"][0]["score"] == 50.5 and data["integration_signals"] == {"a": 2, "b": 1} and page.count("A&amp;B") == 1 and data["activity"]
 
 
 def test_contract(spark):
@@ -88,7 +117,8 @@ def test_contract(spark):
     found = {r["signal_family"]: r for r in export.integration_contract(regions, features, old).collect()}
     assert set(found) == {"ministerio_publico_aml_proxy", "cead_predicate_offense", "cead_art27_drug_family"}
     assert found["cead_predicate_offense"]["source_families"] == ["s"] and found["cead_art27_drug_family"]["source_families"] == ["cead_estadisticas_delictuales"]
-    assert found["cead_art27_drug_family"]["join_keys"]["commune_name_norm"] == "x"
+    assert found["cead_art27_drug_family"]["join_keys"]["commune_name_norm"] == "x" and found["cead_predicate_offense"]["join_keys"]["commune_name_norm"] is None
+    assert all(r["excludes_homicide_weight"] for r in found.values()) and {"crime_category", "article27_mapping_key", "aml_weight", "mapping_confidence", "source_tier", "quality_status", "article27_relation"} < set(found["cead_predicate_offense"].asDict())
 
 
 def test_places(spark):
@@ -97,7 +127,30 @@ def test_places(spark):
     assert sorted((r["territory_id"], r["commune_code"]) for r in places.codes_attached(rows, known).collect()) == [("CL-13199", "13199"), ("y", "7"), ("z", None)]
     assert places.attach_status(rows).first().asDict() == {"matched": 1, "ok": False}
     assert sorted(r["cut_status"] for r in places.codes_by_name(rows.drop("commune_code"), known).collect()) == ["cut_region_mismatch", "name_fallback", "official_cut"]
-    annual = spark.createDataFrame([("R", "a", 3), ("R", "b", 4)], "region_name string, commune_name string, victims int")
-    recent = spark.createDataFrame([("R", "b", 1), ("R", "c", 2)], "region_name string, commune_name string, victims int")
+    annual = spark.createDataFrame([("R", "a", 3), ("R", "Bé", 4)], "region_name string, commune_name string, victims int")
+    recent = spark.createDataFrame([("r", "BE", 1), ("R", "c", 2)], "region_name string, commune_name string, victims int")
     found = {r["commune_name"]: (r["period"], r["recent_h1_2025_victims"], r["recent_h1_2025_status"]) for r in places.homicide_communes(annual, recent).collect()}
-    assert found == {"a": ("2024", 0, "derived_zero_not_listed"), "b": ("2024", 1, "observed"), "c": ("2025-H1", 2, "observed")}
+    assert found == {"a": ("2024", 0, "derived_zero_not_listed_in_complete_positive_table"), "Bé": ("2024", 1, "observed_positive"), "c": ("2025-H1", 2, None)}
+
+
+def test_homicide_tables(spark):
+    reg = "year int, period string, period_type string, region_code string, region_name string, victims int, rate_100k double"
+    regions = spark.createDataFrame([(2024, "2024", "annual", "13", "Metropolitana de Santiago", 1000, 5.0), (2024, "2024", "annual", "6", "O'Higgins", 207, 5.0), (2025, "2025-H1", "h1", "13", "Metropolitana de Santiago", 511, 2.5)], reg)
+    annual = spark.createDataFrame([("Metropolitana", "Santiago", 1000, 9.0, 500_000), ("O’Higgins", "Rancagua", 207, 8.0, 1)], "region_name string, commune_name string, victims int, rate_100k double, population int")
+    annual = annual.withColumn("region_name", F.replace("region_name", F.lit("’"), F.lit("`")))
+    recent = spark.createDataFrame([("Metropolitana", "SANTIAGO", 500), ("Metropolitana", "Maipú", 11)], "region_name string, commune_name string, victims int")
+    codes = spark.createDataFrame([("santiago", "13101")], "name_norm string, commune_code string")
+    rows = places.homicide_rows(regions, annual, recent, codes).collect()
+    of = {(r["period"], r["territory_id"]): r for r in rows}
+    assert len(rows) == 6 and of["2024", "CL-06"]["value"] == 207 and of["2024", "CL-06-rancagua"]["region_name"] == "Libertador General Bernardo O'Higgins"
+    santiago, maipu = of["2024", "CL-13101"], of["2025-H1", "CL-13-maipu"]
+    assert (santiago["recent_h1_2025_victims"], santiago["recent_h1_2025_status"], santiago["weight"]) == (500, "observed_positive", 0.65) and of["2024", "CL-06-rancagua"]["recent_h1_2025_victims"] == 0
+    assert (maipu["value"], maipu["rate_100k"], maipu["data_status"], maipu["period_type"], maipu["source_id"]) == (11, None, "observed_official_table_partial", "h1", "homicidios_interinstitucional_h1_2025")
+    with pytest.raises(ValueError, match="control totals"):
+        places.homicide_rows(regions.withColumn("victims", F.col("victims") + 1), annual, recent)
+
+
+def test_cache_keys_meet_however_written(spark):
+    old = spark.createDataFrame([(2024, "1101", "Tráfico", 1, 0)], "year int, commune_code string, crime_category string, value int, ordinal int")
+    new = spark.createDataFrame([(2024, "01101", "TRAFICO", 2, 0), (2024, None, "x", 3, 0)], "year int, commune_code string, crime_category string, value int, ordinal int")
+    assert sorted((r["commune_code"] or "", r["value"]) for r in merge.upserted(old, new).collect()) == [("", 3), ("01101", 2)]

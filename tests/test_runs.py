@@ -15,13 +15,26 @@ def test_offline_run(spark, tmp_path):
     write(tmp_path / "bridge.jsonl", [row("13101", 2023, "Delitos asociados a drogas", 80, "mirror_of_primary", 0), row("13101", 2024, "Delitos asociados a drogas", 90, "mirror_of_primary", 1), row("13102", 2024, "Homicidios", 1, "mirror_of_primary", 2)])
     write(tmp_path / "direct.jsonl", [row("13101", 2024, "Delitos asociados a drogas", 100, "primary_direct", 0)])
     write(tmp_path / "metrics.jsonl", [{"year": 2024, "region_code": r, "crime_category": "DELITOS LEY DE DROGAS", "value": v, "territory_level": "region", "metric": "delitos_ingresados", "source_id": "mp"} for r, v in (("13", 5), ("05", 9))])
+    write(tmp_path / "lineage.jsonl", [{"source_id": "cead", "retrieved_at": "2025-01-01T00:00:00+00:00", "freshness": "stale"}])
+    write(tmp_path / "communes.jsonl", [{"commune_code": c, "commune_name": c, "region_code": c[:2]} for c in ("13101", "13102", "13103")])
+    write(tmp_path / "status.jsonl", [{"ordinal": 0, "source_id": "<mp>", "ok": True}])
+    write(tmp_path / "publications.jsonl", [{"source_id": "spd", "title": "t", "url": "u"}])
     paths = offline.run(spark, str(tmp_path), str(tmp_path / "out"), "1")
     got = {name: spark.read.json(path).collect() for name, path in paths.items() if name != "commune_priority"}
     assert [(r["cases_policiales"], r["yoy_pct"]) for r in got["current_activity"]] == [(100, 25.0)]
     assert {r["commune_code"]: r["score"] for r in got["geographic_score"]}["13101"] is not None
     assert {r["signal_family"] for r in got["integration_ready"]} == {"ministerio_publico_aml_proxy", "cead_predicate_offense", "cead_criminogenic_geographic_score"}
-    assert len(got["mp_metrics"]) == 3 and len(got["region_pressure"]) == 2
-    assert json.loads((tmp_path / "out/version=1/status.json").read_text())["communes"] == 2
+    assert len(got["mp_metrics"]) == 3 and len(got["region_pressure"]) == 2 and len(got["publications"]) == 1 and len(paths) >= 19
+    folder = tmp_path / "out/version=1"
+    status, data = json.loads((folder / "status.json").read_text()), json.loads((folder / "public/data.json").read_text())
+    assert status["communes"] == 2 and status["coverage"]["unavailable_communes"] == ["13103"] and [r["commune_code"] for r in got["unavailable_communes"]] == ["13103"]
+    assert data["geographic_score"][0]["commune_code"] == "13101" and data["status"][0]["source_id"] == "<mp>" and "13101" in (folder / "public/index.html").read_text() and "&lt;mp&gt;" in (folder / "public/index.html").read_text()
+    score = next(r for r in got["geographic_score"] if r["commune_code"] == "13101")
+    assert score["territory_id"] == "CL-13101" and score["layers"]["predicate_direct"]["components"][0]["id"] == "predicate_direct_fallback" and score["layer_weights"]["predicate_direct"] == 0.55
+    signal = next(r for r in got["integration_ready"] if r["signal_family"] == "cead_criminogenic_geographic_score")
+    assert signal["join_keys"]["commune_code"].startswith("131") and "No representa probabilidad" in signal["interpretation"]
+    event = spark.read.json(str(folder / "interop/territory_events_fusion")).first()
+    assert event["temporal"]["freshness_state"] == "STALE" and event["evidence_ids"] == [spark.read.json(str(folder / "interop/evidence_fusion")).first()["evidence_id"]]
     with pytest.raises(ValueError, match="empty"):
         offline.run(spark, str(tmp_path / "nothing"), str(tmp_path / "out"), "2")
 

@@ -3,24 +3,46 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from comarca.sources import html, osint, tables
+from comarca import files
+from comarca.sources import communal, html, osint, tables
 from comarca.streaming import upserts
 
-ANNUAL = """<h5>Tasas anuales denuncias según Familia de delitos</h5><table><tr><th>Comuna</th><th>a</th><th>b</th><th>c</th><th>d</th></tr>
-<tr><td>Iquique</td><td>2.066,4</td><td>32,7</td><td>--</td><td>1</td></tr><tr><td>Distrito 2</td><td>1</td><td>1</td><td>1</td><td>1</td></tr></table>"""
+# The district table's columns are, in this order: life and integrity, drugs, property, domestic violence.
+ANNUAL = """<h5>Tasas anuales denuncias según Familia de delitos</h5><table><tr><th>Nivel territorial</th><th>Violentos</th><th>Drogas</th><th>Propiedad</th><th>VIF</th></tr>
+<tr><td>Arica</td><td>2.066,4</td><td>32,7</td><td>--</td><td>673,1</td></tr><tr><td>Distrito 1</td><td>2.000,0</td><td>33,0</td><td>1.100,0</td><td>600,0</td></tr></table>"""
 SECTION = "<strong>{}: frecuencia y tasa</strong><table><tr><td>Talca</td><td>{}</td><td>12</td><td>257.163</td><td>260.000</td><td>4,0</td><td>4,6</td></tr></table>"
 
 
 def test_annual_table(spark):
-    pages = spark.createDataFrame([(2, "01", "Tarapacá", ANNUAL)], "district int, region_code string, region_name string, html string")
+    pages = spark.createDataFrame([(1, "15", "Arica y Parinacota", ANNUAL)], "district int, region_code string, region_name string, html string")
     found = {r["cead_family_key"]: r for r in html.annual_rates(pages).collect()}
-    assert {k: r["rate_100k"] for k, r in found.items()} == {"delitos_asociados_drogas": 2066.4, "delitos_asociados_armas": 32.7, "robos_violentos": 1.0}
-    assert found["delitos_asociados_drogas"]["territory_id"] == "CL-01-iquique" and found["delitos_asociados_armas"]["aml_weight"] == 0.0
-    known = spark.createDataFrame([("01", "iquique", 200_000), ("01", "x", 0)], "region_code string, commune_name_norm string, population long")
-    row = html.with_population(html.annual_rates(pages), known).where("cead_family_key = 'delitos_asociados_armas'").first()
+    assert {k: r["rate_100k"] for k, r in found.items()} == {"delitos_contra_vida_integridad": 2066.4, "delitos_asociados_drogas": 32.7, "violencia_intrafamiliar": 673.1}
+    drugs = found["delitos_asociados_drogas"]
+    assert (drugs["territory_id"], drugs["crime_category"], drugs["article27_relation"], drugs["score_eligible"], drugs["aml_weight"]) == ("CL-15-arica", "Delitos asociados a drogas", "direct_family_ley_20000", True, 1.0)
+    assert (drugs["metric"], drugs["value"], drugs["period_type"], drugs["observation_unit"], drugs["data_status"], drugs["commune_code"]) == ("tasa_denuncias_100k", None, "annual", "denuncia_formal", "observed_rate", None)
+    assert found["violencia_intrafamiliar"]["aml_weight"] == 0.0 and not found["delitos_contra_vida_integridad"]["score_eligible"]
+    known = spark.createDataFrame([("15", "arica", 200_000), ("15", "x", 0)], "region_code string, commune_name_norm string, population long")
+    row = html.with_population(html.annual_rates(pages), known).where("cead_family_key = 'delitos_asociados_drogas'").first()
     assert row["estimated_frequency"] == 65 and row["frequency_status"].startswith("derived")
 
 
+def test_communal_control(spark):
+    targets = communal.targets(spark)
+    assert targets.count() == 56 and targets.where("district = 19").first()["region_name"] == "Ñuble" and targets.select("url").distinct().count() == 56
+    latest = "".join(f"<h6>7.{k} {h}: Frecuencia y Tasa</h6><table><tr><td>Arica</td><td>575</td><td>{n}</td><td>257.163</td><td>259.064</td><td>223,6</td><td>160,8</td></tr></table>" for k, (h, n) in enumerate((("Delitos contra la vida", 424), ("Violencia Intrafamiliar", 9), ("Delitos asociados a Drogas", 424)), 1))
+    text = F.when(F.col("kind") == "annual", ANNUAL).otherwise(latest)
+    pages = targets.where("district = 1").withColumns({"html": text, "sha256": F.sha2("url", 256), "bytes": F.lit(9), "retrieved_at": F.lit("t"), "ok": F.lit(True), "error": F.lit(None).cast("string")})
+    failed = targets.where("district = 2 AND kind = 'annual'").withColumns({c: F.lit(None).cast(t) for c, t in (("html", "string"), ("sha256", "string"), ("bytes", "int"), ("retrieved_at", "string"))} | {"ok": F.lit(False), "error": F.lit("down")})
+    rows, evidence, status = communal.communal(pages.unionByName(failed), least=1)
+    found = {(r["period"], r["cead_family_key"]): r for r in rows.collect()}
+    assert len(found) == 4 and found["2024", "delitos_asociados_drogas"]["estimated_frequency"] == 84 and found["2024", "delitos_asociados_drogas"]["population"] == 257163
+    late = found["2025-Q3", "delitos_asociados_drogas"]
+    assert (late["quality_status"], late["value"], late["aml_weight"], late["metric"], late["period_type"]) == ("quarantined_duplicate_section", 424, 0.0, "denuncias", "q3_ytd") and late["source_url"].endswith("anno=2026&distrito=1")
+    assert {r["evidence_id"] for r in evidence.collect()} == {"bcn:cead:annual2024:d1", "bcn:cead:q3_2025:d1"}
+    told = {(r["source_id"], r["district"]): r for r in status.collect()}
+    assert told["bcn_siit_cead_annual_2024", None]["ok"] and told["bcn_siit_cead_latest_2025", None]["quarantined_districts"] == [1] and told["bcn_siit_cead_annual_2024", 2]["error"] == "down"
+
+
 @pytest.mark.parametrize(("other", "status", "weight"), [(10, "quarantined_duplicate_section", 0.0), (11, "usable", 1.0)])
 def test_duplicate_sections_are_quarantined(spark, other, status, weight):
     page = "".join(SECTION.format(h, n) for h, n in (("Delitos asociados a drogas", 10), ("Delitos contra la vida", other), ("Violencia intrafamiliar", 12)))
@@ -40,22 +62,32 @@ def test_links_events_and_publications(spark):
     pages = spark.createDataFrame([("uaf", "https://u.cl/a", 0, page), ("uaf", "https://u.cl/a", 1, None)], "source_id string, url string, ordinal int, html string")
     (row,) = osint.events(pages, ["Lavado", "drogas"]).collect()
     assert row["title"] == "Otra nota sobre lavado de activos" and row["matched_keywords"] == ["lavado"] and row["url"] == "https://u.cl/n?1"
+    assert "5/3/2024" in html.links(pages).where("link_at = 0").first()["around"]
     first = osint.publications(pages, ["ley"]).collect()
     assert [r["title"] for r in first] == ["Nueva ley de lavado de activos"]
-    dated = html.links(pages).where("link_at = 0").first()
-    assert "5/3/2024" in dated["around"]
+    page = '<a href="/a"> Tráfico  ilícito</a><a href="mailto:sitia@x">correo</a><a href="/docs/casos%20policiales-trata.pdf"></a><a href="/b">Nada</a><a href="/a">HOMICIDIOS</a>'
+    pages = spark.createDataFrame([("spd", "https://u.cl/x/", 0, page, "now")], "source_id string, url string, ordinal int, html string, retrieved_at string")
+    listed = {r["url"]: (r["title"], r["retrieved_at"], r["publication_type"], r["data_status"]) for r in osint.publications(pages).collect()}
+    kind = ("now", "official_discovery", "observed_link")
+    assert listed == {"https://u.cl/a": ("Tráfico ilícito", *kind), "mailto:sitia@x": ("correo", *kind), "https://u.cl/docs/casos%20policiales-trata.pdf": ("casos%20policiales-trata.pdf", *kind)}
     assert html.page_years(spark.createDataFrame([("de 2017 a 2020 y 2020, 2031",)], "html string")).first()["years"] == [2020]
 
 
 def test_bridge(spark):
-    rows = [("Iquique", 1101, "Tarapacá", 1, d, "Drogas", n) for d, n in (("2024-01-01", 3), ("2024-02-01", 4), ("2025-01-01", 5), ("x", 9), ("2024-03-01", None), ("2019-01-01", 1))]
-    monthly = tables.monthly_bridge(spark.createDataFrame(rows, "comuna string, cut_comuna int, region string, cut_region int, fecha string, delito string, delito_n long"), 2020)
+    rows = [("Iquique", "1101", "Tarapacá", 1, d, "Drogas", n) for d, n in (("2024-01-01", 3), ("2024-02-01", 4), ("2025-01-01", 5), ("x", 9), ("2024-03-01", None), ("2019-01-01", 1))]
+    rows += [("Iquique", code, "Tarapacá", 1, "2024-01-01", "Drogas", 100) for code in (None, "s/c")]
+    monthly = tables.monthly_bridge(spark.createDataFrame(rows, "comuna string, cut_comuna string, region string, cut_region int, fecha string, delito string, delito_n long"), 2020)
     assert {r["year"]: (r["value"], r["commune_code"], r["region_code"]) for r in tables.annual_bridge(monthly).collect()} == {2024: (7, "01101", "01"), 2025: (5, "01101", "01")}
     assert tables.bridge_stats(monthly).first()["rows"] == 3
     with pytest.raises(ValueError, match="cut_comuna"):
         tables.monthly_bridge(spark.createDataFrame([(1,)], "comuna int"), 2020)
-    back = spark.createDataFrame([("2024", 1101.0, "a", "2.5"), ("2019", 1.0, "a", "1"), ("2024", float("nan"), "a", "nan")], "year string, commune_code double, crime_category string, value string")
-    assert [(r["commune_code"], r["value"]) for r in tables.backbone(back, 2020).collect()] == [("01101", 2)]
+    shape = "year string, commune_code double, commune_name string, region_code string, region_name string, crime_category string, metric string, value string, period string"
+    row = lambda year, code, value, period=None: (year, code, "Iquique", "01", "Tarapacá", "a", "casos_policiales", value, period)
+    found = tables.backbone(spark.createDataFrame([row("2024", 1101.0, "2.5"), row("2024", 1101.0, "7", "2024-H1"), row("2019", 1.0, "1"), row("2024", float("nan"), "nan")], shape), 2020)
+    assert sorted((r["commune_code"], r["value"], r["period"], r["ultimate_source_id"], r["observation_unit"]) for r in found.collect()) == [("01101", 2, "2024", "cead_estadisticas_delictuales", "caso_policial"), ("01101", 7, "2024-H1", "cead_estadisticas_delictuales", "caso_policial")]
+    assert [tuple(r) for r in tables.commune_list(found).collect()] == [("01101", "Iquique", "01", "Tarapacá")] and not tables.backbone_status(found).first()["ok"]
+    with pytest.raises(ValueError, match="region_name"):
+        tables.backbone(found.drop("region_name"), 2020)
 
 
 def workbook(path, sheets):
@@ -65,25 +97,34 @@ def workbook(path, sheets):
         z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{n}" sheetId="{k}" r:id="r{k}"/>' for k, n in enumerate(sheets, 1)) + "</sheets></workbook>")
         z.writestr("xl/_rels/workbook.xml.rels", "<Relationships>" + "".join(f'<Relationship Id="r{k}" Target="worksheets/s{k}.xml"/>' for k in range(1, len(sheets) + 1)) + "</Relationships>")
         for k, rows in enumerate(sheets.values(), 1):
-            body = "".join(f'<row r="{r}">' + "".join(cell(f"{'ABCDEFG'[c]}{r}", v) for c, v in enumerate(row) if v is not None) + "</row>" for r, row in enumerate(rows, 1))
+            body = "".join(f'<row r="{r}">' + "".join(cell(f"{'ABCDEFGHIJ'[c]}{r}", v) for c, v in enumerate(row) if v is not None) + "</row>" for r, row in enumerate(rows, 1))
             z.writestr(f"xl/worksheets/s{k}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
 
 
 def test_workbook(spark, tmp_path):
-    table = lambda n: [["título"], [None, "Categoría  de delitos", "I", "RM SUR", "RM ORIENTE", "otra"], [None, "Robos", n, 2, 3, 9], [None, "Total nacional", 9, 9, 9, 9], [None, "Nota", 1, 1, 1, 1]]
-    workbook(tmp_path / "mp.xlsx", {"x": [["nada"]], "TB3.1": table(5), "hoja": [["IMPUTADOS DESCONOCIDOS"], *table(7)]})
-    found = tables.prosecution_workbook(tables.workbooks(spark, str(tmp_path)), 2024).collect()
-    assert {r["region_code"]: r["value"] for r in found} == {"01": 12, "13": 10}
+    table = lambda n: [["título"], [None, "Categoría  de delitos", "I", "RM CN", "RM OR", "RM OCC", "RM SUR", "otra"], [None, "Robos", n, 2, 3, 4, 5, 9], [None, "Total nacional", *[9] * 6], [None, "Nota", *[1] * 6]]
+    workbook(tmp_path / "ministerio_publico_2024.xlsx", {"x": [["nada"]], "TB3.1": table(5), "hoja": [["IMPUTADOS DESCONOCIDOS"], *table(7)]})
+    workbook(tmp_path / "ministerio_publico_2023.xlsx", {"TB3.1": table(5)})
+    (tmp_path / "ministerio_publico_2022.xlsx").write_bytes(b"no workbook")
+    sheets = tables.workbooks(spark, str(tmp_path))
+    records, status = tables.prosecution_history(sheets, {f"ministerio_publico_{y}.xlsx": y for y in (2022, 2023, 2024)})
+    assert {(r["year"], r["region_code"], r["region_name"]): r["value"] for r in records.collect()} == {(2024, "01", "Tarapacá"): 12, (2024, "13", "Metropolitana de Santiago"): 28}  # all four offices of the capital
+    told = {r["year"]: (r["ok"], r["records"], r["error"]) for r in status.collect()}
+    assert told[2024] == (True, 2, None) and not told[2023][0] and "no regional table" in told[2023][2] and not told[2022][0] and "BadZipFile" in told[2022][2]
+    assert tables.prosecution_workbook(sheets.where(F.col("file").contains("2024")), 2024).count() == 2
     assert tables.evidence(spark.read.format("binaryFile").load(str(tmp_path))).first()["bytes"] > 0
 
 
 def test_commune_sheet(spark):
-    rows = [(0, ["Región", "Comuna", "Código"])] + [(k, ["13", f"Comuna {k}", str(13000 + k)]) for k in range(1, 301)]
-    sheet = spark.createDataFrame(rows, "row_at int, cells array<string>")
-    found = {r["name_norm"]: r["commune_code"] for r in tables.commune_codes(sheet).collect()}
-    assert found["comuna 1"] == "13001" and len(found) == 300
+    rows = [("s", 0, ["Listado"]), ("s", 1, ["Nombre Región", "Nombre Comuna", "Código Comuna 2018"])] + [("s", k + 1, ["Metropolitana", f"Comuna {k}", f"{13000 + k}.0"]) for k in range(1, 301)]
+    sheet = spark.createDataFrame([*rows, ("s", 400, ["x", "mala", "123"])], "sheet string, row_at int, cells array<string>")
+    found = {r["name_norm"]: r for r in tables.commune_codes(sheet).collect()}
+    assert found["comuna 1"]["commune_code"] == "13001" and found["comuna 1"]["region_name"] == "Metropolitana" and found["comuna 1"]["territory_id"] == "CL-COM-13001" and len(found) == 300
     with pytest.raises(ValueError, match="communes found"):
         tables.commune_codes(sheet.where("row_at < 9"))
+    bare = spark.createDataFrame([("s", k, [str(1000 + k), "x", f"Arica {k}"]) for k in range(310)], "sheet string, row_at int, cells array<string>")
+    guessed = {r["name_norm"]: r["commune_code"] for r in tables.commune_codes(bare).collect()}
+    assert guessed["arica 7"] == "01007" and len(guessed) == 310
 
 
 def test_files(spark, tmp_path):
@@ -93,13 +134,16 @@ def test_files(spark, tmp_path):
     (tmp_path / "b.csv").write_text("region_code,n\n01,5\n")
     assert tables.csv(spark, str(tmp_path / "b.csv"), "region_code string, n int").first()["region_code"] == "01"
     (tmp_path / "c.json").write_text("{broken")
-    assert tables.document(str(tmp_path / "c.json"), 7) == 7 == tables.document(str(tmp_path / "d.json"), 7)
+    assert tables.document(spark, str(tmp_path / "c.json"), 7) == 7 == tables.document(spark, str(tmp_path / "d.json"), 7)
+    files.write_text(spark, str(tmp_path / "deep/e.json"), '{"á": 1}')
+    assert tables.document(spark, str(tmp_path / "deep/e.json")) == {"á": 1}
 
     def broken():
         raise OSError("down")
 
-    rows, status = tables.collected(spark, {"good": lambda: spark.createDataFrame([(1,)], "a int"), "bad": broken}, "a int")
-    assert rows.count() == 1 and {r["source_id"]: r["ok"] for r in status.collect()} == {"good": True, "bad": False}
+    late = lambda: spark.range(1).select(F.raise_error(F.lit("late")).cast("int").alias("a"))  # noqa: E731  fails in a task, not in the plan
+    rows, status = tables.collected(spark, {"good": lambda: spark.createDataFrame([(1,)], "a int"), "bad": broken, "late": late}, "a int")
+    assert rows.count() == 1 and {r["source_id"]: r["ok"] for r in status.collect()} == {"good": True, "bad": False, "late": False}
     assert tables.or_last_good(rows.limit(0), rows).count() == 1
 
 
@@ -113,5 +157,6 @@ def test_stream_upserts(spark, tmp_path):
     run()
     found = upserts.read_version(spark, str(tmp_path / "out"), 1, schema)
     assert sorted((r["k"], r["v"]) for r in found.collect()) == [(1, "a"), (2, "c")]
-    assert upserts.read_version(spark, str(tmp_path / "out"), 9, schema).count() == 0
-    assert F.lit(1) is not None
+    assert upserts.read_version(spark, str(tmp_path / "out"), -1, schema).count() == 0
+    with pytest.raises(FileNotFoundError, match="version 41"):
+        upserts.read_version(spark, str(tmp_path / "out"), 41, schema)
