@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from comarca.files import delete, shared_folder
+
 #: Documents are cut to Arrow batches of this many rows; a batch is what a Python worker holds at once.
 BATCH_ROWS = 500
 
@@ -29,31 +30,18 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir. Only in local mode (tests) one is set where none is."""
-    context = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not path:
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir names no folder: executors need one that they share")
-        path = tempfile.mkdtemp(prefix="checkpoints-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(path)
-    return path
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder, for frames that the caller's result reads.
 
     Its files stay until the session's cleaner takes them, which spark.cleaner.referenceTracking.cleanCheckpoints turns on.
     """
-    shared_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh place for a written table in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
 class Scratch:
@@ -91,12 +79,6 @@ class Scratch:
             delete(self.spark, self.places.pop(id(frame)))
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a folder in whatever store Spark knows by its path."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 #: Bits of an id filter: 8 MB, however many ids go in.
 FILTER_BITS = 1 << 26
 

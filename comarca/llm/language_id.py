@@ -11,7 +11,8 @@ The model is fitted on a bounded sample of labelled rows (`SAMPLE_PER_LANGUAGE`
 prediction reads every whole text and nothing but the text.
 
 Cases: a null text, or one without a letter, is `und`, with score 0, rejected. Equal cosines go to the language that
-sorts first. Without labelled rows nothing is learned and every text is `und`. An empty table gives an empty table.
+sorts first. Very long texts are read whole; repeated rows each get the same answer. Without labelled rows nothing is learned
+and every text is `und`. An empty table gives an empty table.
 Extra columns stay; one named like the new column is replaced.
 """
 

@@ -17,8 +17,8 @@ A document's number within its source is found without gathering the source: has
 up over the buckets, and rows are numbered within their bucket. A source that holds a third of all rows has as many
 buckets as its rows ask for. The slots of a bucket's blocks come to its rows as one array, by the key that numbered them.
 
-Cases: a null source is a source of its own. Rows of one doc_id are ordered by their other columns' hash, and equal rows are
-interchangeable. Sources without a target weight get the least positive one; with no weights at all, weights are the
+Cases: a null source is a source of its own. The hash is of the id and the other columns, so rows that share an id, or have
+none, spread like others; equal rows are interchangeable. Texts are only hashed, however long. Sources without a target weight get the least positive one; with no weights at all, weights are the
 square roots of the sources' sizes. An empty table gives an empty table. Columns named like the new ones are replaced.
 """
 
@@ -37,7 +37,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from comarca.llm.common import cut, shared_dir
+from comarca.files import shared_folder
+from comarca.llm.common import cut
 
 BLOCK_ROWS = 16
 #: Slots, about, at most: beyond, blocks grow, for slots are dealt out one after the other.
@@ -125,7 +126,7 @@ def _positions_path(docs: DataFrame) -> str:
     a, b = row_keys(docs)
     r = docs.agg(F.count("*"), F.coalesce(F.bit_xor(a), F.lit(0)), F.coalesce(F.sum(b.cast("long")), F.lit(0)), F.coalesce(F.bit_xor(F.xxhash64(b, a)), F.lit(0))).first()
     named = hashlib.sha256(repr((docs.columns, *r)).encode()).hexdigest()[:32]
-    return f"{shared_dir(docs.sparkSession).rstrip('/')}/tables/mix_positions-{named}"
+    return f"{shared_folder(docs.sparkSession).rstrip('/')}/tables/mix_positions-{named}"
 
 
 def write_positions(docs: DataFrame, weights: Mapping[str, float] | None = None, **options) -> None:
@@ -165,7 +166,8 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_row
     # The other columns only break ties of repeated ids; of texts the length and the first hash do.
     rest = [F.hash(F.col(f"`{c}`")) for c, t in docs.dtypes if not t.startswith("map") and c not in (doc_id, "__a", "__b")]
     key = F.when(F.col(source).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    rows = docs.withColumns({"__source": key, "__hash": F.xxhash64(F.col(doc_id), F.lit(SEED)), "__tie": F.xxhash64(*rest)})
+    tie = F.xxhash64(*rest)
+    rows = docs.withColumns({"__source": key, "__hash": F.xxhash64(F.col(doc_id), F.lit(SEED), tie), "__tie": tie})  # rows without an id spread too
     sizes = {r["__source"]: r["count"] for r in rows.groupBy("__source").count().collect()}  # one row for each source
     given = {("null" if k is None else f"={k}"): w for k, w in (weights or {}).items() if w > 0}
     target = {k: given.get(k, min(given.values())) for k in sizes} if given else default_weights(sizes)

@@ -8,7 +8,7 @@ grade and the tail probability P(grade >= g) come from the same thresholds; sele
 The model is fitted on a bounded sample of rated rows (`SAMPLE_ROWS`, by hash of the id); grading reads every whole text.
 
 Cases: a null or empty text has the shape features alone. Without rated rows, or with one grade only, every text gets
-that grade (0) with certainty. Ties and repeated rows change nothing; an empty table gives an empty table. Extra columns
+that grade (0) with certainty. Very long texts are read whole. Ties and repeated rows change nothing; an empty table gives an empty table. Extra columns
 stay; one named like the new column is replaced.
 """
 

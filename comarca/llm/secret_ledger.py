@@ -5,7 +5,7 @@ that it lacks for this rule version are scanned, each once however many document
 then join back to every document that holds the blob, in any version of the corpus.
 
 Cases: a null text is the empty blob. A document without findings has an empty list. Repeated rows each get their
-findings. An empty table adds nothing to the ledger. Extra columns stay as they are;
+findings. Very long texts are scanned whole. An empty table adds nothing to the ledger. Extra columns stay as they are;
 one named like the new column is replaced.
 """
 

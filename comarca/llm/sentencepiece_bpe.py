@@ -8,7 +8,8 @@ encoded once per worker; the memo is bounded.
 
 Cases: a null or empty text has no ids and decodes to the empty text. A character outside the vocabulary becomes its
 UTF-8 bytes (or the unknown id, if the model has no byte pieces). Every row gets its result; rows never meet, so ties,
-repeated rows and extra columns change nothing. An empty table gives an empty table.
+repeated rows and extra columns change nothing. Very long texts are encoded whole, word by word. An empty table gives an
+empty table; a column named like the new one is replaced.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ doc_id, and within one, documents follow each other. The start of a document amo
 partitions before, of its blocks before and of the documents before it in its block; no task sees more than its range.
 
 Cases: a null or empty text has the end id alone. Null doc_ids come first; rows of one doc_id stand in the order of their
-texts. An empty table writes an empty file and reads back empty. Extra columns are not written.
+texts' hash, each with its own ids. A very long text is a block of its own, whole: a task holds the ids of one batch of texts.
+An empty table writes an empty file and reads back empty. Extra columns, whatever their names, are not written.
 """
 
 from __future__ import annotations
@@ -173,7 +174,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int, d
     """Encode the texts of docs and write the blocks in doc_id order. The range shuffle moves the texts once; encoding happens behind it, in order."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(_blocks(tokenizer, end_id), BLOCK_SCHEMA).write.option("compression", "none").parquet(path)
+    tie = F.xxhash64("text")  # rows that share an id, or have none, may lie in several ranges
+    rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text").mapInArrow(_blocks(tokenizer, end_id), BLOCK_SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 import re
+from math import exp, log, sqrt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from comarca.llm import language_id, ordinal_quality, secret_ledger, url_rules
@@ -140,6 +142,82 @@ def test_language(spark):
     assert language_id.fit(docs, per_language=5).languages == ("de", "en", "es")
 
 
+def gram_tally(text):
+    """Buckets of a text's letter 1- to 3-grams, letter by letter."""
+    mixed = lambda x: (((x ^ x >> 15) * 0x2C1B3C6D) % 2**32) >> (32 - language_id.BITS)
+    padded = [32]
+    for c in text.lower():
+        point = ord(c) if c.isalpha() else 32
+        if point != 32 or padded[-1] != 32 or len(padded) == 1:
+            padded.append(point)
+    padded.append(32)
+    out = {}
+    for k in range(len(padded)):
+        h = 0
+        for size, (factor, mix) in enumerate(((0x9E3779B1, 1), (0x85EBCA77, 0xC2B2AE3D), (0x27D4EB2F, 0x165667B1))):
+            if k + size < len(padded):
+                h = ((h ^ padded[k + size] * factor) * mix) % 2**32
+                out[mixed(h)] = out.get(mixed(h), 0) + 1
+    return out
+
+
+def test_language_is_that_of_the_nearest_centroid(spark):
+    docs = languages(spark)
+    model = language_id.fit(docs)
+    texts = [r["text"] for r in docs.collect()][::7] + ["Über 12 años, the   end.", "x", "de la der the"]
+    for text in texts:
+        v = {b: sqrt(n) * float(model.weights[b]) for b, n in gram_tally(text).items()}
+        size = sqrt(sum(x * x for x in v.values()))
+        near = [sum(x * float(c[b]) for b, x in v.items()) / size for c in model.centres]
+        lang, score, rejected = model.predict(text)
+        best = max(range(len(near)), key=lambda k: (near[k], -k))
+        assert abs(score - near[best]) < 1e-5 and lang == model.languages[model.of[best]]
+        assert rejected == (score < model.least[model.of[best], sum(c.isalpha() for c in text).bit_length()])
+    twice = language_id.identify(docs.unionByName(docs), model).collect()
+    assert len(twice) == 2 * docs.count() and len({(r["text"], str(r["language"])) for r in twice}) == len({r["text"] for r in twice})
+
+
+def test_ordinal_loss_and_gradient():
+    r = np.random.default_rng(4)
+    n, size = 40, 12
+    dense = r.normal(size=(n, size)) * (r.random((n, size)) < 0.5)
+    rows, cols = np.nonzero(dense)
+    grade = r.integers(0, 3, n)
+    w, t = r.normal(size=size) * 0.3, np.array([-0.4, 0.7])
+
+    def plain(w, t):
+        total = 1.5 * float(w @ w) / 2
+        for x, g in zip(dense, grade, strict=True):
+            at = [0.0] + [1 / (1 + exp(-(c - float(w @ x)))) for c in t] + [1.0]
+            total -= log(at[g + 1] - at[g])
+        return total
+
+    loss, gw, gt = ordinal_quality._loss(w, t, rows, cols, dense[rows, cols], grade, n, size, 1.5)
+    assert abs(loss - plain(w, t)) < 1e-6
+    for own, found, other in ((w, gw, lambda x: plain(x, t)), (t, gt, lambda x: plain(w, x))):
+        for k in range(len(own)):
+            step = np.zeros_like(own)
+            step[k] = 1e-5
+            assert abs((other(own + step) - other(own - step)) / 2e-5 - found[k]) < 1e-4
+
+
+def test_grades_are_ordered_and_repeat(spark):
+    texts = ["the calm river runs past quiet fields", "### buy $$$ now!! ###", "you stupid idiot river"]
+    docs = spark.createDataFrame([(k, f"{texts[k % 3]} {k}", (2, 1, 0)[k % 3]) for k in range(90)], "doc_id long, text string, grade int")
+    model = ordinal_quality.fit(docs)
+    again = ordinal_quality.fit(docs.repartition(3))
+    assert np.allclose(model.weights, again.weights) and np.allclose(model.thresholds, again.thresholds)
+    rows = ordinal_quality.grade_documents(docs.unionByName(docs).withColumn("grade", F.lit("clash")), model).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["text"], []).append((r["grade"]["expected"], tuple(r["grade"]["tails"])))
+    assert len(rows) == 180 and all(len(x) == 2 and x[0] == x[1] for x in by.values())
+    for text, (first, _) in by.items():
+        buckets, values = ordinal_quality.features(text)
+        score = sum(float(model.weights[b]) * v for b, v in zip(buckets, values, strict=True))
+        assert all(abs(tail - 1 / (1 + exp(c - score))) < 1e-5 for tail, c in zip(first[1], model.thresholds, strict=True)) and abs(first[0] - sum(first[1])) < 1e-9
+
+
 def test_quality(spark):
     good, poor, bad = "the calm river runs past quiet fields", "### buy $$$ now!! ###", "you stupid idiot river"
     rows = [(k, f"{(good, poor, bad)[k % 3]} {k}", (2, 1, 0)[k % 3]) for k in range(120)]

@@ -1,14 +1,14 @@
 import random
 from collections import Counter
 from fractions import Fraction
-from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from comarca.llm import embedding_dedup, kdtree_topk, minhash_dedup, mixing
-from comarca.llm.common import Scratch, delete, id_filter, shared_dir, small_batches
+from comarca.files import delete
+from comarca.llm.common import Scratch, id_filter, small_batches
 from comarca.llm.components import components
 
 
@@ -104,9 +104,6 @@ def test_shared_state(spark):
     small_batches(spark, 64)
     small_batches(spark, 500)
     assert spark.conf.get(batch) == "64"
-    context = SimpleNamespace(master="spark://far:7077", getCheckpointDir=lambda: None)
-    with pytest.raises(ValueError, match="checkpoint"):
-        shared_dir(SimpleNamespace(sparkContext=context, conf={}))
 
 
 def test_id_filter_holds_for_every_id(spark, monkeypatch):
@@ -149,6 +146,8 @@ def test_near_vectors(spark, monkeypatch, cell_rows, block_rows):
     assert all(found[k]["n_links"] == 0 and found[k]["component_id"] == k and found[k]["kept"] for k in range(1001, 1009)) and found[1009]["n_links"] == 1
     default = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(frame).collect()}
     assert sum(default.values()) >= 0.9 * sum(r["n_links"] for r in got)
+    clash = embedding_dedup.near_vectors(frame.withColumns({c: F.lit("x") for c in ("node", "cell", "print", "home", "links", "component")}), reach=1.0)
+    assert sorted(map(str, clash.collect())) == sorted(map(str, got))
     assert embedding_dedup.near_vectors(frame.limit(0)).collect() == []
 
 
