@@ -41,9 +41,12 @@ def cells(master: DataFrame, ordinal: str = "ordinal") -> DataFrame:
         _code5().alias("code"), F.col("year").cast("int").alias("year"), norm(F.col("crime_category")).alias("norm"), F.when(fits, F.coalesce("value", F.lit(0)).cast("double")).alias("value"), fits.cast("int").alias("fits"),
         F.struct(at.alias("at"), *[has(c).alias(c) for c in IDENTITY]).alias("who"),
     )
+    known = rows.withColumn("code", F.when(F.col("code").rlike(r"^\d{5}$"), F.col("code"))).groupBy("code", "year", "norm")
+    sums = F.sum("value").alias("v"), F.sum("fits").alias("rows")
+    if not {ordinal, *IDENTITY} & {*master.columns}:  # nobody is known: plain sums, which a hash aggregate takes
+        return held(known.agg(*sums).withColumn("who", F.lit(None).cast(rows.schema["who"].dataType)))
     first = F.min("who") if ordinal in master.columns else F.max("who")  # without an order, what is known comes first
-    known = rows.withColumn("code", F.when(F.col("code").rlike(r"^\d{5}$"), F.col("code")))
-    return held(known.groupBy("code", "year", "norm").agg(F.sum("value").alias("v"), F.sum("fits").alias("rows"), first.alias("who")))
+    return held(known.agg(*sums, first.alias("who")))
 
 
 def series(own: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
@@ -123,7 +126,7 @@ def geographic_scores(master: DataFrame, layers: dict = dims.LAYERS) -> DataFram
     details = [F.first(F.when(F.col("layer") == name, F.col("components")), ignorenulls=True).alias(f"{name}_components") for name in layers]
     weights = sum(w for w, _, _ in layers.values())
     total = scored.groupBy("code").agg(F.sum(F.col("layer_weight") * F.col("layer_score")).alias("__num"), F.sum("layer_weight").alias("__den"), F.sum(F.col("layer_weight") * F.col("coverage")).alias("__cov"), *per, *details)
-    communes = own.where(F.col("code").isNotNull()).groupBy("code").agg(F.min_by("who", "who.at").alias("who"))
+    communes = own.where(F.col("code").isNotNull()).groupBy("code").agg(F.min_by("who", F.coalesce("who.at", F.lit(0))).alias("who"))
     latest = F.broadcast(own.agg(F.max("year").alias("year")))
     joined = communes.join(latest, F.col("year").isNotNull()).join(total, "code", "left")
     score = half_even(F.try_divide("__num", "__den"), 2)

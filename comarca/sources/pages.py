@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-PAGE_SCHEMA = "url string, html string, sha256 string, bytes long, retrieved_at string, ok boolean, error string"
+from comarca import dims
+from comarca.sources.tables import document
+
+PAGE_SCHEMA = "url string, html string, sha256 string, bytes long, http_status int, retrieved_at string, ok boolean, error string"
 TIMEOUT_S = 45
 
 
@@ -32,10 +35,10 @@ class _Reader(DataSourceReader):
         at = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
         try:
             with urllib.request.urlopen(urllib.request.Request(partition.url, headers={"User-Agent": "comarca"}), timeout=self.timeout) as r:  # noqa: S310
-                raw = r.read()
-            yield partition.url, raw.decode("utf-8", "replace"), hashlib.sha256(raw).hexdigest(), len(raw), at, True, None
+                raw, status = r.read(), getattr(r, "status", None)
+            yield partition.url, raw.decode("utf-8", "replace"), hashlib.sha256(raw).hexdigest(), len(raw), status, at, True, None
         except Exception as e:  # noqa: BLE001  a page that fails is a status, not a failed job
-            yield partition.url, None, None, None, at, False, f"{type(e).__name__}: {e}"[:500]
+            yield partition.url, None, None, None, getattr(e, "code", None), at, False, f"{type(e).__name__}: {e}"[:500]
 
 
 class HttpPages(DataSource):
@@ -67,3 +70,53 @@ def replayed(targets: DataFrame, saved: DataFrame) -> DataFrame:
 def page_status(pages: DataFrame) -> DataFrame:
     """A status row for each source: whether all of its pages could be read, and how many."""
     return pages.groupBy("source_id").agg(F.bool_and("ok").alias("ok"), F.count_if("ok").alias("pages"), F.first("error", ignorenulls=True).alias("error"))
+
+
+REGISTRY = "source_id string, institution string, url string, priority int, source_tier string, role string, status string"
+#: A registered source that is watched by its own producer, not by a probe of its page.
+UNPROBED = "cead_estadisticas_delictuales"
+
+
+def registry(spark: SparkSession, path: str) -> DataFrame:
+    """The sources of a registry document (its list `sources`), in their order."""
+    rows = (document(spark, path) or {}).get("sources", [])
+    names = [c.split(" ")[0] for c in REGISTRY.split(", ")]
+    return spark.createDataFrame([(k, *[r.get(n) for n in names]) for k, r in enumerate(rows)], f"ordinal int, {REGISTRY}")
+
+
+def probe_targets(sources: DataFrame) -> DataFrame:
+    """The sources of first priority whose pages are probed."""
+    return sources.where((F.col("priority") == 1) & (F.col("source_id") != UNPROBED))
+
+
+def probed(targets: DataFrame, pages: DataFrame, most_title: int = 300) -> DataFrame:
+    """A health row for each target (ordinal, source_id, url), in their order: status, title and error of its page."""
+    title = F.trim(F.regexp_replace(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
+    joined = targets.select("ordinal", "source_id", "url").join(pages, "url", "left")
+    ok = F.coalesce("ok", F.lit(False))
+    return joined.select("ordinal", "source_id", "url", "retrieved_at", "http_status", ok.alias("ok"), F.when(ok, F.substring(title, 1, most_title)).alias("title"), F.when(~ok, F.coalesce("error", F.lit("not fetched"))).alias("error")).orderBy("ordinal")
+
+
+# The documents that the legal rules rest on: source id, address, observation unit.
+LEGAL_TARGETS = (
+    ("fiscalia_catalogo_delitos", "https://www.fiscaliadechile.cl/sites/default/files/2026-02/Catalogo_de_delitos.pdf", "catalogo_codigos_delito"),
+    ("bcn_ley_19913", "https://www.bcn.cl/leychile/navegar?idNorma=219119&idParte=8649605", "norma_juridica"),
+)
+
+
+def legal_targets(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(k, *t) for k, t in enumerate(LEGAL_TARGETS)], "ordinal int, source_id string, url string, observation_unit string")
+
+
+def legal_evidence(targets: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Evidence of the legal documents that could be fetched, and a status row for each; the rules themselves are static."""
+    joined = targets.join(pages, "url", "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    known = joined.where("ok").select(F.concat(F.lit("legal:"), "source_id", F.lit(":v0.2")).alias("evidence_id"), "source_id", "url", "retrieved_at", "sha256", "bytes", "observation_unit", F.lit(dims.LEGAL_VERSION).alias("rules_version"))
+    status = joined.orderBy("ordinal").select("source_id", "ok", F.col("sha256").alias("evidence_sha256"), F.when(~F.col("ok"), F.coalesce("error", F.lit("not fetched"))).alias("error"), F.when(~F.col("ok"), F.lit(True)).alias("static_rules_available"))
+    return known, status
+
+
+def sector_hypotheses(spark: SparkSession, path: str) -> DataFrame:
+    """(signal, sector_tags, aml_relevance, note) of a hypotheses document; they say nothing about conduct."""
+    signals = (document(spark, path) or {}).get("signals", {})
+    return spark.createDataFrame([(k, v.get("sector_tags", []), v.get("aml_relevance"), v.get("note")) for k, v in signals.items()], "signal string, sector_tags array<string>, aml_relevance string, note string")

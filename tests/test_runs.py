@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from comarca.plans import offline
 from comarca.sources import pages
@@ -48,3 +49,20 @@ def test_pages(spark, tmp_path):
     targets = spark.createDataFrame([("x", good), ("x", bad), ("y", good)], "source_id string, url string")
     status = {r["source_id"]: (r["ok"], r["pages"]) for r in pages.page_status(pages.replayed(targets, saved)).collect()}
     assert status == {"x": (False, 1), "y": (True, 1)}
+
+
+def test_registry_and_probe(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<title> Fiscalía\n de Chile </title>", encoding="utf-8")
+    good, bad = (tmp_path / "a.html").as_uri(), (tmp_path / "none.html").as_uri()
+    rows = [{"source_id": "b", "url": bad, "priority": 1}, {"source_id": "a", "url": good, "priority": 1}, {"source_id": "c", "url": good, "priority": 2}, {"source_id": "cead_estadisticas_delictuales", "url": good, "priority": 1}]
+    (tmp_path / "sources.json").write_text(json.dumps({"sources": rows}))
+    targets = pages.probe_targets(pages.registry(spark, str(tmp_path / "sources.json")))
+    health = pages.probed(targets, pages.fetched(spark, [good, bad])).collect()
+    assert [(r["source_id"], r["ok"], r["title"]) for r in health] == [("b", False, None), ("a", True, "Fiscalía de Chile")] and "Error" in health[0]["error"]
+    legal = pages.legal_targets(spark).withColumn("url", F.when(F.col("ordinal") == 0, good).otherwise(bad))
+    evidence, status = pages.legal_evidence(legal, pages.fetched(spark, [good, bad]))
+    assert [(r["evidence_id"], r["rules_version"], r["bytes"] > 0) for r in evidence.collect()] == [("legal:fiscalia_catalogo_delitos:v0.2", "0.2.0", True)]
+    assert [(r["ok"], r["static_rules_available"]) for r in status.collect()] == [(True, None), (False, True)]
+    (tmp_path / "h.json").write_text(json.dumps({"signals": {"x": {"sector_tags": ["a"], "aml_relevance": "high"}}}))
+    assert [tuple(r) for r in pages.sector_hypotheses(spark, str(tmp_path / "h.json")).collect()] == [("x", ["a"], "high", None)]
+    assert pages.registry(spark, str(tmp_path / "absent.json")).collect() == []
