@@ -164,35 +164,39 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     whole = 1 << 30
     drawn = lambda most: reduce(or_, ((F.col("lang") == name) & (F.pmod("h", F.lit(whole)) < min(whole, int(whole * 1.2 * most / n))) for name, n in sizes.items()), F.lit(False))
     share, pieced = drawn(per_language), drawn(PIECED)
-    sample = sorted(rows.where(share).select("lang", "h", _tallies()("text", pieced).alias("t")).select("lang", "h", "t.*").collect(), key=lambda r: (r["lang"], r["h"])) if sizes else []
-    taken: dict[str, list] = {}
-    for r in sample:
-        if r["letters"] and len(held := taken.setdefault(r["lang"], [])) < per_language:
-            held.append(r)
-    size = 1 << BITS
-    rows_ = [r for name in sorted(taken) for r in taken[name]]
-    tallies = np.zeros((len(rows_), size), np.float32)
-    for k, r in enumerate(rows_):
-        tallies[k, np.frombuffer(r["bucket"], np.int32)] = np.frombuffer(r["tally"], np.int32)
-    weights = (np.log((1 + len(rows_)) / (1 + np.count_nonzero(tallies, axis=0))) + 1).astype(np.float32)
-    units = tallies  # in place: the sample's matrix is the largest thing here
-    np.sqrt(units, out=units)
-    units *= weights
-    units /= np.maximum(np.linalg.norm(units, axis=1, keepdims=True), 1e-12)
-    names = tuple(sorted(n for n in taken if taken[n]))
-    of = np.repeat(np.arange(len(names)), [len(taken[n]) for n in names])
-    centres = [clustered(units[of == k], centroids) for k in range(len(names))]
+    sample = rows.where(share).select("lang", "h", _tallies()("text", pieced).alias("t")).select("lang", "h", "t.*").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")]) if sizes else None
+    taken: dict[str, list] = {}  # numbers of the sample's rows, whose counts stay in Arrow's buffers
+    for k in range(sample.num_rows if sample else 0):
+        if sample["letters"][k].as_py() and len(held := taken.setdefault(sample["lang"][k].as_py(), [])) < per_language:
+            held.append(k)
+    size, names = 1 << BITS, tuple(sorted(taken))
+    pair = lambda x: (np.frombuffer(x["bucket"].as_buffer(), np.int32), np.frombuffer(x["tally"].as_buffer(), np.int32))
+    of = lambda k: pair({c: sample[c][k] for c in ("bucket", "tally")})
+    texts = np.zeros(size, np.int64)
+    for name in names:
+        for k in taken[name]:
+            texts[of(k)[0]] += 1
+    weights = (np.log((1 + sum(map(len, taken.values()))) / (1 + texts)) + 1).astype(np.float32)
+
+    def units(name: str) -> np.ndarray:
+        """The vectors of one language's texts; no more are held at a time."""
+        out = np.zeros((len(taken[name]), size), np.float32)
+        for row, k in zip(out, taken[name], strict=True):
+            bucket, tally = of(k)
+            row[bucket] = np.sqrt(tally) * weights[bucket]
+            row /= max(float(np.linalg.norm(row)), 1e-12)
+        return out
+
+    centres = [clustered(units(name), centroids) for name in names]
     flat = np.concatenate(centres) if centres else np.zeros((0, size), np.float32)
-    bits = np.array([int(r["letters"]).bit_length() for r in rows_], np.int64)
-    best = (units @ flat.T).max(axis=1) if len(flat) else np.zeros(0)
     seen = [[[] for _ in range(CLASSES)] for _ in names]
-    for k, b, x in zip(of, bits, best, strict=True):
-        seen[k][b].append(x)
-    for k, name in enumerate(names):
-        for x in (x for r in taken[name] for x in r["pieces"]):
-            bucket = np.frombuffer(x["bucket"], np.int32)
-            v = np.sqrt(np.frombuffer(x["tally"], np.int32)) * weights[bucket]
-            seen[k][int(x["letters"]).bit_length()].append(float((flat[:, bucket] @ v).max() / np.linalg.norm(v)))
+    for own, name in zip(seen, names, strict=True):
+        for k, x in zip(taken[name], (units(name) @ flat.T).max(axis=1), strict=True):
+            own[int(sample["letters"][k].as_py()).bit_length()].append(x)
+            for piece in sample["pieces"][k]:
+                bucket, tally = pair(piece)
+                v = np.sqrt(tally) * weights[bucket]
+                own[int(piece["letters"].as_py()).bit_length()].append(float((flat[:, bucket] @ v).max() / np.linalg.norm(v)))
     least = limits(seen)
     return LanguageModel(names, np.repeat(np.arange(len(names)), [len(c) for c in centres]), flat.astype(np.float32), weights, least)
 
