@@ -31,10 +31,10 @@ from comarca.llm.common import Scratch, cut
 from comarca.llm.components import components
 
 #: Classes, at most, that the centroids are fitted on.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 40_000
 #: Classes that a cell holds on average, until there are MOST_CELLS cells (which bounds what every task gets).
 CELL_ROWS = 2_000
-MOST_CELLS = 2_048
+MOST_CELLS = 8_192
 BLOCK_ROWS = 2_048
 
 
@@ -63,11 +63,15 @@ def _unit():
     return run
 
 
+#: Vectors that meet the centroids in one product.
+_STRIDE = 512
+
+
 def spherical_kmeans(units: np.ndarray, cells: int, rounds: int = 12, seed: int = 7) -> np.ndarray:
     """Unit centroids, at most `cells`."""
     centres = units[np.random.default_rng(seed).permutation(len(units))[:cells]]
     for _ in range(rounds):
-        home = np.argmax(units @ centres.T, axis=1)
+        home = np.concatenate([np.argmax(units[at : at + _STRIDE] @ centres.T, axis=1) for at in range(0, len(units), _STRIDE)])
         sums = np.zeros_like(centres)
         np.add.at(sums, home, units)
         size = np.linalg.norm(sums, axis=1)
@@ -75,22 +79,16 @@ def spherical_kmeans(units: np.ndarray, cells: int, rounds: int = 12, seed: int
     return centres
 
 
-#: Vectors that meet the centroids in one product.
-_STRIDE = 512
-
-
-def visited(units: np.ndarray, centres: np.ndarray, gram: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+def visited(units: np.ndarray, centres: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
     """The home of each unit vector, and which lower-numbered cells it visits besides."""
     near = units @ centres.T
     home = np.argmax(near, axis=1)
     gap = near[np.arange(len(near)), home][:, None] - near
-    apart = np.sqrt(np.maximum(2 - 2 * gram[home], 0))
+    apart = np.sqrt(np.maximum(2 - 2 * centres[home] @ centres.T, 0))
     return home, (gap <= reach * apart) & (np.arange(len(centres)) < home[:, None])
 
 
 def _cells(centres: np.ndarray, reach: float):
-    gram = centres @ centres.T
-
     @F.arrow_udf("struct<home: int, cells: array<int>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
@@ -98,7 +96,7 @@ def _cells(centres: np.ndarray, reach: float):
             fits = np.flatnonzero(batch.value_lengths().to_numpy() == centres.shape[1])  # others share cell 0, apart by their length
             for at in range(0, len(fits), _STRIDE):
                 rows = fits[at : at + _STRIDE]
-                home, beside = visited(batch.take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), -1), centres, gram, reach)
+                home, beside = visited(batch.take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), -1), centres, reach)
                 homes[rows] = home
                 for row, h, b in zip(rows, home, beside, strict=True):
                     cells[row] = [h, *np.flatnonzero(b)]
@@ -155,7 +153,7 @@ def _near_vectors(vectors: DataFrame, cosine: float, reach: float | None, vec_id
     some = classes.where(F.size("unit") == d)
     if n > SAMPLE_ROWS:
         some = some.where(F.pmod(F.xxhash64("node"), F.lit(whole)) < int(whole * SAMPLE_ROWS / n))
-    sample = np.array([r["unit"] for r in some.select("unit").limit(SAMPLE_ROWS).collect()]).reshape(-1, d)
+    sample = some.select("unit").limit(SAMPLE_ROWS).toArrow().column("unit").combine_chunks().flatten().to_numpy().reshape(-1, d)
     cells = min(MOST_CELLS, max(1, n // CELL_ROWS), max(1, len(sample) // 4))
     centres = spherical_kmeans(sample, cells) if len(sample) else np.zeros((1, d))
     margin = np.sqrt(2 - 2 * cosine) * (min(1.0, 4 / np.sqrt(d)) if reach is None else reach) + 1e-9

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -42,15 +41,32 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, secret_ledger.BASE), base, secret_ledger.joined_spans(spans).alias("spans"))
 
 
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+#: The patterns as the contract words them (kind, pattern, group, least length), and the further kinds; said anew here, not taken from the scanner.
+OP4_PATTERNS = (
+    ("assign", rf"""({"|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("github", "gh[pousr]_[A-Za-z0-9]{30,}", 0, 34),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 20),
+    ("google", "AIza[A-Za-z0-9_-]{35}", 0, 39),
+)
+
+
 def op4_sql() -> str:
     """Starts are the lengths of what a pattern splits off before a match and of the matches before it."""
-    quoted = lambda r: ("(?i)" if r.flags & re.IGNORECASE else "") + r.pattern.replace("'", "''")
+    quoted = lambda pattern: pattern.replace("'", "''")
     found = " UNION ALL ".join(
-        f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, string_split_regex(t, '{quoted(r)}') AS parts, regexp_extract_all(t, '{quoted(r)}', 0) AS whole, regexp_extract_all(t, '{quoted(r)}', {r.group}) AS secret FROM d"
-        for k, r in enumerate(secret_ledger.RULES)
+        f"SELECT doc_id, {k} AS k, '{kind}' AS kind, {least} AS least, string_split_regex(t, '{quoted(pattern)}') AS parts, regexp_extract_all(t, '{quoted(pattern)}', 0) AS whole, regexp_extract_all(t, '{quoted(pattern)}', {group}) AS secret FROM d"
+        for k, (kind, pattern, group, least) in enumerate(OP4_PATTERNS)
     )
-    base = ", ".join(f"'{k}'" for k in secret_ledger.BASE)
-    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in secret_ledger.BASE)
+    base = "'assign', 'access', 'hex'"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in ("assign", "access", "hex"))
     return f"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS ({found}),
     each AS (SELECT *, unnest(generate_series(1, len(whole))) AS i FROM found WHERE len(whole) > 0),
@@ -68,20 +84,25 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sql() -> str:
+    """The contract's rules, longest first, and the pattern rules; said anew here, not taken from the module."""
     low = "coalesce(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
-    sites = sorted(url_rules.SITE_RULES, key=lambda r: -len(r.name))
-    fits = lambda r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
-    case = lambda of: "CASE " + " ".join(f"WHEN {fits(r)} THEN '{of(r)}'" for r in sites) + " END"
-    matched = " OR ".join(f"regexp_matches(low, '{r.pattern}')" for r in url_rules.PATTERN_RULES)
     return rf"""
         WITH parts AS (
             SELECT page_id, {low} AS low,
                    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
                    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
-            FROM pages)
-        SELECT page_id, host, path, {case(lambda r: r.name)} AS rule,
-               coalesce({case(lambda r: r.verdict)}, CASE WHEN {matched} THEN 'block' ELSE 'allow' END) AS verdict
-        FROM parts"""
+            FROM pages),
+        ruled AS (
+            SELECT *, CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                           WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+                           WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+                           WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+                           WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule,
+                   regexp_matches(low, '(^|[/.])spam-farm\.') OR regexp_matches(low, '(^|[/.])cheap-pills\.') OR regexp_matches(low, '(^|[/.-])casino([/.-]|$)') OR regexp_matches(low, 'free-(money|cash)')
+                   OR regexp_matches(low, '(^|[/.-])(porn|xxx)([/.-]|$)') OR regexp_matches(low, '/wp-login\.php') OR regexp_matches(low, '[?&]utm_source=(ads|spam)(&|#|$)') OR regexp_matches(low, '\.(exe|apk|msi)([?#]|$)') AS matched
+            FROM parts)
+        SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR matched THEN 'block' ELSE 'allow' END AS verdict
+        FROM ruled"""
 
 
 def op8_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
