@@ -336,12 +336,13 @@ def cache_upsert(spark, sf_dir):
 
 
 @query(f"""
-    WITH facts AS ({SPARSE_SQL}), picked AS (SELECT commune_code, year, value AS cases_policiales FROM facts WHERE crime_category = 'Brand#4')
-    SELECT a.commune_code, a.year, a.cases_policiales, b.cases_policiales AS previous_cases_policiales, round_even((a.cases_policiales - b.cases_policiales) * 100.0::DOUBLE / nullif(b.cases_policiales, 0), 1) AS yoy_pct
-    FROM picked a LEFT JOIN picked b ON b.commune_code = a.commune_code AND b.year = a.year - 1 WHERE a.year = (SELECT max(year) FROM picked)""")
+    WITH facts AS ({SPARSE_SQL}), picked AS (SELECT commune_code, crime_category, year, value AS cases_policiales FROM facts)
+    SELECT a.commune_code, a.crime_category, a.year, a.cases_policiales, b.cases_policiales AS previous_cases_policiales, round_even((a.cases_policiales - b.cases_policiales) * 100.0::DOUBLE / nullif(b.cases_policiales, 0), 1) AS yoy_pct
+    FROM picked a LEFT JOIN picked b ON b.commune_code = a.commune_code AND b.crime_category = a.crime_category AND b.year = a.year - 1 WHERE a.year = (SELECT max(year) FROM picked)""")
 def yoy_activity(spark, sf_dir):
-    rows = sparse(spark, sf_dir).where(F.col("crime_category") == "Brand#4").select("commune_code", "year", F.col("value").alias("cases_policiales"))
-    return priorities.year_on_year(rows, ["commune_code"], "cases_policiales").select("commune_code", "year", "cases_policiales", "previous_cases_policiales", "yoy_pct")
+    keys = ["commune_code", "crime_category"]
+    rows = sparse(spark, sf_dir).select(*keys, "year", F.col("value").alias("cases_policiales"))
+    return priorities.year_on_year(rows, keys, "cases_policiales").select(*keys, "year", "cases_policiales", "previous_cases_policiales", "yoy_pct")
 
 
 DRUG_SQL = """
@@ -383,12 +384,13 @@ def manifest(spark, sf_dir):
 
 
 @query(f"""
-    WITH facts AS ({SPARSE_SQL}), old AS (SELECT commune_code, year, sum(value) AS v FROM facts WHERE year < 2001 AND crime_category = 'Brand#1' GROUP BY ALL), new AS (SELECT commune_code, year, sum(value) AS v FROM facts WHERE crime_category = 'Brand#2' GROUP BY ALL)
+    WITH facts AS ({SPARSE_SQL}), new AS (SELECT commune_code, year, sum(value) AS v FROM facts GROUP BY ALL), old AS (SELECT commune_code, year, max(value) AS v FROM facts WHERE value > 1 GROUP BY ALL)
     SELECT commune_code, year, CAST(v AS BIGINT) AS value FROM old UNION ALL SELECT commune_code, year, CAST(v AS BIGINT) FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.commune_code = n.commune_code AND o.year = n.year)""")
 def anti_union(spark, sf_dir):
-    rows = sparse(spark, sf_dir)
-    part = lambda where: rows.where(where).select("commune_code", "year", "value")
-    return merge.anti_united(part((F.col("year") < 2001) & (F.col("crime_category") == "Brand#1")), part(F.col("crime_category") == "Brand#2"), ["commune_code", "year"])
+    """Peaks of communes and years that have one, and the sums of all others."""
+    keys = ["commune_code", "year"]
+    both = sparse(spark, sf_dir).groupBy(*keys).agg(F.max(F.when(F.col("value") > 1, F.col("value"))).alias("peak"), F.sum("value").alias("value"))
+    return merge.anti_united(both.where(F.col("peak").isNotNull()).select(*keys, F.col("peak").alias("value")), both.select(*keys, "value"), keys)
 
 
 @query(f"""
@@ -402,15 +404,15 @@ def control_totals(spark, sf_dir):
 
 
 @query(f"""
-    WITH facts AS ({SPARSE_SQL}), base AS (SELECT *, CASE year WHEN 1999 THEN 'cead_criminogenic_geographic_score' WHEN 2000 THEN NULL ELSE 'other' END AS signal_family FROM facts WHERE crime_category = 'Brand#7')
+    WITH facts AS ({SPARSE_SQL}), base AS (SELECT *, CASE year WHEN 1999 THEN 'cead_criminogenic_geographic_score' WHEN 2000 THEN NULL ELSE 'other' END AS signal_family FROM facts)
     SELECT commune_code, year, signal_family, value FROM base WHERE signal_family IS DISTINCT FROM 'cead_criminogenic_geographic_score'
-    UNION ALL SELECT commune_code, year, 'cead_criminogenic_geographic_score', value FROM facts WHERE crime_category = 'Brand#8'""")
+    UNION ALL SELECT commune_code, year, 'cead_criminogenic_geographic_score', value + 1 FROM facts""")
 def replace_family(spark, sf_dir):
     rows = sparse(spark, sf_dir)
     family = F.when(F.col("year") == 1999, geographic.FAMILY).when(F.col("year") != 2000, "other")
     shape = ["commune_code", "year", "signal_family", "value"]
-    base = rows.where(F.col("crime_category") == "Brand#7").withColumn("signal_family", family).select(*shape)
-    new = rows.where(F.col("crime_category") == "Brand#8").withColumn("signal_family", F.lit(geographic.FAMILY)).select(*shape)
+    base = rows.withColumn("signal_family", family).select(*shape)
+    new = rows.withColumns({"signal_family": F.lit(geographic.FAMILY), "value": F.col("value") + 1}).select(*shape)
     once = merge.family_replaced(base, new, geographic.FAMILY)
     return merge.family_replaced(once, new, geographic.FAMILY)
 
@@ -575,12 +577,12 @@ def nearby_date(spark, sf_dir):
     WITH {PRESSURE_CTES}, facts2 AS ({SPARSE_SQL})
     SELECT 'CL-' || region_code AS territory_id, 'region' AS geography_level, CAST(year AS VARCHAR) AS period, 'ministerio_publico_aml_proxy' AS signal_family, pressure_score AS score, CAST(NULL AS BIGINT) AS value, 'score_proxy' AS metric, '0.4' AS score_version, 'analytical_proxy' AS aml_relevance,
            CAST(NULL AS VARCHAR) AS crime_category, CAST(NULL AS VARCHAR) AS article27_mapping_key, CAST(NULL AS VARCHAR) AS article27_relation, CAST(NULL AS DOUBLE) AS aml_weight, CAST(NULL AS VARCHAR) AS source_tier, region_code AS join_region, CAST(NULL AS VARCHAR) AS join_commune, CAST(NULL AS VARCHAR) AS join_name, ['ministerio_publico_saf'] AS source_families, true AS excludes_homicide_weight FROM pressure
-    UNION ALL SELECT 'CL-' || commune_code, 'commune', CAST(year AS VARCHAR), 'cead_predicate_offense', NULL, value, 'casos_policiales', '0.4', 'predicate_direct', crime_category, 'group:401', NULL, 1.0, 'mirror_of_primary', NULL, commune_code, NULL, ['lineitem', 'cead_estadisticas_delictuales'], true FROM facts2 WHERE crime_category = 'Brand#3'
-    UNION ALL SELECT 'CL-' || commune_code, 'commune', CAST(year AS VARCHAR), 'cead_art27_drug_family', CAST(value AS DOUBLE), NULL, 'score_proxy', '0.3-compat', 'direct_predicate_family', NULL, NULL, 'direct_family_ley_20000', NULL, NULL, NULL, commune_code, 'c ' || commune_code, ['cead_estadisticas_delictuales'], true FROM facts2 WHERE crime_category = 'Brand#5'""")
+    UNION ALL SELECT 'CL-' || commune_code, 'commune', CAST(year AS VARCHAR), 'cead_predicate_offense', NULL, value, 'casos_policiales', '0.4', 'predicate_direct', crime_category, 'group:401', NULL, 1.0, 'mirror_of_primary', NULL, commune_code, NULL, ['lineitem', 'cead_estadisticas_delictuales'], true FROM facts2
+    UNION ALL SELECT 'CL-' || commune_code, 'commune', CAST(year AS VARCHAR), 'cead_art27_drug_family', CAST(value AS DOUBLE), NULL, 'score_proxy', '0.3-compat', 'direct_predicate_family', NULL, NULL, 'direct_family_ley_20000', NULL, NULL, NULL, commune_code, 'c ' || commune_code, ['cead_estadisticas_delictuales'], true FROM facts2""")
 def contract_union(spark, sf_dir):
-    rows = sparse(spark, sf_dir).where(F.col("crime_category").isin("Brand#3", "Brand#5")).withColumns({"territory_id": F.concat(F.lit("CL-"), "commune_code"), "period": F.col("year").cast("string")})
-    master = rows.where(F.col("crime_category") == "Brand#3").withColumns({"score_eligible": F.lit(True), "aml_weight": F.lit(1.0), "aml_class": F.lit("predicate_direct"), "source_id": F.lit("lineitem"), "source_tier": F.lit("mirror_of_primary"), "article27_mapping_key": F.lit("group:401")})
-    older = rows.where(F.col("crime_category") == "Brand#5").select("territory_id", "period", "commune_code", F.concat(F.lit("c "), "commune_code").alias("commune_name_norm"), F.col("value").cast("double").alias("cead_aml_priority_score"), F.lit("direct_family_ley_20000").alias("article27_relation"))
+    rows = sparse(spark, sf_dir).withColumns({"territory_id": F.concat(F.lit("CL-"), "commune_code"), "period": F.col("year").cast("string")})
+    master = rows.withColumns({"score_eligible": F.lit(True), "aml_weight": F.lit(1.0), "aml_class": F.lit("predicate_direct"), "source_id": F.lit("lineitem"), "source_tier": F.lit("mirror_of_primary"), "article27_mapping_key": F.lit("group:401")})
+    older = rows.select("territory_id", "period", "commune_code", F.concat(F.lit("c "), "commune_code").alias("commune_name_norm"), F.col("value").cast("double").alias("cead_aml_priority_score"), F.lit("direct_family_ley_20000").alias("article27_relation"))
     contract = export.integration_contract(priorities.regional_pressure(regional(spark, sf_dir)), export.predicate_features(master), older)
     return contract.select(
         "territory_id", "geography_level", "period", "signal_family", "score", "value", "metric", "score_version", "aml_relevance", "crime_category", "article27_mapping_key", "article27_relation", "aml_weight", "source_tier",
