@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from comarca.llm.common import Scratch, cut
 
 LEAF = 64
-SHARD_ROWS = 2048
-QUERY_ROWS = 1024
+#: Rows of a shard and of a block of queries, at most: what is copied for N rows and Q queries is N * Q * (1 / SHARD_ROWS + 1 / QUERY_ROWS) rows where nothing is pruned.
+SHARD_ROWS = 8192
+QUERY_ROWS = 4096
 #: Rows, at most, that the cells' splits are fitted on.
 SAMPLE_ROWS = 20_000
 #: Cells, and numbers of all their boxes, at most.
