@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,33 +76,24 @@ class Scratch:
             delete(self.spark, self.places.pop(id(frame)))
 
 
-#: Bits of an id filter: 8 MB, however many ids go in.
-FILTER_BITS = 1 << 26
+#: Words of 64 bits in an id filter, at most, however many ids go in: a broadcast of half a million small rows.
+FILTER_WORDS = 1 << 19
 
 
-def id_filter(ids: DataFrame, column: str):
-    """A test for columns of longs that holds for all values of ids' column and for few others.
+def with_maybe(rows: DataFrame, row_id: str, ids: DataFrame, column: str, into: str = "__maybe") -> DataFrame:
+    """rows with a boolean that holds where the row's id is among ids (longs), and for few other rows.
 
-    A Bloom filter of one hash and a fixed size. It spares the shuffle the rows that an exact join would drop anyhow; beyond
-    some tens of millions of ids it lets more and more of them pass, which costs time and never changes a result.
+    A Bloom filter of one hash and a fixed size, broadcast as the words that have a bit set. It spares the shuffle the rows that
+    an exact join would drop anyhow; beyond some tens of millions of ids it lets more and more of them pass, which costs time
+    and never changes a result.
     """
-    spark = ids.sparkSession
-    at = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    word = F.shiftright(at, 6)
-    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int")))
-    held = ids.where(F.col(column).isNotNull()).groupBy(word.alias("word")).agg(bits.alias("bits")).toArrow()
-    words = np.zeros(FILTER_BITS // 64, np.int64)
-    words[held.column("word").to_numpy()] = held.column("bits").to_numpy()
-    shared = spark.sparkContext.broadcast(words.tobytes())
-
-    @F.arrow_udf("boolean")
-    def test(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = np.frombuffer(shared.value, np.int64)
-        for batch in batches:
-            where = batch.to_numpy(zero_copy_only=False)
-            yield pa.array((own[where >> 6] >> (where & 63)) & 1 == 1)
-
-    return lambda x: test(F.pmod(F.xxhash64(x), F.lit(FILTER_BITS)))
+    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_WORDS * 64))
+    word = lambda c: F.shiftright(place(c), 6)
+    bit = lambda c: F.pmod(place(c), F.lit(64)).cast("int")
+    bits = ids.where(F.col(column).isNotNull()).groupBy(word(column).alias("__word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(column))).alias("__bits"))
+    joined = rows.withColumn("__at", word(row_id)).join(F.broadcast(bits), F.col("__at") == F.col("__word"), "left")
+    held = F.call_function("shiftright", F.col("__bits"), bit(row_id)).bitwiseAND(F.lit(1).cast("long")) == 1
+    return joined.withColumn(into, F.coalesce(held, F.lit(False))).drop("__at", "__word", "__bits")
 
 
 class Memo:

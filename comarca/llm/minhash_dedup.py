@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.common import Scratch, cut, id_filter, small_batches
+from comarca.llm.common import Scratch, cut, small_batches, with_maybe
 from comarca.llm.components import components
 
 COORDINATES = 48
@@ -224,7 +224,7 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, matches: int, sho
     def sets(nodes: DataFrame) -> DataFrame:
         """The full sets of nodes; of the texts, only those of nodes move."""
         wanted = scratch.cut(nodes.select(F.col("node").alias("doc_id")).distinct())
-        some = rows.where(id_filter(wanted, "doc_id")(F.col("doc_id")))
+        some = with_maybe(rows, "doc_id", wanted, "doc_id").where("__maybe").drop("__maybe")
         return scratch.cut(some.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _set(size)("text").alias("set")))
 
     def ends(pairs: DataFrame) -> DataFrame:
@@ -293,8 +293,7 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str
     gone = found.where(~F.col("kept")).select("__id", F.lit(False).alias("again")).distinct()
     # Most rows are sure to stay and need no shuffle; those that the filter lets through meet the exact list.
     touched = cut(gone.unionByName(repeated))
-    maybe = id_filter(touched, "__id")(F.col(doc_id).cast("long"))
-    rows = docs.withColumn("__maybe", maybe)
+    rows = with_maybe(docs, doc_id, touched, "__id")
     sure, some = rows.where(~F.col("__maybe")).drop("__maybe"), rows.where("__maybe").drop("__maybe")
     ids = lambda again: touched.where(F.col("again") == again).select("__id")
     out = some.join(ids(False), F.col(doc_id) == F.col("__id"), "left_anti")

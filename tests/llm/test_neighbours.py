@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from comarca.llm import embedding_dedup, kdtree_topk, minhash_dedup, mixing
 from comarca.files import delete
-from comarca.llm.common import Scratch, id_filter, small_batches
+from comarca.llm.common import Scratch, small_batches, with_maybe
 from comarca.llm.components import components
 
 
@@ -109,11 +109,12 @@ def test_shared_state(spark):
 def test_id_filter_holds_for_every_id(spark, monkeypatch):
     ids = spark.range(0, 3000, 3).unionByName(spark.createDataFrame([(None,), (-7,)], "id long"))
     rows = spark.range(-10, 3000)
-    passed = {r["id"] for r in rows.where(id_filter(ids, "id")(F.col("id"))).collect()}
-    assert passed >= {*range(0, 3000, 3), -7} and len(passed) < 1010
-    assert rows.where(id_filter(ids.limit(0), "id")(F.col("id"))).count() == 0
-    monkeypatch.setattr("comarca.llm.common.FILTER_BITS", 64)
-    assert {r["id"] for r in rows.where(id_filter(ids, "id")(F.col("id"))).collect()} >= {*range(0, 3000, 3), -7}
+    of = lambda some: with_maybe(rows.withColumn("x", F.lit("kept")), "id", some, "id")
+    passed = {r["id"] for r in of(ids).where("__maybe").collect()}
+    assert passed >= {*range(0, 3000, 3), -7} and len(passed) < 1010 and of(ids).count() == 3010 and of(ids).columns == ["id", "x", "__maybe"]
+    assert of(ids.limit(0)).where("__maybe").count() == 0
+    monkeypatch.setattr("comarca.llm.common.FILTER_WORDS", 1)
+    assert {r["id"] for r in of(ids).where("__maybe").collect()} >= {*range(0, 3000, 3), -7}
 
 
 def vectors(seed, n, d=16):
