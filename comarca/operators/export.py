@@ -18,6 +18,7 @@ def digest(parts: list[Column], prefix: str, length: int) -> Column:
     return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256), 1, length))
 
 
+# Fixed values of the contract that consumers match on: producer, default tier, capture method.
 RADAR, TIERS, CAPTURE = "RADAR_DELICTUAL", "GOVERNED_PUBLIC", "RADAR_DELICTUAL_GOVERNED_TERRITORIAL_PIPELINE"
 
 

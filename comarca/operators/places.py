@@ -42,6 +42,7 @@ def region_code_of(name: Column) -> Column:
     return F.coalesce(*[F.create_map(*pairs)[norm_name(name)] for pairs in (long, short)])
 
 
+# Fixed values of the homicide rows' contract.
 VICTIMS = {"crime_category": "HOMICIDIO CONSUMADO - VÍCTIMAS", "metric": "victimas_homicidio_consumado", "observation_unit": "victima_homicidio_consumado", "aml_class": "crimen_organizado_proxy"}
 ANNUAL_SOURCE, RECENT_SOURCE = "homicidios_interinstitucional_2024", "homicidios_interinstitucional_h1_2025"
 
