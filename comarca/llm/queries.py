@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comarca.llm import kdtree_topk, language_id, mixing, ordinal_quality, secret_ledger, url_rules
+from comarca.llm.alignment import align_documents
 from comarca.llm.common import new_path, table
+from comarca.llm.divergence import divergence
 from comarca.llm.embedding_dedup import near_vectors
+from comarca.llm.line_dedup import without_repeated_lines
 from comarca.llm.minhash_dedup import near_duplicates
 from comarca.llm.sentencepiece_bpe import encode_documents
 from comarca.llm.token_files import read_token_digests, write_token_files
@@ -192,6 +195,61 @@ def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("grade.expected").alias("expected_grade"), tail.alias("p_good"), (tail >= ordinal_quality.KEEP).alias("kept"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"), least_documents=30, smoothing=5, scale=10**9, top=50)
+
+
+OP11_SQL = r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents),
+    w AS (SELECT row_id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30),
+    size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+    sums AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+    whole AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+    wholes AS (SELECT lang, sum(n) AS total FROM whole GROUP BY ALL),
+    p AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(s.total, 0) + 5 * z.v) AS p
+        FROM groups g JOIN kept k ON k.lang = g.lang JOIN size z ON z.lang = g.lang
+        LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source
+        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS q FROM whole JOIN wholes USING (lang) JOIN size USING (lang)),
+    differ AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pair AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN differ x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+    term AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+    WHERE part = 'pair' OR rank <= 50"""
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_length=10, least_documents=2)
+    return found.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
+
+
+OP12_SQL = """
+    WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    l AS (SELECT row_id, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+    k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    f AS (SELECT key, min(doc_id) AS holder FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
+    SELECT k.doc_id, count(*) AS n_lines, count(f.key) FILTER (WHERE k.doc_id <> f.holder) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL OR k.doc_id = f.holder), '')) AS kept_sha256
+    FROM k LEFT JOIN f ON k.key = f.key GROUP BY row_id, k.doc_id"""
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -204,8 +262,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_kdtree_topk": op8_kdtree_topk,
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_line_dedup": op12_line_dedup,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_secret_ledger": op4_sql(), "op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL, "op9_minhash_dedup": OP9_SQL, "op10_embedding_dedup": OP10_SQL}
+    return {"op4_secret_ledger": op4_sql(), "op6_url_rules": op6_sql(), "op8_kdtree_topk": OP8_SQL, "op9_minhash_dedup": OP9_SQL, "op10_embedding_dedup": OP10_SQL, "op11_source_divergence": OP11_SQL, "op12_line_dedup": OP12_SQL}
