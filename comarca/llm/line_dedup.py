@@ -3,8 +3,9 @@
 Lines are exploded and normalised (white space at both ends stripped, A-Z lower-cased) and hashed to two longs; the distinct
 documents of each hash are counted, in two steps that both combine before they shuffle. Lines whose hash is in enough documents
 are dropped, but for those of the first document that holds it; the positions of a text's dropped lines meet it again, and it is
-put together without them. Only hashes, ids and positions move for the count; texts move once, to meet their positions. A line
-that a third of all documents hold is one row among the hashes, and its rows in the join are a skewed key, which Spark splits.
+put together without them. Only hashes, ids and positions move for the count; texts move once, to meet their positions. The
+thousand hashes of the most documents are broadcast to where their lines lie, so a line that a third of all documents hold never
+meets in one task; all other hashes are joined by a shuffle.
 
 Cases: a null or empty text is one empty line. Short keys are never dropped. Rows that share a doc_id are one document; rows
 without one are one document that comes after all others. Repeated rows lose the same lines. A text that loses every line is
@@ -20,7 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.common import small_batches
+from comarca.llm.common import Scratch, cut, small_batches
+
+#: Hashes that are broadcast, those of the most documents; every other one has less than a thousandth of all rows.
+HOT = 1000
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,11 +53,17 @@ def _lines(docs: DataFrame, doc_id: str, text: str, least_length: int) -> DataFr
 
 def dropped_positions(docs: DataFrame, doc_id: str, text: str, least_length: int, least_documents: int) -> DataFrame:
     """__id, __t1, __t2 and __drop, the positions of the lines which that text in that document loses."""
-    lines = _lines(docs, doc_id, text, least_length)
-    # min passes over null ids: a line that only rows without an id hold has no holder, and all of them keep it.
-    shared = lines.groupBy("__h1", "__h2").agg(F.count_distinct(F.struct("__id")).alias("__docs"), F.min("__id").alias("__holder")).where(F.col("__docs") >= least_documents).drop("__docs")
-    lost = lines.join(shared, ["__h1", "__h2"]).where(~F.col("__id").eqNullSafe(F.col("__holder")))
-    return lost.groupBy("__id", "__t1", "__t2").agg(F.collect_set("__pos").alias("__drop"))
+    with Scratch(docs.sparkSession, "line_dedup") as scratch:
+        lines = scratch.cut(_lines(docs, doc_id, text, least_length))
+        # min passes over null ids: a line that only rows without an id hold has no holder, and all of them keep it.
+        counted = lines.groupBy("__h1", "__h2").agg(F.count_distinct(F.struct("__id")).alias("__docs"), F.min("__id").alias("__holder"))
+        shared = scratch.cut(counted.where(F.col("__docs") >= least_documents))
+        # Lines of the most documents, HOT rows at most, meet their rows where those lie; of the others none has more than that share.
+        hot = F.broadcast(shared.orderBy(F.col("__docs").desc(), "__h1", "__h2").limit(HOT).drop("__docs"))
+        keys = ["__h1", "__h2"]
+        rest = lines.join(hot.select(*keys), keys, "left_anti").join(shared.drop("__docs"), keys)
+        lost = rest.unionByName(lines.join(hot, keys)).where(~F.col("__id").eqNullSafe(F.col("__holder")))
+        return cut(lost.groupBy("__id", "__t1", "__t2").agg(F.collect_set("__pos").alias("__drop")))
 
 
 def _reassembled(text: Column, drop: Column) -> Column:
