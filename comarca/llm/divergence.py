@@ -34,7 +34,7 @@ from comarca.llm.common import Scratch, cut, small_batches
 #: Counts that a task holds before it hands them on.
 LIMIT = 400_000
 #: Distinct vectors that meet the pairs of sources at once in a task, and rows of one dense block of them.
-VECTORS, ROWS = 20_000, 2048
+VECTORS, ROWS = 1000, 1024
 #: Sources of a language that are compared in one block.
 BLOCK = 512
 #: ASCII letters in lower case, bytes of other characters as they are; all else separates terms.
@@ -118,7 +118,8 @@ def divergence(docs: DataFrame, least_documents: int = 30, smoothing: int = 5, s
         at = F.array_sort(F.collect_list(F.struct("source", "n")))
         of_term = term_counts(docs, lang, source, text).groupBy("lang", "term").agg(F.sum("docs").alias("docs"), at.alias("at"))
         kept = scratch.cut(of_term.where(F.col("docs") >= least_documents).select("lang", "term", "at"))
-        vectors = scratch.cut(kept.groupBy("lang", "at").agg(F.count("*").alias("times")))
+        # A vector's number, once written, stands for it where it need not be known itself.
+        vectors = scratch.cut(kept.groupBy("lang", "at").agg(F.count("*").alias("times")).withColumn("vector", F.monotonically_increasing_id()))
 
         whole = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
         named = docs.select(whole(lang).alias("lang"), whole(source).alias("source")).distinct()
@@ -145,15 +146,16 @@ def divergence(docs: DataFrame, least_documents: int = 30, smoothing: int = 5, s
         pairs = scratch.cut(met.groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
         both = pairs.select("lang", F.col("a").alias("source"), F.col("b").alias("item"), "value").union(pairs.select("lang", F.col("b"), F.col("a"), "value"))
 
-        own = vectors.select("lang", "at", F.explode("at").alias("x"), F.aggregate("at", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("all"))
-        own = own.select("lang", "at", F.col("x.source").alias("source"), F.col("x.n").alias("n"), "all").join(groups, ["lang", "source"])
+        own = vectors.select("lang", "vector", F.explode("at").alias("x"), F.aggregate("at", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("all"))
+        own = own.select("lang", "vector", F.col("x.source").alias("source"), F.col("x.n").alias("n"), "all").join(groups, ["lang", "source"])
         share = lambda n, total: _share(F.col(n), F.col(total), F.col("terms"), smoothing, scale)
-        own = own.withColumn("value", share("n", "total") - share("all", "of_lang")).where(F.col("value") > 0).select("lang", "source", "at", "value")
+        own = own.withColumn("value", share("n", "total") - share("all", "of_lang")).where(F.col("value") > 0).select("lang", "source", "vector", "value")
         greatest = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
         # As many vectors as ranks are at least as many terms: no term below the last of them has a rank.
         floors = own.withColumn("place", F.row_number().over(greatest)).where(F.col("place") <= top).groupBy("lang", "source").agg(F.min("value").alias("floor"))
         likely = own.join(floors, ["lang", "source"]).where(F.col("value") >= F.col("floor"))
-        terms = likely.join(kept, ["lang", "at"]).select("lang", "source", F.col("term").alias("item"), "value")
+        named_by = kept.join(vectors.select("lang", "at", "vector"), ["lang", "at"]).select("vector", "term")
+        terms = likely.join(named_by, "vector").select("lang", "source", F.col("term").alias("item"), "value")
 
         rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
         told = lambda df, part: df.withColumn("rank", rank).select("lang", "source", F.lit(part).alias("part"), "item", "value", F.col("rank").cast("int").alias("rank"))
