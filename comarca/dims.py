@@ -5,45 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # ---- Fixed values -----------------------------------------------------------------------------------------------
-# Label -> (class, weight, confidence), by exact label.
+# Label -> (class, weight, confidence, rationale), by exact label.
 TAXONOMY = {
-    "DELITOS LEY DE DROGAS": ("base_19913", 1.0, "high"),
-    "DELITOS FUNCIONARIOS": ("proxy_19913", 0.95, "medium"),
-    "DELITOS ECONÓMICOS Y TRIBUTARIOS": ("proxy_19913", 0.9, "medium"),
-    "DELITOS CONTRA LA FE PÚBLICA": ("proxy_19913", 0.72, "medium"),
-    "DELITOS CONTRA LEYES DE PROPIEDAD INTELECTUAL E INDUSTRIAL": ("proxy_19913", 0.7, "medium"),
-    "DELITOS DE LEYES ESPECIALES": ("proxy_19913", 0.6, "low"),
-    "HOMICIDIOS": ("contexto_general", 0.0, "high"),
-    "DELITOS CONTRA LA LIBERTAD E INTIMIDAD DE LAS PERSONAS": ("proxy_19913", 0.35, "low"),
-    "ROBOS": ("contexto_general", 0.0, "high"),
-    "ROBOS NO VIOLENTOS": ("contexto_general", 0.0, "high"),
-    "HURTOS": ("contexto_general", 0.0, "high"),
-    "LESIONES": ("contexto_general", 0.0, "high"),
-    "DELITOS SEXUALES": ("contexto_general", 0.0, "medium"),
-    "DELITOS LEY DE TRÁNSITO": ("contexto_general", 0.0, "high"),
-    "CUASIDELITOS": ("contexto_general", 0.0, "high"),
+    "DELITOS LEY DE DROGAS": ("base_19913", 1.0, "high", "Familia asociada a Ley 20.000, expresamente incorporada por el artículo 27."),
+    "DELITOS FUNCIONARIOS": ("proxy_19913", 0.95, "medium", "Categoría amplia; contiene delitos potencialmente comprendidos como delitos base, pero requiere código específico."),
+    "DELITOS ECONÓMICOS Y TRIBUTARIOS": ("proxy_19913", 0.9, "medium", "Categoría amplia con relevancia AML; no todos sus delitos son necesariamente base del artículo 27."),
+    "DELITOS CONTRA LA FE PÚBLICA": ("proxy_19913", 0.72, "medium", "Señal económica/documental; exige desagregación por código."),
+    "DELITOS CONTRA LEYES DE PROPIEDAD INTELECTUAL E INDUSTRIAL": ("proxy_19913", 0.7, "medium", "Algunos ilícitos están contemplados por la normativa LA; validar por tipo penal."),
+    "DELITOS DE LEYES ESPECIALES": ("proxy_19913", 0.6, "low", "Categoría amplia que requiere desagregación por tipo penal."),
+    "HOMICIDIOS": ("contexto_general", 0.0, "high", "Contexto de violencia. No se pondera como delito base ni indicio LA/FT."),
+    "DELITOS CONTRA LA LIBERTAD E INTIMIDAD DE LAS PERSONAS": ("proxy_19913", 0.35, "low", "Puede contener secuestro, que sí está citado en artículo 27, pero la categoría agregada exige desagregación."),
+    "ROBOS": ("contexto_general", 0.0, "high", "Contexto patrimonial; no se pondera automáticamente como AML."),
+    "ROBOS NO VIOLENTOS": ("contexto_general", 0.0, "high", "Contexto delictual general."),
+    "HURTOS": ("contexto_general", 0.0, "high", "Contexto delictual general."),
+    "LESIONES": ("contexto_general", 0.0, "high", "Contexto de violencia general."),
+    "DELITOS SEXUALES": ("contexto_general", 0.0, "medium", "La categoría agregada no debe usarse como proxy LA/FT; algunos tipos específicos sí requieren mapeo por código."),
+    "DELITOS LEY DE TRÁNSITO": ("contexto_general", 0.0, "high", "Sin ponderación AML agregada."),
+    "CUASIDELITOS": ("contexto_general", 0.0, "high", "Sin ponderación AML agregada."),
 }
-TAXONOMY_DEFAULT = ("contexto_general", 0.0, "low")
+TAXONOMY_DEFAULT = ("contexto_general", 0.0, "low", "Sin mapeo AML específico.")
+TAXONOMY_VERSION = "0.3.0"
 
-# Catalogue key -> (class, eligible, weight, confidence).
+# Catalogue key -> (class, eligible, weight, confidence, basis).
 CATALOG = {
-    "family:4": ("predicate_family_direct", True, 1.0, "high"),
-    "group:401": ("predicate_direct", True, 1.0, "high"),
-    "subgroup:40101": ("predicate_direct", True, 1.0, "high"),
-    "subgroup:40102": ("predicate_direct", True, 1.0, "high"),
-    "subgroup:40103": ("predicate_direct", True, 1.0, "high"),
-    "subgroup:40104": ("predicate_candidate", False, 0.0, "medium"),
-    "family:5": ("predicate_candidate", False, 0.0, "high"),
-    "group:501": ("predicate_candidate", False, 0.0, "high"),
-    "subgroup:50101": ("context_only", False, 0.0, "high"),
-    "subgroup:50102": ("predicate_candidate", False, 0.0, "medium"),
-    "subgroup:50103": ("predicate_candidate", False, 0.0, "low"),
-    "group:101": ("context_only", False, 0.0, "high"),
-    "subgroup:10101": ("context_only", False, 0.0, "high"),
-    "subgroup:10102": ("context_only", False, 0.0, "high"),
-    "group:102": ("predicate_candidate", False, 0.0, "medium"),
+    "family:4": ("predicate_family_direct", True, 1.0, "high", "Familia CEAD asociada a la Ley 20.000; el artículo 27 de la Ley 19.913 incorpora los delitos contemplados en esa ley. Para decisiones jurídicas finas se privilegia grupo/subgrupo."),
+    "group:401": ("predicate_direct", True, 1.0, "high", "Crímenes y simples delitos de la Ley 20.000."),
+    "subgroup:40101": ("predicate_direct", True, 1.0, "high", "Tráfico de sustancias · Ley 20.000."),
+    "subgroup:40102": ("predicate_direct", True, 1.0, "high", "Microtráfico de sustancias · Ley 20.000."),
+    "subgroup:40103": ("predicate_direct", True, 1.0, "high", "Elaboración o producción de sustancias · Ley 20.000."),
+    "subgroup:40104": ("predicate_candidate", False, 0.0, "medium", "Categoría residual de infracciones a Ley 20.000; requiere tipo penal antes de ponderar."),
+    "family:5": ("predicate_candidate", False, 0.0, "high", "El artículo 27 remite específicamente al artículo 10 de la Ley 17.798; la familia CEAD es más amplia."),
+    "group:501": ("predicate_candidate", False, 0.0, "high", "Debe distinguirse la conducta exacta del artículo 10 de Ley 17.798."),
+    "subgroup:50101": ("context_only", False, 0.0, "high", "Disparo injustificado no se equipara automáticamente al artículo 10 de Ley 17.798."),
+    "subgroup:50102": ("predicate_candidate", False, 0.0, "medium", "Porte/posesión es más amplio que las conductas del artículo 10; requiere código penal específico."),
+    "subgroup:50103": ("predicate_candidate", False, 0.0, "low", "Residual de Ley de Armas; requiere código específico."),
+    "group:101": ("context_only", False, 0.0, "high", "Homicidios y femicidios se excluyen del score AML/LAFT."),
+    "subgroup:10101": ("context_only", False, 0.0, "high", "Homicidio no se utiliza por sí solo como delito base o indicio LA/FT."),
+    "subgroup:10102": ("context_only", False, 0.0, "high", "Femicidio no se utiliza por sí solo como delito base o indicio LA/FT."),
+    "group:102": ("predicate_candidate", False, 0.0, "medium", "El artículo 27 contempla tipos sexuales específicos, no toda la familia CEAD."),
 }
-CATALOG_DEFAULT = ("context_or_unresolved", False, 0.0, "low")
+CATALOG_DEFAULT = ("context_or_unresolved", False, 0.0, "low", "Sin homologación jurídica suficientemente precisa para ponderación automática.")
 
 # Normalised label -> catalogue key.
 LABEL_KEYS = {
@@ -80,19 +81,68 @@ FAMILIES = {
     "homicidios": ("context_only", False, 0.0, "high"),
 }
 
-# Legal codes: (class, confidence) -> codes; ranges; codes no longer in force.
+# Legal codes: (class, confidence, basis) -> codes; ranges (low, high, class, confidence, basis); codes no longer in force.
 LEGAL_CODES = {
-    ("laundering_offense", "high"): (12133, 12174),
-    ("predicate_direct", "high"): (10010, 12051, 12052, 12056, 5004, 12137, 12138, 12055, 721, 722, 723, 724, 725, 727, 235, 236, 237, 248, 249, 845, 856, 863, 865, 866, 202, 203, 610, 647, 648, 649, 650, 12031, 12032, 12135, 3003, 551),
-    ("organized_crime_signal", "high"): (806, 542, 552, 553),
-    ("organized_crime_signal", "medium"): (812, 869, 864, 831, 867, 868),
-    ("predicate_candidate", "medium"): (12053, 9003, 12023, 816),
-    ("predicate_direct", "medium"): (10039,),
-}
-LEGAL_RANGES = ((2004, 2011, "predicate_direct", "high"), (7001, 7099, "predicate_direct", "medium"))
+    ("laundering_offense", "high", "Lavado de dinero persona natural, art. 27 Ley 19.913"): (12133,),
+    ("laundering_offense", "high", "Lavado de dinero persona jurídica, art. 27 Ley 19.913"): (12174,),
+    ("predicate_direct", "high", "Tráfico de armas art. 10 Ley 17.798, citado por art. 27"): (10010,),
+    ("predicate_direct", "high", "Ordenanza de Aduanas art. 168, citado por art. 27"): (12051,),
+    ("predicate_direct", "high", "Ordenanza de Aduanas art. 169, citado por art. 27"): (12052,),
+    ("predicate_direct", "high", "Ordenanza de Aduanas art. 168 bis, citado por art. 27"): (12056,),
+    ("predicate_direct", "high", "Código Tributario art. 97 N°4 inciso tercero, citado por art. 27"): (5004,),
+    ("predicate_direct", "high", "Ley de Bosques art. 21, citado por art. 27"): (12137,),
+    ("predicate_direct", "high", "Ley 19.473 art. 31, citado por art. 27"): (12138,),
+    ("predicate_direct", "high", "Ley 20.962 art. 11, citado por art. 27"): (12055,),
+    ("predicate_direct", "high", "Tráfico de migrantes art. 411 bis CP, citado por art. 27"): (721,),
+    ("predicate_direct", "high", "Tráfico de migrantes por funcionario art. 411 bis CP"): (722,),
+    ("predicate_direct", "high", "Trata de personas art. 411 quáter CP"): (723,),
+    ("predicate_direct", "high", "Trata de menores art. 411 quáter CP"): (724,),
+    ("predicate_direct", "high", "Asociación para tráfico/trata art. 411 quinquies CP"): (725,),
+    ("predicate_direct", "high", "Trata para trabajos forzados art. 411 quáter CP"): (727,),
+    ("predicate_direct", "high", "Secuestro art. 141 CP, citado por art. 27"): (235, 236, 237, 248, 249,),
+    ("predicate_direct", "high", "Fraude de subvenciones art. 470 N°8 CP, citado por art. 27"): (845,),
+    ("predicate_direct", "high", "Apropiación indebida art. 470 N°1 CP, citado por art. 27"): (856,),
+    ("predicate_direct", "high", "Administración desleal art. 470 N°11 CP, citado por art. 27"): (863,),
+    ("predicate_direct", "high", "Administración desleal persona jurídica art. 470 N°11 CP"): (865,),
+    ("predicate_direct", "high", "Apropiación indebida persona jurídica art. 470 N°1 CP"): (866,),
+    ("organized_crime_signal", "high", "Extorsión art. 438 CP; señal de crimen organizado, no se etiqueta automáticamente como delito base"): (806,),
+    ("organized_crime_signal", "medium", "Receptación art. 456 bis A CP"): (812,),
+    ("organized_crime_signal", "medium", "Receptación de vehículos; señal de mercado criminal"): (869,),
+    ("predicate_candidate", "medium", "Receptación aduanera art. 182; requiere validación jurídica específica frente al art. 27"): (12053,),
+    ("predicate_candidate", "medium", "Art. 81 Ley 17.336; art. 27 refiere específicamente a su inciso segundo"): (9003,),
+    ("predicate_candidate", "medium", "Código agrupa varios artículos de pesca, solo algunos están expresamente citados por art. 27"): (12023,),
+    ("predicate_direct", "high", "Secuestro art. 141 incisos 1 y 2 CP, expresamente citado por art. 27 Ley 19.913"): (202,),
+    ("predicate_direct", "high", "Sustracción de menores art. 142 CP, expresamente citado por art. 27 Ley 19.913"): (203,),
+    ("predicate_direct", "high", "Explotación sexual de menor art. 367 CP, expresamente citado por art. 27 Ley 19.913"): (610,),
+    ("predicate_direct", "high", "Transmisión de imágenes art. 367 septies CP, expresamente citado por art. 27 Ley 19.913"): (647,),
+    ("predicate_direct", "high", "Comercialización material pornográfico infantil art. 367 quáter CP, expresamente citado por art. 27"): (648,),
+    ("predicate_direct", "high", "Producción material pornográfico infantil art. 367 quáter CP, expresamente citado por art. 27"): (649,),
+    ("predicate_direct", "high", "Adquisición/almacenamiento material pornográfico infantil art. 367 quáter CP, expresamente citado por art. 27"): (650,),
+    ("predicate_direct", "high", "Art. 64 Ley 18.840 Banco Central, expresamente citado por art. 27"): (12031,),
+    ("predicate_direct", "high", "Art. 59 Ley 18.840 Banco Central, expresamente citado por art. 27"): (12032,),
+    ("predicate_direct", "high", "Delitos del Título XI Ley 18.045 Mercado de Valores, expresamente citado por art. 27"): (12135,),
+    ("predicate_direct", "high", "Invasión del giro bancario art. 39, comprendido por art. 27 Ley 19.913"): (3003,),
+    ("predicate_direct", "medium", "Conducta catalogada en art. 10 inc. 3 Ley 17.798; art. 27 cita el art. 10"): (10039,),
+    ("predicate_direct", "high", "Delitos medioambientales dolosos arts. 305, 306, 307, 308 y 310 CP, expresamente citados por art. 27"): (551,),
+    ("predicate_candidate", "medium", "Categoría agrupada de estafas y defraudaciones; art. 27 cubre solo artículos/hipótesis específicos y requiere desagregación"): (816,),
+    ("organized_crime_signal", "high", "Asociación delictiva o criminal mediante persona jurídica art. 294 CP; señal de estructura criminal"): (542,),
+    ("organized_crime_signal", "high", "Asociación ilícita/delictiva para simples delitos; señal de estructura criminal"): (552,),
+    ("organized_crime_signal", "high", "Asociación ilícita/criminal para crímenes; señal de estructura criminal"): (553,),
+    ("organized_crime_signal", "medium", "Receptación por persona jurídica; señal de mercado criminal, no delito base automático"): (864,),
+    ("organized_crime_signal", "medium", "Robo de vehículo motorizado; señal de mercado criminal de vehículos"): (831,),
+    ("organized_crime_signal", "medium", "Robo de vehículo con sorpresa, violencia o intimidación; señal de mercado criminal"): (867,),
+    ("organized_crime_signal", "medium", "Robo de vehículo con elementos distractivos; señal de mercado criminal"): (868,),
+}
+LEGAL_RANGES = (
+    (2004, 2011, "predicate_direct", "high", "Título I Ley 21.459, expresamente citado por art. 27"),
+    (7001, 7099, "predicate_direct", "medium", "Delitos vigentes Ley 20.000; excluir códigos no vigentes mediante catálogo"),
+)
 LEGAL_REPEALED = (7030, 7035, 7036, 7098)
 LEGAL_VERSION = "0.2.0"
-LEGAL_REPEALED_CLASS, LEGAL_DEFAULT = ("historical_nonvigent", "high"), ("unmapped", "none")
+LEGAL_REPEALED_CLASS = ("historical_nonvigent", "high", "Código marcado no vigente en catálogo")
+LEGAL_DEFAULT = ("unmapped", "none", "Sin regla jurídica exacta en v0.2")
+LEGAL_BASIS = {"law": "Ley 19.913", "article": "27", "version_date": "2026-05-30", "source": "https://www.bcn.cl/leychile/navegar?idNorma=219119&idParte=8649605"}
+LEGAL_CATALOG = {"name": "Catálogo de Delitos - Codificación Penal a diciembre 2025", "published": "2026-02-10", "source": "https://www.fiscaliadechile.cl/sites/default/files/2026-02/Catalogo_de_delitos.pdf"}
 
 # Layer -> (label, weight, fallback labels in order, component -> (weight, labels)).
 LAYERS = {
@@ -125,6 +175,8 @@ COMPONENT_LABELS = {
     "weapons_possession": "Porte / posesión de armas o explosivos", "cattle_theft": "Abigeato",
     "homicide": "Homicidios y femicidios", "violent_robbery": "Robos con violencia o intimidación", "serious_injury": "Lesiones graves o gravísimas", "threats": "Amenazas", "public_disorder": "Desórdenes públicos",
 }
+# The component that stands for a layer of which only a fallback label occurs.
+FALLBACK_IDS = {"predicate_direct": "drug_family_fallback"}
 INTERPRETATION = (
     "El indicador caracteriza presión criminógena territorial relevante para análisis AML. No representa probabilidad de lavado de activos, no acredita delito base respecto de una persona "
     "y no atribuye conductas a residentes, empresas o sectores del territorio."
@@ -160,15 +212,33 @@ ANNUAL_FAMILIES = {
 }
 # Words of which a publication's title or address holds one.
 PUBLICATION_TERMS = ("homicid", "casos policiales", "enusc", "trata", "tráfico", "trafico", "seguridad ciudadana", "sitia", "delict")
+# What each score says it is, and what it is not.
+PRESSURE_TEXT = "Presión delictual AML (proxy); no es probabilidad de LA/FT ni atribución de delito."
+REGION_PROXY_TEXT = "Proxy regional basado en categorías de delitos ingresados a SAF con relevancia AML. Homicidios y criminalidad general tienen peso cero."
+REGION_PRIORITY_TEXT = "Prioridad territorial analítica AML/OSINT; no es probabilidad de LA/FT ni atribución de criminalidad a personas o sectores."
+HOMICIDE_TEXT = "Señal territorial de violencia homicida estabilizada por población y volumen; no es un score AML ni una medición de crimen organizado."
+COMMUNE_PRIORITY_TEXT = "Prioridad analítica territorial basada exclusivamente en denuncias CEAD de la familia drogas vinculada a Ley 20.000. No es probabilidad de LA/FT ni atribución a personas, empresas o sectores."
+ACTIVITY_TEXT = "Actividad territorial reciente de una familia relacionada con delitos base. Es volumen de casos policiales; no es tasa, probabilidad de LA/FT ni atribución a residentes, empresas o sectores."
+DRUG_LAW_BASIS, DRUG_LAW_RELATION = "Ley 19.913 art. 27 → Ley 20.000", "direct_family_ley_20000"
+# How the factors of the geographic score are computed, in words.
+METHODOLOGY = {
+    "intensity": "Percentil territorial del volumen observado para la categoría y año. Reduce el efecto de escala frente al uso de conteos crudos, pero no reemplaza una tasa poblacional cuando ésta esté disponible.",
+    "persistence": "Proporción de años observados en que la comuna se ubica en el cuartil superior nacional de esa categoría.",
+    "trend": "Cambio del último año frente al promedio de hasta tres años previos, transformado a escala 0-100 y centrado en 50 cuando no hay cambio.",
+    "anomaly": "Separación robusta del último valor respecto de la distribución comunal, usando mediana y MAD, transformada a escala 0-100.",
+    "missing_data": "Los pesos internos se renormalizan solo entre componentes efectivamente observados. La cobertura se informa por separado y reduce la confianza; ausencia de datos nunca se interpreta como cero.",
+    "interpretation": INTERPRETATION,
+}
+SOURCE_PRECEDENCE = ("external_cead_data_pipeline", "official_secondary", "quarantined")
 # ---- End of fixed values ----------------------------------------------------------------------------------------
 
 
 def taxonomy(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(k, *v) for k, v in TAXONOMY.items()], "label string, class string, weight double, confidence string")
+    return spark.createDataFrame([(k, *v) for k, v in TAXONOMY.items()], "label string, class string, weight double, confidence string, rationale string")
 
 
 def catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(k, *v) for k, v in CATALOG.items()], "mapping_key string, class string, eligible boolean, weight double, confidence string")
+    return spark.createDataFrame([(k, *v) for k, v in CATALOG.items()], "mapping_key string, class string, eligible boolean, weight double, confidence string, basis string")
 
 
 def label_keys(spark: SparkSession) -> DataFrame:
@@ -181,17 +251,17 @@ def families(spark: SparkSession) -> DataFrame:
 
 def legal_codes(spark: SparkSession) -> DataFrame:
     rows = [(code, *key, "exact", 1) for key, codes in LEGAL_CODES.items() for code in codes]
-    return spark.createDataFrame(rows + [(code, *LEGAL_REPEALED_CLASS, "exclusion", 2) for code in LEGAL_REPEALED], "code long, class string, confidence string, rule_type string, rank int")
+    return spark.createDataFrame(rows + [(code, *LEGAL_REPEALED_CLASS, "exclusion", 2) for code in LEGAL_REPEALED], "code long, class string, confidence string, basis string, rule_type string, rank int")
 
 
 def legal_ranges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(k, *r) for k, r in enumerate(LEGAL_RANGES)], "ordinal int, low long, high long, class string, confidence string")
+    return spark.createDataFrame([(k, *r) for k, r in enumerate(LEGAL_RANGES)], "ordinal int, low long, high long, class string, confidence string, basis string")
 
 
 def components(spark: SparkSession, layers: dict = LAYERS) -> DataFrame:
-    """One row for each component and label; fallback labels are rows with a priority of 1 or more and the layer's name as component."""
+    """One row for each component and label; fallback labels are rows with a priority of 1 or more, each the component's label itself."""
     rows = []
     for at, (layer, (weight, fallback, parts)) in enumerate(layers.items()):
-        rows += [(at, layer, weight, k, c, w, label, 0) for k, (c, (w, labels)) in enumerate(parts.items()) for label in labels]
-        rows += [(at, layer, weight, 0, f"{layer}_fallback", 1.0, label, p) for p, label in enumerate(fallback, 1)]
-    return spark.createDataFrame(rows, "layer_at int, layer string, layer_weight double, component_at int, component string, component_weight double, label string, priority int")
+        rows += [(at, layer, weight, k, c, COMPONENT_LABELS.get(c, c), w, label, 0) for k, (c, (w, labels)) in enumerate(parts.items()) for label in labels]
+        rows += [(at, layer, weight, 0, FALLBACK_IDS.get(layer, f"{layer}_fallback"), label, 1.0, label, p) for p, label in enumerate(fallback, 1)]
+    return spark.createDataFrame(rows, "layer_at int, layer string, layer_weight double, component_at int, component string, component_label string, component_weight double, label string, priority int")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,23 +12,23 @@ from comarca import dims
 from comarca.functions.text import norm
 
 
-def taxonomy_annotated(rows: DataFrame, version: str = "1") -> DataFrame:
-    """aml_class, weight, confidence by exact label, else the default."""
-    known = F.broadcast(dims.taxonomy(rows.sparkSession).select(F.col("label").alias("__label"), F.col("class").alias("__class"), F.col("weight").alias("__weight"), F.col("confidence").alias("__confidence")))
-    kind, weight, confidence = dims.TAXONOMY_DEFAULT
+def taxonomy_annotated(rows: DataFrame, version: str = dims.TAXONOMY_VERSION) -> DataFrame:
+    """aml_class, weight, confidence, rationale by exact label, else the default."""
+    known = F.broadcast(dims.taxonomy(rows.sparkSession).select(F.col("label").alias("__label"), F.col("class").alias("__class"), F.col("weight").alias("__weight"), F.col("confidence").alias("__confidence"), F.col("rationale").alias("__rationale")))
+    kind, weight, confidence, rationale = dims.TAXONOMY_DEFAULT
     joined = rows.join(known, F.col("crime_category") == F.col("__label"), "left")
     return joined.withColumns({
         "aml_class": F.coalesce("__class", F.lit(kind)), "weight": F.coalesce("__weight", F.lit(weight)),
-        "confidence": F.coalesce("__confidence", F.lit(confidence)), "legal_mapping_version": F.lit(version),
-    }).drop("__label", "__class", "__weight", "__confidence")
+        "confidence": F.coalesce("__confidence", F.lit(confidence)), "rationale": F.coalesce("__rationale", F.lit(rationale)), "legal_mapping_version": F.lit(version),
+    }).drop("__label", "__class", "__weight", "__confidence", "__rationale")
 
 
 def catalog_mapped(rows: DataFrame) -> DataFrame:
-    """mapping_key, aml_class, score_eligible, aml_weight, mapping_confidence by normalised label; homicide labels are context only."""
+    """mapping key, aml_class, score_eligible, aml_weight, mapping_confidence, legal_basis by normalised label; homicide labels are context only."""
     spark = rows.sparkSession
     keys = F.broadcast(dims.label_keys(spark).select(F.col("label").alias("__norm_label"), F.col("mapping_key").alias("__key")))
-    known = F.broadcast(dims.catalog(spark).select(F.col("mapping_key").alias("__mapping"), F.col("class").alias("__class"), F.col("eligible").alias("__eligible"), F.col("weight").alias("__weight"), F.col("confidence").alias("__confidence")))
-    kind, eligible, weight, confidence = dims.CATALOG_DEFAULT
+    known = F.broadcast(dims.catalog(spark).select(F.col("mapping_key").alias("__mapping"), F.col("class").alias("__class"), F.col("eligible").alias("__eligible"), F.col("weight").alias("__weight"), F.col("confidence").alias("__confidence"), F.col("basis").alias("__basis")))
+    kind, eligible, weight, confidence, basis = dims.CATALOG_DEFAULT
     joined = rows.withColumn("crime_category_norm", norm(F.col("crime_category"))).join(keys, F.col("crime_category_norm") == F.col("__norm_label"), "left").join(known, F.col("__key") == F.col("__mapping"), "left")
     homicide = F.col("crime_category_norm").isin(*dims.HOMICIDE_LABELS)
     return joined.withColumns({
@@ -33,8 +36,8 @@ def catalog_mapped(rows: DataFrame) -> DataFrame:
         "aml_class": F.when(homicide, "context_only").otherwise(F.coalesce("__class", F.lit(kind))),
         "score_eligible": F.when(homicide, False).otherwise(F.coalesce("__eligible", F.lit(eligible))),
         "aml_weight": F.when(homicide, 0.0).otherwise(F.coalesce("__weight", F.lit(weight))),
-        "mapping_confidence": F.coalesce("__confidence", F.lit(confidence)),
-    }).drop("__norm_label", "__key", "__mapping", "__class", "__eligible", "__weight", "__confidence")
+        "mapping_confidence": F.coalesce("__confidence", F.lit(confidence)), "legal_basis": F.coalesce("__basis", F.lit(basis)),
+    }).drop("__norm_label", "__key", "__mapping", "__class", "__eligible", "__weight", "__confidence", "__basis")
 
 
 def family_mapped(rows: DataFrame) -> DataFrame:
@@ -43,37 +46,91 @@ def family_mapped(rows: DataFrame) -> DataFrame:
     return rows.drop("article27_relation", "score_eligible", "aml_weight", "mapping_confidence").join(known, "cead_family_key", "left")
 
 
-def legal_classified(rows: DataFrame, code: str = "code") -> DataFrame:
-    """legal_class, legal_confidence, rule_type, rules_version: an exact code before one out of force, before the first range that holds it, before the default.
+def segments(ranges: DataFrame) -> list[tuple[int, int, int]]:
+    """(low, high, ordinal) of overlapping ranges (ordinal, low, high) cut into disjoint ones: the smallest ordinal holds what several cover.
 
-    Codes that are numbers match however they are written (zeros in front, text or number).
+    Rules are a table that people write, thousands at most; their ends are swept once on the driver.
+    """
+    rules = sorted((r["ordinal"], r["low"], r["high"]) for r in ranges.select("ordinal", "low", "high").collect() if r["low"] <= r["high"])
+    opens: dict[int, list[int]] = {}
+    closes: dict[int, list[int]] = {}
+    for ordinal, low, high in rules:
+        opens.setdefault(low, []).append(ordinal)
+        closes.setdefault(high + 1, []).append(ordinal)
+    out: list[tuple[int, int, int]] = []
+    active: list[int] = []
+    gone: set[int] = set()
+    start = None
+    for at in sorted({*opens, *closes}):
+        while active and active[0] in gone:
+            heapq.heappop(active)
+        if active and start is not None:
+            if out and out[-1][2] == active[0] and out[-1][1] == start - 1:
+                out[-1] = (out[-1][0], at - 1, active[0])
+            else:
+                out.append((start, at - 1, active[0]))
+        for ordinal in opens.get(at, ()):
+            heapq.heappush(active, ordinal)
+        gone.update(closes.get(at, ()))
+        start = at
+    return out
+
+
+def ranged(rows: DataFrame, ranges: DataFrame, number: str, into: str = "range") -> DataFrame:
+    """rows with the first of the ranges (ordinal, low, high, ...) that holds a number, as a struct of the range's columns; null where none does.
+
+    The ranges become disjoint segments in a sorted array, where each number finds its segment by halving, as an expression of
+    the row itself: no row meets a range that it does not lie in, however many ranges there are.
+    """
+    found = segments(ranges)
+    if not found:
+        return rows.withColumn(into, F.lit(None).cast(ranges.schema.simpleString()))
+    low, high, ordinals = (F.from_json(F.lit(json.dumps(x)), "array<long>") for x in zip(*found, strict=True))  # constants, folded once
+    last = F.lit(len(found) - 1)
+    # Halving: after all steps the last segment that starts at or below the number is left.
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(len(found).bit_length()))])
+    step = lambda place, n: F.when((place + n <= last) & (F.get(low, F.least(place + n, last)) <= F.col(number)), place + n).otherwise(place)
+    placed = rows.withColumn("__at", F.aggregate(halves, F.lit(-1), step))
+    inside = (F.col("__at") >= 0) & (F.get(high, F.greatest(F.col("__at"), F.lit(0))) >= F.col(number))
+    placed = placed.withColumn("__at", F.when(inside, F.get(ordinals, F.greatest(F.col("__at"), F.lit(0)))))
+    rules = F.broadcast(ranges.select(F.col("ordinal").cast("long").alias("__rule"), F.struct(*ranges.columns).alias(into)))  # the rules themselves, a row each
+    return placed.drop(into).join(rules, F.col("__at") == F.col("__rule"), "left").drop("__rule", "__at")
+
+
+def legal_classified(rows: DataFrame, code: str = "code", ranges: DataFrame | None = None) -> DataFrame:
+    """legal_code, legal_class, legal_confidence, legal_basis, rule_type, rules_version: an exact code before one out of force, before the first range that holds it, before the default.
+
+    Codes that are numbers match however they are written (zeros in front, text or number), and legal_code is the number; others
+    have the default and stay as they are, without the white space around them. ranges are the fixed ones unless given.
     """
     spark = rows.sparkSession
-    number = F.coalesce(F.col(code).cast("string").try_cast("long"), F.lit(None).cast("long"))
-    exact = F.broadcast(dims.legal_codes(spark).select(F.col("code").alias("__code"), F.col("class").alias("__class"), F.col("confidence").alias("__confidence"), F.col("rule_type").alias("__type")))
-    kind, confidence = dims.LEGAL_DEFAULT
-    within: tuple[Column, Column] = (F.lit(kind), F.lit(confidence))
-    held = F.lit(False)
-    for low, high, range_kind, range_confidence in reversed(dims.LEGAL_RANGES):
-        inside = F.col("__number").between(low, high)
-        within = (F.when(inside, range_kind).otherwise(within[0]), F.when(inside, range_confidence).otherwise(within[1]))
-        held = held | inside
+    bare = F.trim(F.col(code).cast("string"))
+    number = F.when(bare.rlike(r"^\d+$"), bare.try_cast("long"))
+    exact = F.broadcast(dims.legal_codes(spark).select(F.col("code").alias("__code"), F.struct("class", "confidence", "basis", "rule_type").alias("__exact")))
+    default = F.struct(*[F.lit(x).alias(n) for n, x in zip(("class", "confidence", "basis"), dims.LEGAL_DEFAULT, strict=True)], F.lit("default").alias("rule_type"))
     joined = rows.withColumn("__number", number).join(exact, F.col("__number") == F.col("__code"), "left")
-    return joined.withColumns({
-        "legal_class": F.coalesce("__class", within[0]), "legal_confidence": F.coalesce("__confidence", within[1]),
-        "rule_type": F.coalesce("__type", F.when(held, "range").otherwise("default")), "rules_version": F.lit(dims.LEGAL_VERSION),
-    }).drop("__number", "__code", "__class", "__confidence", "__type")
-
-
-def legal_ranges_joined(rows: DataFrame, ranges: DataFrame, number: str) -> DataFrame:
-    """The first of any ranges (ordinal, low, high, class, confidence) that holds a number, as a range join on the ranges' few rows."""
-    best = rows.select(number).distinct().join(F.broadcast(ranges), F.col(number).between(F.col("low"), F.col("high"))).groupBy(number).agg(F.min_by(F.struct("class", "confidence"), "ordinal").alias("range"))
-    return rows.join(best, number, "left")
+    within = ranged(joined, dims.legal_ranges(spark) if ranges is None else ranges, "__number", "__range")
+    held = F.when(F.col("__range").isNotNull(), F.struct("__range.class", "__range.confidence", "__range.basis", F.lit("range").alias("rule_type")))
+    rule = F.coalesce("__exact", held, default)
+    return within.withColumn("__rule", rule).withColumns({
+        "legal_code": F.coalesce(F.col("__number").cast("string"), bare), "legal_class": F.col("__rule.class"), "legal_confidence": F.col("__rule.confidence"), "legal_basis": F.col("__rule.basis"),
+        "rule_type": F.col("__rule.rule_type"), "rules_version": F.lit(dims.LEGAL_VERSION),
+    }).drop("__number", "__code", "__exact", "__range", "__rule")
 
 
 def legal_summary(spark) -> DataFrame:
-    """Number of exact rules by class."""
-    return dims.legal_codes(spark).where(F.col("rule_type") == "exact").groupBy("class").agg(F.count("*").alias("rules"))
+    """One row: the rules' version, the law and catalogue they rest on, how many there are, and the exact ones by class."""
+    exact = dims.legal_codes(spark).where(F.col("rule_type") == "exact").groupBy("class").agg(F.count("*").alias("rules"))
+    told = lambda of: F.struct(*[F.lit(v).alias(k) for k, v in of.items()])
+    classes = F.map_from_entries(F.array_sort(F.collect_list(F.struct("class", "rules"))))
+    return exact.agg(
+        F.lit(dims.LEGAL_VERSION).alias("version"), told(dims.LEGAL_BASIS).alias("legal_basis"), told(dims.LEGAL_CATALOG).alias("catalog"), F.sum("rules").alias("exact_rules"), F.lit(len(dims.LEGAL_RANGES)).alias("range_rules"), classes.alias("classes"),
+    )
+
+
+def legal_use(classified: DataFrame) -> DataFrame:
+    """Of legal_classified() rows: rows and distinct codes by class, basis and rule type."""
+    return classified.groupBy("legal_class", "legal_confidence", "legal_basis", "rule_type").agg(F.count("*").alias("rows"), F.countDistinct("legal_code").alias("codes"))
 
 
 def usable(status: Column) -> Column:
