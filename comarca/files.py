@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,11 @@ def shared_folder(spark: SparkSession) -> str:
     return path
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
 def held(frame: DataFrame) -> DataFrame:
     """A small aggregate, computed once and kept in the shared folder: what is built on it reads it there, not the fact again."""
     shared_folder(frame.sparkSession)
@@ -57,3 +63,17 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return bytes(source.readAllBytes()).decode("utf-8")
     finally:
         source.close()
+
+
+def listed(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time of change) of what lies in a folder, by name; a file stands for itself, and nothing for what is not there."""
+    place, store = _place(spark, path)
+    if not store.exists(place):
+        return []
+    return sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in store.listStatus(place))
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; none where there is none."""
+    place, store = _place(spark, path)
+    return store.getContentSummary(place).getLength() if store.exists(place) else 0
