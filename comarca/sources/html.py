@@ -1,12 +1,19 @@
-"""HTML tables and links as rows, by the standard library's parser over Arrow batches of pages, and the sections built of them."""
+"""Pages as trees of numbered nodes, and the tables, links and sections that expressions find in them.
+
+A page is parsed once, in the task that holds it, into an array of node rows: elements of interest with their number in document
+order, the number at which they end, their visible text, and the open elements around them. What follows are expressions over that
+array, without a shuffle: the next table after a heading is the least number beyond it, a table's rows are those within it, and
+scripts and styles are no text.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,136 +22,189 @@ from comarca.functions.text import commune_code, is_commune, legacy_commune_id,
 from comarca.operators.classify import family_mapped
 from comarca.plans.rollups import quarantined_duplicates
 
-HEADINGS = {"h4", "h5", "h6", "strong"}
+HEADINGS = ("h4", "h5", "h6", "strong")
+CELLS = ("td", "th")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+#: Elements whose text a reader does not see as the page's.
+UNSEEN = {"script", "style", "template", "rt", "rp"}
+#: Rows of pages that leave a task together, from so many on.
+MANY = 1000
+#: The whole page as a node.
+PAGE = "#page"
+
 
+class _Tree(HTMLParser):
+    """Elements in document order: [tag, parent, end, first text, text after the last, attributes]; and the page's visible texts, each stripped.
 
-class _Tables(HTMLParser):
-    """Every table with its rows of cells and the headings that stand before it."""
+    An end tag closes the nearest open element of its name, and what is open within; one that closes nothing is passed over.
+    """
 
-    def __init__(self):
+    def __init__(self, page: str):
         super().__init__(convert_charrefs=True)
-        self.heading, self.headings, self.tables, self.open_, self.cell = None, [], [], [], None
+        self.nodes: list[list] = [[PAGE, -1, 0, 0, 0, {}]]
+        self.texts: list[str] = []
+        self.open_, self.data = [0], []
+        self.feed(page)
+        self.close()
+        self._flush()
+        while self.open_:
+            self._close()
+
+    def _flush(self) -> None:
+        """Data in a row is one text."""
+        text = "".join(self.data).strip()
+        self.data = []
+        if text and not any(self.nodes[k][0] in UNSEEN for k in self.open_):
+            self.texts.append(text)
+
+    def _close(self) -> None:
+        node = self.nodes[self.open_.pop()]
+        node[2], node[4] = len(self.nodes) - 1, len(self.texts)
 
     def handle_starttag(self, tag, attrs):
-        if tag in HEADINGS and not self.open_:
-            self.heading = []
-        elif tag == "table":
-            self.tables.append(([*self.headings], []))
-            self.open_.append(len(self.tables) - 1)
-        elif self.open_ and tag == "tr":
-            self.tables[self.open_[-1]][1].append([])
-        elif self.open_ and tag in ("td", "th"):
-            rows = self.tables[self.open_[-1]][1]
-            if not rows:
-                rows.append([])
-            self.cell = []
-            rows[-1].append(self.cell)
+        self._flush()
+        self.nodes.append([tag, self.open_[-1], 0, len(self.texts), 0, dict(attrs)])
+        self.open_.append(len(self.nodes) - 1)
+        if tag in VOID:
+            self._close()
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self._close()
 
     def handle_endtag(self, tag):
-        if tag in HEADINGS and self.heading is not None:
-            self.headings.append(" ".join(" ".join(self.heading).split()))
-            self.heading = None
-        elif tag == "table" and self.open_:
-            self.open_.pop()
-            self.cell = None
-        elif tag in ("td", "th"):
-            self.cell = None
+        self._flush()
+        if any(self.nodes[k][0] == tag for k in self.open_[1:]):
+            while self.nodes[self.open_[-1]][0] != tag:
+                self._close()
+            self._close()
+
+    def handle_comment(self, data):
+        self._flush()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
 
     def handle_data(self, data):
-        for place in (self.heading, self.cell):
-            if place is not None:
-                place.append(data)
+        self.data.append(data)
 
+    def text(self, at: int) -> str:
+        return " ".join(" ".join(self.texts[self.nodes[at][3] : self.nodes[at][4]]).split())
 
-class _Links(HTMLParser):
-    """Every link with its title and the text of the element around it."""
+    def around(self, at: int, tag: str) -> list[int]:
+        """The elements of a tag that an element lies in, outermost first."""
+        out, at = [], self.nodes[at][1]
+        while at > 0:
+            if self.nodes[at][0] == tag:
+                out.append(at)
+            at = self.nodes[at][1]
+        return out[::-1]
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack, self.links = [[]], []
 
-    def handle_starttag(self, tag, attrs):
-        if tag in VOID:
-            return
-        self.stack.append([])
-        if tag == "a" and (href := dict(attrs).get("href")) is not None:
-            self.links.append({"href": href, "own": self.stack[-1], "around": self.stack[-2], "depth": len(self.stack), "done": False})
+NODE = "struct<at:int,end:int,tag:string,text:string,cells:array<string>,within:array<int>>"
+_NODE = pa.struct([("at", pa.int32()), ("end", pa.int32()), ("tag", pa.string()), ("text", pa.string()), ("cells", pa.list_(pa.string())), ("within", pa.list_(pa.int32()))])
 
-    def handle_endtag(self, tag):
-        if tag not in VOID and len(self.stack) > 1:
-            text = self.stack.pop()
-            self.stack[-1].extend(text)
 
-    def handle_data(self, data):
-        self.stack[-1].append(data)
+def _nodes(page: str) -> list[dict]:
+    """The page, its headings, tables and rows; a row has the texts of all cells within it, and the tables that it lies in."""
+    tree, out, rows = _Tree(page), [], {}
+    for at, (tag, _, end, *_) in enumerate(tree.nodes):
+        if tag in CELLS:
+            for row in tree.around(at, "tr"):
+                rows[row]["cells"].append(tree.text(at))
+        elif tag == "tr":
+            rows[at] = {"at": at, "end": end, "tag": tag, "text": None, "cells": [], "within": tree.around(at, "table")}
+            out.append(rows[at])
+        elif tag in HEADINGS or tag in ("table", PAGE):
+            out.append({"at": at, "end": end, "tag": tag, "text": None if tag == "table" else tree.text(at), "cells": None, "within": None})
+    return out
 
 
-def _joined(parts: list[str]) -> str:
-    return " ".join(" ".join(parts).split())
+def _per_page(pages: DataFrame, html: str, more: Sequence[str], columns: Mapping[str, tuple[str, pa.DataType]], rows_of: Callable[..., list[tuple]]) -> DataFrame:
+    """pages without html, and the rows (a tuple of the columns each) that rows_of(html, *more) gives for each page."""
+    keep = [c for c in pages.columns if c not in (html, *columns)]
+    schema = StructType([*pages.select(*[F.col(f"`{c}`") for c in keep]).schema.fields, *StructType.fromDDL(", ".join(f"{n} {kind}" for n, (kind, _) in columns.items())).fields])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(batch: pa.RecordBatch, at: list[int], rows: list[tuple]) -> pa.RecordBatch:
+            own = [batch.column(c).take(pa.array(at)) for c in keep]
+            return pa.RecordBatch.from_arrays(own + [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows, strict=True), columns.values(), strict=True)], [*keep, *columns])
 
-def _table_rows(html: str) -> Iterator[tuple]:
-    parser = _Tables()
-    parser.feed(html)
-    for k, (headings, rows) in enumerate(parser.tables):
-        for r, cells in enumerate(x for x in rows if x):
-            yield k, headings, r, [_joined(c) for c in cells]
+        for batch in batches:
+            at, rows = [], []
+            for k, text in enumerate(batch.column("__html")):
+                found = rows_of(text.as_py() or "", *[batch.column(f"__{c}")[k].as_py() for c in more])
+                at += [k] * len(found)
+                rows += found
+                if len(rows) >= MANY:
+                    yield made(batch, at, rows)
+                    at, rows = [], []
+            if rows:
+                yield made(batch, at, rows)
 
+    read = [F.col(f"`{html}`").alias("__html"), *[F.col(f"`{c}`").alias(f"__{c}") for c in more]]
+    return pages.select(*[F.col(f"`{c}`") for c in keep], *read).mapInArrow(run, schema)
 
-def _link_rows(html: str) -> Iterator[tuple]:
-    parser = _Links()
-    parser.feed(html)
-    while len(parser.stack) > 1:
-        parser.handle_endtag("html")
-    for k, x in enumerate(parser.links):
-        yield k, x["href"], _joined(x["own"]), _joined(x["around"])
 
+def with_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
+    """pages without html, and `nodes`: a page's numbered elements. A null page is an empty one."""
+    return _per_page(pages, html, (), {"nodes": (f"array<{NODE}>", pa.list_(_NODE))}, lambda page: [(_nodes(page),)])
 
-def _parsed(pages: DataFrame, rows_of: Callable[[str], Iterator[tuple]], kinds: dict[str, tuple[str, pa.DataType]], html: str) -> DataFrame:
-    """pages without html, and the rows of each page with their columns (name -> Spark and Arrow type). A task holds one page's rows at a time."""
-    keep = [c for c in pages.columns if c not in (html, *kinds)]
-    schema = StructType([*pages.select(*[F.col(f"`{c}`") for c in keep]).schema.fields, *StructType.fromDDL(", ".join(f"{n} {kind}" for n, (kind, _) in kinds.items())).fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, text in enumerate(batch.column(html)):
-                rows = list(rows_of(text.as_py() or ""))
-                if rows:
-                    own = [batch.column(c).take(pa.array([at] * len(rows))) for c in keep]
-                    made = [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(own + made, [*keep, *kinds])
+def tagged(nodes: Column, *tags: str) -> Column:
+    return F.filter(nodes, lambda n: n["tag"].isin(*tags))
 
-    return pages.select(*[F.col(f"`{c}`") for c in keep], html).mapInArrow(run, schema)
+
+def table_after(nodes: Column, needles: Sequence[str]) -> Column:
+    """The number of the first table after the first heading that says all needles, normalised, and has a table after it."""
+    tables = F.transform(tagged(nodes, "table"), lambda n: n["at"])
+    says = lambda h: F.forall(F.array(*[F.lit(norm_needle) for norm_needle in needles]), lambda n: F.contains(norm(h["text"]), norm(n)))
+    heading = F.get(F.filter(tagged(nodes, *HEADINGS), lambda h: (h["at"] < F.array_max(tables)) & says(h)), F.lit(0))["at"]
+    return F.array_min(F.filter(tables, lambda t: t > heading))
+
+
+def rows_within(nodes: Column, table: Column) -> Column:
+    """Cells of the rows of a table, those of tables in it too, without rows that have none."""
+    rows = F.filter(tagged(nodes, "tr"), lambda n: F.array_contains(n["within"], table) & (F.size(n["cells"]) > 0))
+    return F.transform(rows, lambda n: n["cells"])
 
 
 def table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages without html, and each row of each table: table_at, the headings before it, row_at, cells."""
-    return _parsed(pages, _table_rows, {"table_at": ("int", pa.int32()), "headings": ("array<string>", pa.list_(pa.string())), "row_at": ("int", pa.int32()), "cells": ("array<string>", pa.list_(pa.string()))}, html)
+    """pages without html, and each row with cells of each table: table_at, row_at (their numbers in the page), cells."""
+    rows = with_nodes(pages, html).withColumn("__row", F.explode(tagged(F.col("nodes"), "tr"))).where(F.size("__row.cells") > 0)
+    kept = [F.col(f"`{c}`") for c in pages.columns if c not in (html, "nodes", "table_at", "row_at", "cells")]
+    return rows.select(*kept, F.explode("__row.within").alias("table_at"), F.col("__row.at").alias("row_at"), F.col("__row.cells").alias("cells"))
 
 
-def links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages without html, and each link: link_at, href, title and the text of the element around it."""
-    return _parsed(pages, _link_rows, {"link_at": ("int", pa.int32()), "href": ("string", pa.string()), "title": ("string", pa.string()), "around": ("string", pa.string())}, html)
+def rows_under(pages: DataFrame, needles: Sequence[str]) -> DataFrame:
+    """pages with nodes -> without them, and row_at and cells of the table under the heading that says all needles."""
+    found = pages.withColumn("__table", table_after(F.col("nodes"), needles)).where(F.col("__table").isNotNull())
+    kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("nodes", "row_at", "cells")]
+    return found.select(*kept, F.posexplode(rows_within(F.col("nodes"), F.col("__table"))).alias("row_at", "cells"))
 
 
-def _says(needles: Sequence[str]) -> Column:
-    return F.exists("headings", lambda h: F.forall(F.array(*[F.lit(n) for n in needles]), lambda n: F.contains(norm(h), n)))
+def links(pages: DataFrame, html: str = "html", base: str | None = None) -> DataFrame:
+    """pages without html, and each link: link_at, href, title, the text of the element around it, and its address against the column `base` (null where there is none)."""
 
+    def found(page: str, *bases: str | None) -> list[tuple]:
+        tree = _Tree(page)
+        own = [(at, n[5]["href"]) for at, n in enumerate(tree.nodes) if n[0] == "a" and "href" in n[5]]
+        return [(k, href or "", tree.text(at), tree.text(tree.nodes[at][1]), _joined(bases[0], href) if bases else None) for k, (at, href) in enumerate(own)]
 
-def tables_under(rows: DataFrame, needles: Sequence[str], *more: str) -> DataFrame:
-    """Of each page (its columns other than the table's) the first table below a heading that holds all needles, normalised.
+    text = ("string", pa.string())
+    return _per_page(pages, html, () if base is None else (base,), {"link_at": ("int", pa.int32()), "href": text, "title": text, "around": text, "target": text}, found)
 
-    A page's rows meet in one window; they came from one page, which a task held whole.
-    """
-    keys = [c for c in rows.columns if c not in ("table_at", "headings", "row_at", "cells", *more)]
-    found = rows.where(_says(needles)).withColumn("__first", F.min("table_at").over(Window.partitionBy(*keys)))
-    return found.where(F.col("table_at") == F.col("__first")).drop("__first")
+
+def _joined(base: str | None, href: str | None) -> str | None:
+    try:
+        return urljoin(base or "", href or "")
+    except ValueError:
+        return None
 
 
 def annual_rates(pages: DataFrame, families: Mapping[str, str] = dims.ANNUAL_FAMILIES) -> DataFrame:
     """pages (district, region_code, region_name, html) -> a row for each commune and family with a rate; columns by position."""
-    rows = tables_under(table_rows(pages), ("tasas anuales denuncias", "familia de delitos"))
+    rows = rows_under(with_nodes(pages), ("tasas anuales denuncias", "familia de delitos"))
     name = F.element_at("cells", 1)
     kept = rows.where((F.size("cells") >= 5) & is_commune(name)).select(*DISTRICT, name.alias("commune_name"), F.posexplode(F.slice("cells", 2, 4)).alias("at", "cell"))
     key, label = (F.array(*[F.lit(f) for f in x])[F.col("at")] for x in (list(families), list(families.values())))
@@ -171,10 +231,9 @@ FIGURES = ("freq_2024", "freq_2025", "pop_2024", "pop_2025", "rate_2024", "rate_
 
 def latest_sections(pages: DataFrame) -> DataFrame:
     """Rows of the three sections with all six figures, from one reading of the pages."""
-    own = F.array(*[F.when(_says((heading, "frecuencia", "tasa")), F.lit(section)) for section, heading in SECTIONS.items()])
-    rows = table_rows(pages).withColumn("section", F.explode(F.array_compact(own)))
-    page = Window.partitionBy(*DISTRICT, "section")
-    found = rows.withColumn("__first", F.min("table_at").over(page)).where(F.col("table_at") == F.col("__first"))
+    nodes = F.col("nodes")
+    sections = F.array(*[F.struct(F.lit(section).alias("section"), rows_within(nodes, table_after(nodes, (heading, "frecuencia", "tasa"))).alias("rows")) for section, heading in SECTIONS.items()])
+    found = with_nodes(pages).select(*DISTRICT, F.explode(sections).alias("s")).select(*DISTRICT, "s.section", F.explode("s.rows").alias("cells"))
     kept = found.where((F.size("cells") >= 7) & is_commune(F.element_at("cells", 1)))
     figures = [parse_number(F.element_at("cells", k)).alias(f) for k, f in enumerate(FIGURES, 2)]
     return kept.select(*DISTRICT, "section", F.element_at("cells", 1).alias("commune_name"), *figures).dropna(subset=list(FIGURES))
@@ -220,6 +279,16 @@ def with_population(annual: DataFrame, populations: DataFrame) -> DataFrame:
 
 
 def page_years(pages: DataFrame, first: int = 2018, last: int = 2026, html: str = "html") -> DataFrame:
-    """Distinct years that a page names."""
-    years = F.transform(F.regexp_extract_all(html, F.lit(r"\b(20\d{2})\b"), F.lit(1)), lambda y: y.cast("int"))
-    return pages.withColumn("years", F.array_sort(F.array_distinct(F.filter(years, lambda y: y.between(first, last))))).drop(html)
+    """pages without html, and the distinct years that a page's visible text names: not its tags, scripts or styles."""
+    text = F.get(tagged(F.col("nodes"), PAGE), F.lit(0))["text"]
+    years = F.transform(F.regexp_extract_all(text, F.lit(r"\b(20(?:1[8-9]|2[0-9]))\b"), F.lit(1)), lambda y: y.cast("int"))
+    found = F.array_sort(F.array_distinct(F.filter(years, lambda y: y.between(first, last))))
+    return with_nodes(pages, html).withColumn("years", found).drop("nodes")
+
+
+def topic_rows(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pages (source_id, cead_family_key, url, html, sha256, retrieved_at, ok, error) of topics -> what each covers, and a status row for each."""
+    told = page_years(pages.withColumn("__ok", F.coalesce("ok", F.lit(False))))
+    rows = told.where("__ok").select("source_id", "cead_family_key", "url", F.col("years").alias("available_years"), F.array(*map(F.lit, ("country", "region", "commune"))).alias("territorial_levels"), "retrieved_at", "sha256")
+    status = told.select("source_id", F.col("__ok").alias("ok"), F.when(F.col("__ok"), F.col("years")).alias("available_years"), F.when(~F.col("__ok"), F.coalesce("error", F.lit("not fetched"))).alias("error"))
+    return rows, status
