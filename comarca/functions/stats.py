@@ -27,20 +27,51 @@ def tie_rank_percentile(value: Column, key: Column, by: Sequence[Column | str] =
 
 
 def with_percentiles(rows: DataFrame, of: Mapping[str, str], key: str) -> DataFrame:
-    """rows with columns name: 100 * place / (n - 1), places 0.. by the column of[name], ties by key; 50 if alone.
+    """rows (one for each key) with columns name: 100 * place / (n - 1), places 0.. by the column of[name], ties by key; 50 if alone.
 
-    The same as tie_rank_percentile over all rows, for any number of them: rows are dealt out in ranges of (value, key), their
-    numbers within a range come from a window, and those of the ranges before from the ranges' counts, a row for each range.
+    The same as tie_rank_percentile over all rows, for any number of them and for all figures at once: (figure, value, key) rows
+    are dealt out in ranges, their numbers within a range come from a window, and those of the ranges before from the ranges'
+    counts, a row for each figure and range. The rows' other columns go along with the first figure.
     """
-    for name, column in of.items():
-        rows = held(rows.repartitionByRange(column, key).withColumn("__range", F.spark_partition_id()))
-        counts = rows.groupBy("__range").agg(F.count("*").alias("__rows"))
-        order = Window.orderBy("__range")
-        before = counts.select("__range", (F.sum("__rows").over(order) - F.col("__rows")).alias("__before"), F.sum("__rows").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__n"))
-        place = F.row_number().over(Window.partitionBy("__range").orderBy(column, key)) - 1 + F.col("__before")
-        percentile = F.when(F.col("__n") == 1, F.lit(50.0)).otherwise(100.0 * place / (F.col("__n") - 1))
-        rows = rows.join(F.broadcast(before), "__range").withColumn(name, percentile).drop("__range", "__before", "__n")
-    return rows
+    names, rest = list(of), [c for c in rows.columns if c != key]
+    figures = F.array(*[F.struct(F.lit(k).alias("figure"), F.col(of[name]).cast("double").alias("value")) for k, name in enumerate(names)])
+    whole = F.struct(*rest)
+    long = rows.select(key, F.explode(figures).alias("__f"), whole.alias("__row")).select(key, "__f.figure", "__f.value", F.when(F.col("__f.figure") == 0, F.col("__row")).alias("__row"))
+    dealt = held(long.repartitionByRange("figure", "value", key).withColumn("__range", F.spark_partition_id()))
+    counts = dealt.groupBy("figure", "__range").agg(F.count("*").alias("__rows"))
+    upto = Window.partitionBy("figure").orderBy("__range")
+    before = counts.select("figure", "__range", (F.sum("__rows").over(upto) - F.col("__rows")).alias("__before"), F.sum("__rows").over(Window.partitionBy("figure")).alias("__n"))
+    place = F.row_number().over(Window.partitionBy("figure", "__range").orderBy("value", key)) - 1 + F.col("__before")
+    percentile = F.when(F.col("__n") == 1, F.lit(50.0)).otherwise(100.0 * place / (F.col("__n") - 1))
+    placed = dealt.join(F.broadcast(before), ["figure", "__range"]).withColumn("__percentile", percentile)
+    pivoted = placed.groupBy(key).agg(F.first("__row", ignorenulls=True).alias("__row"), *[F.max(F.when(F.col("figure") == k, F.col("__percentile"))).alias(name) for k, name in enumerate(names)])
+    return pivoted.select(key, "__row.*", *names)
+
+
+def at_rank(values: DataFrame, column: str, place) -> DataFrame:
+    """One row `value`: the element of sorted values numbered place(n), from 0; nulls are no values. None where there is none.
+
+    Values fall into bands that keep their order (an eighth of a doubling each, some thousand in all); the bands' counts tell which
+    one holds the place, and only that one's values are sorted.
+    """
+    v = F.col(column).cast("double")
+    band = F.floor(F.signum(v) * 8 * F.log2(1 + F.abs(v)))
+    tally = values.where(v.isNotNull()).groupBy(band.alias("__band"), v.alias("value")).agg(F.count("*").alias("__n"))
+    bands = tally.groupBy("__band").agg(F.sum("__n").alias("__rows"))
+    order = Window.orderBy("__band")  # a row for each band
+    told = bands.select("__band", (F.sum("__rows").over(order) - F.col("__rows")).alias("__above"), F.sum("__rows").over(order).alias("__upto"), F.sum("__rows").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__all"))
+    wanted = place(F.col("__all"))
+    one = told.where((wanted >= F.col("__above")) & (wanted < F.col("__upto"))).select("__band", (wanted - F.col("__above")).alias("__place"))
+    inside = tally.join(F.broadcast(one), "__band").withColumn("__until", F.sum("__n").over(Window.partitionBy("__band").orderBy("value")))
+    return inside.where(F.col("__until") > F.col("__place")).agg(F.min("value").alias("value"))
+
+
+def interpolated(value: Column, less: Column, equal: Column, n: Column, q: float, by: Sequence[Column | str]) -> Column:
+    """Over tallied values (each with how many are less and equal): the quantile between the two elements around q * (n - 1), the same for all rows of `by`."""
+    at = F.lit(q) * (n - 1)
+    low, high = F.floor(at), F.ceil(at)
+    pick = lambda place: F.max(F.when((less <= place) & (place < less + equal), value)).over(Window.partitionBy(*by))
+    return pick(low) + (pick(high) - pick(low)) * (at - low)
 
 
 def midrank_percentile(value: Column, by: Sequence[Column | str] = ()) -> Column:
@@ -51,9 +82,22 @@ def midrank_percentile(value: Column, by: Sequence[Column | str] = ()) -> Column
     return F.when(n <= 1, F.lit(50.0)).otherwise(100.0 * ((F.rank().over(o) - 1) / n + F.cume_dist().over(o)) / 2)
 
 
-def upper_median(column: str) -> Column:
-    """Aggregate: the element numbered n div 2 (from 0) of the sorted values, which is the lower median from above."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {column} DESC)")
+def order_statistics(values: DataFrame, by: Sequence[str], column: str, quantiles: Mapping[str, float], upper_median: str | None = None) -> DataFrame:
+    """A row for each key of `by`: interpolated quantiles of the column's values, and the element numbered n div 2; exact, from tallies, without a buffer."""
+    tally = values.where(F.col(column).isNotNull()).groupBy(*by, F.col(column).cast("double").alias("__v")).agg(F.count("*").alias("__equal"))
+    whole = Window.partitionBy(*by)
+    less = F.sum("__equal").over(whole.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__equal")
+    placed = tally.withColumns({"__less": less, "__all": F.sum("__equal").over(whole)})
+    found = {name: interpolated(F.col("__v"), F.col("__less"), F.col("__equal"), F.col("__all"), q, by) for name, q in quantiles.items()}
+    if upper_median:
+        place = F.floor(F.col("__all") / 2)
+        found[upper_median] = F.max(F.when((F.col("__less") <= place) & (place < F.col("__less") + F.col("__equal")), F.col("__v"))).over(whole)
+    return placed.withColumns(found).groupBy(*by).agg(*[F.max(name).alias(name) for name in found])
+
+
+def upper_median(values: DataFrame, column: str) -> DataFrame:
+    """One row `value`: the element numbered n div 2 (from 0) of the sorted values."""
+    return at_rank(values, column, lambda n: F.floor(n / 2))
 
 
 def trend_score(current: Column, mean: Column) -> Column:

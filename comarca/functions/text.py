@@ -2,36 +2,45 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
-from collections.abc import Iterable, Iterator
-from urllib.parse import urljoin
+from collections.abc import Iterable
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _plain_letters() -> tuple[str, str]:
-    """Latin letters whose compatibility form is one ASCII character and marks, and those characters."""
-    pairs = []
-    for point in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)]:
-        plain = unicodedata.normalize("NFKD", chr(point)).encode("ascii", "ignore").decode()
-        if len(plain) == 1:
-            pairs.append((chr(point), plain))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+def _decomposed() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters beyond ASCII whose compatibility form holds one ASCII character, and those whose form holds several. None lie beyond the first two planes."""
+    one, more = {}, {}
+    for c in (chr(p) for p in range(0x80, 0x20000) if not 0xD800 <= p < 0xE000):
+        if unicodedata.decomposition(c):
+            plain = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
+            if plain:
+                (one if len(plain) == 1 else more)[c] = plain
+    return one, more
 
 
-ACCENTED, PLAIN = _plain_letters()
+ONE, MORE = _decomposed()
 
 
 def _ascii(c: Column) -> Column:
-    return F.regexp_replace(F.translate(c, ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
+    """The compatibility decomposition's ASCII characters; all others are dropped.
+
+    Every character decomposes for itself, so a map of characters is exact. Only texts that hold a character which becomes several
+    are taken apart.
+    """
+    x = F.translate(c, "".join(ONE), "".join(ONE.values()))
+    several = F.from_json(F.lit(json.dumps(MORE)), "map<string,string>")  # a constant, folded once
+    apart = F.array_join(F.transform(F.split(x, ""), lambda y: F.when(F.octet_length(y) == 1, y).otherwise(F.coalesce(several[y], y))), "")
+    whole = F.when(F.length(F.translate(x, "".join(MORE), "")) == F.length(x), x).otherwise(apart)
+    return F.when(F.octet_length(x) == F.length(x), x).otherwise(F.regexp_replace(whole, r"[^\x00-\x7F]", ""))
 
 
 def norm(c: Column, keep: str = "") -> Column:
     """Accents off, other non-ASCII dropped, lower case, runs of other characters one space; null gives the empty text.
 
-    `keep` names further characters to keep. Characters that decompose into several ASCII ones need norm_exact().
+    `keep` names further characters to keep.
     """
     return F.trim(F.regexp_replace(F.lower(_ascii(F.coalesce(c, F.lit("")))), f"[^a-z0-9{keep}]+", " "))
 
@@ -46,17 +55,6 @@ def norm_name(c: Column) -> Column:
     return norm(F.replace(F.coalesce(c, F.lit("")), F.lit("`"), F.lit("'")), keep="'")
 
 
-def norm_exact(c: Column) -> Column:
-    """norm() with full compatibility decomposition, batch by batch in Python: for labels with ligatures, fractions and the like."""
-
-    @F.arrow_udf("string")
-    def decomposed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([unicodedata.normalize("NFKD", t or "").encode("ascii", "ignore").decode() for t in batch.to_pylist()], pa.string())
-
-    return F.trim(F.regexp_replace(F.lower(decomposed(c)), "[^a-z0-9]+", " "))
-
-
 def slug(c: Column) -> Column:
     return F.regexp_replace(norm(c), "[^a-z0-9]+", "-")
 
@@ -114,25 +112,6 @@ def nearby_date(text: Column) -> Column:
     return F.when(part(0) != "", F.concat_ws("-", part(3), F.lpad(part(2), 2, "0"), F.lpad(part(1), 2, "0")))
 
 
-def resolved(base: Column, href: Column, web_only: bool = True) -> Column:
-    """href against base; with web_only null unless the result is http or https."""
-
-    @F.arrow_udf("string")
-    def joined(bases: pa.Array, hrefs: pa.Array) -> pa.Array:
-        def one(b: str | None, h: str | None) -> str | None:
-            try:
-                return urljoin(b or "", h or "")
-            except ValueError:
-                return None
-
-        return pa.array([one(b, h) for b, h in zip(bases.to_pylist(), hrefs.to_pylist(), strict=True)], pa.string())
-
-    url = joined(base, href)
-    if not web_only:
-        return url
-    return F.when(url.startswith("http://") | url.startswith("https://"), url)
-
-
 def thousands(c: Column) -> Column:
     """A whole number with . between thousands."""
     return F.translate(F.format_number(c, 0), ",", ".")

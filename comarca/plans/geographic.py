@@ -1,10 +1,9 @@
 """The layered geographic score: from commune x year x category rows to a score for each commune.
 
 The master is read once: it is aggregated to cells (commune, year, category), which are held in the shared folder, and all
-that follows reads those. What a value is compared with (a component's distribution in a year) is aggregated, never
-gathered: thresholds and medians are exact percentile aggregates, one row for each component and year, whose buffers hold a
-count for each distinct value. Mid-ranks come from the counts of distinct values, summed up range by range. Windows run over
-a commune's own years.
+that follows reads those. What a value is compared with (a component's distribution in a year) is tallied: a row for each
+distinct value with its count. Ranks, quartiles, medians and median deviations are positions among the tallies' running sums,
+found in sorted windows that spill, without a buffer that grows with the places. Windows otherwise run over a commune's own years.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from comarca import dims
 from comarca.files import held
-from comarca.functions.stats import anomaly_score, half_even, score_level, trend_score
+from comarca.functions.stats import anomaly_score, half_even, interpolated, score_level, trend_score
 from comarca.functions.text import norm
 from comarca.operators.classify import usable
 
@@ -52,25 +51,27 @@ def cells(master: DataFrame, ordinal: str = "ordinal") -> DataFrame:
 def series(own: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
     """(layer..., component, code, year, v): values of cells by component. Fallback labels count only where a layer has no component's row at all."""
     kinds = F.broadcast(dims.components(own.sparkSession, layers))
-    of = ["layer_at", "layer", "layer_weight", "component_at", "component", "component_weight", "priority"]
+    of = ["layer_at", "layer", "layer_weight", "component_at", "component", "component_label", "component_weight", "priority"]
     rows = own.where((F.col("rows") > 0) & F.col("code").isNotNull() & F.col("year").isNotNull())
     summed = rows.join(kinds, F.col("norm") == F.col("label")).groupBy(*of, "code", "year").agg(F.sum("v").alias("v"))
     first = summed.groupBy("layer").agg(F.min("priority").alias("priority"))  # a row for each layer
     return summed.join(F.broadcast(first), ["layer", "priority"])
 
 
-def mid_ranks(values: DataFrame) -> DataFrame:
-    """(component, v, less, equal) of (component, v): how many of a component's values are less and how many equal.
+def distributions(values: DataFrame) -> DataFrame:
+    """(component, year, v) of values -> for each distinct v of a component's year: less, equal, n, q75, median, mad; all exact.
 
-    Counts of distinct values are dealt out in ranges; a range's first value is above all ranges before it, whose counts
-    are a row for each component and range.
+    One exchange for the tallies, by value, and one for all that is compared within a component's year.
     """
-    tally = held(values.groupBy("component", "v").agg(F.count("*").alias("equal")).repartitionByRange("component", "v").withColumn("__range", F.spark_partition_id()))
-    upto = lambda *keys: Window.partitionBy("component", *keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spans = tally.groupBy("component", "__range").agg(F.sum("equal").alias("__all"))
-    above = spans.select("component", "__range", (F.sum("__all").over(upto().orderBy("__range")) - F.col("__all")).alias("__above"))
-    inside = F.sum("equal").over(upto("__range").orderBy("v")) - F.col("equal")
-    return tally.join(F.broadcast(above), ["component", "__range"]).select("component", "v", (inside + F.col("__above")).alias("less"), "equal")
+    by = ["component", "year"]
+    tally = values.groupBy(*by, "v").agg(F.count("*").alias("equal"))
+    whole = Window.partitionBy(*by)
+    upto = lambda order: F.sum("equal").over(whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("equal")
+    placed = tally.withColumns({"less": upto("v"), "n": F.sum("equal").over(whole)})
+    at = lambda value, less, q: interpolated(F.col(value), F.col(less), F.col("equal"), F.col("n"), q, by)
+    told = placed.withColumns({"q75": at("v", "less", 0.75), "median": at("v", "less", 0.5)}).withColumn("__off", F.abs(F.col("v") - F.col("median")))
+    # Equal deviations stand beside each other: positions among them are right whichever comes first.
+    return told.withColumn("__nearer", upto("__off")).withColumn("mad", at("__off", "__nearer", 0.5)).drop("__off", "__nearer")
 
 
 def component_metrics(master: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
@@ -80,22 +81,17 @@ def component_metrics(master: DataFrame, layers: dict = dims.LAYERS) -> DataFram
 
 def cell_metrics(own: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
     latest = F.broadcast(own.agg(F.max("year").alias("latest")))  # one row
-    rows = held(series(own, layers).join(latest, F.col("year") <= F.col("latest")))
-    high = F.broadcast(rows.groupBy("component", "year").agg(F.percentile("v", F.lit(0.75)).alias("q75")))  # a row for each component and year
+    rows = series(own, layers).join(latest, F.col("year") <= F.col("latest"))
     own_years = Window.partitionBy("component", "code")
     before = own_years.orderBy("year").rowsBetween(-3, -1)
-    timed = rows.join(high, ["component", "year"]).withColumns({
+    timed = rows.join(distributions(rows.select("component", "year", "v")), ["component", "year", "v"]).withColumns({
         "mean": F.avg("v").over(before),
         "persistence": half_even(100.0 * F.sum((F.col("v") >= F.col("q75")).cast("int")).over(own_years) / F.count("*").over(own_years), 2),
         "years_observed": F.count("*").over(own_years),
     })
     now = timed.where(F.col("year") == F.col("latest"))
-    at_latest = rows.where(F.col("year") == F.col("latest"))
-    medians = at_latest.groupBy("component").agg(F.median("v").alias("median"), F.count("*").alias("n"))
-    mads = at_latest.join(F.broadcast(medians), "component").groupBy("component", "median", "n").agg(F.median(F.abs(F.col("v") - F.col("median"))).alias("mad"))
-    joined = now.join(F.broadcast(mads), "component").join(mid_ranks(at_latest), ["component", "v"])
-    scored = joined.select(
-        "layer_at", "layer", "layer_weight", "component_at", "component", "component_weight", "code", "year", F.col("v").alias("value"),
+    scored = now.select(
+        "layer_at", "layer", "layer_weight", "component_at", "component", "component_label", "component_weight", "code", "year", F.col("v").alias("value"),
         half_even(F.when(F.col("n") <= 1, 50.0).otherwise(100.0 * (F.col("less") + 0.5 * F.col("equal")) / F.col("n")), 2).alias("intensity"), "persistence",
         half_even(trend_score(F.col("v"), F.col("mean")), 2).alias("trend"), half_even(anomaly_score(F.col("v"), F.col("median"), F.col("mad"), F.col("n")), 2).alias("anomaly"), "years_observed",
     )
@@ -108,9 +104,7 @@ def layer_scores(metrics: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
     whole = {name: sum(w for w, _ in parts.values()) or 1.0 for name, (_, _, parts) in layers.items()}
     total = F.create_map(*[x for k, v in whole.items() for x in (F.lit(k), F.lit(v))])
     # A commune's components of a layer, a handful, in their order.
-    labels = F.create_map(*[F.lit(x) for kv in dims.COMPONENT_LABELS.items() for x in kv])
-    label = F.coalesce(labels[F.col("component")], F.col("component")).alias("label")
-    parts = F.array_sort(F.collect_list(F.struct("component_at", F.col("component").alias("id"), label, F.col("component_weight").alias("configured_weight"), "score", "value", "intensity", "persistence", "trend", "anomaly", "years_observed")))
+    parts = F.array_sort(F.collect_list(F.struct("component_at", F.col("component").alias("id"), F.col("component_label").alias("label"), F.col("component_weight").alias("configured_weight"), "score", "value", "intensity", "persistence", "trend", "anomaly", "years_observed")))
     grouped = metrics.groupBy("code", "layer", "layer_weight").agg(F.sum(F.col("component_weight") * F.col("score")).alias("weighted"), F.sum("component_weight").alias("available"), parts.alias("components"))
     return grouped.select("code", "layer", "layer_weight", half_even(F.try_divide("weighted", "available"), 2).alias("layer_score"), half_even(F.least(F.lit(1.0), F.col("available") / total[F.col("layer")]), 4).alias("coverage"), "components")
 
@@ -142,6 +136,16 @@ def geographic_scores(master: DataFrame, layers: dict = dims.LAYERS) -> DataFram
     return out.withColumn("level", score_level(F.col("score")))
 
 
+def methodology(layers: dict = dims.LAYERS) -> dict:
+    """The score's method as a document: weights, layers with their components and labels, and each factor in words."""
+    part = lambda c, w, labels: {"id": c, "label": dims.COMPONENT_LABELS.get(c, c), "weight": w, "aliases": list(labels)}
+    return {
+        "version": VERSION, "score_range": [0, 100], "layer_weights": {name: w for name, (w, _, _) in layers.items()}, "feature_weights": dims.FACTOR_WEIGHTS,
+        "layers": {name: {"label": dims.LAYER_LABELS.get(name, name), "fallback_aliases": list(fallback), "components": [part(c, w, labels) for c, (w, labels) in parts.items()]} for name, (_, fallback, parts) in layers.items()},
+        "convergence_bonus": {"enabled": False}, "methodology": dims.METHODOLOGY, "interpretation": dims.INTERPRETATION,
+    }
+
+
 def ranked(scores: DataFrame) -> DataFrame:
     """Scored communes first, by score and code, both descending."""
     return scores.orderBy(F.col("score").desc_nulls_last(), F.col("commune_code").desc())

@@ -19,8 +19,9 @@ AML_CLASSES, ORG_CLASSES = ("base_19913", "proxy_19913"), ("crimen_organizado_pr
 
 
 def regional_pressure(rows: DataFrame) -> DataFrame:
-    """rows: year, region_code, crime_category, value, aml_class, weight of region rows. One row for each (year, region)."""
-    rows = rows.withColumn("weight", F.coalesce("weight", F.lit(0.1)))
+    """rows: year, region_code, crime_category, value, aml_class, weight of region rows, region_name where they have it. One row for each (year, region)."""
+    name = F.col("region_name") if "region_name" in rows.columns else F.lit(None).cast("string")
+    rows = rows.withColumns({"weight": F.coalesce("weight", F.lit(0.1)), "__name": name})
     over = lambda *keys: F.sum("value").over(Window.partitionBy(*keys))  # noqa: E731  a year has a row for each region and category
     joined = rows.withColumns({"region_total": over("year", "region_code"), "category_total": over("year", "crime_category"), "year_total": over("year")})
     floor = lambda c: F.greatest(F.col(c), F.lit(1)).cast("double")
@@ -29,7 +30,8 @@ def regional_pressure(rows: DataFrame) -> DataFrame:
     aml, org = F.col("aml_class").isin(*AML_CLASSES), F.col("aml_class").isin(*ORG_CLASSES)
     raw = held(joined.groupBy("year", "region_code").agg(
         # sums come in any order: nine digits decide who ties
-        F.round(F.sum(F.when(aml, part).otherwise(0.0)), 9).alias("raw_aml"), F.round(F.sum(F.when(org, part).otherwise(0.0)), 9).alias("raw_org"), F.sum((aml & (F.col("value") > 0)).cast("double")).alias("diversity")
+        F.round(F.sum(F.when(aml, part).otherwise(0.0)), 9).alias("raw_aml"), F.round(F.sum(F.when(org, part).otherwise(0.0)), 9).alias("raw_org"), F.sum((aml & (F.col("value") > 0)).cast("double")).alias("diversity"),
+        F.min("__name").alias("region_name"),
     ))
     # The year before is the table's, not the region's: a region that skipped it starts anew.
     years = raw.select("year").distinct().withColumn("at", F.dense_rank().over(Window.orderBy("year")))  # a row for each year
@@ -37,23 +39,29 @@ def regional_pressure(rows: DataFrame) -> DataFrame:
     earlier = timed.select("region_code", (F.col("at") + 1).alias("at"), F.col("raw_aml").alias("before"))
     timed = timed.join(earlier, ["region_code", "at"], "left")
     trend = F.when(F.col("before") > 0, 50.0 + 50.0 * clamp((F.col("raw_aml") - F.col("before")) / F.col("before"), -1.0, 1.0)).otherwise(50.0)
-    ranked = timed.select("year", "region_code", trend.alias("trend"), *[tie_rank_percentile(F.col(c), F.col("region_code"), ["year"]).alias(p) for c, p in (("raw_aml", "p_aml"), ("raw_org", "p_org"), ("diversity", "p_div"))])
+    ranked = timed.select("year", "region_code", "region_name", trend.alias("trend"), *[tie_rank_percentile(F.col(c), F.col("region_code"), ["year"]).alias(p) for c, p in (("raw_aml", "p_aml"), ("raw_org", "p_org"), ("diversity", "p_div"))])
     score = half_even(0.55 * F.col("p_aml") + 0.25 * F.col("p_org") + 0.10 * F.col("trend") + 0.10 * F.col("p_div"), 1)
     return ranked.select(
-        "year", "region_code", score.alias("pressure_score"), priority_level(score).alias("pressure_level"), half_even(F.col("p_aml"), 1).alias("aml_component_percentile"),
+        "year", "region_code", "region_name", score.alias("pressure_score"), priority_level(score).alias("pressure_level"), half_even(F.col("p_aml"), 1).alias("aml_component_percentile"),
         half_even(F.col("p_org"), 1).alias("organized_crime_component_percentile"), half_even(F.col("trend"), 1).alias("trend_component"), half_even(F.col("p_div"), 1).alias("diversification_percentile"),
+        F.lit("proxy_mp_v0.1").alias("method"), F.lit(dims.PRESSURE_TEXT).alias("interpretation"),
     )
 
 
+def in_latest_year(rows: DataFrame) -> DataFrame:
+    latest = rows.agg(F.max("year").alias("__latest"))  # one row
+    return rows.join(F.broadcast(latest), F.col("year") == F.col("__latest")).drop("__latest")
+
+
 def latest_region_priority(pressure: DataFrame, method: str = "ministerio_publico_aml_proxy_v0.3") -> DataFrame:
-    """Pressure of the latest year. A year is compared with a window over a row for each year and region."""
-    latest = pressure.withColumn("__latest", F.max("year").over(Window.partitionBy(F.lit(0))))
-    return latest.where(F.col("year") == F.col("__latest")).drop("__latest").withColumn("method", F.lit(method))
+    """Pressure of the latest year, under the name of the proxy."""
+    return in_latest_year(pressure).withColumns({"method": F.lit(method), "interpretation": F.lit(dims.REGION_PROXY_TEXT)})
 
 
 def region_priority(pressure: DataFrame, homicide: DataFrame) -> DataFrame:
     """pressure: year, region_code, pressure_score; homicide: territory_level, period, region_code, rate_100k. Regions with all four figures."""
-    latest = latest_region_priority(pressure).select("year", "region_code", "pressure_score")
+    name = F.col("region_name") if "region_name" in pressure.columns else F.lit(None).cast("string")
+    latest = in_latest_year(pressure).select("year", "region_code", name.alias("region_name"), "pressure_score")
     periods = {"r24": "2024", "h24": "2024-H1", "h25": "2025-H1"}
     rates = homicide.where((F.col("territory_level") == "region") & F.col("period").isin(*periods.values())).groupBy("region_code").agg(*[F.max(F.when(F.col("period") == p, F.col("rate_100k"))).alias(c) for c, p in periods.items()])
     # Places are among the regions that have the figure, whether or not they have the others.
@@ -63,9 +71,10 @@ def region_priority(pressure: DataFrame, homicide: DataFrame) -> DataFrame:
     trend = clamp(50 + 50 * clamp(delta, -1.0, 1.0), 0.0, 100.0)
     score = half_even(0.60 * F.col("pressure_score") + 0.20 * F.col("p24") + 0.15 * F.col("p25") + 0.05 * trend, 1)
     return joined.select(
-        "year", "region_code", score.alias("territorial_priority_score"), priority_level(score).alias("priority_level"), F.col("pressure_score").alias("mp_aml_proxy_score"), F.col("r24").alias("homicide_2024_rate"),
+        "year", F.lit("2025-H1").alias("period"), "region_code", "region_name", score.alias("territorial_priority_score"), priority_level(score).alias("priority_level"), F.col("pressure_score").alias("mp_aml_proxy_score"), F.col("r24").alias("homicide_2024_rate"),
         half_even(F.col("p24"), 1).alias("homicide_2024_percentile"), F.col("h25").alias("homicide_h1_2025_rate"), half_even(F.col("p25"), 1).alias("homicide_h1_2025_percentile"),
         half_even(delta * 100, 1).alias("homicide_h1_rate_change_pct"), half_even(trend, 1).alias("recent_trend_component"),
+        F.lit("territorial_priority_v0.2").alias("method"), F.lit(dims.REGION_PRIORITY_TEXT).alias("interpretation"),
     )
 
 
@@ -75,55 +84,88 @@ def shrunk(rate: Column, population: Column, prior: Column, k: float) -> Column:
     return reliability * rate + (1 - reliability) * prior
 
 
+#: Who a commune is, as rows may say it.
+NAMED = ("region_code", "region_name", "commune_code", "commune_name")
+
+
+def _has(rows: DataFrame, *names: str) -> list[Column]:
+    return [F.col(n) if n in rows.columns else F.lit(None).cast("string").alias(n) for n in names]
+
+
+def _last_of(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Of rows that repeat a key the last one, by `ordinal` where rows have it."""
+    own = [F.col("ordinal")] if "ordinal" in rows.columns else [F.col(c) for c in order]
+    return one_per(rows.select(*keys, *order, *(["ordinal"] if "ordinal" in rows.columns else [])), keys, own, last=True).select(*keys, *order)
+
+
 def homicide_pressure(rows: DataFrame) -> DataFrame:
-    """rows: territory_id, rate_100k, population, value, recent_h1_2025_victims of communes in 2024."""
+    """rows of homicide_rows(): communes in 2024 (territory_id, rate_100k, population, value, recent_h1_2025_victims); others are no part of it.
+
+    Percentiles are by territory. Of rows that repeat one the last counts, and all of them have its places and score.
+    """
+    given = [c for c, kept in (("territory_level", "commune"), ("period", "2024")) if c in rows.columns]
+    rows = rows.where(F.lit(True) if not given else F.expr(" AND ".join(f"{c} = '{v}'" for c, v in (("territory_level", "commune"), ("period", "2024")) if c in given)))
     population = F.greatest(F.lit(1), F.col("population")).cast("double")
-    figures = rows.withColumns({"__rate": shrunk(F.col("rate_100k"), population, F.lit(6.0), 50_000.0), "__volume": F.log1p("value"), "__recent": F.coalesce(F.col("recent_h1_2025_victims"), F.lit(0)).cast("double")})
-    ranked = with_percentiles(figures, {f"p{c}": c for c in ("__rate", "__volume", "__recent")}, "territory_id")
+    figures = ["__rate", "__volume", "__recent"]
+    rows = rows.withColumns({"__rate": shrunk(F.col("rate_100k"), population, F.lit(6.0), 50_000.0), "__volume": F.log1p("value"), "__recent": F.coalesce(F.col("recent_h1_2025_victims"), F.lit(0)).cast("double")})
+    ranked = with_percentiles(_last_of(rows, ["territory_id"], figures), {f"p{c}": c for c in figures}, "territory_id")
     score = half_even(0.55 * F.col("p__rate") + 0.25 * F.col("p__volume") + 0.20 * F.col("p__recent"), 1)
-    return ranked.select("territory_id", score.alias("homicide_pressure_score"), priority_level(score).alias("pressure_level"), F.col("value").alias("victims_2024"), half_even(F.col("__rate"), 2).alias("shrunk_rate_2024"), F.col("__recent").cast("long").alias("victims_h1_2025"))
+    scored = ranked.select(F.col("territory_id").alias("__territory"), score.alias("__score"), half_even(F.col("__rate"), 2).alias("__shrunk"))
+    joined = rows.join(scored, F.col("territory_id") == F.col("__territory"))
+    return joined.select(
+        F.lit(2024).alias("year"), F.lit("2025-H1").alias("recent_period"), "territory_id", *_has(rows, *NAMED), F.col("__score").alias("homicide_pressure_score"), priority_level(F.col("__score")).alias("pressure_level"), F.col("value").alias("victims_2024"),
+        F.col("rate_100k").alias("rate_100k_2024"), F.col("population").cast("long").alias("population_2024"), F.col("__shrunk").alias("shrunk_rate_2024"), F.col("__recent").cast("long").alias("victims_h1_2025"), F.lit("homicide_pressure_v0.2").alias("method"), F.lit(dims.HOMICIDE_TEXT).alias("interpretation"),
+    )
 
 
 def commune_priority(rows: DataFrame) -> DataFrame:
     """rows of E3: communes' drug family in 2024, usable and eligible. Rates shrink to their upper median; volume counts where it is known."""
     kept = held(rows.where((F.col("year") == 2024) & (F.col("cead_family_key") == "delitos_asociados_drogas") & (F.col("quality_status") == "usable") & F.col("score_eligible")))
-    prior = F.broadcast(kept.agg(F.coalesce(upper_median("rate_100k"), F.lit(0.0)).alias("__prior")))  # one row
+    prior = F.broadcast(upper_median(kept, "rate_100k").select(F.coalesce("value", F.lit(0.0)).alias("__prior")))  # one row
     population = F.coalesce("population", F.lit(0)).cast("double")
     reliability = F.when(population > 0, population / (population + 25_000.0)).otherwise(0.45)
     figures = kept.join(prior, F.col("__prior").isNotNull()).withColumns({
         "__rate": reliability * F.coalesce("rate_100k", F.lit(0.0)) + (1 - reliability) * F.col("__prior"),
         "__volume": F.coalesce(F.log1p(F.greatest(F.lit(0), F.col("estimated_frequency"))), F.lit(0.0)),
     })
-    # Percentiles are by territory: of rows that repeat one, the last counts, and all get its place.
-    per = one_per(figures, ["territory_id"], [F.col("__rate"), F.col("__volume")], last=True)
-    places = with_percentiles(per.select("territory_id", "__rate", "__volume"), {"p_rate": "__rate", "p_volume": "__volume"}, "territory_id").select("territory_id", "p_rate", "p_volume")
+    # Percentiles are by territory: of rows that repeat one, the last counts, and all get its places and its rate.
+    per = _last_of(figures, ["territory_id"], ["__rate", "__volume"])
+    places = with_percentiles(per, {"p_rate": "__rate", "p_volume": "__volume"}, "territory_id").select("territory_id", "p_rate", "p_volume", F.col("__rate").alias("__last_rate"))
     ranked = figures.join(places, "territory_id")
     known = F.col("estimated_frequency").isNotNull()
     score = half_even(F.when(known, 0.70 * F.col("p_rate") + 0.30 * F.col("p_volume")).otherwise(F.col("p_rate")), 1)
     return ranked.select(
-        "territory_id", score.alias("cead_aml_priority_score"), priority_level(score).alias("priority_level"), F.col("rate_100k").alias("drug_complaint_rate_100k"), "population", "estimated_frequency",
-        half_even(F.col("__rate"), 2).alias("shrunk_drug_rate"), half_even(F.col("p_rate"), 1).alias("rate_percentile"), F.when(known, half_even(F.col("p_volume"), 1)).alias("volume_percentile"),
-        F.when(population > 0, "high").otherwise("medium").alias("method_confidence"),
+        "year", F.lit("2024").alias("period"), "territory_id", *_has(rows, *NAMED, "commune_name_norm"), score.alias("cead_aml_priority_score"), priority_level(score).alias("priority_level"), F.col("rate_100k").alias("drug_complaint_rate_100k"), "population",
+        F.col("estimated_frequency").alias("estimated_drug_complaints"), half_even(F.col("__last_rate"), 2).alias("shrunk_drug_rate"), half_even(F.col("p_rate"), 1).alias("rate_percentile"), F.when(known, half_even(F.col("p_volume"), 1)).alias("volume_percentile"),
+        F.lit(dims.DRUG_LAW_RELATION).alias("article27_relation"), F.lit(dims.DRUG_LAW_BASIS).alias("legal_basis"), *_has(rows, "source_id", "ultimate_source_id"), F.lit("cead_art27_commune_priority_v0.3").alias("method"),
+        F.when(population > 0, "high").otherwise("medium").alias("method_confidence"), F.lit(dims.COMMUNE_PRIORITY_TEXT).alias("interpretation"),
     )
 
 
+#: What activity shows of the row that it takes.
+ACTIVITY = ("territory_id", "region_code", "region_name", "commune_name", "crime_category", "aml_class", "article27_mapping_key", "source_id", "source_tier", "quality_status")
+
+
 def current_activity(master: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """The latest year's drug cases of each commune against the calendar year before; family rows before group rows."""
     label = norm(F.col("crime_category"))
     rank = F.when(label == dims.DRUG_FAMILY_LABEL, 0).when(label == dims.DRUG_GROUP_LABEL, 1)
-    rows = master.withColumn("__rank", rank).where(F.col("__rank").isNotNull() & F.col("score_eligible"))
-    best = one_per(rows, ["year", "commune_code"], [F.col("__rank"), F.col(ordinal)])
-    return year_on_year(best.withColumn("cases_policiales", F.coalesce("value", F.lit(0))), ["commune_code"], "cases_policiales").drop("__rank", "value")
+    rows = master.withColumns({"__rank": rank, "cases_policiales": F.coalesce("value", F.lit(0))}).where(F.col("__rank").isNotNull() & F.col("score_eligible"))
+    shown = [c for c in ACTIVITY if c in master.columns]
+    best = one_per(rows.select("year", "commune_code", "__rank", ordinal, "cases_policiales", *shown), ["year", "commune_code"], [F.col("__rank"), F.col(ordinal)])
+    found = year_on_year(best.drop("__rank", ordinal), ["commune_code"], "cases_policiales")
+    return found.withColumns({"previous_year": F.col("year") - 1, "interpretation": F.lit(dims.ACTIVITY_TEXT)})
 
 
 def year_on_year(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Rows of the latest year with the value of the year before (not of the last one observed) and the change in percent."""
-    rows = held(rows)
-    latest = F.broadcast(rows.agg(F.max("year").alias("__latest")))
-    before = rows.select(*[F.col(k).alias(f"__{k}") for k in keys], (F.col("year") + 1).alias("__year"), F.col(value).alias(f"previous_{value}"))
-    same = F.col("year") == F.col("__year")
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"__{k}"))
-    now = rows.join(latest, F.col("year") == F.col("__latest")).drop("__latest").join(before, same, "left").drop("__year", *[f"__{k}" for k in keys])
+    """Rows (one for each key and year) of the latest year with the value of the year before (not of the last one observed) and the change in percent.
+
+    A key's years, a few, meet in one row, which is held; the fact itself is read once.
+    """
+    rest = [c for c in rows.columns if c not in (*keys, "year")]
+    years = F.collect_list(F.struct("year", F.col(value).alias("value"))).alias("__years")
+    per = held(rows.groupBy(*keys).agg(F.max("year").alias("year"), F.max_by(F.struct(*rest), "year").alias("__own"), years))
+    before = F.get(F.filter("__years", lambda x: x["year"] == F.col("year") - 1), F.lit(0))["value"]
+    now = in_latest_year(per).select(*keys, "year", "__own.*", before.alias(f"previous_{value}"))
     change = half_even((F.col(value) - F.col(f"previous_{value}")) * 100.0 / F.nullif(F.col(f"previous_{value}"), F.lit(0)), 1)
     return now.withColumn("yoy_pct", change)
