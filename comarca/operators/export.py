@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
+from dataclasses import dataclass
+from html import escape
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from comarca import dims
@@ -18,35 +21,44 @@ def digest(parts: list[Column], prefix: str, length: int) -> Column:
     return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256), 1, length))
 
 
-# Fixed values of the contract that consumers match on: producer, default tier, capture method.
-RADAR, TIERS, CAPTURE = "RADAR_DELICTUAL", "GOVERNED_PUBLIC", "RADAR_DELICTUAL_GOVERNED_TERRITORIAL_PIPELINE"
+@dataclass(frozen=True)
+class Producer:
+    """Who exports, as consumers know them: id, capture method, and what identities of events and evidence begin with."""
 
+    producer_id: str
+    capture_method: str
+    event_prefix: str = "EVT-"
+    evidence_prefix: str = "EVD-"
+    source_tier: str = "GOVERNED_PUBLIC"
+    source_id: str = "cead_governed_snapshot"
+    ultimate_source_id: str = "cead_estadisticas_delictuales"
 
-def adapted(master: DataFrame, version: str = "1.0") -> DataFrame:
+
+def adapted(master: DataFrame, producer: Producer, version: str = "1.0") -> DataFrame:
     """master with the canonical commune id, or none where the code does not resolve (the code stays as it is)."""
     code = commune_code(F.col("commune_code"))
     return master.withColumns({
         "territory_id": commune_id(code), "commune_code": F.coalesce(code, F.col("commune_code").cast("string")), "territory_mapping_method": F.when(code.isNotNull(), "CODE_EXACT").otherwise("UNRESOLVED"),
-        "territory_mapping_confidence": F.when(code.isNotNull(), 1.0).otherwise(0.0), "interop_version": F.lit(version), "radar_id": F.lit(RADAR),
+        "territory_mapping_confidence": F.when(code.isNotNull(), 1.0).otherwise(0.0), "interop_version": F.lit(version), "radar_id": F.lit(producer.producer_id),
     })
 
 
-def fusion_evidence(lineage: DataFrame) -> DataFrame:
+def fusion_evidence(lineage: DataFrame, producer: Producer) -> DataFrame:
     """lineage: any of source_id, ultimate_source_id, source_url, source_tier, content_sha256, retrieved_at, generated_at, freshness. The evidence that events point to.
 
     A row with neither retrieved_at nor generated_at fails the job: nothing is exported without lineage.
     """
     has = lambda c: F.nullif(F.col(c).cast("string"), F.lit("")) if c in lineage.columns else F.lit(None).cast("string")
-    source = F.coalesce(has("source_id"), F.lit("cead_governed_snapshot"))
+    source = F.coalesce(has("source_id"), F.lit(producer.source_id))
     at = F.coalesce(has("retrieved_at"), has("generated_at"), F.raise_error(F.lit("lineage timestamp missing: nothing is exported without lineage")).cast("string"))
     return lineage.select(
-        digest([source, has("content_sha256"), at], "EVD-DELICTUAL-", 20).alias("evidence_id"), F.lit(RADAR).alias("producer_id"), source.alias("source_id"), F.coalesce(has("ultimate_source_id"), F.lit("cead_estadisticas_delictuales")).alias("ultimate_source_id"),
-        has("source_url").alias("source_url"), F.coalesce(has("source_tier"), F.lit(TIERS)).alias("source_tier"), F.lit(CAPTURE).alias("capture_method"), has("generated_at").alias("source_run_id"), has("content_sha256").alias("content_sha256"),
+        digest([source, has("content_sha256"), at], producer.evidence_prefix, 20).alias("evidence_id"), F.lit(producer.producer_id).alias("producer_id"), source.alias("source_id"), F.coalesce(has("ultimate_source_id"), F.lit(producer.ultimate_source_id)).alias("ultimate_source_id"),
+        has("source_url").alias("source_url"), F.coalesce(has("source_tier"), F.lit(producer.source_tier)).alias("source_tier"), F.lit(producer.capture_method).alias("capture_method"), has("generated_at").alias("source_run_id"), has("content_sha256").alias("content_sha256"),
         F.when(has("freshness") == "stale", "STALE").otherwise("VALID").alias("quality_status"), F.lit(None).cast("string").alias("source_published_at"), at.alias("retrieved_at"), F.coalesce(has("generated_at"), at).alias("ingested_at"), F.lit("1.0").alias("schema_version"),
     )
 
 
-def fusion_events(rows: DataFrame, evidence: Row | None = None) -> DataFrame:
+def fusion_events(rows: DataFrame, producer: Producer, evidence: Row | None = None) -> DataFrame:
     """An event for each row with a territory, a year and a category: the whole year as interval, what else the row holds as attributes.
 
     rows are adapted(); year and category may go by their other names. evidence is the row of fusion_evidence() that all point to.
@@ -65,7 +77,7 @@ def fusion_events(rows: DataFrame, evidence: Row | None = None) -> DataFrame:
     attributes = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in ("interop_version", "radar_id", "territory_id")])
     source = F.col("source_id") if "source_id" in rows.columns else F.lit(None).cast("string")
     return kept.select(
-        digest([F.col("territory_id"), F.col("__year"), F.col("__category"), source], "EVT-DELICTUAL-", 24).alias("event_id"), F.lit("TERRITORIAL_CRIME_STATISTIC").alias("event_type"), F.lit(RADAR).alias("producer_id"),
+        digest([F.col("territory_id"), F.col("__year"), F.col("__category"), source], producer.event_prefix, 24).alias("event_id"), F.lit("TERRITORIAL_CRIME_STATISTIC").alias("event_type"), F.lit(producer.producer_id).alias("producer_id"),
         none.alias("entity_ids"), F.array("territory_id").alias("territory_ids"), none.alias("sector_ids"), (F.array(known("evidence_id")) if evidence else none).alias("evidence_ids"), temporal.alias("temporal"), attributes.alias("attributes"),
     )
 
@@ -73,7 +85,7 @@ def fusion_events(rows: DataFrame, evidence: Row | None = None) -> DataFrame:
 def interop_status(adapted_rows: DataFrame) -> DataFrame:
     resolved = F.count_if(F.col("territory_id").isNotNull())
     return adapted_rows.agg(
-        F.lit("1.0").alias("interop_version"), F.lit(RADAR).alias("radar_id"), F.count("*").alias("rows"), resolved.alias("resolved"), (F.count("*") - resolved).alias("unresolved"), F.lit("CL-COM-{CUT}").alias("territory_id_format")
+        F.lit("1.0").alias("interop_version"), F.first("radar_id", ignorenulls=True).alias("radar_id"), F.count("*").alias("rows"), resolved.alias("resolved"), (F.count("*") - resolved).alias("unresolved"), F.lit("CL-COM-{CUT}").alias("territory_id_format")
     )
 
 
@@ -136,18 +148,18 @@ def write_document(spark: SparkSession, value, path: str) -> None:
     write_text(spark, path, json.dumps(value, ensure_ascii=False, indent=2) + "\n")
 
 
-def interop_export(master: DataFrame, lineage: DataFrame, folder: str) -> None:
+def interop_export(master: DataFrame, lineage: DataFrame, folder: str, producer: Producer) -> None:
     """Interop rows, events, their evidence and both status documents below a folder.
 
     lineage: one row, as fusion_evidence() reads it. An empty master or a lineage without a time is an error, never an empty export.
     """
     if master.isEmpty():
         raise ValueError("the master is empty: what is missing is not zero")
-    spark, rows, evidence = master.sparkSession, adapted(master), fusion_evidence(lineage)
+    spark, rows, evidence = master.sparkSession, adapted(master, producer), fusion_evidence(lineage, producer)
     first = evidence.first()
     if first is None:
         raise ValueError("lineage timestamp missing: nothing is exported without lineage")
-    events = fusion_events(rows, first)
+    events = fusion_events(rows, producer, first)
     write_jsonl(rows, f"{folder}/territory_interop")
     write_jsonl(evidence, f"{folder}/evidence_fusion")
     write_jsonl(events, f"{folder}/territory_events_fusion")
@@ -175,11 +187,21 @@ def _lines(rows: DataFrame, *cells: Column) -> str:
     return "".join(r["line"] for r in rows.select(_cells(*cells).alias("line")).collect())
 
 
-def score_block(scores: DataFrame, k: int = 25) -> str:
-    """The best k scores as an HTML block between markers."""
+def score_block(scores: DataFrame, method: dict | None = None, k: int = 25) -> str:
+    """The best k scores as an HTML block between markers, with their ranks, and the method in words."""
     rows = scores.orderBy(F.col("score").desc_nulls_last(), F.col("commune_code").desc()).limit(k)
     has = lambda c: F.col(c) if c in scores.columns else F.lit(None).cast("string")
-    return f"{MARKER}<table>{_lines(rows, has('commune_name'), has('region_name'), F.col('commune_code'), F.col('score'), F.col('level'), has('confidence'))}</table>{MARKER}"
+    confidence = F.concat(has("confidence").cast("string"), F.lit("%"))
+    table = _table(("#", "Comuna", "Región", "Score", "Nivel", "Confianza"), _lines(rows, F.row_number().over(Window.orderBy(F.col("score").desc_nulls_last(), F.col("commune_code").desc())), has("commune_name"), has("region_name"), F.col("score"), F.col("level"), confidence))
+    return f'{MARKER}<section id="geographic-score">{table}{_method_text(method) if method else ""}</section>{MARKER}'
+
+
+def _method_text(method: dict) -> str:
+    percent = lambda w: f"{round(w * 100)}%"
+    layers = "".join(f"<li><b>{escape(x['label'])}: {percent(method['layer_weights'][name])}</b>. {escape(', '.join(f'{c["label"]} ({percent(c["weight"])})' for c in x['components']))}</li>" for name, x in method["layers"].items())
+    words = "".join(f"<p><b>{escape(name)}:</b> {escape(text)}</p>" for name, text in method["methodology"].items())
+    factors = ", ".join(f"{name} {percent(w)}" for name, w in method["feature_weights"].items())
+    return f"<details><summary>Ayuda metodológica</summary><ul>{layers}</ul><p>{escape(factors)}</p>{words}</details>"
 
 
 def injected(page: str, block: str) -> str:
@@ -189,25 +211,98 @@ def injected(page: str, block: str) -> str:
     return bare.replace("</body>", f"{block}</body>", 1) if "</body>" in bare else bare + block
 
 
-def dashboard(activity: DataFrame, status: DataFrame, folder: str, k: int = 35, statuses: int = 22, **documents) -> None:
-    """data.json and index.html of the top k communes and the last status rows (ordinal, source_id, ok, ...); documents go to data.json as they are."""
-    spark, best = activity.sparkSession, top_activity(activity, k)
+def _table(heads: Sequence[str], lines: str, none: str = "Sin datos.") -> str:
+    head = "".join(f"<th>{escape(h)}</th>" for h in heads)
+    return f'<table><thead><tr>{head}</tr></thead><tbody>{lines or f"<tr><td colspan={len(heads)}>{escape(none)}</td></tr>"}</tbody></table>'
+
+
+def _routes(manifest: dict) -> list[tuple[str, str, str | None, str]]:
+    """The ways that data come, in the order in which they count: name, state, origin, control."""
+    probe, bridge, of = manifest.get("primary_probe") or {}, manifest.get("bridge_snapshot") or {}, manifest.get("coverage") or {}
+    short = lambda x: str(x or "")[:12]
+    return [
+        ("1 · directo", "OK" if probe.get("ok") else "BLOQUEADO", probe.get("endpoint"), f"HTTP {probe.get('http_status', '—')} · {probe.get('blocking_message') or 'respuesta válida'}"),
+        ("2 · réplica", "OK" if bridge.get("ok") else "FALLA", bridge.get("repo"), f"máx. {bridge.get('max_date', '—')} · blob {short(bridge.get('upstream_blob_sha'))} · SHA256 {short(bridge.get('content_sha256'))}"),
+        ("3 · control", "CONTROL", "BCN/SIIT → SPD/CEAD", f"{of.get('bcn_control_records') or 0} registros de control secundario"),
+        ("4 · cuarentena", "NO SCORE", "reglas de calidad", "duplicados, cobertura insuficiente o esquema inesperado no ingresan al maestro"),
+    ]
+
+
+def _cards(manifest: dict) -> list[tuple[str, str, str]]:
+    probe, bridge, of = manifest.get("primary_probe") or {}, manifest.get("bridge_snapshot") or {}, manifest.get("coverage") or {}
+    primary = "Disponible" if probe.get("ok") else f"Bloqueado {probe.get('http_status', '')}".strip()
+    return [
+        ("CEAD primario", primary, "sondeado en cada corrida"), ("Backbone activo", manifest.get("active_backbone") or "sin dato", "directo → réplica → control BCN"),
+        ("Cobertura comunal", f"{of.get('observed_communes')}/{of.get('expected_communes')}", f"observadas · años {', '.join(map(str, of.get('years') or []))}"),
+        ("Frescura CEAD", str(bridge.get("max_date") or probe.get("latest_nonzero_period") or "—"), f"{of.get('records') or 0} registros anuales normalizados"),
+    ]
+
+
+def dashboard(folder: str, manifest: dict, activity: DataFrame, regions: DataFrame, catalog: DataFrame, status: DataFrame, features: DataFrame | None = None, integration: DataFrame | None = None, k: int = 35, statuses: int = 22, **documents) -> None:
+    """index.html and data.json below a folder, from the manifest document and the datasets of a run.
+
+    The page has cards, the ways that data come, the gaps, the k most active communes, the catalogue, the regions and the last
+    status rows (ordinal, source_id, ok, ...). data.json has the activity of all communes, the regions, the catalogue and the status; features
+    and integration, which grow with the data, lie beside it as JSON lines, and data.json says where and how many. Other documents go there as they are.
+    """
+    spark, has = activity.sparkSession, lambda frame, c: F.col(c) if c in frame.columns else F.lit(None).cast("string")
+    number = lambda *order: F.row_number().over(Window.orderBy(*order))
+    most = [F.col("cases_policiales").desc(), F.col("commune_code").desc()]
+    best = activity.orderBy(*most).limit(k)
     last = status.orderBy(F.col("ordinal").desc()).limit(statuses)
-    shown = [r.asDict(recursive=True) for r in last.drop("ordinal").collect()][::-1]
-    write_document(spark, {"activity": [r.asDict() for r in best.collect()], "status": shown, "expected_communes": dims.EXPECTED_COMMUNES, **documents}, f"{folder}/data.json")
-    table = _lines(best, F.col("commune_code"), F.col("shown"), F.col("change"))
-    health = _lines(last.orderBy("ordinal"), F.col("source_id"), F.when(F.col("ok"), "ok").otherwise("—"))
-    write_text(spark, f"{folder}/index.html", f'<!doctype html><html><head><meta charset="utf-8"></head><body><table>{table}</table><table>{health}</table></body></html>')
+    before = thousands(has(activity, "previous_cases_policiales").cast("long"))
+    active = _lines(best, number(*most), F.coalesce(has(activity, "commune_name"), "commune_code"), has(activity, "region_name"), thousands(F.col("cases_policiales")), before, signed_percent(F.col("yoy_pct")), has(activity, "source_tier"))
+    ranked = _lines(regions.orderBy(F.col("pressure_score").desc(), "region_code"), number(F.col("pressure_score").desc(), "region_code"), has(regions, "region_name"), F.format_string("%.1f", "pressure_score"), F.col("pressure_level"))
+    mapped = _lines(catalog.orderBy("mapping_key"), F.col("mapping_key"), F.col("class"), F.when(F.col("eligible"), "Sí").otherwise("No"), F.format_string("%.1f", "weight"), F.col("basis"))
+    health = _lines(last.orderBy("ordinal"), F.col("source_id"), F.when(F.col("ok"), "OK").otherwise("FALLA"), F.coalesce(has(status, "note"), F.substring(has(status, "error"), 1, 140), F.lit("")))
+    routes = "".join(f"<tr>{''.join(f'<td>{escape(str(c if c is not None else ""))}</td>' for c in r)}</tr>" for r in _routes(manifest))
+    cards = "".join(f'<div class="card"><div>{escape(a)}</div><b>{escape(b)}</b><small>{escape(c)}</small></div>' for a, b, c in _cards(manifest))
+    gaps = " · ".join(f"{m.get('commune_name')} (CUT {m.get('commune_code')}): {m.get('data_status') or 'no_disponible'}" for m in manifest["coverage"].get("unavailable_communes") or [])
+    sections = (
+        ("Ruta de adquisición", _table(("Prioridad", "Estado", "Origen", "Control"), routes)), ("Cobertura territorial", f"<p>{escape(gaps or 'Sin brechas territoriales declaradas.')}</p>"),
+        ("Actividad comunal reciente", _table(("#", "Comuna", "Región", "Casos", "Año previo", "Var.", "Fuente"), active, "Sin actividad utilizable.")),
+        ("Homologación", _table(("Nivel", "Clase", "Pondera", "Peso", "Fundamento"), mapped)), ("Proxy regional", _table(("#", "Región", "Score", "Nivel"), ranked)), ("Salud y trazabilidad de fuentes", _table(("Fuente", "Estado", "Detalle"), health)),
+    )
+    body = "".join(f"<section><h2>{escape(title)}</h2>{html}</section>" for title, html in sections)
+    write_text(spark, f"{folder}/index.html", f'<!doctype html><html lang="es"><head><meta charset="utf-8"></head><body><div class="cards">{cards}</div>{body}</body></html>')
+
+    few = lambda rows: [json.loads(x) for x in rows.toJSON().collect()]
+    beside = {}
+    for name, frame in (("predicate_features", features), ("integration", integration)):
+        if frame is not None:
+            frame.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/{name}")
+            beside[name] = {"path": name, "rows": frame.count()}
+    shown = {
+        "manifest": manifest, "activity": few(activity.orderBy(*most).limit(dims.EXPECTED_COMMUNES)), "regions": few(regions.orderBy(F.col("pressure_score").desc(), "region_code")), "catalog": few(catalog.orderBy("mapping_key")),
+        "status": few(status.orderBy("ordinal")), "expected_communes": dims.EXPECTED_COMMUNES,
+    }
+    write_document(spark, {**shown, **beside, **documents}, f"{folder}/data.json")
 
 
 def with_score(folder: str, scores: DataFrame, contract: DataFrame, method: dict, k: int = 25) -> None:
-    """Put the best scores into the dashboard below folder: its data.json gains them with their method, its page their block. Doing it again changes nothing."""
+    """Put the best scores into the dashboard below folder: its data.json gains them with their method, its page their block. Doing it again changes nothing.
+
+    The contract, with the scores' rows in it, replaces the one that lies beside data.json.
+    """
     spark = scores.sparkSession
     text, page = read_text(spark, f"{folder}/data.json"), read_text(spark, f"{folder}/index.html")
-    few = lambda rows: [json.loads(x) for x in rows.toJSON().collect()]
     if text is not None:
         best = scores.orderBy(F.col("score").desc_nulls_last(), F.col("commune_code").desc()).limit(dims.EXPECTED_COMMUNES)  # the page shows every commune of the country
-        counts = {r["signal_family"]: r["count"] for r in contract.groupBy("signal_family").count().collect()}
-        write_document(spark, {**json.loads(text), "geographic_score": few(best), "geographic_score_methodology": method, "integration_signals": counts}, f"{folder}/data.json")
+        counts = {r["signal_family"]: r["count"] for r in contract.groupBy("signal_family").count().collect()}  # a few families
+        contract.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/integration")
+        integration = {"path": "integration", "rows": sum(counts.values()), "families": counts}
+        write_document(spark, {**json.loads(text), "geographic_score": [json.loads(x) for x in best.toJSON().collect()], "geographic_score_methodology": method, "integration": integration}, f"{folder}/data.json")
     if page is not None:
-        write_text(spark, f"{folder}/index.html", injected(page, score_block(scores, k)))
+        write_text(spark, f"{folder}/index.html", injected(page, score_block(scores, method, k)))
+
+
+def lineage_of(spark: SparkSession, manifest: dict) -> DataFrame:
+    """The lineage row that evidence is made of, from an update manifest: its backbone's own source where that tells one, else the backbone, else the run."""
+    bridge = manifest.get("bridge_snapshot") or {}
+    maker = bridge.get("producer_manifest") or {}
+    source = maker.get("bridge_snapshot") or {}
+    row = (
+        source.get("source_id") or bridge.get("source_id"), source.get("ultimate_source_id"), source.get("download_url"), source.get("source_tier"), source.get("content_sha256"), source.get("retrieved_at") or manifest.get("generated_at"),
+        manifest.get("generated_at"), (maker.get("freshness") or {}).get("status"),
+    )
+    return spark.createDataFrame([row], "source_id string, ultimate_source_id string, source_url string, source_tier string, content_sha256 string, retrieved_at string, generated_at string, freshness string")

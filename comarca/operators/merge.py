@@ -48,14 +48,14 @@ def precedence_merged(bridge: DataFrame, direct: DataFrame, ordinal: str = "ordi
     return precedence_picked(both, F.col("__from"), ordinal, metric).drop("__from")
 
 
-def _cache_keys() -> list[Column]:
+def cache_keys() -> list[Column]:
     """Year, padded code and normalised label, however rows write them."""
     return [F.col("year").cast("int"), keyed_code(F.col("commune_code")), norm(F.col("crime_category"))]
 
 
 def latest_picked(rows: DataFrame, side: Column, keys: Sequence[str | Column] | None = None, ordinal: str = "ordinal") -> DataFrame:
     """One row for each key: of the highest side the last by `ordinal`. Keys are the annual cache's unless given."""
-    own = [F.col(k) if isinstance(k, str) else k for k in keys] if keys is not None else _cache_keys()
+    own = [F.col(k) if isinstance(k, str) else k for k in keys] if keys is not None else cache_keys()
     named = {f"__key{k}": c for k, c in enumerate(own)}
     keyed = rows.withColumns({**named, "__side": side})
     return one_per(keyed, list(named), [F.col("__side"), F.col(ordinal)], last=True).drop(*named, "__side")
@@ -67,6 +67,12 @@ def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str | Column] | None
     return latest_picked(both, F.col("__batch"), keys, ordinal).drop("__batch")
 
 
+def gated(lot: DataFrame, least: int = dims.LEAST_COMMUNES, code: str = "commune_code") -> DataFrame:
+    """The lot's rows if it covers enough communes, else none: an incomplete lot never replaces what is there."""
+    enough = lot.agg((F.countDistinct(F.nullif(F.col(code), F.lit(""))) >= least).alias("__enough")).where("__enough")  # one row or none
+    return lot.join(F.broadcast(enough), F.lit(True)).drop("__enough")
+
+
 def family_replaced(contract: DataFrame, new: DataFrame, family: str) -> DataFrame:
     """The contract with one signal family's rows replaced; doing it again changes nothing."""
     return contract.where(~F.col("signal_family").eqNullSafe(family)).unionByName(new, allowMissingColumns=True)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comarca import dims
-from comarca.functions.text import legacy_commune_id, norm_name
+from comarca.functions.text import commune_code, commune_id, legacy_commune_id, norm_name
 from comarca.operators.merge import one_per
 from comarca.plans.rollups import control_totals
 
@@ -27,12 +27,39 @@ def attach_status(rows: DataFrame, least: int = dims.LEAST_COMMUNES) -> DataFram
 
 
 def codes_by_name(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """A code by name alone, with a status: official_cut, cut_region_mismatch (the code is of another region and not used) or name_fallback."""
-    known = F.broadcast(one_per(places, ["name_norm"], [F.col("ordinal")], last=True).select(F.col("name_norm").alias("__name"), F.col("commune_code").alias("__code")))
-    joined = rows.join(known, norm_name(F.col("commune_name")) == F.col("__name"), "left")
-    same = F.substring("__code", 1, 2) == F.lpad(F.coalesce(F.col("region_code").cast("string"), F.lit("")), 2, "0")
-    status = F.when(F.col("__code").isNull(), "name_fallback").when(same, "official_cut").otherwise("cut_region_mismatch")
-    return joined.withColumns({"cut_status": status, "commune_code": F.when(same, F.col("__code")).otherwise(F.lit(None))}).drop("__name", "__code")
+    """rows of communes with a name get the official code and id that the name has in places (name_norm, commune_code, ordinal; of repeated names the last counts).
+
+    territory_key_status says what came of it: official_cut, cut_region_mismatch (the code is of another region, so the row stays as
+    it is) or name_fallback (no such name); a status that a row already has only gives way to official_cut. Rows of other levels,
+    and those without a name, stay as they are. A row without a region code matches no code.
+    """
+    for name, kind in (("commune_code", "string"), ("territory_id", "string"), ("territory_key_status", "string"), ("territory_mapping_method", "string"), ("territory_mapping_confidence", "double")):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(kind))
+    known = F.broadcast(one_per(places, ["name_norm"], [F.col("ordinal")], last=True).select(F.col("name_norm").alias("__name"), commune_code(F.col("commune_code")).alias("__code")))
+    named = (F.col("territory_level") == "commune") & (F.coalesce("commune_name", F.lit("")) != "")
+    joined = rows.withColumn("__key", F.when(named, norm_name(F.col("commune_name")))).join(known, F.col("__key") == F.col("__name"), "left")
+    region = F.lpad(F.coalesce(F.col("region_code").cast("string"), F.lit("")), 2, "0")
+    same = F.coalesce(F.substring("__code", 1, 2) == region, F.lit(False))
+    status = F.when(F.col("__name").isNull(), "name_fallback").when(same, "official_cut").otherwise("cut_region_mismatch")
+    matched = F.col("__key").isNotNull() & same
+    put = lambda c, value: F.when(matched, value).otherwise(F.col(c))
+    return joined.withColumns({
+        "territory_key_status": F.when(matched, "official_cut").when(F.col("__key").isNotNull(), F.coalesce("territory_key_status", status)).otherwise(F.col("territory_key_status")),
+        "commune_code": put("commune_code", F.col("__code")), "territory_id": put("territory_id", commune_id(F.col("__code"))), "territory_mapping_method": put("territory_mapping_method", F.lit("CODE_EXACT")),
+        "territory_mapping_confidence": put("territory_mapping_confidence", F.lit(1.0)),
+    }).drop("__key", "__name", "__code")
+
+
+def codes_status(coded: DataFrame, least: int = dims.LEAST_COMMUNES) -> DataFrame:
+    """One row on codes_by_name(): how many communes it was given, matched, and did not."""
+    name = F.when((F.col("territory_level") == "commune") & (F.coalesce("commune_name", F.lit("")) != ""), norm_name(F.col("commune_name")))
+    of = lambda status: F.when(F.col("territory_key_status") == status, name)
+    matched, mismatched = F.countDistinct(F.when(of("official_cut").isNotNull(), F.col("commune_code"))), F.countDistinct(of("cut_region_mismatch"))
+    return coded.agg(
+        F.lit("cead_cut_join").alias("source_id"), ((matched >= least) & (mismatched == 0)).alias("ok"), F.countDistinct(name).alias("input_communes"), matched.alias("matched_communes"), F.countDistinct(of("name_fallback")).alias("unmatched_communes"),
+        mismatched.alias("region_mismatches"), F.lit("CL-COM-{CUT}").alias("territory_id_format"),
+    )
 
 
 def region_code_of(name: Column) -> Column:
@@ -106,3 +133,25 @@ def homicide_rows(regions: DataFrame, annual: DataFrame, recent: DataFrame, code
         F.col("recent_h1_2025_victims").cast("long").alias("recent_h1_2025_victims"), "recent_h1_2025_status", F.when(old, ANNUAL_SOURCE).otherwise(RECENT_SOURCE).alias("source_id"), F.when(old, "observed_official_table").otherwise("observed_official_table_partial").alias("data_status"), *fixed,
     )
     return whole.unionByName(communes, allowMissingColumns=True)
+
+
+#: The three tables that were copied from the reports and checked: file, source id.
+REFERENCE_TABLES = (("homicides_regions.csv", "reference:homicides_regions_v0.2"), ("homicides_2024_communes.csv", "reference:homicides_communes_2024_v0.2"), ("homicides_h1_2025_communes.csv", "reference:homicides_communes_h1_2025_v0.2"))
+
+
+def homicide_evidence(files: DataFrame, urls: dict[str, str]) -> DataFrame:
+    """Evidence of the reference tables among files (read as binaryFile); urls: file name -> the report that it was copied from."""
+    file = F.substring_index("path", "/", -1)
+    known = F.create_map(*[F.lit(x) for kv in REFERENCE_TABLES for x in kv])
+    told = F.create_map(*[F.lit(x) for kv in urls.items() for x in kv]) if urls else F.lit(None).cast("map<string,string>")
+    rows = files.withColumn("__id", known[file]).where(F.col("__id").isNotNull())
+    return rows.select(
+        F.col("__id").alias("evidence_id"), F.col("__id").alias("source_id"), told[file].alias("url"), F.concat(F.lit("data/reference/"), file).alias("reference_path"), F.sha2("content", 256).alias("sha256"),
+        F.length("content").cast("long").alias("bytes"), F.lit("tabla_transcrita_y_validada_desde_informe_oficial").alias("observation_unit"), F.lit("audited_reference").alias("provenance_status"),
+    )
+
+
+def homicide_status(pages: DataFrame) -> DataFrame:
+    """A status row for each report (source_id, url, sha256, ok, error as pages.fetched() gives them); the tables stand without it."""
+    ok = F.coalesce("ok", F.lit(False))
+    return pages.select("source_id", ok.alias("ok"), F.when(ok, F.col("sha256")).alias("evidence_sha256"), F.when(~ok, F.coalesce("error", F.lit("not fetched"))).alias("error"), F.when(~ok, F.lit(True)).alias("reference_table_available"))
