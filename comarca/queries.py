@@ -25,6 +25,10 @@ LAYERS = {name: (weight, (), {c: (w, (f"brand {next(_BRANDS)}",)) for c, (w, _)
 FALLBACK_LAYERS = LAYERS | {"predicate_direct": (0.55, ("no such brand", "brand 20", "brand 21"), {"drug_traffic": (0.5, ("nothing",)), "drug_production": (0.5, ("nothing either",))})}
 
 
+#: Who exports, in the queries.
+PRODUCER = export.Producer("COMARCA", "COMARCA_QUERIES", "EVT-COMARCA-", "EVD-COMARCA-")
+
+
 def norm_sql(c: str) -> str:
     return rf"trim(regexp_replace(lower(regexp_replace(strip_accents(coalesce({c}, '')), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -184,7 +188,14 @@ def tie_rank_percentile(spark, sf_dir):
 
 @query(f"WITH facts AS ({DENSE_SQL}) SELECT region_code, list_sort(list(value))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS upper_median, round_even(quantile_cont(value, 0.75), 6) AS q75, round_even(median(value), 6) AS median FROM facts GROUP BY 1")
 def quantiles(spark, sf_dir):
-    return dense(spark, sf_dir).groupBy("region_code").agg(stats.upper_median("value").cast("long").alias("upper_median"), F.bround(F.percentile("value", F.lit(0.75)), 6).alias("q75"), F.bround(F.median("value"), 6).alias("median"))
+    found = stats.order_statistics(dense(spark, sf_dir), ["region_code"], "value", {"q75": 0.75, "median": 0.5}, "upper_median")
+    return found.select("region_code", F.col("upper_median").cast("long").alias("upper_median"), F.bround("q75", 6).alias("q75"), F.bround("median", 6).alias("median"))
+
+
+@query(f"WITH facts AS ({SPARSE_SQL}), totals AS (SELECT commune_code, sum(value) AS total FROM facts GROUP BY 1) SELECT CAST(list_sort(list(total))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS DOUBLE) AS value FROM totals")
+def upper_median_of_all(spark, sf_dir):
+    """Of all places' totals, in bands."""
+    return stats.upper_median(sparse(spark, sf_dir).groupBy("commune_code").agg(F.sum("value").alias("total")), "total")
 
 
 PRESSURE_CTES = f"""
@@ -212,7 +223,7 @@ LEVEL_SQL = "CASE WHEN {0} >= 80 THEN 'muy_alta' WHEN {0} >= 65 THEN 'alta' WHEN
 
 @query(f"WITH {PRESSURE_CTES} SELECT *, {LEVEL_SQL.format('pressure_score')} AS pressure_level FROM pressure")
 def region_pressure(spark, sf_dir):
-    return priorities.regional_pressure(regional(spark, sf_dir))
+    return priorities.regional_pressure(regional(spark, sf_dir)).drop("region_name", "method", "interpretation")
 
 
 @query(f"WITH {PRESSURE_CTES} SELECT year, region_code, pressure_score FROM pressure WHERE year = (SELECT max(year) FROM pressure)")
@@ -245,7 +256,7 @@ def _homicide_like(spark, sf_dir):
     SELECT year, region_code, s AS territorial_priority_score, {LEVEL_SQL.format('s')} AS priority_level, pressure_score AS mp_aml_proxy_score, r24 AS homicide_2024_rate, round_even(p24, 1) AS homicide_2024_percentile,
            h25 AS homicide_h1_2025_rate, round_even(p25, 1) AS homicide_h1_2025_percentile, round_even(delta * 100, 1) AS homicide_h1_rate_change_pct, round_even(t, 1) AS recent_trend_component FROM scored""")
 def region_priority_4way(spark, sf_dir):
-    return priorities.region_priority(priorities.regional_pressure(regional(spark, sf_dir)), _homicide_like(spark, sf_dir))
+    return priorities.region_priority(priorities.regional_pressure(regional(spark, sf_dir)), _homicide_like(spark, sf_dir)).drop("period", "region_name", "method", "interpretation")
 
 
 COMMUNE_LIKE_SQL = f"""
@@ -271,7 +282,8 @@ def _place(c: str) -> str:
     scored AS (SELECT *, round_even(0.55::DOUBLE * ({_place('rate')}) + 0.25::DOUBLE * ({_place('volume')}) + 0.20::DOUBLE * ({_place('recent')}), 1) AS s FROM shrunk)
     SELECT territory_id, s AS homicide_pressure_score, {LEVEL_SQL.format('s')} AS pressure_level, value AS victims_2024, round_even(rate, 2) AS shrunk_rate_2024, recent_h1_2025_victims AS victims_h1_2025 FROM scored""")
 def homicide_pressure(spark, sf_dir):
-    return priorities.homicide_pressure(_commune_like(spark, sf_dir))
+    found = priorities.homicide_pressure(_commune_like(spark, sf_dir))
+    return found.select("territory_id", "homicide_pressure_score", "pressure_level", "victims_2024", "shrunk_rate_2024", "victims_h1_2025")
 
 
 @query(f"""
@@ -290,7 +302,8 @@ def shrunk_priority(spark, sf_dir):
         "territory_id", "rate_100k", F.when(known, F.col("population")).alias("population"), F.when(known, F.col("recent_h1_2025_victims")).alias("estimated_frequency"), F.lit(2024).alias("year"),
         F.lit("delitos_asociados_drogas").alias("cead_family_key"), F.lit("usable").alias("quality_status"), F.lit(True).alias("score_eligible"),
     )
-    return priorities.commune_priority(rows)
+    found = priorities.commune_priority(rows).withColumnRenamed("estimated_drug_complaints", "estimated_frequency")
+    return found.select("territory_id", "cead_aml_priority_score", "priority_level", "drug_complaint_rate_100k", "population", "estimated_frequency", "shrunk_drug_rate", "rate_percentile", "volume_percentile", "method_confidence")
 
 
 @query("""
@@ -378,9 +391,14 @@ def coverage_gate(spark, sf_dir):
     return rollups.coverage(sparse(spark, sf_dir), ["year", "crime_category"], least=60)
 
 
-@query(f"""WITH facts AS ({SPARSE_SQL}) SELECT count(*) AS rows, count(DISTINCT commune_code) AS communes, count(DISTINCT crime_category) AS offenses, list_sort(list(DISTINCT year)) AS years, min(year) AS first_year, max(year) AS last_year, CAST(346 AS INTEGER) AS expected_communes FROM facts""")
+@query(f"""
+    WITH facts AS ({SPARSE_SQL}), told AS (SELECT *, CASE value % 3 WHEN 0 THEN lower(crime_category) WHEN 1 THEN crime_category || '  ' ELSE upper(crime_category) END AS label, CASE WHEN value % 5 <> 0 THEN commune_code ELSE '' END AS code FROM facts)
+    SELECT count(*) AS rows, count(DISTINCT nullif(code, '')) AS communes, count(DISTINCT {norm_sql('label')}) AS offenses, list_sort(list(DISTINCT year)) AS years, min(year) AS first_year, max(year) AS last_year, CAST(346 AS INTEGER) AS expected_communes FROM told""")
 def manifest(spark, sf_dir):
-    return rollups.manifest(sparse(spark, sf_dir))
+    """Labels in three spellings, and empty codes."""
+    k, label = F.col("value"), F.col("crime_category")
+    written = F.when(k % 3 == 0, F.lower(label)).when(k % 3 == 1, F.concat(label, F.lit("  "))).otherwise(F.upper(label))
+    return rollups.manifest(sparse(spark, sf_dir).withColumns({"crime_category": written, "commune_code": F.when(k % 5 != 0, F.col("commune_code")).otherwise("")}))
 
 
 @query(f"""
@@ -424,7 +442,7 @@ _CODES = sorted({c for codes in dims.LEGAL_CODES.values() for c in codes})
 
 @query(f"""
     WITH codes AS (SELECT p_partkey, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_partkey ELSE 7000 + p_partkey % 120 END AS VARCHAR) AS code FROM part),
-    exact(code, class, confidence) AS (VALUES {", ".join(f"({c}, '{k}', '{conf}')" for (k, conf), cs in dims.LEGAL_CODES.items() for c in cs)}),
+    exact(code, class, confidence) AS (VALUES {", ".join(f"({c}, '{k}', '{conf}')" for (k, conf, _), cs in dims.LEGAL_CODES.items() for c in cs)}),
     classified AS (
         SELECT p_partkey, codes.code, CASE WHEN class IS NOT NULL THEN class WHEN CAST(codes.code AS BIGINT) IN (7030, 7035, 7036, 7098) THEN 'historical_nonvigent' WHEN CAST(codes.code AS BIGINT) BETWEEN 2004 AND 2011 THEN 'predicate_direct'
                WHEN CAST(codes.code AS BIGINT) BETWEEN 7001 AND 7099 THEN 'predicate_direct' ELSE 'unmapped' END AS legal_class,
@@ -436,16 +454,35 @@ def legal_range_classify(spark, sf_dir):
     return classify.legal_classified(table(spark, sf_dir, "part").select("p_partkey", code.alias("code"))).select("p_partkey", "code", "legal_class", "rule_type")
 
 
-@query("SELECT * FROM (VALUES ('laundering_offense', 2::BIGINT), ('predicate_direct', 37::BIGINT), ('organized_crime_signal', 10::BIGINT), ('predicate_candidate', 4::BIGINT)) t(class, rules)")
+@query(f"""
+    WITH codes AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN p_partkey % 13000 WHEN p_partkey % 3 = 1 THEN 7000 + p_partkey % 120 ELSE 2000 + p_partkey % 15 END AS code FROM part),
+    exact(code, class, basis) AS (VALUES {", ".join(f"({c}, '{k}', '{basis}')" for (k, _, basis), cs in dims.LEGAL_CODES.items() for c in cs)}),
+    told AS (
+        SELECT codes.code, CASE WHEN class IS NOT NULL THEN class WHEN codes.code IN (7030, 7035, 7036, 7098) THEN 'historical_nonvigent' WHEN codes.code BETWEEN 2004 AND 2011 OR codes.code BETWEEN 7001 AND 7099 THEN 'predicate_direct' ELSE 'unmapped' END AS legal_class,
+               CASE WHEN class IS NOT NULL THEN basis WHEN codes.code IN (7030, 7035, 7036, 7098) THEN 'Código marcado no vigente en catálogo' WHEN codes.code BETWEEN 2004 AND 2011 THEN 'Título I Ley 21.459, expresamente citado por art. 27'
+                    WHEN codes.code BETWEEN 7001 AND 7099 THEN 'Delitos vigentes Ley 20.000; excluir códigos no vigentes mediante catálogo' ELSE 'Sin regla jurídica exacta en v0.2' END AS legal_basis,
+               CASE WHEN class IS NOT NULL THEN 'exact' WHEN codes.code IN (7030, 7035, 7036, 7098) THEN 'exclusion' WHEN codes.code BETWEEN 2004 AND 2011 OR codes.code BETWEEN 7001 AND 7099 THEN 'range' ELSE 'default' END AS rule_type
+        FROM codes LEFT JOIN exact ON exact.code = codes.code),
+    used AS (SELECT legal_class, legal_basis, rule_type, count(*) AS rows, count(DISTINCT code) AS codes FROM told GROUP BY ALL),
+    whole AS (SELECT class, count(*) AS rules FROM exact GROUP BY 1)
+    SELECT used.*, coalesce(rules, 0) AS exact_rules, '0.2.0' AS version, '27' AS article, 53::BIGINT AS all_exact_rules, 2 AS range_rules FROM used LEFT JOIN whole ON class = legal_class""")
 def legal_summary(spark, sf_dir):
-    return classify.legal_summary(spark)
+    """What the rules make of part keys as codes, beside the summary of the rules."""
+    k = F.col("p_partkey")
+    code = F.when(k % 3 == 0, k % 13000).when(k % 3 == 1, 7000 + k % 120).otherwise(2000 + k % 15).cast("string")
+    used = classify.legal_use(classify.legal_classified(table(spark, sf_dir, "part").select(F.concat(F.lit(" 0"), code).alias("code"))))
+    told = F.broadcast(classify.legal_summary(spark).withColumnRenamed("legal_basis", "law"))  # one row
+    rules = F.coalesce(F.col("classes")[F.col("legal_class")], F.lit(0))
+    return used.join(told, F.lit(True)).select(
+        "legal_class", "legal_basis", "rule_type", "rows", "codes", rules.alias("exact_rules"), "version", "law.article", F.col("exact_rules").alias("all_exact_rules"), "range_rules",
+    )
 
 
 _LABELS = [*dims.TAXONOMY, "OTRO DELITO"]
 
 
 @query(f"""
-    WITH labels(k, label) AS (VALUES {", ".join(f"({k}, '{v}')" for k, v in enumerate(_LABELS))}), known(label, class, weight, confidence) AS (VALUES {", ".join(f"('{k}', '{a}', {b}::DOUBLE, '{c}')" for k, (a, b, c) in dims.TAXONOMY.items())})
+    WITH labels(k, label) AS (VALUES {", ".join(f"({k}, '{v}')" for k, v in enumerate(_LABELS))}), known(label, class, weight, confidence) AS (VALUES {", ".join(f"('{k}', '{a}', {b}::DOUBLE, '{c}')" for k, (a, b, c, _) in dims.TAXONOMY.items())})
     SELECT o_orderkey, labels.label AS crime_category, coalesce(class, 'contexto_general') AS aml_class, coalesce(weight, 0.0::DOUBLE) AS weight, coalesce(confidence, 'low') AS confidence
     FROM orders JOIN labels ON o_orderkey % {len(_LABELS)} = k LEFT JOIN known ON known.label = labels.label""")
 def taxonomy_annotate(spark, sf_dir):
@@ -458,7 +495,7 @@ _NAMES = ["Delitos asociados a drogas", "Tráfico de sustancias", "MICROTRÁFICO
 
 @query(f"""
     WITH labels(k, label) AS (VALUES {", ".join(f"({k}, '{v}')" for k, v in enumerate(_NAMES))}), keys(n, mapping_key) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in dims.LABEL_KEYS.items())}),
-    known(mapping_key, class, eligible, weight) AS (VALUES {", ".join(f"('{k}', '{a}', {b}, {c}::DOUBLE)" for k, (a, b, c, _) in dims.CATALOG.items())}),
+    known(mapping_key, class, eligible, weight) AS (VALUES {", ".join(f"('{k}', '{a}', {b}, {c}::DOUBLE)" for k, (a, b, c, _, _) in dims.CATALOG.items())}),
     named AS (SELECT o_orderkey, label, {norm_sql('label')} AS n FROM orders JOIN labels ON o_orderkey % {len(_NAMES)} = k)
     SELECT o_orderkey, n AS crime_category_norm, coalesce(mapping_key, 'default') AS article27_mapping_key,
            CASE WHEN n IN ('homicidios', 'femicidios', 'homicidios y femicidios') THEN 'context_only' ELSE coalesce(class, 'context_or_unresolved') END AS aml_class,
@@ -525,19 +562,19 @@ def parse_number(spark, sf_dir):
            CASE WHEN length(d) BETWEEN 1 AND 5 THEN 'CODE_EXACT' ELSE 'UNRESOLVED' END AS territory_mapping_method FROM keys""".replace("\\\\D", "\\D"))
 def territory_key(spark, sf_dir):
     raw = F.concat((F.col("c_custkey") * 7).cast("string"), F.when(F.col("c_custkey") % 4 == 0, "-x").when(F.col("c_custkey") % 9 == 0, "00").otherwise(""))
-    rows = export.adapted(table(spark, sf_dir, "customer").select("c_custkey", raw.alias("commune_code")))
+    rows = export.adapted(table(spark, sf_dir, "customer").select("c_custkey", raw.alias("commune_code")), PRODUCER)
     return rows.select("c_custkey", F.when(F.col("territory_id").isNotNull(), F.col("commune_code")).alias("commune_code"), "territory_id", "territory_mapping_method")
 
 
 @query(f"""
     WITH facts AS ({DENSE_SQL})
-    SELECT 'EVT-DELICTUAL-' || left(sha256('CL-COM-' || commune_code || '|' || year || '|' || crime_category || '|' || 'lineitem'), 24) AS event_id, 'TERRITORIAL_CRIME_STATISTIC' AS event_type, 'RADAR_DELICTUAL' AS producer_id, 'CL-COM-' || commune_code AS territory_id,
-           'EVD-DELICTUAL-' || left(sha256('cead_governed_snapshot||2025-01-02T03:04:05+00:00'), 20) AS evidence_id, format('{{:04d}}-01-01T00:00:00+00:00', year) AS valid_from, format('{{:04d}}-01-01T00:00:00+00:00', year + 1) AS valid_to,
+    SELECT 'EVT-COMARCA-' || left(sha256('CL-COM-' || commune_code || '|' || year || '|' || crime_category || '|' || 'lineitem'), 24) AS event_id, 'TERRITORIAL_CRIME_STATISTIC' AS event_type, 'COMARCA' AS producer_id, 'CL-COM-' || commune_code AS territory_id,
+           'EVD-COMARCA-' || left(sha256('cead_governed_snapshot||2025-01-02T03:04:05+00:00'), 20) AS evidence_id, format('{{:04d}}-01-01T00:00:00+00:00', year) AS valid_from, format('{{:04d}}-01-01T00:00:00+00:00', year + 1) AS valid_to,
            '2025-01-02T03:04:05+00:00' AS observed_at, 'STALE' AS freshness_state, value AS attribute_value, commune_code AS attribute_code FROM facts""")
 def event_identity(spark, sf_dir):
     lineage = spark.createDataFrame([("2025-01-02T03:04:05+00:00", "stale")], "generated_at string, freshness string")
-    rows = export.adapted(dense(spark, sf_dir)).withColumn("source_id", F.lit("lineitem"))
-    events = export.fusion_events(rows, export.fusion_evidence(lineage).first())
+    rows = export.adapted(dense(spark, sf_dir), PRODUCER).withColumn("source_id", F.lit("lineitem"))
+    events = export.fusion_events(rows, PRODUCER, export.fusion_evidence(lineage, PRODUCER).first())
     return events.select(
         "event_id", "event_type", "producer_id", F.col("territory_ids")[0].alias("territory_id"), F.col("evidence_ids")[0].alias("evidence_id"), "temporal.valid_from", "temporal.valid_to", "temporal.observed_at", "temporal.freshness_state",
         F.col("attributes.value").alias("attribute_value"), F.col("attributes.commune_code").alias("attribute_code"),
@@ -545,17 +582,22 @@ def event_identity(spark, sf_dir):
 
 
 @query("""
-    SELECT 'EVD-DELICTUAL-' || left(sha256('pages|' || sha256(coalesce(html, '')) || '|2025-01-0' || (page_id % 9 + 1)), 20) AS evidence_id, 'RADAR_DELICTUAL' AS producer_id, 'pages' AS source_id, 'cead_estadisticas_delictuales' AS ultimate_source_id,
+    SELECT 'EVD-COMARCA-' || left(sha256('pages|' || sha256(coalesce(html, '')) || '|2025-01-0' || (page_id % 9 + 1)), 20) AS evidence_id, 'COMARCA' AS producer_id, 'pages' AS source_id, 'cead_estadisticas_delictuales' AS ultimate_source_id,
            url AS source_url, 'GOVERNED_PUBLIC' AS source_tier, sha256(coalesce(html, '')) AS content_sha256, CASE WHEN page_id % 3 = 0 THEN 'STALE' ELSE 'VALID' END AS quality_status, '2025-01-0' || (page_id % 9 + 1) AS retrieved_at, '2025-01-0' || (page_id % 9 + 1) AS ingested_at FROM pages""")
 def evidence_identity(spark, sf_dir):
     at = F.concat(F.lit("2025-01-0"), (F.col("page_id") % 9 + 1).cast("string"))
     rows = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source_id"), F.col("url").alias("source_url"), F.sha2(F.coalesce("html", F.lit("")), 256).alias("content_sha256"), at.alias("retrieved_at"), F.when(F.col("page_id") % 3 == 0, "stale").alias("freshness"))
-    return export.fusion_evidence(rows).select("evidence_id", "producer_id", "source_id", "ultimate_source_id", "source_url", "source_tier", "content_sha256", "quality_status", "retrieved_at", "ingested_at")
+    return export.fusion_evidence(rows, PRODUCER).select("evidence_id", "producer_id", "source_id", "ultimate_source_id", "source_url", "source_tier", "content_sha256", "quality_status", "retrieved_at", "ingested_at")
 
 
-@query("SELECT page_id, 'url:' || sha1(url) AS event_id FROM pages")
+@query("SELECT min(page_id) AS page_id, 'url:' || sha1(url) AS event_id, url FROM (SELECT page_id, url FROM pages WHERE starts_with(url, 'http') AND NOT contains(url, ' ') AND length('el enlace de esta misma hoja') > 18) GROUP BY url")
 def osint_identity(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("url:"), F.sha1("url")).alias("event_id"))
+    """Each page links to itself once; the first page of an address counts."""
+    link = F.concat(F.lit('<a href="'), text.html_escaped(F.col("url")), F.lit('">el enlace de esta misma hoja</a>'))
+    rows = table(spark, sf_dir, "pages").select("page_id", "url").where(F.col("url").startswith("http") & ~F.contains("url", F.lit(" ")))
+    pages = rows.select(F.lit("s").alias("source_id"), F.lit("http://host/").alias("url"), (-F.col("page_id")).alias("ordinal"), link.alias("html"))
+    found = osint.events(pages, ("enlace",)).select("event_id", "url")
+    return found.join(rows.groupBy("url").agg(F.min("page_id").alias("page_id")), "url").select("page_id", "event_id", "url")
 
 
 _KEYWORDS = ("idiot", "Password", "license", "the", "queau", "token")
@@ -591,15 +633,40 @@ def contract_union(spark, sf_dir):
 
 
 @query("""
-    WITH places AS (SELECT lpad(CAST(n_regionkey AS VARCHAR), 2, '0') AS region_code, lower(n_name) AS name, lpad(CAST(n_nationkey + 1000 * n_regionkey AS VARCHAR), 5, '0') AS code FROM nation WHERE n_nationkey % 5 <> 0)
-    SELECT c_custkey, CASE WHEN code IS NULL THEN 'name_fallback' WHEN left(code, 2) = lpad(CAST(c_custkey % 5 AS VARCHAR), 2, '0') THEN 'official_cut' ELSE 'cut_region_mismatch' END AS cut_status,
-           CASE WHEN left(code, 2) = lpad(CAST(c_custkey % 5 AS VARCHAR), 2, '0') THEN code END AS commune_code
-    FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN places ON name = lower(n_name)""")
+    WITH places AS (SELECT lower(n_name) AS name, lpad(CAST(n_nationkey + 1000 * n_regionkey AS VARCHAR), 5, '0') AS code FROM nation WHERE n_nationkey % 5 <> 0),
+    rows AS (
+        SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'region' ELSE 'commune' END AS level, n_name, lpad(CAST(c_custkey % 5 AS VARCHAR), 2, '0') AS region, CASE WHEN c_custkey % 2 = 0 THEN '99999' END AS old
+        FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    told AS (
+        SELECT rows.*, code, CASE WHEN level = 'region' THEN NULL WHEN code IS NULL THEN 'name_fallback' WHEN left(code, 2) = region THEN 'official_cut' ELSE 'cut_region_mismatch' END AS status
+        FROM rows LEFT JOIN places ON name = lower(n_name))
+    SELECT c_custkey, status AS territory_key_status, CASE WHEN status = 'official_cut' THEN code ELSE old END AS commune_code,
+           CASE WHEN status = 'official_cut' THEN 'CL-COM-' || code ELSE 'old' END AS territory_id, CASE WHEN status = 'official_cut' THEN 'CODE_EXACT' END AS territory_mapping_method
+    FROM told""")
 def attach_codes(spark, sf_dir):
+    rows, known = _coded(spark, sf_dir)
+    return places.codes_by_name(rows, known).select("c_custkey", "territory_key_status", "commune_code", "territory_id", "territory_mapping_method")
+
+
+def _coded(spark, sf_dir):
+    """Customers as rows of places, some with a code of their own and some that are regions; and the codes of most nations."""
     nation = table(spark, sf_dir, "nation")
     known = nation.where(F.col("n_nationkey") % 5 != 0).select(text.norm_name(F.col("n_name")).alias("name_norm"), F.lpad((F.col("n_nationkey") + 1000 * F.col("n_regionkey")).cast("string"), 5, "0").alias("commune_code"), F.col("n_nationkey").alias("ordinal"))
-    rows = table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("commune_name"), F.lpad((F.col("c_custkey") % 5).cast("string"), 2, "0").alias("region_code"))
-    return places.codes_by_name(rows, known).select("c_custkey", "cut_status", "commune_code")
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", F.when(k % 7 == 0, "region").otherwise("commune").alias("territory_level"), F.col("n_name").alias("commune_name"), F.lpad((k % 5).cast("string"), 2, "0").alias("region_code"), F.when(k % 2 == 0, "99999").alias("commune_code"), F.lit("old").alias("territory_id"),
+    )
+    return rows, known
+
+
+@query("""
+    WITH places AS (SELECT lower(n_name) AS name, lpad(CAST(n_nationkey + 1000 * n_regionkey AS VARCHAR), 5, '0') AS code FROM nation WHERE n_nationkey % 5 <> 0),
+    rows AS (SELECT lower(n_name) AS name, lpad(CAST(c_custkey % 5 AS VARCHAR), 2, '0') AS region FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 0),
+    told AS (SELECT rows.name, code, CASE WHEN code IS NULL THEN 'none' WHEN left(code, 2) = region THEN 'same' ELSE 'other' END AS status FROM rows LEFT JOIN places ON places.name = rows.name)
+    SELECT 'cead_cut_join' AS source_id, false AS ok, count(DISTINCT name) AS input_communes, count(DISTINCT code) FILTER (WHERE status = 'same') AS matched_communes, count(DISTINCT name) FILTER (WHERE status = 'none') AS unmatched_communes,
+           count(DISTINCT name) FILTER (WHERE status = 'other') AS region_mismatches, 'CL-COM-{CUT}' AS territory_id_format FROM told""")
+def attach_codes_status(spark, sf_dir):
+    return places.codes_status(places.codes_by_name(*_coded(spark, sf_dir)))
 
 
 # Links of the test pages: <a href="/...">text</a>, addresses from the root of the page's host. The last of an address counts as event, the first as publication.
@@ -616,7 +683,7 @@ LINKS_CTES = r"""
     SELECT 'url:' || sha1(url) AS event_id, 'pages' AS source_id, title, url, NULL::VARCHAR AS published_date, matched_keywords, 'official_publication_signal' AS event_type, 'observed_publication' AS data_status FROM best WHERE k = 1""")
 def osint_events(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source_id"), "url", F.col("page_id").alias("ordinal"), "html")
-    return osint.events(pages, ("the", "que", "und", "ción"), least_title=3)
+    return osint.events(pages, ("the", "que", "und", "ción"), least_title=3).drop("retrieved_at")
 
 
 @query(f"""

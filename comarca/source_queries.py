@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comarca import dims
-from comarca.bindings import SPARSE_SQL, sparse, table
+from comarca.bindings import DENSE_SQL, SPARSE_SQL, TIERED_SQL, dense, sparse, table, tiered
+from comarca.files import new_folder, write_text
 from comarca.functions import text
 from comarca.operators import classify, export, merge, places
-from comarca.queries import query
-from comarca.sources import html, tables
+from comarca.plans import publish, rollups
+from comarca.queries import norm_sql, query
+from comarca.sources import html, osint, pages, tables, xls
+from comarca.streaming import upserts
 
 
 def _written(c) -> Column:
@@ -137,11 +143,259 @@ def workbook_unpivot(spark, sf_dir):
     fixed = [(None, "Categoría de  delitos", *_OFFICES)], [(None, "Total nacional", *ones), (None, "nota", *ones)]
     rows = [(s, at, list(c)) for s in ("TB3.1", "other") for base, part in ((1, fixed[0]), (20, fixed[1])) for at, c in enumerate(part, base)]
     rows += [("TB3.1", 0, ["IMPUTADOS CONOCIDOS"]), ("other", 0, ["IMPUTADOS DESCONOCIDOS"])]
-    sheets = body.unionByName(spark.createDataFrame(rows, "sheet string, row_at int, cells array<string>")).withColumns({"file": F.lit("f"), "error": F.lit(None).cast("string")})
+    sheets = body.unionByName(spark.createDataFrame(rows, "sheet string, row_at int, cells array<string>")).withColumns({"file": F.lit("f"), "sheet_at": F.lit(0), "error": F.lit(None).cast("string")})
     named = F.when(F.col("region_code").isin("13", "16"), F.col("region_name")).alias("named")
     return tables.prosecution_workbook(sheets, 2024).where(F.col("value") > 0).select("region_code", named, "crime_category", "value", "source_year", "observation_unit", "data_status")
 
 
+def _workbook_files(counts: DataFrame) -> DataFrame:
+    """counts (year, sheet, priority, n0 .. n18) -> a workbook for each year: .xls in even years, .xlsx in odd ones, with a sheet that only looks like the right one after it."""
+    head = (None, "Categoría de delitos", *_OFFICES)
+
+    def book(key: tuple, rows: pa.Table) -> pa.Table:
+        year = key[0].as_py()
+        own = {name: [[title], list(head)] for name, title in (("Zeta", "Imputados conocidos"), ("TB3.2", "x"), ("Alfa", "Imputados conocidos"))}
+        for r in sorted(rows.to_pylist(), key=lambda r: (r["sheet"], r["priority"])):
+            cells = [r[f"n{k}"] for k in range(len(_OFFICES))]
+            own[r["sheet"]].append([None, r["priority"], *cells])
+            if r["sheet"] == "Zeta":
+                own["Alfa"].append([None, r["priority"], *[n + 1000 for n in cells]])
+        for cells in own.values():
+            cells += [[None, "Total nacional", *[1] * len(_OFFICES)], [None, "nota", *[1] * len(_OFFICES)]]
+        made = {name: dict(enumerate(cells)) for name, cells in own.items()}
+        raw = xls.written(made) if year % 2 == 0 else tables.written(made)
+        return pa.table({"file": [f"mp_{year}.xls{'x' * (year % 2)}"], "content": pa.array([raw], pa.binary())})
+
+    return counts.groupBy("year").applyInArrow(book, "file string, content binary")
+
+
+@query(f"""
+    WITH offices(k, region_code) AS (VALUES {", ".join(f"({k}, '{r}')" for k, r in enumerate(_OFFICE_REGIONS))})
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, region_code, upper(o_orderpriority) AS crime_category, CAST(count(*) AS BIGINT) AS value
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN offices ON c_nationkey % 19 = k GROUP BY ALL""")
+def workbook_history(spark, sf_dir):
+    """Each year's orders as a workbook, old or new format in turn, and back: known suspects are open orders, unknown ones the others."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    joined = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    counts = joined.groupBy("year", F.when(F.col("o_orderstatus") == "O", "Zeta").otherwise("TB3.2").alias("sheet"), F.col("o_orderpriority").alias("priority")).agg(*[F.count_if(F.col("c_nationkey") % len(_OFFICES) == k).alias(f"n{k}") for k in range(len(_OFFICES))])
+    every = joined.select("year").distinct().select("year", F.explode(F.array(F.lit("Zeta"), F.lit("TB3.2"))).alias("sheet")).select("year", "sheet", F.lit("SIN DATO").alias("priority"), *[F.lit(0).cast("long").alias(f"n{k}") for k in range(len(_OFFICES))])
+    sheets = tables.sheets_of(_workbook_files(counts.unionByName(every)))
+    records, _ = tables.prosecution_history(sheets, {f"mp_{y}.xls{x}": y for y in range(1990, 2010) for x in ("x" * (y % 2),)})
+    return records.where(F.col("value") > 0).select("year", "region_code", "crime_category", "value")
+
+
+@query("""
+    WITH rows AS (SELECT row_number() OVER (ORDER BY p_partkey) AS k, p_partkey FROM part)
+    SELECT 'parte ' || p_partkey AS name_norm, lpad(CAST(1000 + p_partkey % 90000 AS VARCHAR), 5, '0') AS commune_code, 'CL-COM-' || lpad(CAST(1000 + p_partkey % 90000 AS VARCHAR), 5, '0') AS territory_id FROM rows""")
+def commune_workbook(spark, sf_dir):
+    """Parts as places in an old workbook of many sheets, and back; sheets are read in their order until all are known."""
+    size = 10_000
+
+    def book(key: tuple, rows: pa.Table) -> pa.Table:
+        own = {f"hoja {9999 - n}": {0: ["Listado"], 1: ["Código Comuna", "Nombre Comuna"], **{2 + k: [float(1000 + p % 90000), f" Parte {p}"] for k, p in enumerate(part)}} for n, part in enumerate([sorted(rows["p_partkey"].to_pylist())[i : i + size] for i in range(0, rows.num_rows, size)])}
+        return pa.table({"file": [f"codes_{key[0].as_py()}.xls"], "content": pa.array([xls.written(own)], pa.binary())})
+
+    parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") / 50_000).cast("int").alias("file"))
+    sheets = tables.sheets_of(parts.groupBy("file").applyInArrow(book, "file string, content binary"))
+    placed = sheets.withColumn("sheet_at", F.col("sheet_at") + 100 * F.regexp_extract("file", r"_(\d+)", 1).cast("int"))
+    n = parts.count()
+    return tables.commune_codes(placed, least=n).select("name_norm", "commune_code", "territory_id")
+
+
+@query(f"""
+    WITH facts AS ({SPARSE_SQL})
+    SELECT commune_code, CAST(year AS INTEGER) AS year, crime_category, CAST(value AS BIGINT) AS value, 'caso_policial' AS observation_unit, CAST(year AS VARCHAR) AS period FROM facts WHERE year >= 1995""")
+def external_table(spark, sf_dir):
+    """The facts as a snapshot of Parquet files with a manifest, a second snapshot beside them, and back through the manifest."""
+    rows, _, _ = tables.external(spark, _snapshot(spark, sf_dir), 1995)
+    return rows.select("commune_code", "year", "crime_category", "value", "observation_unit", "period")
+
+
+def _snapshot(spark, sf_dir) -> str:
+    """The path of a manifest whose files hold the facts; what is written after it is not of its snapshot."""
+    folder = new_folder(spark, "external")
+    rows = sparse(spark, sf_dir).select(F.col("year").cast("int").alias("year"), "commune_code", F.lit("c").alias("commune_name"), F.lit("01").alias("region_code"), F.lit("r").alias("region_name"), "crime_category", F.lit("casos_policiales").alias("metric"), F.col("value").cast("double").alias("value"), F.lit("x").alias("unused"))
+    rows.write.parquet(f"{folder}/data")
+    found = [{"path": f"data/{name}", "bytes": size} for name, size, _ in tables.listed(spark, f"{folder}/data") if name.endswith(".parquet")]
+    write_text(spark, f"{folder}/manifest.json", json.dumps({"producer": "p", "snapshot": "s1", "files": found, "coverage": {"expected_communes": 400, "min_date": "1992-01-01"}}))
+    rows.limit(5).write.mode("append").parquet(f"{folder}/data")
+    return f"{folder}/manifest.json"
+
+
+@query(f"""
+    WITH facts AS ({SPARSE_SQL} ), kept AS (SELECT * FROM facts WHERE year >= 1995)
+    SELECT count(*) AS records, count(DISTINCT commune_code) AS communes, 400::BIGINT AS expected_communes, count(DISTINCT crime_category) AS offenses, list_sort(list(DISTINCT CAST(year AS INTEGER))) AS years, count(DISTINCT commune_code) >= 340 AS ok, '1992-01-01' AS min_date, 's1' AS snapshot FROM kept""")
+def external_status(spark, sf_dir):
+    _, _, status = tables.external(spark, _snapshot(spark, sf_dir), 1995)
+    return status.select("records", "communes", "expected_communes", "offenses", "years", "ok", "min_date", "snapshot")
+
+
+@query(f"""
+    WITH facts AS ({SPARSE_SQL}), lots AS (SELECT DISTINCT year, commune_code FROM facts WHERE year % 3 <> 0 OR commune_code < '00020'),
+    tried AS (SELECT year, count(*) AS communes, count(*) >= 30 AS accepted FROM lots GROUP BY year)
+    SELECT CAST(year AS INTEGER) AS year, communes, accepted, CAST((SELECT max(b.year) FROM tried b WHERE b.accepted AND b.year <= tried.year) AS INTEGER) AS visible FROM tried""")
+def publish_gate(spark, sf_dir):
+    """A lot of communes for each year; every third year's lot lacks most of them. After each, the version that readers see."""
+    folder = new_folder(spark, "published")
+    lots = sparse(spark, sf_dir).where((F.col("year") % 3 != 0) | (F.col("commune_code") < "00020")).select("year", "commune_code").distinct()
+    years = [r["year"] for r in lots.select("year").distinct().orderBy("year").collect()]  # a few years
+    seen = []
+    for year in years:
+        publish.publish(spark, {"lot": lots.where(F.col("year") == year)}, folder, str(year), {"coverage": publish.covers("lot", 30)})
+        now = publish.pointed(spark, folder)
+        seen.append((year, now and int(now["version"])))
+    told = publish.status(spark, folder).select(F.col("version").cast("int").alias("year"), F.regexp_extract("told", r"^(\d+)", 1).cast("long").alias("communes"), F.col("ok").alias("accepted"))
+    return told.join(F.broadcast(spark.createDataFrame(seen, "year int, visible int")), "year")
+
+
+@query(f"""
+    WITH facts AS (SELECT *, CASE WHEN source_tier = 'primary_direct' THEN 1 ELSE 0 END AS side, lpad(coalesce(commune_code, ''), 5, '0') AS code, {norm_sql('crime_category')} AS label FROM ({TIERED_SQL}) WHERE commune_code IS NOT NULL),
+    best AS (SELECT *, row_number() OVER (PARTITION BY year, code, label ORDER BY side DESC, ordinal DESC) AS k FROM facts)
+    SELECT year, code, label, value, source_tier FROM best WHERE k = 1""")
+def cache_buckets(spark, sf_dir):
+    """The cache in buckets, from two batches: all other rows first, then the direct ones over them."""
+    folder = new_folder(spark, "cache")
+    rows = tiered(spark, sf_dir).where(F.col("commune_code").isNotNull())
+    direct = F.col("source_tier").eqNullSafe("primary_direct")
+    for n, batch in enumerate((rows.where(~direct), rows.where(direct))):
+        upserts.upsert_batch(batch, n, folder, buckets=16)
+    found = upserts.read_version(spark, folder, 1, rows.schema)
+    return found.select("year", merge.keyed_code(F.col("commune_code")).alias("code"), text.norm(F.col("crime_category")).alias("label"), "value", "source_tier")
+
+
+@query(f"""
+    WITH facts AS ({DENSE_SQL})
+    SELECT CAST(grouping_id(year, region_code, crime_category) AS INTEGER) AS grouping, year, region_code, crime_category, CAST(sum(value) AS BIGINT) AS value FROM facts
+    GROUP BY GROUPING SETS ((year, region_code, crime_category), (year, region_code), (year, crime_category), (year), ())""")
+def rollup_totals(spark, sf_dir):
+    """Region, category, year and whole totals from one pass."""
+    sets = [["year", "region_code", "crime_category"], ["year", "region_code"], ["year", "crime_category"], ["year"], []]
+    found = rollups.totals(dense(spark, sf_dir), sets[0], sets)
+    grouping = F.element_at(F.array(*[F.lit(g) for g in (0, 1, 2, 3, 7)]), F.col("level") + 1)
+    return found.select(grouping.alias("grouping"), "year", "region_code", "crime_category", "value")
+
+
+@query("""
+    WITH told AS (SELECT doc_id, 'k' || doc_id AS v FROM documents)
+    SELECT doc_id, sha256(v) AS sha256, octet_length(encode(v)) AS bytes FROM told""")
+def raw_store(spark, sf_dir):
+    """Texts' names as fetched bytes, stored twice, each content kept once, and read back by their evidence."""
+    folder = new_folder(spark, "raw")
+    raw = F.concat(F.lit("k"), F.col("doc_id").cast("string")).cast("binary")
+    got = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("url"), raw.alias("content"), F.sha2(raw, 256).alias("sha256"), F.length(raw).cast("long").alias("bytes"), F.lit("t").alias("retrieved_at"), F.lit(True).alias("ok"))
+    evidence = pages.stored(got, folder)
+    pages.stored(got, folder)
+    back = pages.from_store(evidence, folder)
+    return back.select(F.col("file").cast("long").alias("doc_id"), F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("long").alias("bytes"))
+
+
+@query("""
+    WITH files AS (SELECT page_id, coalesce(html, '') AS t FROM pages)
+    SELECT page_id, sha256(t) AS sha256, CAST(octet_length(encode(t)) AS BIGINT) AS bytes FROM files""")
+def file_evidence(spark, sf_dir):
+    """Digest and size of files."""
+    files = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), F.coalesce("html", F.lit("")).cast("binary").alias("content"), F.lit("2025-01-01").cast("timestamp").alias("modificationTime"))
+    return tables.evidence(files).select(F.col("url").cast("long").alias("page_id"), "sha256", "bytes")
+
+
+@query("""
+    WITH rows AS (SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS region, n_name, c_custkey % 4 <> 0 AS commune FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    known AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS region, n_name, lpad(CAST(n_nationkey * 11 AS VARCHAR), 5, '0') AS code FROM nation WHERE n_nationkey % 3 <> 0)
+    SELECT c_custkey, CASE WHEN commune THEN code END AS commune_code, CASE WHEN commune AND code IS NOT NULL THEN 'CL-' || code ELSE 'old' END AS territory_id
+    FROM rows LEFT JOIN known ON known.region = rows.region AND known.n_name = rows.n_name""")
+def codes_by_region_and_name(spark, sf_dir):
+    nation = _nations(spark, sf_dir)
+    code = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
+    known = nation.where(F.col("n_nationkey") % 3 != 0).select(code.alias("region_code"), text.norm(F.col("n_name")).alias("name_norm"), F.lpad((F.col("n_nationkey") * 11).cast("string"), 5, "0").alias("commune_code"), F.col("n_nationkey").alias("ordinal"))
+    rows = table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", code.alias("region_code"), text.norm(F.col("n_name")).alias("commune_name_norm"), F.when(F.col("c_custkey") % 4 != 0, "commune").otherwise("region").alias("territory_level"), F.lit(None).cast("string").alias("commune_code"), F.lit("old").alias("territory_id"),
+    )
+    return places.codes_attached(rows, known).select("c_custkey", "commune_code", "territory_id")
+
+
+@query(f"""
+    WITH facts AS ({SPARSE_SQL}), expected AS (SELECT DISTINCT commune_code FROM facts), seen AS (SELECT DISTINCT commune_code FROM facts WHERE year = 1998 AND value % 2 = 0 AND commune_code NOT LIKE '%3')
+    SELECT commune_code, 'r' AS region_code FROM expected WHERE commune_code NOT IN (SELECT commune_code FROM seen)""")
+def unavailable_communes(spark, sf_dir):
+    rows = sparse(spark, sf_dir)
+    return rollups.unavailable(rows.where((F.col("year") == 1998) & (F.col("value") % 2 == 0) & ~F.col("commune_code").endswith("3")), rows.select("commune_code", F.lit("r").alias("region_code")).distinct())
+
+
+@query(f"""
+    WITH facts AS ({SPARSE_SQL}), ends AS (SELECT commune_code, min(year) AS a, max(year) AS b FROM facts GROUP BY 1)
+    SELECT commune_code, 'c ' || commune_code AS commune_name, '01' AS region_code, 'r' AS region_name FROM ends""")
+def commune_list(spark, sf_dir):
+    return tables.commune_list(sparse(spark, sf_dir).withColumns({"commune_name": F.concat(F.lit("c "), "commune_code"), "region_code": F.lit("01"), "region_name": F.lit("r")}))
+
+
+@query("""
+    SELECT 'COMARCA' AS radar_id, '1.0' AS interop_version, count(*) AS rows, count(*) FILTER (WHERE c_custkey % 3 <> 0) AS resolved, count(*) FILTER (WHERE c_custkey % 3 = 0) AS unresolved, 'CL-COM-{CUT}' AS territory_id_format FROM customer""")
+def interop_counts(spark, sf_dir):
+    code = F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") % 90000 + 1).cast("string")).otherwise("123456")
+    return export.interop_status(export.adapted(table(spark, sf_dir, "customer").select(code.alias("commune_code")), export.Producer("COMARCA", "x")))
+
+
+@query("""
+    WITH rows AS (SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders),
+    good AS (SELECT o_orderpriority AS source_id, count(*) AS n FROM rows WHERE o_orderpriority <> '1-URGENT' GROUP BY 1)
+    SELECT source_id, n AS rows FROM good""")
+def failure_isolation(spark, sf_dir):
+    """A part for each priority; the urgent one fails in a task and costs its own rows alone."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    bad = F.when(F.col("o_orderpriority") == "1-URGENT", F.raise_error(F.lit("down")).cast("long")).otherwise(F.col("o_orderkey"))
+    part = lambda p: lambda: orders.where(F.col("o_orderpriority") == p).select(F.col("o_orderpriority").alias("source_id"), bad.alias("k"))
+    rows, status = tables.collected(spark, {p: part(p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")}, "source_id string, k long")
+    good = status.where("ok").select("source_id")
+    return rows.groupBy("source_id").agg(F.count("*").alias("rows")).join(good, "source_id")
+
+
+@query(f"""
+    WITH facts AS ({SPARSE_SQL})
+    SELECT commune_code, CAST(year AS INTEGER) AS year, crime_category, CAST(value AS BIGINT) AS value, CASE WHEN value % 2 = 0 THEN commune_code END AS note FROM facts""")
+def jsonl_round_trip(spark, sf_dir):
+    """JSON lines with nulls and zeros in front, written and read back under the schema given."""
+    folder = new_folder(spark, "jsonl")
+    rows = sparse(spark, sf_dir).select("commune_code", F.col("year").cast("int").alias("year"), "crime_category", F.col("value").cast("long").alias("value"), F.when(F.col("value") % 2 == 0, F.col("commune_code")).alias("note"))
+    export.write_jsonl(rows, f"{folder}/rows")
+    return tables.jsonl(spark, f"{folder}/rows", rows.schema)
+
+
+@query("""
+    WITH said AS (SELECT page_id, page_id % 6 AS source, page_id % 6 <> 4 AS ok FROM pages)
+    SELECT 's' || source AS source_id, bool_and(ok) AS ok, count(*) FILTER (WHERE ok) AS pages, CASE WHEN NOT bool_and(ok) THEN 'not saved' END AS error FROM said GROUP BY source""")
+def page_replay(spark, sf_dir):
+    """Targets with saved pages in their place; a sixth of them was never saved."""
+    rows = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("s"), (F.col("page_id") % 6).cast("string")).alias("source_id"), F.concat(F.lit("u"), F.col("page_id").cast("string")).alias("url"), "html")
+    saved = rows.where(F.col("page_id") % 6 != 4).select("url", "html", F.sha2("url", 256).alias("sha256"), F.lit(1).alias("bytes"), F.lit(200).alias("http_status"), F.lit("t").alias("retrieved_at"))
+    return pages.page_status(pages.replayed(rows.select("source_id", "url"), saved))
+
+
+@query(r"""
+    SELECT page_id AS ordinal, page_id % 4 <> 1 AS ok, CASE WHEN page_id % 4 <> 1 THEN 'Página ' || page_id END AS title, CASE WHEN page_id % 4 = 1 THEN 'down' END AS error FROM pages""")
+def probe_health(spark, sf_dir):
+    """A health row for each page, in their order: title and state."""
+    k, ok = F.col("page_id"), F.col("page_id") % 4 != 1
+    rows = table(spark, sf_dir, "pages").select(k.alias("ordinal"), k.cast("string").alias("source_id"), F.concat(F.lit("u"), k.cast("string")).alias("url"), F.lit(1).alias("priority"))
+    got = rows.select("url", F.when(F.col("ordinal") % 4 != 1, F.concat(F.lit("<head><title> Página\n "), F.col("ordinal").cast("string"), F.lit("</title></head>"))).alias("html"), F.lit("t").alias("retrieved_at"), F.lit(200).alias("http_status"), (F.col("ordinal") % 4 != 1).alias("ok"), F.when(F.col("ordinal") % 4 == 1, "down").alias("error"))
+    return pages.probed(pages.probe_targets(rows), got).select("ordinal", "ok", "title", "error")
+
+
+@query(r"""
+    WITH pieces AS (
+        SELECT page_id, page_id % 7 AS source, unnest(regexp_extract_all(html, '<a href="/[^"]*">([^<]*)</a>', 1)) AS inside FROM pages WHERE page_id % 7 <> 5)
+    SELECT 's' || k AS source_id, k <> 5 AS ok, CASE WHEN k <> 5 THEN (SELECT count(*) FROM pieces WHERE source = k AND contains(lower(inside), 'the') AND length(inside) >= 3) END AS events, CASE WHEN k = 5 THEN 'down' END AS error
+    FROM (SELECT unnest(generate_series(0, 6)) AS k) WHERE EXISTS (SELECT 1 FROM pages WHERE page_id % 7 = k)""")
+def event_counts(spark, sf_dir):
+    """Events by watched source, each page under an address of its own; one source is down."""
+    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("s"), (F.col("page_id") % 7).cast("string")).alias("source_id"), F.concat(F.lit("http://h/"), F.col("page_id").cast("string"), F.lit("/")).alias("url"), F.col("page_id").alias("ordinal"), "html")
+    # Addresses are told apart by their page and place, so that every link counts.
+    numbered = F.regexp_replace("html", '<a href="/', '<a href="')
+    kept = rows.where(F.col("source_id") != "s5").withColumn("html", numbered)
+    found = html.links(kept, base="url").where((F.length("title") >= 3) & F.contains(F.lower("title"), F.lit("the"))).select("source_id")
+    watched = rows.select("source_id").distinct().select("source_id", (F.col("source_id") != "s5").alias("ok"), F.when(F.col("source_id") == "s5", "down").alias("error"))
+    return osint.event_status(watched, found)
+
+
 @query(f"""
     WITH facts AS ({SPARSE_SQL}), families(k, cead_family_key, article27_relation, aml_weight) AS (VALUES {", ".join(f"({k}, '{f}', '{v[0]}', {v[2]}::DOUBLE)" for k, (f, v) in enumerate(dims.FAMILIES.items()))})
     SELECT commune_code, year, crime_category, cead_family_key, article27_relation, aml_weight FROM facts JOIN families ON value % {len(dims.FAMILIES)} = k""")
@@ -185,10 +439,57 @@ def homicide_anti_union(spark, sf_dir):
     return found.select("commune_name", "period", "victims", "recent_h1_2025_victims", "recent_h1_2025_status")
 
 
-@query(r"SELECT doc_id, list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(t, '\b(20\d{2})\b', 1), lambda y: CAST(y AS INTEGER)), lambda y: y BETWEEN 2018 AND 2026))) AS years FROM (SELECT doc_id, text || ' 20' || (10 + doc_id % 20) || ' 2019 y 2024.' AS t FROM documents)")
+@query(r"""
+    SELECT doc_id, list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(t, '\b(20\d{2})\b', 1), lambda y: CAST(y AS INTEGER)), lambda y: y BETWEEN 2018 AND 2026))) AS years
+    FROM (SELECT doc_id, coalesce(text, '') || ' 20' || (10 + doc_id % 20) || ' 2019 y 2024.' AS t FROM documents)""")
 def page_years(spark, sf_dir):
-    pages = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(" 20"), (10 + F.col("doc_id") % 20).cast("string"), F.lit(" 2019 y 2024.")).alias("html"))
-    return html.page_years(pages)
+    """Each text as a page, with other years in tags, scripts, styles and comments."""
+    said = F.concat(F.coalesce("text", F.lit("")), F.lit(" 20"), (10 + F.col("doc_id") % 20).cast("string"), F.lit(" 2019 y 2024."))
+    page = F.concat(F.lit('<html><head><style>.y2026 {}</style></head><body title="2023"><a href="x?anno=2025">'), text.html_escaped(said), F.lit("</a><script>var y = '2018';</script><!-- 2021 --></body></html>"))
+    return html.page_years(table(spark, sf_dir, "documents").select("doc_id", page.alias("html")))
+
+
+@query("""
+    SELECT doc_id, coalesce(text, '') AS found, octet_length(encode(coalesce(text, ''))) AS bytes, sha256(coalesce(text, '')) AS sha256 FROM documents""")
+def page_charsets(spark, sf_dir):
+    """Each text as the bytes of a page, named by the header, the page or not at all; Western ones only where the text allows it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    western = ~F.col("t").rlike(r"[^\x00-\x7F\xA0-\xFF]") & (F.col("doc_id") % 2 == 0)
+    meta = F.when(western & (F.col("doc_id") % 4 == 0), F.lit('<meta charset="iso-8859-1">')).otherwise("")
+    whole = F.concat(meta, "t")
+    raw = F.when(western, F.encode(F.when(western, whole).otherwise(""), "ISO-8859-1")).otherwise(F.encode(whole, "UTF-8"))
+    kind = F.when(western & (F.col("doc_id") % 4 != 0), "text/html; charset=ISO-8859-1").when(~western & (F.col("doc_id") % 3 == 0), "text/html; charset=utf-8")
+    read = docs.select("doc_id", raw.alias("content"), kind.alias("content_type"), F.length(meta).alias("skip")).withColumn("found", pages.text_of(F.col("content"), F.col("content_type")))
+    found = F.substr("found", F.col("skip") + 1)
+    return read.select("doc_id", found.alias("found"), F.octet_length(found).cast("long").alias("bytes"), F.sha2(found, 256).alias("sha256"))
+
+
+@query("""
+    WITH lines AS (SELECT l_orderkey, l_linenumber, l_quantity, l_orderkey % 3 AS kind FROM lineitem)
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_quantity AS BIGINT)::VARCHAR AS quantity, CASE WHEN kind = 0 THEN 'fila ' || l_linenumber ELSE l_linenumber::VARCHAR END AS label FROM lines""")
+def page_tables(spark, sf_dir):
+    """Each order as a page whose lines stand in a table under a heading with marks in it; other tables, headings without a table, scripts and tables in cells stand around."""
+    nested = F.col("l_orderkey") % 3 == 0
+    number, quantity = F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("long").cast("string")
+    label = F.when(nested, F.concat(F.lit("fila <strong>"), number, F.lit("</strong><script>var casos = '<td>';</script>"))).otherwise(number)
+    row = F.concat(F.lit("<tr><td>"), label, F.lit("</td><td>"), quantity, F.lit("</td></tr>"))
+    body = F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", row.alias("row")))), lambda x: x["row"]))
+    head = F.lit("<div><h5>Otra tabla</h5><table><tr><td>Casos <strong>por</strong> línea</td><td>0</td></tr></table></i><h4>Casos <em>por</em> <strong>línea</strong> &amp; pedido</h4><p>nota</p><table>")
+    made = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.concat(head, body, F.lit("</table><h6>Casos por línea</h6></div>")).alias("html"))
+    found = html.rows_under(html.with_nodes(made), ("casos por linea pedido",))
+    return found.select("l_orderkey", F.regexp_extract(F.col("cells")[0], r"(\d+)$", 1).cast("long").alias("l_linenumber"), F.col("cells")[1].alias("quantity"), F.col("cells")[0].alias("label"))
+
+
+@query("SELECT page_id % 5 AS topic, page_id % 5 <> 3 AS ok, CASE WHEN page_id % 5 <> 3 THEN [2018 + page_id % 7, 2025] END AS available_years, CASE WHEN page_id % 5 = 3 THEN 'down' END AS error FROM pages")
+def topic_status(spark, sf_dir):
+    """A topic's page names the years that it has; one in five is down."""
+    k, ok = F.col("page_id"), F.col("page_id") % 5 != 3
+    rows = table(spark, sf_dir, "pages").select(
+        k.cast("string").alias("source_id"), (k % 5).alias("cead_family_key"), "url", F.when(ok, F.concat(F.lit("<p>de "), (2018 + k % 7).cast("string"), F.lit(" a <b>2025</b></p><script>2026</script>"))).alias("html"), F.lit("d").alias("sha256"), F.lit("t").alias("retrieved_at"),
+        ok.alias("ok"), F.when(~ok, "down").alias("error"),
+    )
+    _, status = html.topic_rows(rows)
+    return status.select((F.col("source_id").cast("long") % 5).alias("topic"), "ok", F.transform("available_years", lambda y: y.cast("long")).alias("available_years"), "error")
 
 
 @query("""

@@ -1,3 +1,4 @@
+import random
 import statistics
 
 from hypothesis import HealthCheck, given, settings
@@ -30,7 +31,32 @@ def test_ranks(spark, values):
 @FEW
 @given(VALUES)
 def test_upper_median(spark, values):
-    assert frame(spark, values).agg(stats.upper_median("v")).first()[0] == sorted(values)[len(values) // 2]
+    assert stats.upper_median(frame(spark, values), "v").first()["value"] == sorted(values)[len(values) // 2]
+
+
+def test_order_statistics(spark):
+    """Bands, tallies and ranges against plain sorting, with many ties, few values, negative and very large ones, and nulls."""
+    r = random.Random(3)
+    values = [(k % 3, r.choice([0.0, 0.0, 1.0, -5.5, 1e12, r.random() * 10, float(r.randint(-1000, 1000))])) for k in range(400)] + [(7, 4.0), (8, None), (0, None)]
+    rows = spark.createDataFrame([(k, g, v) for k, (g, v) in enumerate(values)], "k int, g int, v double").repartition(5)
+    found = {x["g"]: x for x in stats.order_statistics(rows, ["g"], "v", {"q25": 0.25, "q50": 0.5, "q90": 0.9}, "upper").collect()}
+    for g in (0, 1, 2, 7):
+        own = sorted(v for h, v in values if h == g and v is not None)
+        for name, q in (("q25", 0.25), ("q50", 0.5), ("q90", 0.9)):
+            at = q * (len(own) - 1)
+            low, high = own[int(at)], own[min(len(own) - 1, int(at) + (at > int(at)))]
+            assert abs(found[g][name] - (low + (high - low) * (at - int(at)))) <= 1e-9 * max(1, abs(high))
+        assert found[g]["upper"] == own[len(own) // 2]
+    assert set(found) == {0, 1, 2, 7}
+    everything = sorted(v for _, v in values if v is not None)
+    for place in (0, 1, len(everything) // 2, len(everything) - 1):
+        assert stats.at_rank(rows, "v", lambda n, p=place: F.lit(p)).first()["value"] == everything[place]
+    assert stats.at_rank(rows.limit(0), "v", lambda n: F.floor(n / 2)).first()["value"] is None
+    ranked = {x["k"]: x for x in stats.with_percentiles(rows.withColumn("w", -F.col("v")), {"a": "v", "b": "w"}, "k").collect()}
+    for name, sign in (("a", 1), ("b", -1)):
+        order = sorted(range(len(values)), key=lambda k: (values[k][1] is not None, sign * (values[k][1] or 0), k))
+        assert all(abs(ranked[k][name] - 100 * place / (len(values) - 1)) < 1e-9 for place, k in enumerate(order))
+    assert ranked[0]["g"] == 0 and ranked[0]["v"] == values[0][1] and len(ranked) == len(values)
 
 
 def test_anomaly_cases(spark):
