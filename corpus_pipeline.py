@@ -6,6 +6,11 @@ replaced in the texts; sources are interleaved in proportion to the square roots
 the order of the mix), and each row's slot and position in the mix are written beside the documents, whose columns and
 readers need not keep them; the last stage gives the SentencePiece ids of each text, whether they decode to it, and that
 slot and position, found again by the row itself.
+
+Cases: a null or empty text, and one without a letter, has no language and goes in the first stage. Null langs and sources stay null;
+rows without a doc_id, and rows that share one, go on as they are, but for near copies, of which the smallest doc_id stays. Equal
+rows are mixed each for itself. Very long texts are whole in every stage. An empty table gives no rows. Extra columns go along up to
+the last stage, whatever their names; n_chars, where it is there, follows a text from which a secret was taken.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from comarca.files import delete
 from comarca.llm import language_id, minhash_dedup, mixing, secret_ledger
 from comarca.llm.common import new_path
 from comarca.llm.sentencepiece_bpe import encode_documents
@@ -65,9 +71,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows, read from its written table. A stage's table is deleted as soon as the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = new_path(spark, f"stage_{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
