@@ -258,10 +258,13 @@ def legal_ranges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(k, *r) for k, r in enumerate(LEGAL_RANGES)], "ordinal int, low long, high long, class string, confidence string, basis string")
 
 
-def components(spark: SparkSession, layers: dict = LAYERS) -> DataFrame:
+def component_rows(layers: dict = LAYERS) -> list[tuple]:
     """One row for each component and label; fallback labels are rows with a priority of 1 or more, each the component's label itself."""
     rows = []
     for at, (layer, (weight, fallback, parts)) in enumerate(layers.items()):
         rows += [(at, layer, weight, k, c, COMPONENT_LABELS.get(c, c), w, label, 0) for k, (c, (w, labels)) in enumerate(parts.items()) for label in labels]
         rows += [(at, layer, weight, 0, FALLBACK_IDS.get(layer, f"{layer}_fallback"), label, 1.0, label, p) for p, label in enumerate(fallback, 1)]
-    return spark.createDataFrame(rows, "layer_at int, layer string, layer_weight double, component_at int, component string, component_label string, component_weight double, label string, priority int")
+    return rows
+
+
+COMPONENT_SCHEMA = "layer_at int, layer string, layer_weight double, component_at int, component string, component_label string, component_weight double, label string, priority int"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,17 +24,22 @@ def _decomposed() -> tuple[dict[str, str], dict[str, str]]:
 ONE, MORE = _decomposed()
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c computed once, however often f names it: what is said several times would be planned and compiled as often."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def _ascii(c: Column) -> Column:
     """The compatibility decomposition's ASCII characters; all others are dropped.
 
     Every character decomposes for itself, so a map of characters is exact. Only texts that hold a character which becomes several
     are taken apart.
     """
-    x = F.translate(c, "".join(ONE), "".join(ONE.values()))
     several = F.from_json(F.lit(json.dumps(MORE)), "map<string,string>")  # a constant, folded once
-    apart = F.array_join(F.transform(F.split(x, ""), lambda y: F.when(F.octet_length(y) == 1, y).otherwise(F.coalesce(several[y], y))), "")
-    whole = F.when(F.length(F.translate(x, "".join(MORE), "")) == F.length(x), x).otherwise(apart)
-    return F.when(F.octet_length(x) == F.length(x), x).otherwise(F.regexp_replace(whole, r"[^\x00-\x7F]", ""))
+    apart = lambda x: F.array_join(F.transform(F.split(x, ""), lambda y: F.when(F.octet_length(y) == 1, y).otherwise(F.coalesce(several[y], y))), "")
+    whole = lambda x: F.when(F.length(F.translate(x, "".join(MORE), "")) == F.length(x), x).otherwise(apart(x))
+    rest = lambda x: F.when(F.octet_length(x) == F.length(x), x).otherwise(F.regexp_replace(whole(x), r"[^\x00-\x7F]", ""))
+    return once(F.translate(c, "".join(ONE), "".join(ONE.values())), rest)
 
 
 def norm(c: Column, keep: str = "") -> Column:
@@ -95,8 +100,7 @@ def legacy_commune_id(code: Column, region: Column, name: Column) -> Column:
 
 
 def is_commune(name: Column) -> Column:
-    n = norm_or_none(name)
-    return ~(n.startswith("distrito") | n.startswith("region") | n.isin("pais", "nivel territorial", ""))
+    return once(norm_or_none(name), lambda n: ~(n.startswith("distrito") | n.startswith("region") | n.isin("pais", "nivel territorial", "")))
 
 
 def keyword_hits(title: Column, keywords: Iterable[str]) -> Column:

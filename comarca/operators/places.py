@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,14 +92,14 @@ def homicide_communes(annual: DataFrame, recent: DataFrame) -> DataFrame:
     return old.drop(*on).unionByName(only, allowMissingColumns=True)
 
 
-def homicide_checked(regions: DataFrame, annual: DataFrame, recent: DataFrame) -> None:
+def homicide_checked(regions: DataFrame, annual: DataFrame, recent: DataFrame, control: Mapping[str, int] = dims.HOMICIDE_CONTROL) -> None:
     """Raise where the three tables miss the control totals or the communes of a region miss its own total."""
     in_year = F.when((F.col("period_type") == "annual") & (F.col("year") == 2024), "2024").when(F.col("period") == "2025-H1", "2025-H1")
     told = regions.select(F.lit("regions").alias("table"), in_year.alias("period"), F.col("region_code"), F.col("victims").alias("value")).where(F.col("period").isNotNull())
     of = lambda rows, period: rows.select(F.lit("communes").alias("table"), F.lit(period).alias("period"), region_code_of(F.col("region_name")).alias("region_code"), F.col("victims").alias("value"))
     rows = told.unionByName(of(annual, "2024")).unionByName(of(recent, "2025-H1"))
     spark = regions.sparkSession
-    expected = spark.createDataFrame([(t, p, n) for t in ("regions", "communes") for p, n in dims.HOMICIDE_CONTROL.items()], "table string, period string, value long")
+    expected = spark.createDataFrame([(t, p, n) for t in ("regions", "communes") for p, n in control.items()], "table string, period string, value long")
     by_region = lambda t: rows.where((F.col("table") == t) & (F.col("period") == "2024"))
     listed = by_region("communes").select("region_code").distinct()
     own = by_region("regions").join(listed, "region_code", "left_semi").groupBy("region_code").agg(F.sum("value").alias("value"))
@@ -106,14 +108,14 @@ def homicide_checked(regions: DataFrame, annual: DataFrame, recent: DataFrame) -
         raise ValueError(f"victims miss their control totals: {wrong}")
 
 
-def homicide_rows(regions: DataFrame, annual: DataFrame, recent: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+def homicide_rows(regions: DataFrame, annual: DataFrame, recent: DataFrame, codes: DataFrame | None = None, control: Mapping[str, int] = dims.HOMICIDE_CONTROL) -> DataFrame:
     """Region and commune rows of the three audited tables, checked against the control totals.
 
     regions: year, period, period_type, region_code, region_name, victims, rate_100k; annual: region_name, commune_name, victims,
     rate_100k, population; recent: region_name, commune_name, victims; codes: name_norm, commune_code, as a codes sheet gives them.
     """
     regions = regions.withColumn("region_code", F.lpad(F.col("region_code").cast("string"), 2, "0"))
-    homicide_checked(regions, annual, recent)
+    homicide_checked(regions, annual, recent, control)
     fixed = [*[F.lit(v).alias(k) for k, v in VICTIMS.items()], F.lit(0.65).alias("weight")]
     first = F.when(F.col("period_type") == "annual", ANNUAL_SOURCE).otherwise(RECENT_SOURCE)
     whole = regions.select(

@@ -48,14 +48,28 @@ def cells(master: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     return held(known.agg(*sums, first.alias("who")))
 
 
-def series(own: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
-    """(layer..., component, code, year, v): values of cells by component. Fallback labels count only where a layer has no component's row at all."""
-    kinds = F.broadcast(dims.components(own.sparkSession, layers))
-    of = ["layer_at", "layer", "layer_weight", "component_at", "component", "component_label", "component_weight", "priority"]
-    rows = own.where((F.col("rows") > 0) & F.col("code").isNotNull() & F.col("year").isNotNull())
-    summed = rows.join(kinds, F.col("norm") == F.col("label")).groupBy(*of, "code", "year").agg(F.sum("v").alias("v"))
-    first = summed.groupBy("layer").agg(F.min("priority").alias("priority"))  # a row for each layer
-    return summed.join(F.broadcast(first), ["layer", "priority"])
+class Occurring:
+    """What one pass over the cells tells: the latest year, and the components that occur. A layer's fallback labels count, the first that occurs, only where no component of it does."""
+
+    def __init__(self, own: DataFrame, layers: dict = dims.LAYERS):
+        rows = dims.component_rows(layers)
+        known = F.when(_observed() & F.col("norm").isin(*{r[7] for r in rows}), F.col("norm"))
+        found = own.agg(F.max("year").alias("latest"), F.collect_set(known).alias("labels")).first()  # a set of the labels of the components
+        self.latest, labels = found["latest"], set(found["labels"])
+        here = [r for r in rows if r[7] in labels]
+        first = {layer: min(r[8] for r in here if r[1] == layer) for layer in {r[1] for r in here}}
+        self.kinds = [r for r in here if r[8] == first[r[1]]]
+
+
+def _observed() -> Column:
+    return (F.col("rows") > 0) & F.col("code").isNotNull() & F.col("year").isNotNull()
+
+
+def series(own: DataFrame, told: Occurring) -> DataFrame:
+    """(layer..., component, code, year, v): values of cells by component."""
+    kinds = F.broadcast(own.sparkSession.createDataFrame(told.kinds, dims.COMPONENT_SCHEMA))
+    of = ["layer_at", "layer", "layer_weight", "component_at", "component", "component_label", "component_weight"]
+    return own.where(_observed()).join(kinds, F.col("norm") == F.col("label")).groupBy(*of, "code", "year").agg(F.sum("v").alias("v"))
 
 
 def distributions(values: DataFrame) -> DataFrame:
@@ -76,12 +90,12 @@ def distributions(values: DataFrame) -> DataFrame:
 
 def component_metrics(master: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
     """Intensity, persistence, trend, anomaly and score of each (component, commune) observed in the latest year."""
-    return cell_metrics(cells(master), layers)
+    own = cells(master)
+    return cell_metrics(own, Occurring(own, layers))
 
 
-def cell_metrics(own: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
-    latest = F.broadcast(own.agg(F.max("year").alias("latest")))  # one row
-    rows = series(own, layers).join(latest, F.col("year") <= F.col("latest"))
+def cell_metrics(own: DataFrame, told: Occurring) -> DataFrame:
+    rows = series(own, told)
     own_years = Window.partitionBy("component", "code")
     before = own_years.orderBy("year").rowsBetween(-3, -1)
     timed = rows.join(distributions(rows.select("component", "year", "v")), ["component", "year", "v"]).withColumns({
@@ -89,7 +103,7 @@ def cell_metrics(own: DataFrame, layers: dict = dims.LAYERS) -> DataFrame:
         "persistence": half_even(100.0 * F.sum((F.col("v") >= F.col("q75")).cast("int")).over(own_years) / F.count("*").over(own_years), 2),
         "years_observed": F.count("*").over(own_years),
     })
-    now = timed.where(F.col("year") == F.col("latest"))
+    now = timed.where(F.col("year") == F.lit(told.latest))
     scored = now.select(
         "layer_at", "layer", "layer_weight", "component_at", "component", "component_label", "component_weight", "code", "year", F.col("v").alias("value"),
         half_even(F.when(F.col("n") <= 1, 50.0).otherwise(100.0 * (F.col("less") + 0.5 * F.col("equal")) / F.col("n")), 2).alias("intensity"), "persistence",
@@ -115,14 +129,14 @@ def geographic_scores(master: DataFrame, layers: dict = dims.LAYERS) -> DataFram
     `layers` holds a struct for each layer with its label, weight, score, coverage and the observed components' details.
     """
     own = cells(master)
-    scored = layer_scores(cell_metrics(own, layers), layers)
+    told = Occurring(own, layers)
+    scored = layer_scores(cell_metrics(own, told), layers)
     per = [F.max(F.when(F.col("layer") == name, F.col(c))).alias(f"{name}_{c}") for name in layers for c in ("layer_score", "coverage")]
     details = [F.first(F.when(F.col("layer") == name, F.col("components")), ignorenulls=True).alias(f"{name}_components") for name in layers]
     weights = sum(w for w, _, _ in layers.values())
     total = scored.groupBy("code").agg(F.sum(F.col("layer_weight") * F.col("layer_score")).alias("__num"), F.sum("layer_weight").alias("__den"), F.sum(F.col("layer_weight") * F.col("coverage")).alias("__cov"), *per, *details)
     communes = own.where(F.col("code").isNotNull()).groupBy("code").agg(F.min_by("who", F.coalesce("who.at", F.lit(0))).alias("who"))
-    latest = F.broadcast(own.agg(F.max("year").alias("year")))
-    joined = communes.join(latest, F.col("year").isNotNull()).join(total, "code", "left")
+    joined = communes.where(F.lit(told.latest is not None)).withColumn("year", F.lit(told.latest).cast("int")).join(total, "code", "left")
     score = half_even(F.try_divide("__num", "__den"), 2)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     none: Column = F.array().cast(scored.schema["components"].dataType)

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from comarca import dims
 from comarca.files import held
 from comarca.functions.stats import clamp, half_even, priority_level, tie_rank_percentile, upper_median, with_percentiles
-from comarca.functions.text import norm
+from comarca.functions.text import norm, once
 from comarca.operators.merge import one_per
+from comarca.plans.rollups import totals
 
 AML_CLASSES, ORG_CLASSES = ("base_19913", "proxy_19913"), ("crimen_organizado_proxy",)
 
@@ -22,22 +23,25 @@ def regional_pressure(rows: DataFrame) -> DataFrame:
     """rows: year, region_code, crime_category, value, aml_class, weight of region rows, region_name where they have it. One row for each (year, region)."""
     name = F.col("region_name") if "region_name" in rows.columns else F.lit(None).cast("string")
     rows = rows.withColumns({"weight": F.coalesce("weight", F.lit(0.1)), "__name": name})
-    over = lambda *keys: F.sum("value").over(Window.partitionBy(*keys))  # noqa: E731  a year has a row for each region and category
-    joined = rows.withColumns({"region_total": over("year", "region_code"), "category_total": over("year", "crime_category"), "year_total": over("year")})
+    # Regions and categories of a year are a fixed few: their totals come from one exchange, and meet the cells by broadcast.
+    sums = totals(rows, ["year", "region_code", "crime_category"], [["year", "region_code"], ["year", "crime_category"], ["year"]])
+    joined = rows
+    for level, (name, keys) in enumerate((("region_total", ["year", "region_code"]), ("category_total", ["year", "crime_category"]), ("year_total", ["year"]))):
+        own = F.broadcast(sums.where(F.col("level") == level).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("value").alias(name)))
+        joined = joined.join(own, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).drop(*[f"__{k}" for k in keys])
     floor = lambda c: F.greatest(F.col(c), F.lit(1)).cast("double")
     quotient = (F.col("value") / floor("region_total")) / (floor("category_total") / floor("year_total"))
     part = F.log1p("value") * clamp(quotient, 0.25, 3.0) * F.col("weight")
     aml, org = F.col("aml_class").isin(*AML_CLASSES), F.col("aml_class").isin(*ORG_CLASSES)
-    raw = held(joined.groupBy("year", "region_code").agg(
+    raw = joined.groupBy("year", "region_code").agg(
         # sums come in any order: nine digits decide who ties
         F.round(F.sum(F.when(aml, part).otherwise(0.0)), 9).alias("raw_aml"), F.round(F.sum(F.when(org, part).otherwise(0.0)), 9).alias("raw_org"), F.sum((aml & (F.col("value") > 0)).cast("double")).alias("diversity"),
         F.min("__name").alias("region_name"),
-    ))
-    # The year before is the table's, not the region's: a region that skipped it starts anew.
-    years = raw.select("year").distinct().withColumn("at", F.dense_rank().over(Window.orderBy("year")))  # a row for each year
-    timed = raw.join(F.broadcast(years), "year")
-    earlier = timed.select("region_code", (F.col("at") + 1).alias("at"), F.col("raw_aml").alias("before"))
-    timed = timed.join(earlier, ["region_code", "at"], "left")
+    )
+    # The year before is the table's, not the region's: a region that skipped it starts anew. There is a row for each year and region.
+    timed = raw.withColumn("at", F.dense_rank().over(Window.orderBy("year")))
+    own = Window.partitionBy("region_code").orderBy("at")
+    timed = timed.withColumn("before", F.when(F.lag("at").over(own) == F.col("at") - 1, F.lag("raw_aml").over(own)))
     trend = F.when(F.col("before") > 0, 50.0 + 50.0 * clamp((F.col("raw_aml") - F.col("before")) / F.col("before"), -1.0, 1.0)).otherwise(50.0)
     ranked = timed.select("year", "region_code", "region_name", trend.alias("trend"), *[tie_rank_percentile(F.col(c), F.col("region_code"), ["year"]).alias(p) for c, p in (("raw_aml", "p_aml"), ("raw_org", "p_org"), ("diversity", "p_div"))])
     score = half_even(0.55 * F.col("p_aml") + 0.25 * F.col("p_org") + 0.10 * F.col("trend") + 0.10 * F.col("p_div"), 1)
@@ -149,7 +153,7 @@ ACTIVITY = ("territory_id", "region_code", "region_name", "commune_name", "crime
 def current_activity(master: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """The latest year's drug cases of each commune against the calendar year before; family rows before group rows."""
     label = norm(F.col("crime_category"))
-    rank = F.when(label == dims.DRUG_FAMILY_LABEL, 0).when(label == dims.DRUG_GROUP_LABEL, 1)
+    rank = once(label, lambda n: F.when(n == dims.DRUG_FAMILY_LABEL, 0).when(n == dims.DRUG_GROUP_LABEL, 1))
     rows = master.withColumns({"__rank": rank, "cases_policiales": F.coalesce("value", F.lit(0))}).where(F.col("__rank").isNotNull() & F.col("score_eligible"))
     shown = [c for c in ACTIVITY if c in master.columns]
     best = one_per(rows.select("year", "commune_code", "__rank", ordinal, "cases_policiales", *shown), ["year", "commune_code"], [F.col("__rank"), F.col(ordinal)])

@@ -34,7 +34,7 @@ def norm_sql(c: str) -> str:
 
 
 def steady(sql: str) -> str:
-    """round_even(x, n) with x rounded to nine digits first, as half_even() does: sums come in any order, and ties must not depend on it."""
+    """round_even(x, n) as half_even() does it: x rounded to nine digits, as sums come in any order, and then half to even in whole numbers, not in binary ones."""
     out, at = "", 0
     while (start := sql.find("round_even(", at)) >= 0:
         open_ = start + len("round_even(")
@@ -43,7 +43,10 @@ def steady(sql: str) -> str:
             depth += {"(": 1, ")": -1}.get(sql[end], 0)
             comma = end if sql[end] == "," and depth == 1 else comma
             end += 1
-        out += f"{sql[at:start]}round_even(round({steady(sql[open_:comma])}, 9){sql[comma:end]}"
+        digits = int(sql[comma + 1 : end - 1])
+        unit, whole = 10 ** (9 - digits), "(abs(v) // {u})"
+        even = f"sign(v) * ({whole} + CASE WHEN 2 * (abs(v) % {{u}}) > {{u}} OR (2 * (abs(v) % {{u}}) = {{u}} AND {whole} % 2 = 1) THEN 1 ELSE 0 END)".replace("{u}", str(unit))
+        out += f"{sql[at:start]}list_transform([CAST(round(({steady(sql[open_:comma])}) * 1e9) AS HUGEINT)], lambda v: CAST({even} AS DOUBLE) / {10**digits})[1]"
         at = end
     return out + sql[at:]
 
@@ -286,6 +289,24 @@ def homicide_pressure(spark, sf_dir):
     return found.select("territory_id", "homicide_pressure_score", "pressure_level", "victims_2024", "shrunk_rate_2024", "victims_h1_2025")
 
 
+@query(f"""
+    WITH base AS ({COMMUNE_LIKE_SQL}),
+    rows AS (SELECT *, 0 AS ordinal FROM base UNION ALL SELECT territory_id, value + 1, recent_h1_2025_victims + 2, population * 2, rate_100k * 3, 1 FROM base WHERE population % 2 = 0),
+    last AS (SELECT * FROM rows WHERE ordinal = 1 OR territory_id NOT IN (SELECT territory_id FROM rows WHERE ordinal = 1)),
+    figures AS (SELECT *, greatest(1, population) / (greatest(1, population) + 50000.0::DOUBLE) AS rel FROM last),
+    shrunk AS (SELECT *, rel * rate_100k + (1 - rel) * 6.0::DOUBLE AS rate, ln(1 + value) AS volume, CAST(recent_h1_2025_victims AS DOUBLE) AS recent FROM figures),
+    scored AS (SELECT territory_id, round_even(rate, 2) AS shrunk_rate_2024, round_even(0.55::DOUBLE * ({_place('rate')}) + 0.25::DOUBLE * ({_place('volume')}) + 0.20::DOUBLE * ({_place('recent')}), 1) AS s FROM shrunk)
+    SELECT CAST(2024 AS INTEGER) AS year, '2025-H1' AS recent_period, rows.territory_id, 'r ' || rows.territory_id AS region_name, s AS homicide_pressure_score, {LEVEL_SQL.format('s')} AS pressure_level, value AS victims_2024, rate_100k AS rate_100k_2024,
+           population AS population_2024, shrunk_rate_2024, recent_h1_2025_victims AS victims_h1_2025, 'homicide_pressure_v0.2' AS method FROM rows JOIN scored ON scored.territory_id = rows.territory_id""")
+def homicide_repeated(spark, sf_dir):
+    """Half of the territories come twice, and rows of regions and of another period beside them: the last row counts for both, the others not at all."""
+    base = _commune_like(spark, sf_dir).withColumns({"ordinal": F.lit(0), "territory_level": F.lit("commune"), "period": F.lit("2024"), "region_name": F.concat(F.lit("r "), "territory_id")})
+    again = base.where(F.col("population") % 2 == 0).withColumns({"value": F.col("value") + 1, "recent_h1_2025_victims": F.col("recent_h1_2025_victims") + 2, "population": F.col("population") * 2, "rate_100k": F.col("rate_100k") * 3, "ordinal": F.lit(1)})
+    other = base.withColumns({"territory_level": F.lit("region"), "ordinal": F.lit(5)}).unionByName(base.withColumns({"period": F.lit("2025-H1"), "ordinal": F.lit(6)}))
+    found = priorities.homicide_pressure(again.unionByName(base).unionByName(other))
+    return found.select("year", "recent_period", "territory_id", "region_name", "homicide_pressure_score", "pressure_level", "victims_2024", "rate_100k_2024", "population_2024", "shrunk_rate_2024", "victims_h1_2025", "method")
+
+
 @query(f"""
     WITH rows AS (SELECT territory_id, rate_100k, CASE WHEN value % 3 <> 0 THEN population END AS population, CASE WHEN value % 3 <> 0 THEN recent_h1_2025_victims END AS frequency FROM ({COMMUNE_LIKE_SQL})),
     prior AS (SELECT list_sort(list(rate_100k))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS prior FROM rows),
@@ -311,12 +332,28 @@ def shrunk_priority(spark, sf_dir):
     SELECT region_code, year, crime_category, CAST(value AS BIGINT) AS value, 'region' AS territory_level FROM facts
     UNION ALL SELECT 'CL', year, crime_category, CAST(sum(value) AS BIGINT), 'national' FROM facts GROUP BY year, crime_category""")
 def national_rollup(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("crime_category"))
-    rows = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).groupBy(F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("region_code"), "year", "crime_category").agg(F.count("*").alias("value"))
+    """Regions and the nation from one pass over the orders."""
+    facts = _orders_by_region(spark, sf_dir).withColumn("value", F.lit(1).cast("long"))
+    return rollups.regions_and_nation(facts)
+
+
+@query("""
+    WITH facts AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS region_code, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS crime_category, count(*) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
+    SELECT region_code, year, crime_category, CAST(value AS BIGINT) AS value, 'region' AS territory_level FROM facts
+    UNION ALL SELECT 'CL', year, crime_category, CAST(sum(value) AS BIGINT), 'national' FROM facts GROUP BY year, crime_category""")
+def national_rows(spark, sf_dir):
+    """The nation's rows appended to those of the regions."""
+    rows = _orders_by_region(spark, sf_dir).groupBy("region_code", "year", "crime_category").agg(F.count("*").alias("value"))
     shaped = rows.withColumns({"territory_level": F.lit("region"), "metric": F.lit("delitos_ingresados"), "source_id": F.lit("orders")})
     return rollups.with_national(shaped).select("region_code", "year", "crime_category", "value", "territory_level")
 
 
+def _orders_by_region(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("crime_category"))
+    joined = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    return joined.select(F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("region_code"), "year", "crime_category")
+
+
 @query("""
     SELECT CAST(year(ts) AS INTEGER) AS year, CASE WHEN user_id % 10 <> 0 THEN user_id END AS commune_code, event_type AS crime_category, CAST(round_even(sum(value), 4) AS DOUBLE) AS value
     FROM events GROUP BY ALL""")
@@ -381,9 +418,9 @@ def topk_activity(spark, sf_dir):
     return export.top_activity(totals).select("commune_code", "cases_policiales", "shown")
 
 
-@query(f"WITH facts AS ({SPARSE_SQL}) SELECT crime_category, list_sort(list(DISTINCT year)) AS years FROM facts WHERE value > 3 GROUP BY 1")
+@query(f"WITH facts AS ({SPARSE_SQL}) SELECT crime_category, list_sort(list(DISTINCT year)) AS years FROM facts GROUP BY 1")
 def years_distinct_array(spark, sf_dir):
-    return rollups.years_by(sparse(spark, sf_dir).where(F.col("value") > 3), "crime_category")
+    return rollups.years_by(sparse(spark, sf_dir), "crime_category")
 
 
 @query(f"WITH facts AS ({SPARSE_SQL}) SELECT year, crime_category, count(DISTINCT commune_code) AS communes, count(DISTINCT commune_code) >= 60 AS accepted FROM facts GROUP BY ALL")
@@ -545,6 +582,16 @@ def norm_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.norm(F.col("text")).alias("norm"))
 
 
+@query(f"""
+    WITH said AS (SELECT doc_id, 'Tráﬁco de ½ kilo, № ' || doc_id || ' ㎏ Ⅷ ﬃ … ' || coalesce(text, '') AS t FROM documents),
+    plain AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(t, 'ﬁ', 'fi'), '½', '12'), '№', 'No'), '㎏', 'kg'), 'Ⅷ', 'VIII'), 'ﬃ', 'ffi'), '…', '...') AS t FROM said)
+    SELECT doc_id, {norm_sql('t')} AS norm FROM plain""")
+def norm_expanded(spark, sf_dir):
+    """Texts that begin with ligatures, fractions and signs, which become several letters."""
+    said = F.concat(F.lit("Tráﬁco de ½ kilo, № "), F.col("doc_id").cast("string"), F.lit(" ㎏ Ⅷ ﬃ … "), F.coalesce("text", F.lit("")))
+    return table(spark, sf_dir, "documents").select("doc_id", text.norm(said).alias("norm"))
+
+
 @query(f"SELECT p_partkey, replace({norm_sql('p_name')}, ' ', '-') AS slug, {norm_sql('p_name')} AS norm FROM part")
 def name_slug(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text.slug(F.col("p_name")).alias("slug"), text.norm(F.col("p_name")).alias("norm"))

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from comarca import dims
 from comarca.bindings import DENSE_SQL, SPARSE_SQL, TIERED_SQL, dense, sparse, table, tiered
 from comarca.files import new_folder, write_text
-from comarca.functions import text
+from comarca.functions import stats, text
 from comarca.operators import classify, export, merge, places
 from comarca.plans import publish, rollups
-from comarca.queries import norm_sql, query
-from comarca.sources import html, osint, pages, tables, xls
+from comarca.queries import PRODUCER, norm_sql, query
+from comarca.sources import communal, html, osint, pages, tables, xls
 from comarca.streaming import upserts
 
 
@@ -498,3 +498,122 @@ def legacy_keys(spark, sf_dir):
     code = text.padded_code((F.col("n_nationkey") * 7).cast("double"), 5)
     region = F.lpad(F.col("n_regionkey").cast("string"), 2, "0")
     return _nations(spark, sf_dir).select("n_nationkey", code.alias("code"), text.legacy_commune_id(F.when(F.col("n_nationkey") % 2 == 0, code), region, F.col("n_name")).alias("territory_id"))
+
+
+@query("""
+    SELECT CAST(count(*) AS BIGINT) AS rows, CAST(min(o_orderdate) AS DATE)::VARCHAR AS min_date, CAST(max(o_orderdate) AS DATE)::VARCHAR AS max_date, count(DISTINCT c_nationkey) AS communes, count(DISTINCT o_orderpriority || CASE WHEN o_orderkey % 2 = 0 THEN ' ' ELSE '' END) AS offenses,
+           list_sort(list(DISTINCT CAST(year(o_orderdate) AS INTEGER))) AS years
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 7 <> 0""")
+def bridge_stats(spark, sf_dir):
+    """Dates, years, places and labels as they are written; rows whose code cannot be read do not count."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    joined = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    monthly = joined.select(
+        F.lit("c").alias("comuna"), F.when(F.col("o_orderkey") % 7 != 0, F.col("c_nationkey").cast("string")).otherwise("s/c").alias("cut_comuna"), F.lit("r").alias("region"), F.lit(1).alias("cut_region"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha"),
+        F.concat("o_orderpriority", F.when(F.col("o_orderkey") % 2 == 0, " ").otherwise("")).alias("delito"), F.lit(1).alias("delito_n"),
+    )
+    return tables.bridge_stats(tables.monthly_bridge(monthly, 1900))
+
+
+@query("""
+    SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Delitos asociados a drogas' ELSE 'CRÍMENES y simples delitos: Ley de Drogas' END AS crime_category FROM orders WHERE o_orderkey % 4 < 2""")
+def drug_family(spark, sf_dir):
+    k = F.col("o_orderkey") % 4
+    label = F.when(k == 0, "Delitos asociados a drogas").when(k == 1, "CRÍMENES y simples delitos: Ley de Drogas").when(k == 2, "Homicidios")
+    return classify.drug_family(table(spark, sf_dir, "orders").select("o_orderkey", label.alias("crime_category")))
+
+
+@query("""
+    WITH counts AS (SELECT c_nationkey % 28 + 1 AS district, c_mktsegment || ' ' || (c_nationkey % 28 + 1) AS commune_name, count(*) AS n FROM customer GROUP BY ALL)
+    SELECT 'annual' AS kind, CAST(district AS INTEGER) AS district, commune_name, CAST(n + 1000 AS BIGINT) AS population, CAST(n AS DOUBLE) AS rate_100k, CAST(round_even(n * (n + 1000) / 100000.0::DOUBLE, 0) AS BIGINT) AS frequency, 'usable' AS quality_status, 1.0::DOUBLE AS aml_weight FROM counts
+    UNION ALL SELECT 'latest', CAST(district AS INTEGER), commune_name, n + 2000, CAST(n AS DOUBLE) / 4, n, CASE WHEN district % 3 = 0 THEN 'quarantined_duplicate_section' ELSE 'usable' END, CASE WHEN district % 3 = 0 THEN 0.0 ELSE 1.0 END::DOUBLE FROM counts""")
+def communal_control(spark, sf_dir):
+    """The pages of the districts, made of customers by nation and segment, read, checked and put together; every third district repeats a section."""
+    counts = table(spark, sf_dir, "customer").groupBy((F.col("c_nationkey") % 28 + 1).alias("district"), F.concat_ws(" ", "c_mktsegment", (F.col("c_nationkey") % 28 + 1).cast("string")).alias("name")).agg(F.count("*").alias("n"))
+    n, odd = F.col("n"), F.col("district") % 3 != 0
+    plain = lambda c: F.translate(F.format_number(c, 2), ",.", ".,")
+    annual = _cells(F.col("name"), F.lit("--"), plain(n.cast("double")), F.lit("--"), F.lit("--"))
+    late = lambda extra: _cells(F.col("name"), F.lit("1"), (n + extra).cast("string"), (n + 1000).cast("string"), (n + 2000).cast("string"), F.lit("1,5"), plain(n / 4))
+    body = lambda c: F.concat(F.lit("<table>"), F.concat_ws("", F.array_sort(F.collect_list(c))), F.lit("</table>"))
+    pages_ = counts.groupBy("district").agg(
+        F.concat(F.lit("<h5>Tasas anuales denuncias según Familia de delitos</h5>"), body(annual)).alias("annual"),
+        F.concat(F.lit("<h6>Delitos contra la vida: frecuencia y tasa</h6>"), body(late(F.when(odd, 1).otherwise(0))), F.lit("<h6>Violencia intrafamiliar: frecuencia y tasa</h6>"), body(late(F.lit(7))), F.lit("<h6>Delitos asociados a drogas: frecuencia y tasa</h6>"), body(late(F.lit(0)))).alias("latest"),
+    )
+    fetched = communal.targets(spark).join(pages_, "district").withColumns({"html": F.when(F.col("kind") == "annual", F.col("annual")).otherwise(F.col("latest")), "sha256": F.sha2("url", 256), "bytes": F.lit(1).cast("long"), "retrieved_at": F.lit("t"), "ok": F.lit(True), "error": F.lit(None).cast("string")}).drop("annual", "latest")
+    rows, _, _ = communal.communal(fetched)
+    late_ = F.col("period_type") == "q3_ytd"
+    return rows.select(F.when(late_, "latest").otherwise("annual").alias("kind"), "district", "commune_name", "population", "rate_100k", F.when(late_, F.col("value")).otherwise(F.col("estimated_frequency")).alias("frequency"), "quality_status", "aml_weight")
+
+
+@query("""
+    WITH people AS (SELECT n_nationkey % 16 AS r, n_name, count(*) AS victims FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+    recent AS (SELECT n_nationkey % 16 AS r, n_name, count(*) AS victims FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 AND n_nationkey % 3 <> 0 GROUP BY ALL),
+    codes(r, code) AS (VALUES (0,'15'),(1,'01'),(2,'02'),(3,'03'),(4,'04'),(5,'05'),(6,'13'),(7,'06'),(8,'07'),(9,'16'),(10,'08'),(11,'09'),(12,'14'),(13,'10'),(14,'11'),(15,'12'))
+    SELECT 'commune' AS territory_level, code AS region_code, p.n_name AS commune_name, CAST(p.victims AS BIGINT) AS value, CAST(coalesce(recent.victims, 0) AS BIGINT) AS recent_h1_2025_victims,
+           CASE WHEN recent.victims IS NULL THEN 'derived_zero_not_listed_in_complete_positive_table' ELSE 'observed_positive' END AS recent_h1_2025_status, CAST(p.victims * 10 AS BIGINT) AS population
+    FROM people p JOIN codes USING (r) LEFT JOIN recent ON recent.n_name = p.n_name
+    UNION ALL SELECT 'region', code, NULL, CAST(sum(victims) AS BIGINT), NULL, NULL, NULL FROM people JOIN codes USING (r) GROUP BY code""")
+def homicide_rows(spark, sf_dir):
+    """Customers by nation as the three tables of victims, whose totals are checked against each other."""
+    joined = table(spark, sf_dir, "customer").join(F.broadcast(_nations(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
+    region = F.col("n_nationkey") % len(dims.REGIONS)
+    code, name = (F.array(*[F.lit(x) for x in part])[region] for part in (list(dims.REGIONS), list(dims.REGIONS.values())))
+    by = [name.alias("region_name"), F.col("n_name").alias("commune_name")]
+    annual = joined.groupBy(*by).agg(F.count("*").alias("victims"), F.lit(1.0).alias("rate_100k"), (F.count("*") * 10).alias("population"))
+    recent = joined.where((F.col("c_acctbal") > 0) & (F.col("n_nationkey") % 3 != 0)).groupBy(*by).agg(F.count("*").alias("victims"))
+    regions = joined.groupBy(F.lit(2024).alias("year"), F.lit("2024").alias("period"), F.lit("annual").alias("period_type"), code.alias("region_code"), name.alias("region_name")).agg(F.count("*").alias("victims"), F.lit(1.0).alias("rate_100k"))
+    total = {"2024": joined.count(), "2025-H1": recent.agg(F.sum("victims")).first()[0]}
+    late = joined.where((F.col("c_acctbal") > 0) & (F.col("n_nationkey") % 3 != 0)).groupBy(F.lit(2025).alias("year"), F.lit("2025-H1").alias("period"), F.lit("h1").alias("period_type"), code.alias("region_code"), name.alias("region_name")).agg(F.count("*").alias("victims"), F.lit(1.0).alias("rate_100k"))
+    rows = places.homicide_rows(regions.unionByName(late), annual, recent, control=total)
+    return rows.where(F.col("period") == "2024").select("territory_level", "region_code", "commune_name", "value", "recent_h1_2025_victims", "recent_h1_2025_status", "population")
+
+
+@query("""
+    SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS region_code, c_acctbal AS amount FROM customer""")
+def csv_round_trip(spark, sf_dir):
+    """Codes keep their zeros through a CSV file, under the schema given."""
+    folder = new_folder(spark, "csv")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("region_code"), F.col("c_acctbal").alias("amount"))
+    rows.write.csv(folder, header=True)
+    return tables.csv(spark, folder, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))
+
+
+@query("""
+    WITH rows AS (SELECT c_nationkey, count(*) AS n, sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) AS before FROM customer GROUP BY 1)
+    SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS commune_code, n AS cases_policiales, round_even((n - before) * 100.0 / before, 1) AS yoy_pct, row_number() OVER (ORDER BY n DESC, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') DESC) AS place FROM rows""")
+def dashboard_payload(spark, sf_dir):
+    """What the page's data document holds of the activity, in its order."""
+    folder = new_folder(spark, "dashboard")
+    code = F.lpad(F.col("c_nationkey").cast("string"), 5, "0")
+    activity = table(spark, sf_dir, "customer").groupBy(code.alias("commune_code")).agg(F.count("*").alias("cases_policiales"), F.count_if(F.col("c_acctbal") > 0).alias("previous_cases_policiales"))
+    activity = activity.withColumn("yoy_pct", stats.half_even((F.col("cases_policiales") - F.col("previous_cases_policiales")) * 100.0 / F.col("previous_cases_policiales"), 1))
+    regions = activity.select(F.col("commune_code").alias("region_code"), F.col("commune_code").alias("region_name"), F.col("cases_policiales").cast("double").alias("pressure_score"), F.lit("alta").alias("pressure_level"))
+    status = activity.select(F.col("commune_code").cast("int").alias("ordinal"), F.col("commune_code").alias("source_id"), F.lit(True).alias("ok"))
+    export.dashboard(folder, {"coverage": {}}, activity, regions, dims.catalog(spark), status)
+    shown = tables.document(spark, f"{folder}/data.json")["activity"]
+    return spark.createDataFrame([(r["commune_code"], r["cases_policiales"], r["yoy_pct"], k) for k, r in enumerate(shown, 1)], "commune_code string, cases_policiales long, yoy_pct double, place long")
+
+
+@query(f"""
+    WITH facts AS ({DENSE_SQL})
+    SELECT 'EVT-COMARCA-' || left(sha256('CL-COM-' || commune_code || '|' || year || '|' || crime_category || '|lineitem'), 24) AS event_id, 'CL-COM-' || commune_code AS territory_id, 'EVD-COMARCA-' || left(sha256('cead|d|2025'), 20) AS evidence_id, 'CURRENT' AS freshness_state,
+           CAST(value AS BIGINT) AS value FROM facts""")
+def interop_files(spark, sf_dir):
+    """Events as the export's files hold them."""
+    folder = new_folder(spark, "interop")
+    lineage = spark.createDataFrame([("cead", "d", "2025")], "source_id string, content_sha256 string, retrieved_at string")
+    export.interop_export(dense(spark, sf_dir).withColumn("source_id", F.lit("lineitem")), lineage, folder, PRODUCER)
+    events = spark.read.json(f"{folder}/territory_events_fusion")
+    return events.select("event_id", F.col("territory_ids")[0].alias("territory_id"), F.col("evidence_ids")[0].alias("evidence_id"), "temporal.freshness_state", F.col("attributes.value").alias("value"))
+
+
+@query("""
+    WITH told AS (SELECT page_id, page_id % 3 <> 2 AS ok FROM pages)
+    SELECT page_id, ok, CASE WHEN ok THEN sha256('u' || page_id) END AS evidence_sha256, CASE WHEN NOT ok THEN 'down' END AS error, CASE WHEN NOT ok THEN true END AS static_rules_available FROM told""")
+def legal_evidence(spark, sf_dir):
+    """Status of legal documents, one for each page; the rules stand where a document is down."""
+    ok = F.col("ordinal") % 3 != 2
+    targets = table(spark, sf_dir, "pages").select(F.col("page_id").alias("ordinal"), F.col("page_id").cast("string").alias("source_id"), F.concat(F.lit("u"), F.col("page_id").cast("string")).alias("url"), F.lit("norma_juridica").alias("observation_unit"))
+    got = targets.select("url", ok.alias("ok"), F.when(ok, F.sha2("url", 256)).alias("sha256"), F.lit(1).cast("long").alias("bytes"), F.lit("t").alias("retrieved_at"), F.when(~ok, "down").alias("error"))
+    _, status = pages.legal_evidence(targets, got)
+    return status.select(F.col("source_id").cast("long").alias("page_id"), "ok", "evidence_sha256", "error", "static_rules_available")

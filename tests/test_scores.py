@@ -83,3 +83,23 @@ def test_national_rows_are_appended_once(spark):
     rows = spark.createDataFrame([("01", 2024, "x", 3, "region", "m", "s"), ("02", 2024, "x", 4, "region", "m", "s"), ("9", 2024, "x", 99, "commune", "m", "s")], "region_code string, year int, crime_category string, value long, territory_level string, metric string, source_id string")
     found = rollups.with_national(rows)
     assert found.count() == 4 and found.where("territory_level = 'national'").first()["value"] == 7
+
+
+def test_a_repeated_territory_has_one_score(spark):
+    shape = "territory_id string, territory_level string, period string, rate_100k double, population long, value long, recent_h1_2025_victims long, ordinal int, commune_name string"
+    rows = [("a", "commune", "2024", 90.0, 10, 9, 9, 0, "A"), ("b", "commune", "2024", 5.0, 1000, 5, 1, 1, "B"), ("a", "commune", "2024", 1.0, 1_000_000, 1, 0, 2, "A"), ("c", "region", "2024", 99.0, 1, 99, 99, 3, "C"), ("b", "commune", "2025-H1", 99.0, 1, 99, 99, 4, "B")]
+    found = sorted((r["territory_id"], r["homicide_pressure_score"], r["shrunk_rate_2024"], r["victims_2024"], r["rate_100k_2024"], r["population_2024"], r["commune_name"]) for r in priorities.homicide_pressure(spark.createDataFrame(rows, shape)).collect())
+    assert found == [("a", 0.0, 1.24, 1, 1.0, 1_000_000, "A"), ("a", 0.0, 1.24, 9, 90.0, 10, "A"), ("b", 100.0, 5.98, 5, 5.0, 1000, "B")]
+
+
+def test_scores_say_what_they_are(spark):
+    """Names, methods and interpretations beside the figures."""
+    rows = spark.createDataFrame([(2024, "13", "Metropolitana", "DELITOS LEY DE DROGAS", 5, "base_19913", 1.0), (2024, "05", "Valparaíso", "HURTOS", 7, "contexto_general", 0.0)], "year int, region_code string, region_name string, crime_category string, value long, aml_class string, weight double")
+    pressure = priorities.regional_pressure(rows)
+    found = {r["region_code"]: r for r in pressure.collect()}
+    assert found["13"]["region_name"] == "Metropolitana" and found["13"]["method"] == "proxy_mp_v0.1" and found["05"]["interpretation"].startswith("Presión delictual AML (proxy)")
+    latest = priorities.latest_region_priority(pressure).first()
+    assert latest["method"] == "ministerio_publico_aml_proxy_v0.3" and "peso cero" in latest["interpretation"]
+    master = spark.createDataFrame([(y, "13101", "Delitos asociados a drogas", True, v, y, "Santiago", "family:4") for y, v in ((2022, 50), (2023, 80), (2024, 100))], "year int, commune_code string, crime_category string, score_eligible boolean, value long, ordinal int, commune_name string, article27_mapping_key string")
+    (row,) = priorities.current_activity(master).collect()
+    assert (row["year"], row["previous_year"], row["cases_policiales"], row["previous_cases_policiales"], row["yoy_pct"], row["commune_name"], row["article27_mapping_key"]) == (2024, 2023, 100, 80, 25.0, "Santiago", "family:4") and "no es tasa" in row["interpretation"]
