@@ -38,7 +38,7 @@ from comarca.llm.sentencepiece_bpe import MARK, BpeEncoder
 from comarca.llm.token_files import _LETTERS, _SYMBOLS
 
 #: Units, groups and characters of a worker's units at which it starts anew; entries (documents' distinct groups) at which a block closes.
-UNITS, GROUPS, WEIGHT, ENTRIES = 500_000, 400_000, 40_000_000, 3_000_000
+UNITS, GROUPS, WEIGHT, ENTRIES = 300_000, 300_000, 25_000_000, 1_500_000
 #: New units that are encoded and aligned at once.
 MANY = 8192
 _ODD = re.compile(f"[^ \\n0-9{_LETTERS}{_SYMBOLS}]|{MARK}")

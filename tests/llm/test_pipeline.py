@@ -120,5 +120,5 @@ def test_stages_keep_the_columns_and_empty_tables(spark):
 
 def test_registered():
     names = queries.queries()
-    assert sorted({n.split("_")[0] for n in names}, key=lambda n: int(n[2:])) == [f"op{k}" for k in range(1, 11)]
+    assert sorted({n.split("_")[0] for n in names}, key=lambda n: int(n[2:])) == [f"op{k}" for k in range(1, 14)]
     assert set(queries.oracle_sql()) <= set(names)
