@@ -41,7 +41,8 @@ def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", F.year("l_shipdate").alias("year"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     sold = line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return sold.groupBy(_code("l_suppkey", 5).alias("commune_code"), "year", F.col("p_brand").alias("crime_category")).agg(F.count("*").alias("value"))
+    counted = sold.groupBy("l_suppkey", "year", "p_brand").agg(F.count("*").alias("value"))
+    return counted.select(_code("l_suppkey", 5).alias("commune_code"), "year", F.col("p_brand").alias("crime_category"), "value")
 
 
 SPARSE_SQL = """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,22 +48,24 @@ def with_percentiles(rows: DataFrame, of: Mapping[str, str], key: str) -> DataFr
     return pivoted.select(key, "__row.*", *names)
 
 
-def at_rank(values: DataFrame, column: str, place) -> DataFrame:
+def at_rank(values: DataFrame, column: str, place: Callable[[int], int]) -> DataFrame:
     """One row `value`: the element of sorted values numbered place(n), from 0; nulls are no values. None where there is none.
 
-    Values fall into bands that keep their order (an eighth of a doubling each, some thousand in all); the bands' counts tell which
-    one holds the place, and only that one's values are sorted.
+    Values fall into bands that keep their order, an eighth of a doubling each; the bands' counts, some thousand at most, tell which
+    one holds the place, and only that one's values are sorted. The values are read twice, so hold what is dear to make.
     """
     v = F.col(column).cast("double")
     band = F.floor(F.signum(v) * 8 * F.log2(1 + F.abs(v)))
-    tally = values.where(v.isNotNull()).groupBy(band.alias("__band"), v.alias("value")).agg(F.count("*").alias("__n"))
-    bands = tally.groupBy("__band").agg(F.sum("__n").alias("__rows"))
-    order = Window.orderBy("__band")  # a row for each band
-    told = bands.select("__band", (F.sum("__rows").over(order) - F.col("__rows")).alias("__above"), F.sum("__rows").over(order).alias("__upto"), F.sum("__rows").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__all"))
-    wanted = place(F.col("__all"))
-    one = told.where((wanted >= F.col("__above")) & (wanted < F.col("__upto"))).select("__band", (wanted - F.col("__above")).alias("__place"))
-    inside = tally.join(F.broadcast(one), "__band").withColumn("__until", F.sum("__n").over(Window.partitionBy("__band").orderBy("value")))
-    return inside.where(F.col("__until") > F.col("__place")).agg(F.min("value").alias("value"))
+    known = values.where(v.isNotNull())
+    bands = sorted(tuple(r) for r in known.groupBy(band.alias("band")).count().collect())
+    n = sum(rows for _, rows in bands)
+    wanted = place(n)
+    for one, rows in bands:
+        if wanted < rows:
+            break
+        wanted -= rows
+    inside = known.where((band == F.lit(one)) if bands else F.lit(False)).groupBy(v.alias("value")).agg(F.count("*").alias("__n"))
+    return inside.withColumn("__until", F.sum("__n").over(Window.orderBy("value"))).where(F.col("__until") > wanted).agg(F.min("value").alias("value"))
 
 
 def interpolated(value: Column, less: Column, equal: Column, n: Column, q: float, by: Sequence[Column | str]) -> Column:
@@ -97,7 +99,7 @@ def order_statistics(values: DataFrame, by: Sequence[str], column: str, quantile
 
 def upper_median(values: DataFrame, column: str) -> DataFrame:
     """One row `value`: the element numbered n div 2 (from 0) of the sorted values."""
-    return at_rank(values, column, lambda n: F.floor(n / 2))
+    return at_rank(values, column, lambda n: n // 2)
 
 
 def trend_score(current: Column, mean: Column) -> Column:

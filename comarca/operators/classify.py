@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comarca import dims
-from comarca.functions.text import norm
+from comarca.functions.text import norm, once
 
 
 def taxonomy_annotated(rows: DataFrame, version: str = dims.TAXONOMY_VERSION) -> DataFrame:
@@ -46,12 +47,12 @@ def family_mapped(rows: DataFrame) -> DataFrame:
     return rows.drop("article27_relation", "score_eligible", "aml_weight", "mapping_confidence").join(known, "cead_family_key", "left")
 
 
-def segments(ranges: DataFrame) -> list[tuple[int, int, int]]:
+def segments(rules: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(low, high, ordinal) of overlapping ranges (ordinal, low, high) cut into disjoint ones: the smallest ordinal holds what several cover.
 
     Rules are a table that people write, thousands at most; their ends are swept once on the driver.
     """
-    rules = sorted((r["ordinal"], r["low"], r["high"]) for r in ranges.select("ordinal", "low", "high").collect() if r["low"] <= r["high"])
+    rules = sorted(r for r in rules if r[1] <= r[2])
     opens: dict[int, list[int]] = {}
     closes: dict[int, list[int]] = {}
     for ordinal, low, high in rules:
@@ -82,19 +83,23 @@ def ranged(rows: DataFrame, ranges: DataFrame, number: str, into: str = "range")
     The ranges become disjoint segments in a sorted array, where each number finds its segment by halving, as an expression of
     the row itself: no row meets a range that it does not lie in, however many ranges there are.
     """
-    found = segments(ranges)
+    found = segments(tuple(r) for r in ranges.select("ordinal", "low", "high").collect())
     if not found:
         return rows.withColumn(into, F.lit(None).cast(ranges.schema.simpleString()))
+    placed = rows.withColumn("__at", _rule_at(found, F.col(number)))
+    rules = F.broadcast(ranges.select(F.col("ordinal").cast("long").alias("__rule"), F.struct(*ranges.columns).alias(into)))  # the rules themselves, a row each
+    return placed.drop(into).join(rules, F.col("__at") == F.col("__rule"), "left").drop("__rule", "__at")
+
+
+def _rule_at(found: list[tuple[int, int, int]], number: Column) -> Column:
+    """The ordinal of the segment that holds a number; null if none does."""
     low, high, ordinals = (F.from_json(F.lit(json.dumps(x)), "array<long>") for x in zip(*found, strict=True))  # constants, folded once
     last = F.lit(len(found) - 1)
     # Halving: after all steps the last segment that starts at or below the number is left.
     halves = F.array(*[F.lit(1 << k) for k in reversed(range(len(found).bit_length()))])
-    step = lambda place, n: F.when((place + n <= last) & (F.get(low, F.least(place + n, last)) <= F.col(number)), place + n).otherwise(place)
-    placed = rows.withColumn("__at", F.aggregate(halves, F.lit(-1), step))
-    inside = (F.col("__at") >= 0) & (F.get(high, F.greatest(F.col("__at"), F.lit(0))) >= F.col(number))
-    placed = placed.withColumn("__at", F.when(inside, F.get(ordinals, F.greatest(F.col("__at"), F.lit(0)))))
-    rules = F.broadcast(ranges.select(F.col("ordinal").cast("long").alias("__rule"), F.struct(*ranges.columns).alias(into)))  # the rules themselves, a row each
-    return placed.drop(into).join(rules, F.col("__at") == F.col("__rule"), "left").drop("__rule", "__at")
+    step = lambda place, n: F.when((place + n <= last) & (F.get(low, F.least(place + n, last)) <= number), place + n).otherwise(place)
+    inside = lambda at: F.when((at >= 0) & (F.get(high, F.greatest(at, F.lit(0))) >= number), F.get(ordinals, F.greatest(at, F.lit(0))))
+    return once(F.aggregate(halves, F.lit(-1), step), inside)
 
 
 def legal_classified(rows: DataFrame, code: str = "code", ranges: DataFrame | None = None) -> DataFrame:
@@ -109,7 +114,12 @@ def legal_classified(rows: DataFrame, code: str = "code", ranges: DataFrame | No
     exact = F.broadcast(dims.legal_codes(spark).select(F.col("code").alias("__code"), F.struct("class", "confidence", "basis", "rule_type").alias("__exact")))
     default = F.struct(*[F.lit(x).alias(n) for n, x in zip(("class", "confidence", "basis"), dims.LEGAL_DEFAULT, strict=True)], F.lit("default").alias("rule_type"))
     joined = rows.withColumn("__number", number).join(exact, F.col("__number") == F.col("__code"), "left")
-    within = ranged(joined, dims.legal_ranges(spark) if ranges is None else ranges, "__number", "__range")
+    if ranges is None:  # the fixed ones are a few constants
+        fixed = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(("class", "confidence", "basis"), r[2:], strict=True)]) for r in dims.LEGAL_RANGES])
+        at = _rule_at(segments((k, *r[:2]) for k, r in enumerate(dims.LEGAL_RANGES)), F.col("__number"))
+        within = joined.withColumn("__range", F.get(fixed, at.cast("int")))
+    else:
+        within = ranged(joined, ranges, "__number", "__range")
     held = F.when(F.col("__range").isNotNull(), F.struct("__range.class", "__range.confidence", "__range.basis", F.lit("range").alias("rule_type")))
     rule = F.coalesce("__exact", held, default)
     return within.withColumn("__rule", rule).withColumns({

@@ -151,13 +151,16 @@ ACTIVITY = ("territory_id", "region_code", "region_name", "commune_name", "crime
 
 
 def current_activity(master: DataFrame, ordinal: str = "ordinal") -> DataFrame:
-    """The latest year's drug cases of each commune against the calendar year before; family rows before group rows."""
-    label = norm(F.col("crime_category"))
-    rank = once(label, lambda n: F.when(n == dims.DRUG_FAMILY_LABEL, 0).when(n == dims.DRUG_GROUP_LABEL, 1))
-    rows = master.withColumns({"__rank": rank, "cases_policiales": F.coalesce("value", F.lit(0))}).where(F.col("__rank").isNotNull() & F.col("score_eligible"))
-    shown = [c for c in ACTIVITY if c in master.columns]
-    best = one_per(rows.select("year", "commune_code", "__rank", ordinal, "cases_policiales", *shown), ["year", "commune_code"], [F.col("__rank"), F.col(ordinal)])
-    found = year_on_year(best.drop("__rank", ordinal), ["commune_code"], "cases_policiales")
+    """The latest year's drug cases of each commune against the calendar year before; family rows before group rows.
+
+    What a row is worth is asked where rows of a commune's year meet, not of every row of the fact that master is made of.
+    """
+    rank = once(norm(F.col("crime_category")), lambda n: F.when(n == dims.DRUG_FAMILY_LABEL, 0).when(n == dims.DRUG_GROUP_LABEL, 1))
+    cases = F.coalesce("value", F.lit(0)).alias("cases_policiales")
+    shown = [F.col(c) for c in ACTIVITY if c in master.columns]
+    worth = F.when(rank.isNotNull() & F.col("score_eligible"), F.struct(rank, F.col(ordinal)))  # rows worth nothing are passed over
+    best = master.groupBy("year", "commune_code").agg(F.min_by(F.struct(*shown, cases), worth).alias("__own")).where(F.col("__own").isNotNull()).select("year", "commune_code", "__own.*")
+    found = year_on_year(best, ["commune_code"], "cases_policiales")
     return found.withColumns({"previous_year": F.col("year") - 1, "interpretation": F.lit(dims.ACTIVITY_TEXT)})
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from comarca import dims
 from comarca.bindings import DENSE_SQL, REGIONAL_SQL, SPARSE_SQL, TIERED_SQL, dense, regional, sparse, table, tiered
+from comarca.files import held
 from comarca.functions import stats, text
 from comarca.operators import classify, export, merge, places
 from comarca.plans import geographic, priorities, rollups
@@ -52,13 +53,13 @@ def steady(sql: str) -> str:
 
 
 def query(sql: str | None = None):
-    def held(f: Query) -> Query:
+    def kept(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql is not None:
             ORACLES[f.__name__] = steady(sql)
         return f
 
-    return held
+    return kept
 
 
 # ---- The geographic score ---------------------------------------------------------------------------------------
@@ -198,7 +199,7 @@ def quantiles(spark, sf_dir):
 @query(f"WITH facts AS ({SPARSE_SQL}), totals AS (SELECT commune_code, sum(value) AS total FROM facts GROUP BY 1) SELECT CAST(list_sort(list(total))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS DOUBLE) AS value FROM totals")
 def upper_median_of_all(spark, sf_dir):
     """Of all places' totals, in bands."""
-    return stats.upper_median(sparse(spark, sf_dir).groupBy("commune_code").agg(F.sum("value").alias("total")), "total")
+    return stats.upper_median(held(sparse(spark, sf_dir).groupBy("commune_code").agg(F.sum("value").alias("total"))), "total")
 
 
 PRESSURE_CTES = f"""
@@ -269,9 +270,10 @@ COMMUNE_LIKE_SQL = f"""
 
 def _commune_like(spark, sf_dir):
     year = F.year("l_shipdate")
-    return table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("CL-"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("territory_id")).agg(
+    counted = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
         F.count_if(year <= 1998).alias("value"), F.count_if(year > 2000).alias("recent_h1_2025_victims"), (F.sum("l_linenumber") * 97).alias("population"), (F.count_if(F.col("l_returnflag") == "R").cast("double") / 8).alias("rate_100k"),
     )
+    return counted.select(F.concat(F.lit("CL-"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("territory_id"), "value", "recent_h1_2025_victims", "population", "rate_100k")
 
 
 def _place(c: str) -> str:
@@ -407,7 +409,8 @@ DRUG_SQL = """
     FROM best a LEFT JOIN best b ON b.commune_code = a.commune_code AND b.year = a.year - 1 WHERE a.year = (SELECT max(year) FROM best)""")
 def current_activity(spark, sf_dir):
     label = F.when(F.col("l_returnflag") == "R", "Delitos asociados a drogas").when(F.col("l_returnflag") == "A", "Crímenes y simples delitos Ley de Drogas").otherwise("Homicidios")
-    rows = table(spark, sf_dir, "lineitem").groupBy(F.lpad(F.col("l_suppkey").cast("string"), 5, "0").alias("commune_code"), F.year("l_shipdate").alias("year"), label.alias("crime_category")).agg(F.count("*").alias("value"))
+    counted = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("year"), "l_returnflag").agg(F.count("*").alias("value"))
+    rows = counted.select(F.lpad(F.col("l_suppkey").cast("string"), 5, "0").alias("commune_code"), "year", label.alias("crime_category"), "value")
     found = priorities.current_activity(rows.withColumns({"score_eligible": F.lit(True), "ordinal": F.lit(0)}))
     return found.select("year", "commune_code", "crime_category", "cases_policiales", "previous_cases_policiales", "yoy_pct")
 

@@ -51,7 +51,7 @@ def test_overlapping_ranges(spark):
     r = random.Random(1)
     rules = [(k, low, low + r.randint(-1, 40), f"c{k}") for k, low in enumerate(r.randint(-50, 400) for _ in range(120))]
     ranges = spark.createDataFrame(rules, "ordinal int, low long, high long, class string")
-    cut = classify.segments(ranges)
+    cut = classify.segments(r[:3] for r in rules)
     assert all(a <= b for a, b, _ in cut) and all(x[1] < y[0] for x, y in zip(cut, cut[1:], strict=False))
     numbers = [*range(-60, 450), None]
     found = {x["n"]: x["range"] and x["range"]["class"] for x in classify.ranged(spark.createDataFrame([(n,) for n in numbers], "n long"), ranges, "n").collect()}
