@@ -33,11 +33,11 @@ def regional_pressure(rows: DataFrame) -> DataFrame:
     quotient = (F.col("value") / floor("region_total")) / (floor("category_total") / floor("year_total"))
     part = F.log1p("value") * clamp(quotient, 0.25, 3.0) * F.col("weight")
     aml, org = F.col("aml_class").isin(*AML_CLASSES), F.col("aml_class").isin(*ORG_CLASSES)
-    raw = joined.groupBy("year", "region_code").agg(
+    raw = held(joined.groupBy("year", "region_code").agg(
         # sums come in any order: nine digits decide who ties
         F.round(F.sum(F.when(aml, part).otherwise(0.0)), 9).alias("raw_aml"), F.round(F.sum(F.when(org, part).otherwise(0.0)), 9).alias("raw_org"), F.sum((aml & (F.col("value") > 0)).cast("double")).alias("diversity"),
         F.min("__name").alias("region_name"),
-    )
+    ))
     # The year before is the table's, not the region's: a region that skipped it starts anew. There is a row for each year and region.
     timed = raw.withColumn("at", F.dense_rank().over(Window.orderBy("year")))
     own = Window.partitionBy("region_code").orderBy("at")
