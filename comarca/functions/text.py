@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterable
 
@@ -42,6 +43,12 @@ def _ascii(c: Column) -> Column:
     return once(F.translate(c, "".join(ONE), "".join(ONE.values())), rest)
 
 
+def plain(value: str, keep: str = "") -> str:
+    """norm() of a constant."""
+    ascii_ = unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode().lower()
+    return re.sub(f"[^a-z0-9{keep}]+", " ", ascii_).strip()
+
+
 def norm(c: Column, keep: str = "") -> Column:
     """Accents off, other non-ASCII dropped, lower case, runs of other characters one space; null gives the empty text.
 

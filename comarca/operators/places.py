@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comarca import dims
-from comarca.functions.text import commune_code, commune_id, legacy_commune_id, norm_name
+from comarca.functions.text import commune_code, commune_id, legacy_commune_id, norm_name, plain
 from comarca.operators.merge import one_per
 from comarca.plans.rollups import control_totals
 
@@ -66,9 +66,8 @@ def codes_status(coded: DataFrame, least: int = dims.LEAST_COMMUNES) -> DataFram
 
 def region_code_of(name: Column) -> Column:
     """The code of a region by its official or short name, however it is accented and written."""
-    long = [x for code, label in dims.REGIONS.items() for x in (norm_name(F.lit(label)), F.lit(code))]
-    short = [F.lit(x) for kv in dims.SHORT_REGIONS.items() for x in kv]
-    return F.coalesce(*[F.create_map(*pairs)[norm_name(name)] for pairs in (long, short)])
+    known = dims.SHORT_REGIONS | {plain(label.replace("`", "'"), "'"): code for code, label in dims.REGIONS.items()}
+    return F.create_map(*[F.lit(x) for kv in known.items() for x in kv])[norm_name(name)]
 
 
 # Fixed values of the homicide rows' contract.

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from comarca import dims
-from comarca.functions.text import commune_code, is_commune, legacy_commune_id, norm, norm_or_none, parse_number
+from comarca.functions.text import commune_code, is_commune, legacy_commune_id, norm, norm_or_none, once, parse_number, plain
 from comarca.operators.classify import family_mapped
 from comarca.plans.rollups import quarantined_duplicates
 
@@ -158,7 +158,7 @@ def tagged(nodes: Column, *tags: str) -> Column:
 def table_after(nodes: Column, needles: Sequence[str]) -> Column:
     """The number of the first table after the first heading that says all needles, normalised, and has a table after it."""
     tables = F.transform(tagged(nodes, "table"), lambda n: n["at"])
-    says = lambda h: F.forall(F.array(*[F.lit(norm_needle) for norm_needle in needles]), lambda n: F.contains(norm(h["text"]), norm(n)))
+    says = lambda h: once(norm(h["text"]), lambda t: F.forall(F.array(*[F.lit(plain(n)) for n in needles]), lambda n: F.contains(t, n)))
     heading = F.get(F.filter(tagged(nodes, *HEADINGS), lambda h: (h["at"] < F.array_max(tables)) & says(h)), F.lit(0))["at"]
     return F.array_min(F.filter(tables, lambda t: t > heading))
 

@@ -19,7 +19,7 @@ def column(spark, values, of, kind="string"):
 
 
 def test_norm_is_the_definition(spark):
-    assert column(spark, LABELS, text.norm) == [plain(v) for v in LABELS]
+    assert column(spark, LABELS, text.norm) == [plain(v) for v in LABELS] == [text.plain(v or "") for v in LABELS]
     every = [f"a{chr(p)}B" for p in range(0x20, 0x20000) if not 0xD800 <= p < 0xE000]
     mixed = ["".join(every[k : k + 40]) for k in range(0, len(every), 977)] + ["Tráﬁco ½ № x", "№" * 3000, "ĳ" + "漢" * 500 + "㎏"]
     assert column(spark, every + mixed, text.norm) == [plain(v) for v in every + mixed]
