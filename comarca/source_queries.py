@@ -469,14 +469,13 @@ def page_charsets(spark, sf_dir):
     SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_quantity AS BIGINT)::VARCHAR AS quantity, CASE WHEN kind = 0 THEN 'fila ' || l_linenumber ELSE l_linenumber::VARCHAR END AS label FROM lines""")
 def page_tables(spark, sf_dir):
     """Each order as a page whose lines stand in a table under a heading with marks in it; other tables, headings without a table, scripts and tables in cells stand around."""
-    nested = F.col("l_orderkey") % 3 == 0
-    number, quantity = F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("long").cast("string")
-    label = F.when(nested, F.concat(F.lit("fila <strong>"), number, F.lit("</strong><script>var casos = '<td>';</script>"))).otherwise(number)
-    row = F.concat(F.lit("<tr><td>"), label, F.lit("</td><td>"), quantity, F.lit("</td></tr>"))
-    body = F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", row.alias("row")))), lambda x: x["row"]))
+    before, after = (F.when(F.col("l_orderkey") % 3 == 0, F.lit(x)).otherwise("") for x in ("fila <strong>", "</strong><script>var casos = '<td>';</script>"))
+    row = lambda x: F.concat(F.lit("<tr><td>"), before, x["number"].cast("string"), after, F.lit("</td><td>"), x["quantity"].cast("string"), F.lit("</td></tr>"))
+    lines = F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").alias("number"), F.col("l_quantity").cast("long").alias("quantity"))))
     head = F.lit("<div><h5>Otra tabla</h5><table><tr><td>Casos <strong>por</strong> línea</td><td>0</td></tr></table></i><h4>Casos <em>por</em> <strong>línea</strong> &amp; pedido</h4><p>nota</p><table>")
-    made = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.concat(head, body, F.lit("</table><h6>Casos por línea</h6></div>")).alias("html"))
-    found = html.rows_under(html.with_nodes(made), ("casos por linea pedido",))
+    orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(lines.alias("lines"))
+    made = orders.select("l_orderkey", F.concat(head, F.concat_ws("", F.transform("lines", row)), F.lit("</table><h6>Casos por línea</h6></div>")).alias("html"))
+    found = html.tables_under(made, {"lines": ("casos por linea pedido",)})
     return found.select("l_orderkey", F.regexp_extract(F.col("cells")[0], r"(\d+)$", 1).cast("long").alias("l_linenumber"), F.col("cells")[1].alias("quantity"), F.col("cells")[0].alias("label"))
 
 

@@ -8,7 +8,10 @@ scripts and styles are no text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import lru_cache
+from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -27,6 +30,10 @@ CELLS = ("td", "th")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: Elements whose text a reader does not see as the page's.
 UNSEEN = {"script", "style", "template", "rt", "rp"}
+#: Elements whose tags have no rules of their own: a page of these alone, without attributes, is read by cutting it at its tags; scripts and styles are cut out whole.
+PLAIN = frozenset("html body div span p h1 h2 h3 h4 h5 h6 table thead tbody tfoot tr td th strong em b i u small a ul ol li section article main header footer nav br hr".split())
+_PLAIN_TAGS = PLAIN | {f"/{tag}" for tag in PLAIN} | {None}
+_TAG = re.compile(r"<(?:(script|style)>(?:(?!</).)*</\1|(/?[a-z][a-z0-9]*))>", re.DOTALL)
 #: Rows of pages that leave a task together, from so many on.
 MANY = 1000
 #: The whole page as a node.
@@ -34,12 +41,17 @@ PAGE = "#page"
 
 
 class _Tree(HTMLParser):
-    """Elements in document order: [tag, parent, end, first text, text after the last, attributes]; and the page's visible texts, each stripped.
+    """Elements in document order: [tag, parent, end, first text, text after the last, attributes]; and the page's visible texts.
 
     An end tag closes the nearest open element of its name, and what is open within; one that closes nothing is passed over.
     """
 
     def __init__(self, page: str):
+        parts = _TAG.split(page)
+        if _PLAIN_TAGS.issuperset(parts[2::3]) and "<" not in "".join(parts[::3]):
+            self.nodes = _grown(tuple(parts[1::3]), tuple(parts[2::3]))
+            self.texts = [unescape(x) for x in parts[::3]] if "&" in page else parts[::3]
+            return
         super().__init__(convert_charrefs=True)
         self.nodes: list[list] = [[PAGE, -1, 0, 0, 0, {}]]
         self.texts: list[str] = []
@@ -101,6 +113,29 @@ class _Tree(HTMLParser):
         return out[::-1]
 
 
+@lru_cache(maxsize=256)
+def _grown(raw: tuple[str | None, ...], tags: tuple[str | None, ...]) -> list[list]:
+    """The nodes of a page of PLAIN elements, from its tags (/ before those that close) and the scripts and styles between; a text stands before and after each of them. Pages of one template share them."""
+    nodes: list[list] = [[PAGE, -1, 0, 0, 0, {}]]
+    open_, names = [0], [PAGE]
+    for k, (whole, tag) in enumerate(zip(raw, tags, strict=True), 1):
+        if whole or tag in VOID:
+            nodes.append([whole or tag, open_[-1], len(nodes), k, k, {}])
+        elif tag[0] != "/":
+            nodes.append([tag, open_[-1], 0, k, 0, {}])
+            open_.append(len(nodes) - 1)
+            names.append(tag)
+        elif tag[1:] in names:
+            while True:
+                nodes[open_[-1]][2], nodes[open_[-1]][4] = len(nodes) - 1, k
+                open_.pop()
+                if names.pop() == tag[1:]:
+                    break
+    for at in open_:
+        nodes[at][2], nodes[at][4] = len(nodes) - 1, len(tags) + 1
+    return nodes
+
+
 NODE = "struct<at:int,end:int,tag:string,text:string,cells:array<string>,within:array<int>>"
 _NODE = pa.struct([("at", pa.int32()), ("end", pa.int32()), ("tag", pa.string()), ("text", pa.string()), ("cells", pa.list_(pa.string())), ("within", pa.list_(pa.int32()))])
 
@@ -183,6 +218,40 @@ def rows_under(pages: DataFrame, needles: Sequence[str]) -> DataFrame:
     return found.select(*kept, F.posexplode(rows_within(F.col("nodes"), F.col("__table"))).alias("row_at", "cells"))
 
 
+#: Pages of one template have the same headings.
+_said = lru_cache(maxsize=256)(plain)
+
+
+def _rows_under(tree: _Tree, needles: Sequence[str]) -> list[list[str]]:
+    """What table_after() and rows_within() find, in a page that is at hand; needles are normalised. What lies in an element are the numbers up to its end."""
+    tables = [at for at, n in enumerate(tree.nodes) if n[0] == "table"]
+    for at in range(tables[-1] if tables else 0):
+        if tree.nodes[at][0] in HEADINGS:
+            said = _said(tree.text(at))
+            if all(x in said for x in needles):
+                table = next(t for t in tables if t > at)
+                break
+    else:
+        return []
+    within = lambda k, *tags: [x for x in range(k + 1, tree.nodes[k][2] + 1) if tree.nodes[x][0] in tags]
+    rows = ([tree.text(cell) for cell in within(row, *CELLS)] for row in within(table, "tr"))
+    return [cells for cells in rows if cells]
+
+
+def tables_under(pages: DataFrame, needles: Mapping[str, Sequence[str]], html: str = "html") -> DataFrame:
+    """pages without html, and the rows under each name's heading (the first that says its needles and has a table after it): under, row_at, cells.
+
+    What rows_under() finds, told where the page is read: only these rows leave the task, not all nodes of the page.
+    """
+    sought = {name: [plain(x) for x in own] for name, own in needles.items()}
+
+    def found(page: str) -> list[tuple]:
+        tree = _Tree(page)
+        return [(name, k, cells) for name, own in sought.items() for k, cells in enumerate(_rows_under(tree, own))]
+
+    return _per_page(pages, html, (), {"under": ("string", pa.string()), "row_at": ("int", pa.int32()), "cells": ("array<string>", pa.list_(pa.string()))}, found)
+
+
 def links(pages: DataFrame, html: str = "html", base: str | None = None) -> DataFrame:
     """pages without html, and each link: link_at, href, title, the text of the element around it, and its address against the column `base` (null where there is none)."""
 
@@ -204,7 +273,7 @@ def _joined(base: str | None, href: str | None) -> str | None:
 
 def annual_rates(pages: DataFrame, families: Mapping[str, str] = dims.ANNUAL_FAMILIES) -> DataFrame:
     """pages (district, region_code, region_name, html) -> a row for each commune and family with a rate; columns by position."""
-    rows = rows_under(with_nodes(pages), ("tasas anuales denuncias", "familia de delitos"))
+    rows = tables_under(pages, {"annual": ("tasas anuales denuncias", "familia de delitos")})
     name = F.element_at("cells", 1)
     kept = rows.where((F.size("cells") >= 5) & is_commune(name)).select(*DISTRICT, name.alias("commune_name"), F.posexplode(F.slice("cells", 2, 4)).alias("at", "cell"))
     key, label = (F.array(*[F.lit(f) for f in x])[F.col("at")] for x in (list(families), list(families.values())))
@@ -231,9 +300,7 @@ FIGURES = ("freq_2024", "freq_2025", "pop_2024", "pop_2025", "rate_2024", "rate_
 
 def latest_sections(pages: DataFrame) -> DataFrame:
     """Rows of the three sections with all six figures, from one reading of the pages."""
-    nodes = F.col("nodes")
-    sections = F.array(*[F.struct(F.lit(section).alias("section"), rows_within(nodes, table_after(nodes, (heading, "frecuencia", "tasa"))).alias("rows")) for section, heading in SECTIONS.items()])
-    found = with_nodes(pages).select(*DISTRICT, F.explode(sections).alias("s")).select(*DISTRICT, "s.section", F.explode("s.rows").alias("cells"))
+    found = tables_under(pages, {section: (heading, "frecuencia", "tasa") for section, heading in SECTIONS.items()}).select(*DISTRICT, F.col("under").alias("section"), "cells")
     kept = found.where((F.size("cells") >= 7) & is_commune(F.element_at("cells", 1)))
     figures = [parse_number(F.element_at("cells", k)).alias(f) for k, f in enumerate(FIGURES, 2)]
     return kept.select(*DISTRICT, "section", F.element_at("cells", 1).alias("commune_name"), *figures).dropna(subset=list(FIGURES))

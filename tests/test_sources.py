@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from comarca import files
+from comarca import files, queries, source_queries  # noqa: F401  the last registers its queries
 from comarca.sources import communal, html, osint, pages, tables, xls
 from comarca.streaming import upserts
 
@@ -93,6 +93,25 @@ def test_page_tree(spark):
     assert {r["source_id"]: (r["ok"], r["available_years"], r["error"]) for r in status.collect()} == {"s": (True, [2020, 2021], None), "x": (False, None, "down")}
 
 
+def test_rows_leave_a_page_where_it_is_read(spark, monkeypatch):
+    pages = ["<i>x</i><h4>Casos <em>por</em> día &amp; mes</h4></b><table><tr><td>a&nbsp;b<td>c</tr><tr></tr><tr><th>d<table><tr><td>e</td></tr></table></th></tr></table><h4>Casos por dia</h4>", "<h4>CASOS por día</h4><script>'<td></p'</script><table><tr><td>f<script>'<td>'</script><br>g", "<h4 class='x'>casos por dia</h4><!-- <table> --><table><tr><td title='>'>h</td></tr></table>", "<h4>casos por dia</h4>", "", None]
+    frame = spark.createDataFrame(list(enumerate(pages)), "k int, html string")
+    found = sorted((r["k"], r["row_at"], r["cells"]) for r in html.tables_under(frame, {"x": ("casos por dia",)}).collect())
+    assert found == [(0, 0, ["a b c", "c"]), (0, 1, ["d e", "e"]), (0, 2, ["e"]), (1, 0, ["f g"]), (2, 0, ["h"])]
+    assert found == sorted((r["k"], r["row_at"], r["cells"]) for r in html.rows_under(html.with_nodes(frame), ("casos por dia",)).collect())
+    # A page that is cut at its tags is the tree that the parser makes of it.
+    draw, bits = random.Random(1), ["<td>", "</td>", "<tr>", "</tr>", "<table>", "</table>", "<p>", "</p>", "<br>", "</br>", "<h4>", "</h4>", " a ", "b &amp; c", "&#65", "&", "d;", "<script>'<td>'</script>", "<style></style>"]
+    made = ["".join(draw.choices(bits, k=12)) for _ in range(500)]
+    tree = lambda page: [(*n[:3], t.text(at)) for t in [html._Tree(page)] for at, n in enumerate(t.nodes)]
+    cut = [tree(page) for page in made]
+    monkeypatch.setattr(html, "_PLAIN_TAGS", frozenset())
+    assert cut == [tree(page) for page in made]
+    # From the query's plan: rows leave the task that reads a page, not its nodes.
+    monkeypatch.undo()
+    plan = queries.QUERIES["page_tables"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "nodes" not in plan
+
+
 def test_bridge(spark):
     rows = [("Iquique", "1101", "Tarapacá", 1, d, "Drogas", n) for d, n in (("2024-01-01", 3), ("2024-02-01", 4), ("2025-01-01", 5), ("x", 9), ("2024-03-01", None), ("2019-01-01", 1))]
     rows += [("Iquique", code, "Tarapacá", 1, "2024-01-01", "Drogas", 100) for code in (None, "s/c")]
