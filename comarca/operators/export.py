@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from comarca import dims
-from comarca.files import read_text, write_text
+from comarca.files import held, read_text, write_text
 from comarca.functions.text import commune_code, commune_id, html_escaped, signed_percent, thousands
 from comarca.operators.merge import distinct_sources
 
@@ -152,7 +152,9 @@ def interop_export(master: DataFrame, lineage: DataFrame, folder: str, producer:
     """Interop rows, events, their evidence and both status documents below a folder.
 
     lineage: one row, as fusion_evidence() reads it. An empty master or a lineage without a time is an error, never an empty export.
+    The master is made once and kept in the shared folder: the files and both documents are written from it.
     """
+    master = held(master)
     if master.isEmpty():
         raise ValueError("the master is empty: what is missing is not zero")
     spark, rows, evidence = master.sparkSession, adapted(master, producer), fusion_evidence(lineage, producer)

@@ -97,6 +97,13 @@ def test_interop(spark):
         export.fusion_evidence(lineage.drop("retrieved_at", "generated_at"), PRODUCER).first()
 
 
+def test_an_export_makes_its_master_once(spark, tmp_path):
+    rows = spark.createDataFrame([("13101", 2024, None)], "commune_code string, year int, source_id string").withColumn("crime_category", F.expr("uuid()"))
+    export.interop_export(rows, spark.createDataFrame([("cead", None, None, "2025", None)], LINEAGE), str(tmp_path / "out"), PRODUCER)
+    read = lambda name: json.loads("".join(p.read_text(encoding="utf-8") for p in (tmp_path / "out" / name).glob("part-*")))
+    assert read("territory_interop")["crime_category"] == read("territory_events_fusion")["attributes"]["crime_category"]
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("13101", 2024, "á", None)], "commune_code string, year int, crime_category string, source_id string")
     lineage = spark.createDataFrame([("cead", None, None, "2025", None)], LINEAGE)
