@@ -253,9 +253,10 @@ def publish_gate(spark, sf_dir):
     best AS (SELECT *, row_number() OVER (PARTITION BY year, code, label ORDER BY side DESC, ordinal DESC) AS k FROM facts)
     SELECT year, code, label, value, source_tier FROM best WHERE k = 1""")
 def cache_buckets(spark, sf_dir):
-    """The cache in buckets, from two batches: all other rows first, then the direct ones over them."""
-    folder = new_folder(spark, "cache")
-    rows = tiered(spark, sf_dir).where(F.col("commune_code").isNotNull())
+    """The cache in buckets, from two batches: all other rows first, then the direct ones over them. The facts are made once, as files that each batch is read from."""
+    folder, facts = new_folder(spark, "cache"), new_folder(spark, "facts")
+    tiered(spark, sf_dir).where(F.col("commune_code").isNotNull()).write.parquet(facts)
+    rows = spark.read.parquet(facts)
     direct = F.col("source_tier").eqNullSafe("primary_direct")
     for n, batch in enumerate((rows.where(~direct), rows.where(direct))):
         upserts.upsert_batch(batch, n, folder, buckets=16)

@@ -251,6 +251,13 @@ def test_files(spark, tmp_path):
     assert tables.or_last_good(rows.limit(0), rows).count() == 1
 
 
+def test_cache_reads_its_facts_from_files(spark, monkeypatch):
+    seen, upsert = [], upserts.upsert_batch
+    monkeypatch.setattr(upserts, "upsert_batch", lambda batch, *a, **b: seen.append(batch.inputFiles()) or upsert(batch, *a, **b))
+    assert queries.QUERIES["cache_buckets"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(seen) == 2 and all("/facts-" in f for batch in seen for f in batch)
+
+
 def test_stream_upserts(spark, tmp_path):
     schema, out = "k int, v string, ordinal int", str(tmp_path / "out")
     (tmp_path / "in").mkdir()
