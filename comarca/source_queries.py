@@ -196,9 +196,11 @@ def commune_workbook(spark, sf_dir):
         return pa.table({"file": [f"codes_{key[0].as_py()}.xls"], "content": pa.array([xls.written(own)], pa.binary())})
 
     parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") / 50_000).cast("int").alias("file"))
-    sheets = tables.sheets_of(parts.groupBy("file").applyInArrow(book, "file string, content binary"))
-    placed = sheets.withColumn("sheet_at", F.col("sheet_at") + 100 * F.regexp_extract("file", r"_(\d+)", 1).cast("int"))
     n = parts.count()
+    # A task for each 50,000 rows: small as the parts are, whole workbooks come of them, and a task holds a few however many there are.
+    dealt = parts.repartition(n // 50_000 + 1, "file")
+    sheets = tables.sheets_of(dealt.groupBy("file").applyInArrow(book, "file string, content binary"))
+    placed = sheets.withColumn("sheet_at", F.col("sheet_at") + 100 * F.regexp_extract("file", r"_(\d+)", 1).cast("int"))
     return tables.commune_codes(placed, least=n).select("name_norm", "commune_code", "territory_id")
 
 

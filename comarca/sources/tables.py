@@ -167,6 +167,8 @@ def bridge_stats(monthly: DataFrame) -> DataFrame:
 # Workbooks: a sheet is rows of cells; the frames keep (file, sheet, sheet_at, row_at, cells) and every rule is a column expression.
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships"}
+#: Rows of a sheet that leave a task together.
+MANY = 1000
 SHEET_SCHEMA = "file string, sheet string, sheet_at int, row_at int, cells array<string>, error string"
 
 
@@ -227,12 +229,13 @@ def sheets_of(files: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for k, file in enumerate(batch.column(0).to_pylist()):
                 try:
-                    rows = [(file, *x, None) for x in _sheets(raw or b"")] or [(file, None, None, None, None, "no rows")]
+                    rows = [(file, *x, None) for x in _sheets(batch.column(1)[k].as_py() or b"")] or [(file, None, None, None, None, "no rows")]
                 except Exception as e:  # noqa: BLE001  whatever is wrong with the file, it becomes the file's status
                     rows = [(file, None, None, None, None, f"{type(e).__name__}: {e}"[:500])]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["file", "sheet", "sheet_at", "row_at", "cells", "error"])
+                for at in range(0, len(rows), MANY):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows[at : at + MANY], strict=True), kinds, strict=True)], ["file", "sheet", "sheet_at", "row_at", "cells", "error"])
 
     return files.select("file", "content").mapInArrow(run, SHEET_SCHEMA)
 

@@ -4,6 +4,7 @@ import random
 import struct
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -251,6 +252,18 @@ def test_files(spark, tmp_path):
     assert tables.or_last_good(rows.limit(0), rows).count() == 1
 
 
+def test_a_workbook_leaves_its_task_in_parts():
+    class Files:
+        select, mapInArrow = lambda self, *_: self, lambda self, run, _: run
+
+    raw = xls.written({"a": {k: [float(k)] for k in range(2500)}})
+    batch = pa.RecordBatch.from_pydict({"file": ["x", "y"], "content": pa.array([raw, b"no workbook"], pa.binary())})
+    found = list(tables.sheets_of(Files())(iter([batch])))
+    assert max(b.num_rows for b in found) <= 1000
+    rows = [r for b in found for r in b.to_pylist()]
+    assert [(r["file"], r["cells"]) for r in rows[:-1]] == [("x", [str(k)]) for k in range(2500)] and rows[-1]["file"] == "y" and rows[-1]["error"]
+
+
 def test_cache_reads_its_facts_from_files(spark, monkeypatch):
     seen, upsert = [], upserts.upsert_batch
     monkeypatch.setattr(upserts, "upsert_batch", lambda batch, *a, **b: seen.append(batch.inputFiles()) or upsert(batch, *a, **b))
