@@ -11,13 +11,15 @@ probability of about 1e-9 (six standard deviations).
 A list of postings is compared in rounds. First every member with the list's head, the member with most shared values: that
 settles groups of copies, however large, in as many pairs as they have members. Then, where members are still in
 different components, those outside the largest are compared with those in it and with each other: in short lists pair by pair, in long ones (more than
-`SHORT_LIST` members) block by block, where a task holds the sets of two blocks and gives the least member that each of
-theirs is connected to, never the pairs. Blocks of the component meet those outside it, never each other. Members of one
+`SHORT_LIST` members) block by block, where a task holds two blocks and gives the least member that each of
+theirs is connected to, never the pairs: first by signatures, and then, of members that signatures connect with another
+component, by full sets. Blocks of the component meet those outside it, never each other. Members of one
 component need no further link, so no group is ever expanded into all its pairs, and no pair of different components goes
-unseen. Nothing is capped.
+unseen. Nothing is capped. Pairs of blocks grow with the square of a group; they are dealt over waves, so that disk does not.
 
-Texts are read where they lie, once for the signatures and once for the full sets that each of two rounds confirms on. A
-filter of the wanted ids, of a fixed size, keeps the other texts out of the shuffle that brings the sets together.
+Texts are read where they lie: once for the signatures, twice in each of two rounds of pairs (a text goes to the texts that
+it is paired with, which takes less room than sets), and once for the blocks' sets. A filter of the wanted ids, of a fixed
+size, keeps the other texts out of these shuffles.
 
 Cases: documents without words (or null) have an empty set and link with nothing. Documents with fewer words than a
 shingle have their whole sequence as one. Rows that share a doc_id count as one document. Rows without a doc_id have no
@@ -28,6 +30,7 @@ batch of texts. An empty table gives an empty table. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +51,10 @@ _B = _LINE.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 SHORT_LIST = 16
 #: Shingles that a block of sets holds on average.
 BLOCK_SHINGLES = 150_000
+#: Signatures that a block of signatures holds on average.
+BLOCK_SIGNATURES = 16_384
+#: A wave of block pairs moves so many times what the members hold, or what so many blocks hold if that is more.
+WAVE, WAVE_BLOCKS = 2, 32
 #: Hashes that go through the signature's arithmetic at a time.
 _STRIDE = 1 << 16
 
@@ -123,7 +130,9 @@ def _prefixes(classes: DataFrame, matches: int, scratch: Scratch) -> DataFrame:
     value = lambda i, x: i.cast("long") * F.lit(1 << 32) + x.cast("long")
     posts = classes.select("node", "n", F.explode(F.transform("signature", lambda x, i: value(i, x))).alias("value"))
     shared = scratch.cut(posts.groupBy("value").agg(F.count("*").alias("seen")).where(F.col("seen") > 1))
-    ranked = posts.join(shared, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "value"))).alias("values"), F.count("*").alias("held"))
+    # Most values that nobody shares stay where they are; the others go to their value, and single rows from there to their node.
+    met = with_maybe(posts, "value", shared, "value").where("__maybe").drop("__maybe").join(shared, "value").repartition("node")
+    ranked = met.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "value"))).alias("values"), F.count("*").alias("held"))
     # Of the rarest COORDINATES - matches + 1 values, those that nobody shares come first.
     left = F.size("values") - F.lit(matches - 1)
     return ranked.where(left > 0).select("node", "n", "held", F.explode(F.slice("values", F.lit(1), left)).alias("x")).select("x.value", "node", "n", "held")
@@ -169,39 +178,122 @@ def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _heads_of(node: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The least node that each row is connected to by links between rows x and y."""
+    head = node.copy()
+    while True:
+        before = head.copy()
+        np.minimum.at(head, x, head[y])
+        np.minimum.at(head, y, head[x])
+        if (head == before).all():
+            return head
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the two blocks that meet. Block i lies outside; block j outside too, or inside."""
+    inside, block = (table.column(c).to_numpy() for c in ("inside", "block"))
+    i, j, within = (table.column(c)[0].as_py() for c in ("i", "j", "within"))
+    return np.flatnonzero((block == i) & ~inside), np.flatnonzero((block == j) & (inside == within))
+
+
+def _moved(node: np.ndarray, head: np.ndarray) -> pa.Table:
+    moved = head != node
+    return pa.Table.from_arrays([pa.array(node[moved]), pa.array(head[moved])], schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+
+
+def _alike(matches: int, percent: int):
+    """Links between members of different components whose signatures and sizes allow the threshold."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, n, part = (table.column(c).to_numpy() for c in ("node", "n", "part"))
+        made = table.column("signature").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        a, b = _sides(table)
+        of_b, links = np.ascontiguousarray(made[b].T), [np.zeros((2, 0), np.int64)]
+        for at in range(0, len(a), 256):  # a few rows at a time, and of their links only what joins them
+            rows = a[at : at + 256]
+            same = np.zeros((len(rows), len(b)), np.uint8)
+            for c in range(made.shape[1]):
+                same += made[rows, c][:, None] == of_b[c]
+            low, high = np.minimum(n[rows][:, None], n[b]), np.maximum(n[rows][:, None], n[b])
+            x, y = np.nonzero((same >= matches) & (low * 100 >= high * percent) & (part[rows][:, None] != part[b]))
+            head = _heads_of(row := np.arange(len(node)), rows[x], b[y])
+            links.append(np.stack([row[head != row], head[head != row]]))
+        x, y = np.concatenate(links, axis=1)
+        return _moved(node, _heads_of(node, x, y))
+
+    return run
+
+
 def _blocks(percent: int):
-    out = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    """Links confirmed on the full sets."""
 
     def run(table: pa.Table) -> pa.Table:
-        node, inside, block = (table.column(c).to_numpy() for c in ("node", "inside", "block"))
+        node = table.column("node").to_numpy()
         column = table.column("set").combine_chunks()
         flat, ends = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
         sets = [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
         n = np.diff(ends).astype(np.float32)
-        # Block i lies outside; block j outside too, or inside.
-        i, j, within = (table.column(c)[0].as_py() for c in ("i", "j", "within"))
-        pick = lambda k, side: np.flatnonzero((block == k) & (inside == side))
-        pairs = [(pick(i, False), pick(j, within))]
-        head = node.copy()
-        links = []
-        for a, b in pairs:
-            common = _common([sets[k] for k in a], [sets[k] for k in b])
-            near = common * 100 >= (n[a][:, None] + n[b][None, :] - common) * percent
-            x, y = np.nonzero(near & (node[a][:, None] != node[b][None, :]))
-            links.append((a[x], b[y]))
-        x, y = (np.concatenate(c) for c in zip(*links, strict=True))
-        while True:
-            before = head.copy()
-            np.minimum.at(head, x, head[y])
-            np.minimum.at(head, y, head[x])
-            if (head == before).all():
-                break
-        moved = head != node
-        return pa.Table.from_arrays([pa.array(node[moved]), pa.array(head[moved])], schema=out)
+        a, b = _sides(table)
+        common = _common([sets[k] for k in a], [sets[k] for k in b])
+        near = common * 100 >= (n[a][:, None] + n[b][None, :] - common) * percent
+        x, y = np.nonzero(near & (node[a][:, None] != node[b][None, :]))
+        return _moved(node, _heads_of(node, a[x], b[y]))
+
+    return run
+
+
+def _near(size: int, percent: int):
+    """Whether two texts link. Rows come by their second text, whose set is kept for the next row."""
+
+    @F.arrow_udf("boolean")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        last, held = None, np.zeros(0, np.uint64)
+        for left, right in batches:
+            out = []
+            for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True):
+                if y != last:
+                    last, held = y, shingle_hashes(y, size)
+                own = shingle_hashes(x, size)
+                common = len(np.intersect1d(own, held, assume_unique=True))
+                out.append(common > 0 and common * 100 >= (len(own) + len(held) - common) * percent)
+            yield pa.array(out, pa.bool_())
 
     return run
 
 
+def _compared(members: DataFrame, weight: str, most: int, payload: DataFrame, run, scratch: Scratch) -> DataFrame:
+    """Edges (u, v) that run finds between the blocks of each group: blocks outside meet each other and those inside.
+
+    members: group, node, inside and weight; most: the weight of a block; payload: what a task needs of each node. A node
+    goes to as many tasks as its group has blocks, so the tasks are dealt over waves, each of which moves about
+    WAVE times the members' weight, and whose shuffle is gone when the next one begins.
+    """
+    n = F.ceil(F.sum(weight) / most).cast("int").alias("blocks")
+    blocks = scratch.cut(members.groupBy("group", "inside").agg(n, F.sum(weight).alias("weight")))
+    dealt = members.select("group", "inside", "node").join(blocks.drop("weight"), ["group", "inside"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # A block outside meets the blocks outside from its own on, and all inside.
+    out_blocks = blocks.where(~F.col("inside")).select("group", F.col("blocks").alias("out"), F.col("weight").alias("w_out"))
+    in_blocks = blocks.where(F.col("inside")).select("group", F.col("blocks").alias("in"), F.col("weight").alias("w_in"))
+    sides = out_blocks.join(in_blocks, "group")
+    moved = F.sum(F.col("w_out") * (F.col("out") + F.col("in")) + F.col("w_in") * F.col("out"))
+    total = sides.agg(moved.alias("moved"), F.sum(F.col("w_out") + F.col("w_in")).alias("held")).first()
+    waves = 1 + int((total["moved"] or 0) // (WAVE * max(total["held"] or 0, WAVE_BLOCKS * most)))
+    dealt = dealt.drop("blocks").join(sides.select("group", "out", "in"), "group")
+    task = lambda i, j, within: F.struct(i.alias("i"), j.alias("j"), F.lit(within).alias("within"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.col("block")
+    beside = F.concat(F.transform(upto("out"), lambda k: task(F.least(own, k), F.greatest(own, k), False)), F.transform(upto("in"), lambda k: task(own, k, True)))
+    meets = F.when(F.col("inside"), F.transform(upto("out"), lambda k: task(k, own, True))).otherwise(beside)
+    payload = payload.withColumnRenamed("node", "__node")
+
+    def wave(k: int) -> DataFrame:
+        mine = F.filter(meets, lambda x: F.pmod(F.xxhash64("group", x["i"], x["j"], x["within"]), F.lit(waves)) == k)
+        tasks = dealt.withColumn("task", F.explode(mine)).select("group", "task.*", "block", "node", "inside")
+        return tasks.join(payload, F.col("node") == F.col("__node")).drop("__node").groupBy("group", "i", "j", "within").applyInArrow(run, "u long, v long")
+
+    return reduce(DataFrame.unionByName, (scratch.cut(wave(k)) for k in range(waves)))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, matches: int | None = None, short_list: int = SHORT_LIST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept. Documents link at 100 * intersection >= percent * union."""
     with Scratch(docs.sparkSession, "near_duplicates") as scratch:
@@ -215,26 +307,38 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, matches: int, sho
     classes = scratch.cut(sketch.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.count("*").alias("copies")))
     posts = scratch.cut(_prefixes(classes, matches, scratch).withColumn("part", F.col("node")))
 
-    def near(pairs: DataFrame) -> DataFrame:
-        """Pairs that collide in enough coordinates."""
-        side = lambda x: classes.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}"))
-        same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        return scratch.cut(pairs.join(side("a"), "a").join(side("b"), "b").where(same >= matches).select("a", "b"))
-
-    def sets(nodes: DataFrame) -> DataFrame:
-        """The full sets of nodes; of the texts, only those of nodes move."""
-        wanted = scratch.cut(nodes.select(F.col("node").alias("doc_id")).distinct())
-        some = with_maybe(rows, "doc_id", wanted, "doc_id").where("__maybe").drop("__maybe")
-        return scratch.cut(some.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _set(size)("text").alias("set")))
-
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
 
-    def confirmed(pairs: DataFrame, held: DataFrame) -> DataFrame:
-        full = lambda x: held.select(F.col("node").alias(x), F.col("set").alias(f"t{x}"))
-        both = pairs.join(full("a"), "a").join(full("b"), "b")
-        common = F.size(F.array_intersect("ta", "tb"))
-        return scratch.cut(both.withColumn("common", common).where(F.col("common") * 100 >= (F.size("ta") + F.size("tb") - F.col("common")) * percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    def near(pairs: DataFrame) -> DataFrame:
+        """Pairs that collide in enough coordinates; of the signatures, only those of pairs move."""
+        met = scratch.cut(pairs)
+        some = with_maybe(classes, "node", ends(met), "node").where("__maybe")
+        side = lambda x: some.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}"))
+        same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+        found = scratch.cut(met.join(side("a"), "a").join(side("b"), "b").where(same >= matches).select("a", "b"))
+        scratch.drop(met)
+        return found
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        """doc_id and text of the nodes in wanted, which alone move."""
+        some = with_maybe(rows, "doc_id", wanted, "node").where("__maybe").drop("__maybe")
+        return some.join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """Pairs that link by their full sets. A text goes to each node that it is paired with and that has more pairs, and no set moves."""
+        seen = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("pairs"))
+        side = lambda x: seen.select(F.col("node").alias(x), F.struct("pairs", "node").alias(f"of_{x}"))
+        ranked = pairs.join(side("a"), "a").join(side("b"), "b")
+        far, hub = F.least("of_a", "of_b")["node"].alias("far"), F.greatest("of_a", "of_b")["node"].alias("hub")
+        stars = scratch.cut(ranked.select(far, hub))
+        nodes = lambda x: scratch.cut(stars.select(F.col(x).alias("node")).distinct())
+        fars, hubs = nodes("far"), nodes("hub")
+        left = texts(fars).join(stars, F.col("doc_id") == F.col("far")).select("far", "hub", F.col("text").alias("left"))
+        both = left.join(texts(hubs).select(F.col("doc_id").alias("hub"), F.col("text").alias("right")), "hub")
+        found = scratch.cut(both.where(_near(size, percent)("left", "right")).select(F.col("far").alias("u"), F.col("hub").alias("v")))
+        scratch.drop(stars, fars, hubs)
+        return found
 
     def parted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members in the largest component of lists that hold several, and those outside it."""
@@ -248,35 +352,24 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, matches: int, sho
 
     heads = _heads(posts, scratch)
     pairs = near(_pairs(posts, heads, percent))
-    first = sets(ends(pairs))
-    edges = confirmed(pairs, first)
+    edges = confirmed(pairs)
 
     inside, outside = parted(edges)
     scratch.drop(posts, heads, pairs)
     short = F.col("length") <= short_list
     pairs = near(_pairs(outside.where(short), inside.where(short), percent).unionByName(_pairs(outside.where(short), outside.where(short), percent)).distinct())
-    member = lambda rows, within: rows.where(~short).select(F.col("first").alias("group"), "node", "n", F.lit(within).alias("inside"))
+    edges = edges.unionByName(confirmed(pairs))
+
+    # In long lists signatures are compared first, and sets only where signatures connect members of different components.
+    member = lambda rows, within: rows.where(~short).select(F.col("first").alias("group"), "node", "n", "part", F.lit(1).alias("one"), F.lit(within).alias("inside"))
     members = scratch.cut(member(inside, True).unionByName(member(outside, False)).distinct())
-    # Only sets that the first round did not bring along move now.
-    nodes = ends(pairs).unionByName(members.select("node")).distinct()
-    held = first.unionByName(sets(nodes.join(first.select("node"), "node", "left_anti")))
-    edges = edges.unionByName(confirmed(pairs, held))
-
-    n = F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
-    blocks = scratch.cut(members.groupBy("group", "inside").agg(n))
-    dealt = members.drop("n").join(blocks, ["group", "inside"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # A block outside meets the blocks outside from its own on, and all inside.
-    out_blocks = blocks.where(~F.col("inside")).select("group", F.col("blocks").alias("out"))
-    in_blocks = blocks.where(F.col("inside")).select("group", F.col("blocks").alias("in"))
-    dealt = dealt.drop("blocks").join(out_blocks, "group").join(in_blocks, "group")
-    task = lambda i, j, within: F.struct(i.alias("i"), j.alias("j"), F.lit(within).alias("within"))
-    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    own = F.col("block")
-    beside = F.concat(F.transform(upto("out"), lambda k: task(F.least(own, k), F.greatest(own, k), False)), F.transform(upto("in"), lambda k: task(own, k, True)))
-    meets = F.when(F.col("inside"), F.transform(upto("out"), lambda k: task(k, own, True))).otherwise(beside)
-    tasks = dealt.withColumn("task", F.explode(meets)).select("group", "task.*", "block", "node", "inside")
-    tasks = tasks.join(held.select(F.col("node").alias("__node"), "set"), F.col("node") == F.col("__node")).drop("__node")
-    edges = scratch.cut(edges.unionByName(tasks.groupBy("group", "i", "j", "within").applyInArrow(_blocks(percent), "u long, v long")))
+    known = members.select("node", "n", "part").distinct()
+    alike = components(_compared(members, "one", BLOCK_SIGNATURES, known.join(classes.select("node", "signature"), "node"), _alike(matches, percent), scratch), scratch)
+    grouped = scratch.cut(known.join(alike.withColumnRenamed("component", "group"), "node"))
+    first = grouped.groupBy("group", "part").agg(F.sum("n").alias("held")).groupBy("group").agg(F.max(F.struct("held", "part"))["part"].alias("first"))
+    members = scratch.cut(grouped.join(first, "group").select("group", "node", "n", (F.col("part") == F.col("first")).alias("inside")).distinct())
+    held = scratch.cut(texts(scratch.cut(members.select("node").distinct())).select(F.col("doc_id").alias("node"), _set(size)("text").alias("set")))
+    edges = scratch.cut(edges.unionByName(_compared(members, "n", BLOCK_SHINGLES, held, _blocks(percent), scratch)))
     parts = components(edges, scratch)
 
     of = classes.join(parts.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").where((F.col("copies") > 1) | F.col("component").isNotNull())

@@ -59,6 +59,27 @@ def test_near_duplicates(spark, size, short, monkeypatch):
     assert sorted(r["doc_id"] for r in minhash_dedup.deduplicated(docs, size=size).collect()) == sorted(k for k in want if want[k] == k)
 
 
+def test_near_duplicates_of_shared_passages(spark, monkeypatch):
+    """Texts that share passages and no more stand in long lists. Few of their sets move, block pairs come in waves, and links are found."""
+    r, moved, cut = random.Random(3), [], minhash_dedup.Scratch.cut
+    passages = [" ".join(f"p{i}w{k}" for k in range(5)) for i in range(30)]
+    texts = [" ".join(r.sample(passages, 7)) for _ in range(90)]
+    texts += [t + " more" for t in texts[:4]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def counted(self, df):
+        out = cut(self, df)
+        moved.append(out.count() if "set" in out.columns else 0)
+        return out
+
+    monkeypatch.setattr(minhash_dedup.Scratch, "cut", counted)
+    for name, value in (("BLOCK_SHINGLES", 60), ("BLOCK_SIGNATURES", 16), ("WAVE", 1), ("WAVE_BLOCKS", 1)):
+        monkeypatch.setattr(minhash_dedup, name, value, raising=False)
+    rows = minhash_dedup.near_duplicates(docs, size=2, short_list=0).collect()
+    assert {x["doc_id"]: x["component_id"] for x in rows} == {k: k - 90 if k >= 90 else k for k in range(94)}
+    assert 2 * sum(moved) < len(texts)
+
+
 def test_near_duplicates_of_little(spark):
     rows = [(1, "a b c"), (1, "a b c"), (2, "a b c"), (None, "a b c"), (3, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
